@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, language_id, packing
+from . import bpe, embedding_dedup, exact_dedup, language_id, licenses, ngram_join, packing, pii, toxicity
 from .common import read
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -24,23 +24,55 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("held_out", held)
 
 
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read(spark, sf_dir, "documents"))
 
 
+def severity_grades(labels: DataFrame) -> DataFrame:
+    """0: not toxic, 1: toxic, 2: toxic and of low quality."""
+    return labels.select("doc_id", (F.col("toxic") + F.when((F.col("toxic") == 1) & (F.col("quality") == 0), 1).otherwise(0)).alias("grade"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return toxicity.grade(docs, toxicity.train(docs, severity_grades(read(spark, sf_dir, "labels"))))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path
     return packing.piece_digests(packing.pack(read(spark, sf_dir, "documents"), path(VOCABULARY), path(VOCABULARY_RANKS)))
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(read(spark, sf_dir, "documents"))
+
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(read(spark, sf_dir, "documents"))
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return pii.detect(docs, pii.train(docs))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_round_trip(read(spark, sf_dir, "documents"), public_tokenizers.path(MULTI_RANKS))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op2_embedding_near_dedup": op2_embedding_near_dedup,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_toxicity": op4_toxicity,
     "op5_packing": op5_packing,
+    "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
+    "op7_license_scan": op7_license_scan,
+    "op8_pii": op8_pii,
     "op9_byte_bpe": op9_byte_bpe,
 }
 
