@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embedding_dedup, exact_dedup, language_id, licenses, ngram_join, packing, pii, toxicity
+from . import bpe, embedding_dedup, exact_dedup, language_id, licenses, ngram_join, packing, pii, suffix_dedup, toxicity
 from .common import read
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -32,14 +32,9 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read(spark, sf_dir, "documents"))
 
 
-def severity_grades(labels: DataFrame) -> DataFrame:
-    """0: not toxic, 1: toxic, 2: toxic and of low quality."""
-    return labels.select("doc_id", (F.col("toxic") + F.when((F.col("toxic") == 1) & (F.col("quality") == 0), 1).otherwise(0)).alias("grade"))
-
-
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    return toxicity.grade(docs, toxicity.train(docs, severity_grades(read(spark, sf_dir, "labels"))))
+    return toxicity.grade(docs, toxicity.train(docs, read(spark, sf_dir, "labels"), "toxic"))
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,6 +59,11 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_round_trip(read(spark, sf_dir, "documents"), public_tokenizers.path(MULTI_RANKS))
 
 
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.suffix_dedup(read(spark, sf_dir, "documents"))
+    return found.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
@@ -74,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_license_scan": op7_license_scan,
     "op8_pii": op8_pii,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_suffix_array_dedup": op10_suffix_array_dedup,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

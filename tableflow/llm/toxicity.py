@@ -6,9 +6,12 @@ P(grade >= k) = sigmoid(w.x - theta_k), theta ascending. The expected severity i
 Grades are whatever integers the labels hold; thresholds are fitted for the grades that occur.
 
 Training reads at most ``max_rows`` labelled documents, chosen by a hash of their id, and keeps the ``max_words``
-words that tell grades apart best (chi-square, in at least ``min_docs`` of them). Equal texts count once in it, so a
+words that tell grades apart best: chi-square, in ``min_docs`` of them and in the share ``min_share`` of those above the
+lowest grade, and ``min_z`` standard deviations from chance, so that words of one group of copies stay out. Equal texts count once in it, so a
 group of copies does not teach its own vocabulary. Scoring reads every whole text.
 
+Where the labels are binary, the positives are split in two grades by the score of a first fit (see ``refined``).
+
 Null and empty texts have no words and get the severity of the thresholds alone. Labels that are null are not used;
 when a document has several labels, the highest counts. Without labels of two grades nothing is learned: all
 severities are 0 and nothing is rejected. Repeated rows give repeated results; an empty table gives an empty result.
@@ -55,31 +58,56 @@ class OrdinalModel:
         return 1 / (1 + np.exp(-np.clip(scores[:, None] - self.thresholds[None, :], -40, 40)))
 
 
-def fit(rows: list[tuple[int, list[int], np.ndarray]], n_words: int, l2: float = 2.0, steps: int = 400) -> tuple[list[int], np.ndarray, np.ndarray]:
-    """Grades, weights and thresholds by gradient descent with momentum on the penalised likelihood."""
+def fit(rows: list[tuple[int, list[int], np.ndarray]], n_words: int, l2: float = 0.3, steps: int = 25) -> tuple[list[int], np.ndarray, np.ndarray]:
+    """Grades, weights and thresholds: damped Newton steps on the penalised likelihood of all splits at once."""
     grades = sorted({g for g, _, _ in rows})
     y = np.searchsorted(grades, [g for g, _, _ in rows])
     n, k = len(rows), len(grades) - 1
-    row = np.repeat(np.arange(n), [len(i) for _, i, _ in rows])
-    col = np.concatenate([np.array(i, np.int64) for _, i, _ in rows]) if n else np.zeros(0, np.int64)
-    val = np.concatenate([v for _, _, v in rows]) if n else np.zeros(0)
-    above = np.array([(y >= j + 1).mean() for j in range(k)])
-    theta, w = -np.log(above / (1 - above)), np.zeros(n_words)
+    x = np.zeros((n, n_words))
+    for i, (_, at, values) in enumerate(rows):
+        x[i, at] = values
     reached = (y[:, None] > np.arange(k)[None, :]).astype(float)  # grade is over threshold j
-    scale = 1 / (0.25 * n * max(1.0, (val**2).sum() / max(1, n)) + l2)
-    speed_w, speed_t = np.zeros(n_words), np.zeros(k)
-    for _ in range(steps):
-        s = np.bincount(row, w[col] * val, n) if len(row) else np.zeros(n)
-        # each threshold is a binary split with the same weights
-        err = reached - 1 / (1 + np.exp(-np.clip(s[:, None] - theta[None, :], -40, 40)))
-        grad_w = np.bincount(col, err.sum(1)[row] * val, n_words) - l2 * w
-        speed_w = 0.9 * speed_w + 4 * scale * grad_w
-        speed_t = 0.9 * speed_t - 4 * scale * err.sum(0)
-        w, theta = w + speed_w, np.maximum.accumulate(theta + speed_t)
-    return grades, w, theta
+    above = reached.mean(0)
+    beta = np.concatenate([np.zeros(n_words), -np.log(above / (1 - above))])
 
+    def loss(b: np.ndarray) -> float:
+        z = (x @ b[:n_words])[:, None] - b[None, n_words:]
+        return float(np.logaddexp(0, np.where(reached > 0, -z, z)).sum() + l2 / 2 * (b[:n_words] ** 2).sum())
 
-def train(docs: DataFrame, labels: DataFrame, grade_col: str = "grade", max_rows: int = 20_000, max_words: int = 1024, min_docs: int = 10, id_col: str = "doc_id", text_col: str = "text") -> OrdinalModel:
+    now = loss(beta)
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip((x @ beta[:n_words])[:, None] - beta[None, n_words:], -40, 40)))
+        err, weight = reached - p, p * (1 - p)
+        gradient = np.concatenate([x.T @ err.sum(1) - l2 * beta[:n_words], -err.sum(0)])
+        cross = -(x.T @ weight)
+        hessian = np.block([[(x * weight.sum(1)[:, None]).T @ x + l2 * np.eye(n_words), cross], [cross.T, np.diag(weight.sum(0) + 1e-6)]])
+        move = np.linalg.solve(hessian, gradient)
+        while (new := loss(beta + move)) > now + 1e-9 and np.abs(move).max() > 1e-9:
+            move = move / 2
+        beta = beta + move
+        if now - new < 1e-7 * abs(now):
+            break
+        now = new
+    return grades, beta[:n_words], np.maximum.accumulate(beta[n_words:])
+
+
+def refined(rows: list[tuple[int, list[int], np.ndarray]], n_words: int) -> list[tuple[int, list[int], np.ndarray]]:
+    """Binary labels as three grades: of the positives that a first fit recognises, the upper half by score is grade 2.
+
+    Labels that hold more than two grades stay as they are.
+    """
+    if len({g for g, _, _ in rows}) != 2:
+        return rows
+    (low, high), w, theta = fit(rows, n_words)
+    scores = np.array([w[at] @ x if len(at) else 0.0 for _, at, x in rows])
+    known = [s for (g, _, _), s in zip(rows, scores, strict=True) if g == high and s > theta[0]]
+    if not known:
+        return rows
+    middle = float(np.median(known))
+    return [(high + 1 if g == high and s > middle else g, at, x) for (g, at, x), s in zip(rows, scores, strict=True)]
+
+
+def train(docs: DataFrame, labels: DataFrame, grade_col: str = "grade", max_rows: int = 20_000, max_words: int = 256, min_docs: int = 10, min_share: float = 0.05, min_z: float = 3.0, id_col: str = "doc_id", text_col: str = "text") -> OrdinalModel:
     """Fit on at most max_rows labelled documents."""
     graded = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(grade_col).cast("int").alias("grade")).where("doc_id is not null and grade is not null")
     graded = graded.groupBy("doc_id").agg(F.max("grade").alias("grade"))
@@ -98,8 +126,10 @@ def train(docs: DataFrame, labels: DataFrame, grade_col: str = "grade", max_rows
     lowest, all_rows = min(totals), sum(totals.values())
     high = all_rows - totals[lowest]
     seen = each.groupBy("word").agg(F.count("*").alias("n"), F.count_if(F.col("grade") > lowest).alias("h")).where(f"n >= {min_docs} and word <> ''")
-    spread = F.col("h") - F.col("n") * (high / all_rows)
-    chosen = seen.withColumn("chi", spread * spread / F.col("n")).orderBy(F.desc("chi"), "word").limit(max_words)
+    share = high / all_rows
+    spread = F.col("h") - F.col("n") * share
+    seen = seen.withColumn("chi", spread * spread / F.col("n")).where((F.col("chi") >= min_z**2 * share * (1 - share)) & (F.col("h") >= min_share * high))
+    chosen = seen.orderBy(F.desc("chi"), "word").limit(max_words)
     vocabulary = [r["word"].encode() for r in chosen.collect()]
     shell = OrdinalModel(vocabulary, [0], np.zeros(0), np.zeros(0))
 
@@ -109,7 +139,7 @@ def train(docs: DataFrame, labels: DataFrame, grade_col: str = "grade", max_rows
 
     made = common.map_arrow(texts, featured, "grade int, at array<int>, x array<double>, words string")
     rows = [(r["grade"], r["at"], np.array(r["x"])) for r in made.dropDuplicates(["words"]).collect()]
-    grades, w, theta = fit(rows, len(vocabulary))
+    grades, w, theta = fit(refined(rows, len(vocabulary)), len(vocabulary))
     return OrdinalModel(vocabulary, grades, w, theta)
 
 
