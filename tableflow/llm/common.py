@@ -53,7 +53,7 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schema
 def arrow_types(schema: str) -> dict[str, pa.DataType]:
     known = {
         "long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "binary": pa.binary(), "boolean": pa.bool_(),
-        "array<int>": pa.list_(pa.int32()), "array<double>": pa.list_(pa.float64()), "array<long>": pa.list_(pa.int64()), "array<string>": pa.list_(pa.string()),
+        "array<int>": pa.list_(pa.int32()), "array<double>": pa.list_(pa.float64()), "array<long>": pa.list_(pa.int64()), "array<float>": pa.list_(pa.float32()), "array<string>": pa.list_(pa.string()),
     }
     return {f.split()[0]: known[f.split()[1]] for f in schema.split(", ")}
 
@@ -63,15 +63,26 @@ def record(columns: dict, schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[n], t) for n, t in types.items()], list(types))
 
 
-def saved(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the folder that the session names (its own only where none is named)."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for checkpoints that all machines share: the session's, or one of its own where none is named."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    return sc.getCheckpointDir()
+
+
+def saved(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def small_side(ids: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """A saved list of ids for a join with texts: broadcast while it has so few rows, else hashed after a shuffle, never sorted."""
+    ids = saved(ids)
+    return F.broadcast(ids) if ids.count() <= rows else ids.hint("shuffle_hash")
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -166,3 +166,17 @@ def grade(docs: DataFrame, model: OrdinalModel, threshold: float = 0.5, id_col:
         }
 
     return common.map_arrow(common.texts_of(docs, id_col, text_col), score, "doc_id long, grade int, severity double, toxic_probability double, rejected boolean")
+
+
+def accepted(docs: DataFrame, model: OrdinalModel, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows, with all their columns, whose text is not rejected."""
+    frozen = docs.sparkSession.sparkContext.broadcast(model)
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(common.ARROW_ROWS))
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        for b in batches:
+            p = frozen.value.at_least(np.array([frozen.value.score(t) for t in common.raw(b.column(at))]))
+            yield b.filter(pa.array(p[:, 0] < threshold if p.shape[1] else np.ones(b.num_rows, bool)))
+
+    return docs.mapInArrow(run, docs.schema)
