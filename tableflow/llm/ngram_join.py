@@ -40,8 +40,10 @@ SIMILARITY = 0.75
 BLOCK = 1000
 #: Sets and n-grams that a task holds before it hands on its blocks.
 CHUNK_SETS, CHUNK_GRAMS = 60_000, 4_000_000
-#: Bits of a hash that the filter compares; equal ones by chance only let more sets pass.
-FILTER_BITS = 48
+#: Bits of a hash that the filter compares beyond those that number all n-grams; equal ones by chance only let more sets pass.
+SPARE_BITS = 13
+#: Ids of documents that may be broadcast (eight bytes each); more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
 
 _FOLD = bytes.maketrans(string.ascii_uppercase.encode(), string.ascii_lowercase.encode())
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
@@ -211,8 +213,25 @@ def _of_sets(b: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
         yield sid, np.frombuffer(data, np.uint64)
 
 
-def _shared_enough(sets: DataFrame, percent: int, parse: Callable[[pa.RecordBatch], Iterator[tuple[int, np.ndarray]]]) -> DataFrame:
-    """sid of the sets of which enough n-grams occur in more than one set (of those that parse finds in the rows)."""
+def _steps(grams: np.ndarray) -> bytes:
+    """Ascending hashes: the first one, then steps of three, four or eight bytes as the widest one needs."""
+    steps = np.diff(grams)
+    most = int(steps.max(initial=0))
+    width = 3 if most < 1 << 24 else 4 if most < 1 << 32 else 8
+    return bytes([width]) + grams[:1].astype("<u8").tobytes() + steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def _from_steps(data: bytes) -> np.ndarray:
+    width = data[0]
+    raw = np.frombuffer(data, np.uint8, offset=9).reshape(-1, width)
+    steps = np.zeros((len(raw), 8), np.uint8)
+    steps[:, :width] = raw
+    return np.cumsum(np.concatenate([np.frombuffer(data, "<u8", 1, 1), steps.view("<u8").ravel()]), dtype=np.uint64)
+
+
+def _shared_enough(sets: DataFrame, percent: int, parse: Callable[[pa.RecordBatch], Iterator[tuple[int, np.ndarray]]], total: int) -> DataFrame:
+    """sid of the sets of which enough n-grams occur in more than one set (of those that parse finds in the rows; total n-grams in all)."""
+    bits = min(64, max(32, total.bit_length() + SPARE_BITS))
     buckets = 4 * common.partitions(sets.sparkSession)
     schema = "bucket int, chunk long, grams binary, members binary"
 
@@ -225,18 +244,15 @@ def _shared_enough(sets: DataFrame, percent: int, parse: Callable[[pa.RecordBatc
         def rows() -> pa.RecordBatch:
             chunk = task << 24 | made
             sizes = np.array([len(g) for g in held.values()])
-            grams = np.concatenate(list(held.values())) >> np.uint64(64 - FILTER_BITS)
+            grams = np.concatenate(list(held.values())) >> np.uint64(64 - bits)
             members = np.repeat(np.arange(len(sizes), dtype=np.uint16), sizes)
             order = np.argsort(grams, kind="stable")
             grams, members = grams[order], members[order]
-            bucket = (grams * np.uint64(buckets) >> np.uint64(FILTER_BITS)).astype(np.int64) if buckets < 65536 else (grams >> np.uint64(FILTER_BITS - 16)).astype(np.int64)
+            bucket = ((grams >> np.uint64(bits - 32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
             edges = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True])
             out: dict[str, list] = {"bucket": [-1 - chunk % buckets], "chunk": [chunk], "grams": [np.array(list(held), np.int64).tobytes()], "members": [sizes.astype(np.int64).tobytes()]}
             for a, b in zip(edges[:-1], edges[1:], strict=True):
-                steps = np.diff(grams[a:b], prepend=np.uint64(0))
-                wide = bool(steps[1:].max(initial=0) >> np.uint64(32))
-                data = bytes([wide]) + grams[a : a + 1].tobytes() + steps[1:].astype(np.uint64 if wide else np.uint32).tobytes()
-                for k, v in zip(out, (int(bucket[a]), chunk, data, members[a:b].tobytes()), strict=True):
+                for k, v in zip(out, (int(bucket[a]), chunk, _steps(grams[a:b]), members[a:b].tobytes()), strict=True):
                     out[k].append(v)
             return common.record(out, schema)
 
@@ -259,8 +275,7 @@ def _shared_enough(sets: DataFrame, percent: int, parse: Callable[[pa.RecordBatc
         def close(now: list[tuple[int, bytes, bytes]]) -> None:
             grams, members, owner = [], [], []
             for i, (_, data, places) in enumerate(now):
-                steps = np.frombuffer(data, np.uint64 if data[0] else np.uint32, offset=9).astype(np.uint64)
-                grams.append(np.cumsum(np.r_[np.frombuffer(data, np.uint64, 1, 1), steps], dtype=np.uint64))
+                grams.append(_from_steps(data))
                 members.append(np.frombuffer(places, np.uint16))
                 owner.append(np.full(len(members[-1]), i, np.int32))
             g, m, o = np.concatenate(grams), np.concatenate(members), np.concatenate(owner)
@@ -324,10 +339,14 @@ def jaccard_components(docs: DataFrame, n: int = N, similarity: float = SIMILARI
     percent = round(100 * similarity)
     docs = common.texts_of(docs, id_col, text_col)
     all_sets = common.saved(_hashes(docs, n))
-    first = common.saved(_shared_enough(docs, percent, _of_texts(n)))
+    total = all_sets.agg(F.sum("n_shingles")).first()[0] or 0
+    first = common.saved(_shared_enough(docs, percent, _of_texts(n), total))
     some = all_sets.join(first, "sid", "left_semi").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
-    left = common.saved(_sets(docs.join(some.select("doc_id").hint("shuffle_hash"), "doc_id", "left_semi"), n).dropDuplicates(["sid"]))
-    kept = common.saved(left.join(_shared_enough(left, percent, _of_sets), "sid", "left_semi"))
+    some = common.saved(some.select("doc_id"))
+    some = F.broadcast(some) if some.count() <= BROADCAST_IDS else some.hint("shuffle_hash")
+    left = common.saved(_sets(docs.join(some, "doc_id", "left_semi"), n).dropDuplicates(["sid"]))
+    held = left.agg(F.sum(F.octet_length("grams"))).first()[0] or 0
+    kept = common.saved(left.join(_shared_enough(left, percent, _of_sets, held // 8), "sid", "left_semi"))
 
     def exploded(b: pa.RecordBatch) -> dict:
         sets = [np.frombuffer(g, np.int64) for g in b.column("grams").to_pylist()]
