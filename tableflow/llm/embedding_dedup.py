@@ -5,11 +5,12 @@ gives every vector a home list within its label, and the residual to the list's
 the neighbours of a vector, its distances to all subspace codes of a list are tabled once, and a member's distance
 is a sum of table entries (asymmetric: only the member is quantised). Exact cosines rerank what the table lets pass.
 
-Both steps keep every link. With d the greatest distance that unit vectors at the threshold may have, a list is
-probed when a member could be that near: the vector's distance to the centre differs from some member's by d at
-most, and it is no further beyond the border to its own list than d allows. A member is reranked when its tabled
-distance is at most d plus its own quantisation error. So probes and candidates are sufficient by the triangle
-inequality, and the bounded sample affects speed alone.
+With d the greatest distance that unit vectors at the threshold may have, a list is probed when a neighbour could live
+there: moving by d can change the difference of the squared distances to two centres by 2 d times the centres'
+distance at most, and in a random direction by a normal deviate with that over the root of the dimension.
+``sigmas`` of these deviates are allowed (None allows the whole, which is exact and probes far more lists). A member is
+reranked when its tabled distance is at most d plus its own quantisation error, which loses nothing. The sample
+affects speed and that choice of lists alone; every vector is indexed and queried.
 
 Lists are cut into blocks of about ``BLOCK`` members and slices of about ``QUERIES`` queries; each block meets each
 slice. Counts add up over blocks, and links leave a block as a spanning forest. Vectors that are null, empty, zero or hold
@@ -34,6 +35,7 @@ LISTS, MOST_LISTS, SAMPLE = 16, 1024, 8192
 SUBSPACES, CODES = 16, 16
 #: Members and queries that one task compares.
 BLOCK, QUERIES = 2048, 8192
+SIGMAS = 2.5
 
 
 def normalised(x: np.ndarray) -> np.ndarray:
@@ -82,7 +84,7 @@ class Index:
             out += squared(queries[:, a:b], book)[:, codes[:, j]]
         return out
 
-    def probes(self, x: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
+    def probes(self, x: np.ndarray, reach: float, sigmas: float | None) -> tuple[np.ndarray, np.ndarray]:
         """Home list of each vector, and which lists could hold one within reach.
 
         A member of list c is nearer to c than to the home of x; a move of length reach can shift the difference of
@@ -91,7 +93,8 @@ class Index:
         d = squared(x, self.centres)
         home = d.argmin(1)
         apart = np.sqrt(squared(self.centres, self.centres))[home]
-        return home, d - d[np.arange(len(x)), home][:, None] <= 2 * reach * apart + 1e-9
+        share = 1 if sigmas is None else min(1, sigmas / x.shape[1] ** 0.5)
+        return home, d - d[np.arange(len(x)), home][:, None] <= 2 * share * reach * apart + 1e-9
 
 
 def _within(index: Index, centre: int, members: np.ndarray, queries: np.ndarray, cosine: float, reach: float):
@@ -131,10 +134,11 @@ def _forest(n: int, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def near_duplicates(vectors: DataFrame, cosine: float = COSINE, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
+def near_duplicates(vectors: DataFrame, cosine: float = COSINE, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", sigmas: float | None = SIGMAS) -> DataFrame:
     """vec_id, n_links, component_id, kept: one row per vec_id."""
     reach = float(np.sqrt(2 - 2 * cosine)) + 1e-9
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"), F.col(label_col).cast("string").alias("label"))
+    kind = "array<float>" if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else "array<double>"
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast(kind).alias("v"), F.col(label_col).cast("string").alias("label"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     good = rows.where("label is not null and v is not null and size(v) > 0").where(finite).where(F.exists("v", lambda x: x != 0))
     # equal vectors of a label are one, under their smallest id
@@ -143,7 +147,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, id_col: str = "v
     indexes = {}
     for w, n in widths.items():
         some = distinct.where(F.size("v") == w).orderBy(F.xxhash64("u"), "u").limit(SAMPLE).select("v").collect()
-        indexes[w] = Index(normalised(np.array([r["v"] for r in some])), int(min(MOST_LISTS, max(LISTS, n**0.5))))
+        indexes[w] = Index(normalised(np.array([r["v"] for r in some], float)), int(min(MOST_LISTS, max(LISTS, n**0.5))))
     shared = vectors.sparkSession.sparkContext.broadcast(indexes)  # MOST_LISTS + CODES vectors at most for each length
 
     def place(b: pa.RecordBatch) -> dict | None:
@@ -152,7 +156,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, id_col: str = "v
         rows, cells, homes = [], [], []
         for w in np.unique(width):
             at = np.flatnonzero(width == w)
-            home, probed = shared.value[w].probes(normalised(np.array([values[i] for i in at])), reach)
+            home, probed = shared.value[w].probes(normalised(np.array([values[i] for i in at], float)), reach, sigmas)
             i, c = np.nonzero(probed)
             rows.append(at[i])
             cells.append(c)
@@ -160,7 +164,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, id_col: str = "v
         at = np.concatenate(rows)
         return {"label": b.column("label").take(pa.array(at)), "width": width[at], "cell": np.concatenate(cells), "home": np.concatenate(homes), "u": b.column("u").take(pa.array(at)), "copies": b.column("copies").take(pa.array(at)), "v": b.column("v").take(pa.array(at))}
 
-    placed = common.saved(common.map_arrow(distinct, place, "label string, width int, cell int, home boolean, u long, copies long, v array<double>"))
+    placed = common.saved(common.map_arrow(distinct, place, f"label string, width int, cell int, home boolean, u long, copies long, v {kind}"))
     cell = ["label", "width", "cell"]
     sizes = placed.groupBy(*cell).agg(F.ceil(F.count_if("home") / BLOCK).alias("blocks"), F.ceil(F.count("*") / QUERIES).alias("slices")).where("blocks > 0")
     known = placed.join(sizes, cell).withColumns({"own_block": F.pmod(F.xxhash64("u"), F.col("blocks")), "own_slice": F.pmod(F.xxhash64("u", F.lit(1)), F.col("slices"))})
@@ -174,7 +178,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, id_col: str = "v
     def compare(table: pa.Table) -> pa.Table:
         width, centre = table.column("width")[0].as_py(), table.column("cell")[0].as_py()
         u, copies = table.column("u").to_numpy(), table.column("copies").to_numpy()
-        v = normalised(table.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, width))
+        v = normalised(table.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, width))
         is_member = table.column("member").to_numpy()
         member, query = np.flatnonzero(is_member), np.flatnonzero(~is_member)
         names, where = np.unique(u, return_inverse=True)
