@@ -31,11 +31,12 @@ def split_loadable(df: DataFrame, schema: T.StructType, keys: list[str] | None =
     rows = df.withColumn("_reasons", F.array_compact(F.array(*reasons)) if reasons else F.array().cast("array<string>"))
     if keys:
         order = [F.size("_reasons").asc(), *[F.col(c) for c in order_by or []], F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])]
-        first = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) == 1
+        typed = [F.col(f"`{column_named(df, k)}`").try_cast(schema[k].dataType) for k in keys]
+        first = F.row_number().over(Window.partitionBy(*typed).orderBy(*order)) == 1
         rows = rows.withColumn("_reasons", F.when(first | (F.size("_reasons") > 0), F.col("_reasons")).otherwise(F.array(F.lit("duplicate key"))))
         if target is not None:
             known = target.select(*[F.col(f"`{k}`").alias(f"_t{i}") for i, k in enumerate(keys)]).distinct().withColumn("_known", F.lit(True))
-            same = [F.col(f"`{k}`") == F.col(f"_t{i}") for i, k in enumerate(keys)]
+            same = [k == F.col(f"_t{i}") for i, k in enumerate(typed)]
             rows = rows.join(known, same, "left").withColumn("_reasons", F.when(F.col("_known") & (F.size("_reasons") == 0), F.array(F.lit("key exists"))).otherwise(F.col("_reasons")))
     good = rows.where("size(_reasons) = 0").select(*[F.col(f"`{column_named(df, f.name)}`").try_cast(f.dataType).alias(f.name) for f in schema.fields])
     bad = rows.where("size(_reasons) > 0").select(*df.columns, F.concat_ws("; ", "_reasons").alias("_error"))

@@ -25,7 +25,8 @@ def range_scan(spark: SparkSession, url: str, table: str, key: str, partitions:
     """Read a table over JDBC in parallel ranges of a numeric or time key; the bounds come from one aggregate query."""
     if partitions < 2:
         raise ValueError("a range scan needs two partitions at least")
-    low, high = jdbc_scan(spark, url, f"SELECT MIN({key}) AS lo, MAX({key}) AS hi FROM {table}", properties).first()
+    own = spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url).quoteIdentifier(key)
+    low, high = jdbc_scan(spark, url, f"SELECT MIN({own}) AS lo, MAX({own}) AS hi FROM {table}", properties).first()
     if low is None:
         return spark.read.jdbc(url, table, properties=properties)
     return spark.read.jdbc(url, table, column=key, lowerBound=low, upperBound=high, numPartitions=partitions, properties=properties)

@@ -73,8 +73,10 @@ def cdc_stream(stream: DataFrame, target: str, checkpoint: str, mode: str = "app
         raise ValueError("a merging stream needs keys and an order")
 
     def upsert(batch: DataFrame, _: int) -> None:
+        batch = batch.persist()  # read once, used several times
         if not batch.isEmpty():
             merge_into(batch.sparkSession, target, batch, keys, order_by)
+        batch.unpersist()
 
     return stream.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
