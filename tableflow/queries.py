@@ -5,6 +5,8 @@ The given tables hold no NULL and no second version of themselves, so both sides
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,8 +18,9 @@ from .functions.masks import MaskRule
 from .operators import deadletter, join, profile, project, quality, reconcile, runlog, write
 from .operators.quality import Rule
 from .plans.spec import TaskSpec
-from .plans.task import prepared
+from .plans.task import prepared, run_task
 from .sources import scans
+from .streaming import cdc
 from .streaming.cdc import max_cursor
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -612,6 +615,117 @@ def parse_time_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("event_id", values.parse_time(text).cast("timestamp_ntz").alias("parsed"))
 
 
+# --- through files: writes, rounds, streams and whole tasks -------------------------------------------------------
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder below the one that the session names for checkpoints; below a temporary one where none is named."""
+    return f"{spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp(prefix='tableflow-')}/tableflow_{uuid.uuid4().hex}"
+
+
+@query("SELECT o_orderkey, o_orderstatus, o_custkey FROM orders WHERE o_orderkey % 2 = 0 UNION ALL SELECT o_orderkey, 'Z', o_custkey FROM orders WHERE o_orderkey % 2 = 1")
+def write_modes_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replace, replace from itself, append, in clustered files."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_custkey")
+    path = f"{scratch(spark)}/orders"
+    write.write_table(o, path, cluster=["o_custkey:ASC", "o_orderkey:DESC"])
+    write.write_table(spark.read.parquet(path).where("o_orderkey % 2 = 0"), path)
+    write.write_table(o.where("o_orderkey % 2 = 1").withColumn("o_orderstatus", F.lit("Z")), path, "append", must_exist=True)
+    return spark.read.parquet(path)
+
+
+@query(_MERGE + " SELECT * FROM t WHERE o_orderkey NOT IN (SELECT o_orderkey FROM s) UNION ALL SELECT * FROM s")
+def merge_into_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target, source = _merge_pair(spark, sf_dir)
+    path = f"{scratch(spark)}/orders"
+    write.merge_into(spark, path, target, ["o_orderkey"], buckets=8)
+    write.merge_into(spark, path, source, ["o_orderkey"], buckets=8)
+    return spark.read.parquet(path).drop("key_bucket")
+
+
+@query("SELECT c_custkey AS id, 'C***' AS label, CAST(round(c_acctbal) AS BIGINT) AS balance FROM customer WHERE c_acctbal >= 0 OR c_custkey >= 0")
+def run_task_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A whole task: mapping, mask, expression, rules, write, checksum, audit; then what it wrote."""
+    folder = scratch(spark)
+    run_task(spark, TaskSpec(
+        "customers", f"{folder}/out", "SELECT * FROM c;", views={"c": table(spark, sf_dir, "customer")}, columns=[("c_custkey", "id"), ("c_name", "label"), ("c_acctbal", "balance")],
+        masks=[MaskRule("label", "fixed_value", {"value": "C***"})], transforms={"balance": "cast(round(?) as bigint)"}, rules=[Rule("not_null", column="c_custkey"), Rule("unique", columns=("c_custkey",))],
+        validate="checksum", history=f"{folder}/history", cluster=["id"],
+    ))
+    return spark.read.parquet(f"{folder}/out")
+
+
+@query("SELECT 'customers' AS task_name, 'merge' AS mode, (SELECT count(*) FROM customer) AS rows_processed, 0::BIGINT AS rows_failed, 'passed' AS validation_result")
+def history_of_task(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch(spark)
+    run_task(spark, TaskSpec("customers", f"{folder}/out", table(spark, sf_dir, "customer"), mode="upsert", merge_keys=["c_custkey"], validate="sample", sample_size=50, history=f"{folder}/history"))
+    return runlog.recent_history([spark.read.parquet(f"{folder}/history")]).select("task_name", "mode", "rows_processed", "rows_failed", "validation_result")
+
+
+@query("SELECT event_id, user_id, event_type FROM events")
+def poll_rounds_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two real rounds over a stored cursor and one that finds nothing."""
+    folder, e = scratch(spark), table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    name = cdc.task_key("files", "files", "events")
+    for source in (e.where("event_id <= 5000"), e, e):
+        cdc.poll_once(spark, source, "event_id", f"{folder}/events", f"{folder}/state", name)
+    return spark.read.parquet(f"{folder}/events")
+
+
+def _stream(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
+    folder = scratch(spark)
+    columns = ["event_id", "user_id", "event_type"]
+    stream = spark.readStream.schema(table(spark, sf_dir, "events").schema).parquet(f"{sf_dir}/event[s].parquet").select(*columns)
+    cdc.cdc_stream(stream, f"{folder}/out", f"{folder}/checkpoint", mode, ["user_id"], ["event_id"]).awaitTermination()
+    return spark.read.parquet(f"{folder}/out").select(*columns)
+
+
+@query("SELECT event_id, user_id, event_type FROM events")
+def cdc_stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stream(spark, sf_dir, "append")
+
+
+@query("SELECT event_id, user_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS n FROM events) WHERE n = 1")
+def cdc_stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stream(spark, sf_dir, "merge")
+
+
+@query(_DIRTY + """ SELECT concat_ws(',', CAST(event_id AS VARCHAR), k, event_type) AS row_text, 'events' AS task_name, 'events_clean' AS table_name FROM r WHERE wrong OR n > 1""")
+def dead_letters_through_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON letters in folders by day, written and read again."""
+    path = f"{scratch(spark)}/dead"
+    bad = deadletter.split_loadable(_dirty_events(spark, sf_dir), _EVENT, ["event_id"])[1]
+    deadletter.write_dead_letters(deadletter.dead_letters_json(bad, "events", "events_clean"), path, "json", by_date=True)
+    letters = spark.read.schema("row array<string>, error string, task_name string, table_name string, timestamp string").json(path)
+    return letters.select(F.concat_ws(",", "row").alias("row_text"), "task_name", "table_name")
+
+
+@query(_DIRTY + " SELECT event_id, TRY_CAST(k AS INTEGER) AS k, event_type FROM r WHERE wrong OR n > 1")
+def dead_letter_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{scratch(spark)}/dead"
+    bad = deadletter.split_loadable(_dirty_events(spark, sf_dir), _EVENT, ["event_id"])[1]
+    deadletter.write_dead_letters(deadletter.dead_letters_csv(bad, "events_clean"), path, "csv")
+    return deadletter.read_dead_letters(spark, path, T.StructType.fromDDL("event_id long, k int, event_type string"), "csv")
+
+
+@query("""WITH b AS (SELECT min(value) AS lo, max(value) AS hi FROM events), s AS (SELECT i AS shard, lo + i * ((hi - lo) / 4) AS lower, CASE WHEN i = 3 THEN hi ELSE lo + (i + 1) * ((hi - lo) / 4) END AS upper FROM b, range(4) t(i))
+    SELECT CAST(shard AS INTEGER) AS shard, count(*) AS n_rows FROM events JOIN s ON value >= lower AND (value < upper OR shard = 3 AND value <= upper) GROUP BY shard""")
+def shard_counts_by_value(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scans.with_shard(table(spark, sf_dir, "events"), "value", 4).groupBy("shard").agg(F.count("*").alias("n_rows"))
+
+
+@query("""WITH b AS (SELECT epoch_us(min(ts)) AS lo, epoch_us(max(ts)) AS hi FROM events), s AS (SELECT i AS shard, lo + i * ((hi - lo) // 5) AS lower, CASE WHEN i = 4 THEN hi ELSE lo + (i + 1) * ((hi - lo) // 5) END AS upper FROM b, range(5) t(i))
+    SELECT CAST(shard AS INTEGER) AS shard, count(*) AS n_rows FROM events JOIN s ON epoch_us(ts) >= lower AND (epoch_us(ts) < upper OR shard = 4 AND epoch_us(ts) <= upper) GROUP BY shard""")
+def shard_counts_by_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scans.with_shard(table(spark, sf_dir, "events"), "ts", 5).groupBy("shard").agg(F.count("*").alias("n_rows"))
+
+
+@query("SELECT p_partkey, CAST(p_size AS BIGINT) AS p_size, p_retailprice, CASE WHEN p_size > 25 THEN 1 ELSE 0 END::BIGINT AS large, CAST(CAST(p_retailprice AS DECIMAL(10,2)) AS VARCHAR) AS price FROM part")
+def conform_oracle_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_retailprice", (F.col("p_size") > 25).alias("large"), F.col("p_retailprice").cast("decimal(10,2)").alias("price"))
+    return write.conform_types(df, "oracle").withColumn("price", F.col("price").cast("string"))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The keyed comparison of two versions of a table, counted by column."""
     return diff_by_column(spark, sf_dir)
