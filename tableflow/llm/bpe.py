@@ -12,8 +12,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import heapq
 import re
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -23,94 +23,98 @@ from pyspark.sql import DataFrame
 
 from . import common
 
-#: Pre-tokens whose ids a worker remembers; more are encoded anew, so this bounds memory and not the result.
-MEMO = 600_000
+#: Pre-tokens whose ids a worker remembers, twice; others are encoded anew, so this bounds memory and not the result.
+MEMO = 500_000
 #: Where Python's re and the pattern's classes agree: text without these characters may take the faster splitter.
 _ODD = re.compile("[\x1c-\x1f\xb2\xb3\xb9\xbc-\xbeɐ-\U0010ffff]")
 #: The same split for such text.
 _PLAIN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 
 
-class RankQueue:
-    """Positions by rank: push, and pop of the leftmost position of the least rank."""
-
-    __slots__ = ("top", "words", "buckets")
-
-    def __init__(self) -> None:
-        self.top = 0  # bit w: word w has a bit
-        self.words: dict[int, int] = {}  # bit b of word w: the bucket of rank 64 w + b has entries
-        self.buckets: dict[int, list[int]] = {}
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket:
-            heapq.heappush(bucket, position)
-            return
-        self.buckets[rank] = [position]
-        w = rank >> 6
-        self.words[w] = self.words.get(w, 0) | 1 << (rank & 63)
-        self.top |= 1 << w
-
-    def pop(self) -> tuple[int, int]:
-        """The least rank (find-first-set on both levels) and its leftmost position; (-1, -1) when empty."""
-        if not self.top:
-            return -1, -1
-        w = (self.top & -self.top).bit_length() - 1
-        bits = self.words[w]
-        rank = (w << 6) + (bits & -bits).bit_length() - 1
-        bucket = self.buckets[rank]
-        position = heapq.heappop(bucket)
-        if not bucket:
-            bits &= bits - 1
-            self.words[w] = bits
-            if not bits:
-                self.top &= self.top - 1
-        return rank, position
-
-
 class ByteBPE:
     """Encoder and decoder over a file of ranks (base64 of the bytes, a blank, the rank; one token a line)."""
 
     def __init__(self, path: str, pattern: str = public_tokenizers.PATTERN):
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.bytes_of = {i: b for b, i in self.ranks.items()}
+        self.single = [self.ranks[bytes([i])] for i in range(256)]
+        self.bytes_of = np.empty(max(self.ranks.values()) + 1, object)
+        #: Rank of what two tokens make together, for every two that make one.
+        self.pairs: dict[int, int] = {}
+        for token, rank in self.ranks.items():
+            self.bytes_of[rank] = token
+            for cut in range(1, len(token)):
+                a, b = self.ranks.get(token[:cut]), self.ranks.get(token[cut:])
+                if a is not None and b is not None:
+                    self.pairs[a << 32 | b] = rank
         self.pattern = regex.compile(pattern)
         self.plain = _PLAIN if pattern == public_tokenizers.PATTERN else None
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def merge(self, piece: bytes) -> list[int]:
-        """The ids of one pre-token."""
-        ranks = self.ranks
-        if piece in ranks:
-            return [ranks[piece]]
-        n = len(piece)
-        end = list(range(1, n + 1))  # where the token that starts here ends; 0 when it has been merged away
-        before = list(range(-1, n - 1))  # where the token before it starts
-        queue = RankQueue()
-        for i in range(n - 1):
-            if (r := ranks.get(piece[i : i + 2])) is not None:
-                queue.push(r, i)
-        while True:
-            rank, i = queue.pop()
-            if rank < 0:
-                break
-            j = end[i]
-            if not j or j >= n or ranks.get(piece[i : end[j]]) != rank:
+        """The ids of one pre-token.
+
+        The rank queue lives in three locals, as its steps are too short for calls: bit w of top says that word w of
+        words has a bit, and bit b of that word says that the bucket of rank 256 w + b holds positions (a heap).
+        """
+        whole = self.ranks.get(piece)
+        if whole is not None:
+            return [whole]
+        rank_of = self.pairs.get
+        ids = [self.single[c] for c in piece]  # of the token that starts here; -1 when it has been merged away
+        n = len(ids)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        top, words, buckets = 0, {}, {}
+        left = ids[0] if ids else 0
+        for i in range(1, n):
+            right = ids[i]
+            r = rank_of(left << 32 | right)
+            left = right
+            if r is not None:
+                if r in buckets:
+                    buckets[r].append(i - 1)  # in ascending order a list is a heap
+                else:
+                    buckets[r] = [i - 1]
+                    words[r >> 8] = words.get(r >> 8, 0) | 1 << (r & 255)
+                    top |= 1 << (r >> 8)
+        while top:
+            first = top & -top  # find-first-set, on both levels
+            w = first.bit_length() - 1
+            bits = words[w]
+            low = bits & -bits
+            rank = (w << 8) + low.bit_length() - 1
+            bucket = buckets[rank]
+            if len(bucket) > 1:
+                i = heappop(bucket)
+            else:
+                i = bucket[0]
+                del buckets[rank]
+                if bits == low:
+                    del words[w]
+                    top ^= first
+                else:
+                    words[w] = bits ^ low
+            j = after[i]
+            if j >= n or ids[i] < 0 or rank_of(ids[i] << 32 | ids[j]) != rank:
                 continue  # stale: one of the two has changed since
-            k = end[j]
-            end[i], end[j] = k, 0
+            ids[i], ids[j] = rank, -1
+            k = after[i] = after[j]
+            new = []
             if k < n:
                 before[k] = i
-                if (r := ranks.get(piece[i : end[k]])) is not None:
-                    queue.push(r, i)
-            if (h := before[i]) >= 0 and (r := ranks.get(piece[h:k])) is not None:
-                queue.push(r, h)
-        out, i = [], 0
-        while i < n:
-            out.append(ranks[piece[i : end[i]]])
-            i = end[i]
-        return out
+                if (r := rank_of(rank << 32 | ids[k])) is not None:
+                    new.append((r, i))
+            if (h := before[i]) >= 0 and (r := rank_of(ids[h] << 32 | rank)) is not None:
+                new.append((r, h))
+            for r, at in new:
+                if r in buckets:
+                    heappush(buckets[r], at)
+                else:
+                    buckets[r] = [at]
+                    words[r >> 8] = words.get(r >> 8, 0) | 1 << (r & 255)
+                    top |= 1 << (r >> 8)
+        return [x for x in ids if x >= 0]
 
     def split(self, text: str) -> list[str]:
         return self.plain.findall(text) if self.plain and not _ODD.search(text) else self.pattern.findall(text)
@@ -121,16 +125,17 @@ class ByteBPE:
         for piece in self.split(text):
             ids = memo.get(piece)
             if ids is None:
-                ids = np.array(self.merge(piece.encode()), "<u4").tobytes()
+                ids = self.older.get(piece) or np.array(self.merge(piece.encode()), "<u4").tobytes()
                 if len(memo) >= MEMO:
-                    memo.clear()
+                    self.older, memo = memo, {}
+                    self.memo = memo
                 if len(piece) < 100:
                     memo[piece] = ids
             parts.append(ids)
         return np.frombuffer(b"".join(parts), "<u4")
 
     def decode(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids.tolist()))
+        return b"".join(self.bytes_of[ids].tolist())
 
 
 _loaded: dict[str, ByteBPE] = {}
