@@ -19,9 +19,12 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def texts_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: str) -> DataFrame:
-    """Only the columns an operator needs, as ``doc_id`` and ``text``; other columns of the input cannot clash."""
+    """Only the columns an operator needs, as ``doc_id`` and ``text``; other columns of the input cannot clash.
+
+    Rows without an id are left out: no result could name them.
+    """
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
-    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *[F.col(c) for c in more])
+    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *[F.col(c) for c in more]).where("doc_id is not null")
 
 
 def strings(column: pa.Array | pa.ChunkedArray) -> list[str]:

@@ -26,18 +26,25 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
 
 LENGTH = 50
-#: Bytes of an anchor, bytes that the shallow sort looks at (a multiple of eight), bytes of a batch of texts.
-GRAM, SHALLOW, BATCH = 25, 24, 8 << 20
+#: Bytes of an anchor, bytes that the shallow sort looks at (a multiple of eight).
+GRAM, SHALLOW = 25, 24
+#: Text bytes that make one batch, and for which there is one bucket of suffixes.
+BATCH, BUCKET = 8 << 20, 4 << 20
 #: Bits of an anchor's hash. Anchors in more batches than HOT are dealt string by string.
 BITS, HOT = 48, 3000
 #: Text bytes that are hashed at a time, and anchors that a task holds before it hands them on.
-STEP, HELD = 1 << 20, 3 << 20
+STEP, HELD = 1 << 20, 3 << 19
+#: Strings that are sorted at a time, but for one anchor's, which stay together.
+SORTED = 150_000
+#: Text bytes that a task holds before it hands on its blocks.
+BLOCKS = 32 << 20
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 
 
@@ -85,7 +92,11 @@ def _runs(data: np.ndarray, sizes: np.ndarray, length: int) -> tuple[np.ndarray,
     first = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (starts[1:] != starts[:-1] + 1)]) if len(starts) else np.zeros(0, np.int64)
     count = np.diff(np.r_[first, len(starts)])
     begin = starts[first]
-    return h[anchor[first]], text[begin], begin, count
+    chosen = h[anchor[first]]  # the lowest of many, so mixed again to spread over all values
+    chosen ^= chosen >> np.uint64(33)
+    chosen *= _ODD[1]
+    chosen ^= chosen >> np.uint64(31)
+    return chosen, text[begin], begin, count
 
 
 def packed(values: np.ndarray) -> bytes:
@@ -165,8 +176,9 @@ def _cut(sorted_key: np.ndarray) -> Iterator[tuple[int, int, int]]:
         yield int(sorted_key[a]), int(a), int(b)
 
 
-def _shared_anchors(docs: DataFrame, buckets: int, length: int) -> DataFrame:
+def _shared_anchors(docs: DataFrame, buckets: int, length: int, batches: int) -> DataFrame:
     """batch, hot, anchors: for each batch the anchors of its texts that another text has too."""
+    narrow = "<u2" if batches <= 65536 else "<u4"
     shift = np.uint64(64 - BITS)
     schema, out_schema = "bucket int, anchors binary, batches binary, several binary", "batch int, hot boolean, anchors binary"
 
@@ -186,7 +198,7 @@ def _shared_anchors(docs: DataFrame, buckets: int, length: int) -> DataFrame:
             a, batch, several = a[keep], batch[keep], several[keep]
             out: dict[str, list] = {f.split()[0]: [] for f in schema.split(", ")}
             for k, lo, hi in _cut(_bucket(a << shift, buckets)):
-                for name, v in zip(out, (k, packed(a[lo:hi]), batch[lo:hi].astype("<i4").tobytes(), np.packbits(several[lo:hi]).tobytes()), strict=True):
+                for name, v in zip(out, (k, packed(a[lo:hi]), batch[lo:hi].astype(narrow).tobytes(), np.packbits(several[lo:hi]).tobytes()), strict=True):
                     out[name].append(v)
             return common.record(out, schema)
 
@@ -207,8 +219,8 @@ def _shared_anchors(docs: DataFrame, buckets: int, length: int) -> DataFrame:
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def close(now: list[tuple[bytes, bytes, bytes]]) -> pa.RecordBatch:
             a = np.concatenate([unpacked(x) for x, _, _ in now])
-            group = np.concatenate([np.frombuffer(x, "<i4") for _, x, _ in now])
-            several = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=len(g) // 4).astype(bool) for _, g, x in now])
+            group = np.concatenate([np.frombuffer(x, narrow) for _, x, _ in now])
+            several = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=len(g) // int(narrow[-1])).astype(bool) for _, g, x in now])
             order = np.lexsort((group, a))
             a, group, several = a[order], group[order], several[order]
             first = np.flatnonzero(np.r_[True, a[1:] != a[:-1]])
@@ -216,11 +228,11 @@ def _shared_anchors(docs: DataFrame, buckets: int, length: int) -> DataFrame:
             shared = np.repeat((n > 1) | np.logical_or.reduceat(several, first), n)
             hot = np.repeat(n > HOT, n)
             keep = shared & np.r_[True, (a[1:] != a[:-1]) | (group[1:] != group[:-1])]
-            a, group, hot = a[keep], group[keep], hot[keep]
+            a, group, hot = a[keep], group[keep].astype(np.int64), hot[keep]
             order = np.lexsort((a, hot, group))
             a, group, hot = a[order], group[order], hot[order]
             out: dict[str, list] = {"batch": [], "hot": [], "anchors": []}
-            for k, lo, hi in _cut(group.astype(np.int64) * 2 + hot):
+            for k, lo, hi in _cut(group * 2 + hot):
                 for name, v in zip(out, (k // 2, bool(k % 2), packed(a[lo:hi])), strict=True):
                     out[name].append(v)
             return common.record(out, out_schema)
@@ -269,9 +281,59 @@ def _units(texts: list[bytes], shared: np.ndarray | None, hot: np.ndarray, lengt
         yield data, key, np.concatenate([text[keep], np.repeat(text[each], times)]), begins, counts, hashes, first
 
 
-def _batch_segments(docs: pa.Table, shared: pa.Table, buckets: int, length: int) -> pa.Table:
-    """batch, bucket, segs: the batch's distinct pieces with a shared anchor."""
-    texts, ids = common.raw(docs.column("text")), docs.column("doc_id").to_numpy()
+def _blocks(docs: DataFrame) -> DataFrame:
+    """batch, block: the texts of each batch from one task, compressed together."""
+    schema = "batch int, block binary"
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray, list[bytes]]] = []
+
+        def rows() -> pa.RecordBatch:
+            group, ids = np.concatenate([g for g, _, _ in held]), np.concatenate([i for _, i, _ in held])
+            texts = [t for _, _, x in held for t in x]
+            order = np.argsort(group, kind="stable")
+            out: dict[str, list] = {"batch": [], "block": []}
+            for k, lo, hi in _cut(group[order]):
+                own = [texts[i] for i in order[lo:hi].tolist()]
+                out["batch"].append(k)
+                out["block"].append(_squeezed(np.array([len(own)], "<i8"), ids[order[lo:hi]].astype("<i8"), np.array([len(t) for t in own], "<i8"), *own))
+            return common.record(out, schema)
+
+        size = 0
+        for b in it:
+            texts = common.raw(b.column("text"))
+            held.append((b.column("batch").to_numpy(), b.column("doc_id").to_numpy(), texts))
+            size += sum(map(len, texts))
+            if size >= BLOCKS:
+                yield rows()
+                held, size = [], 0
+        if held:
+            yield rows()
+
+    return docs.select("batch", "doc_id", "text").mapInArrow(run, schema)
+
+
+def _squeezed(*parts) -> bytes:
+    return zstandard.compress(b"".join(x if isinstance(x, bytes) else x.tobytes() for x in parts), 3)
+
+
+def _texts(blocks: pa.Table) -> tuple[np.ndarray, list[bytes]]:
+    """Ids and texts of a batch."""
+    ids, texts = [np.zeros(0, np.int64)], []
+    for data in blocks.column("block").to_pylist():
+        data = zstandard.decompress(data)
+        n = int(np.frombuffer(data, "<i8", 1)[0])
+        ids.append(np.frombuffer(data, "<i8", n, 8))
+        at = 8 + 16 * n
+        for size in np.frombuffer(data, "<i8", n, 8 + 8 * n).tolist():
+            texts.append(data[at : at + size])
+            at += size
+    return np.concatenate(ids), texts
+
+
+def _batch_segments(blocks: pa.Table, shared: pa.Table, buckets: int, length: int) -> pa.Table:
+    """batch, bucket, segs: the batch's distinct pieces with a shared anchor, the least document of each, and whether it has several."""
+    ids, texts = _texts(blocks)
     keys, hashes, owners, sizes, pieces = [], [], [], [], []
     for data, key, text, begin, count, h, first in _units(texts, _anchors(shared, False), _anchors(shared, True), length):
         order = np.argsort(h, kind="stable")
@@ -292,13 +354,15 @@ def _batch_segments(docs: pa.Table, shared: pa.Table, buckets: int, length: int)
         low, high = np.minimum.reduceat(own[order, 0], new), np.maximum.reduceat(own[order, 1], new)
         take = order[new]
         bucket = _bucket(key[take], buckets)
-        by = np.argsort(bucket, kind="stable")
-        batch = docs.column("batch")[0].as_py()
+        by = np.lexsort((low, bucket))
+        batch = blocks.column("batch")[0].as_py()
         for k, lo, hi in _cut(bucket[by]):
             at = by[lo:hi]
             out["batch"].append(batch)
             out["bucket"].append(k)
-            out["segs"].append(b"".join([np.array([len(at)], "<i8").tobytes(), h[take][at].astype("<u8").tobytes(), low[at].astype("<i8").tobytes(), high[at].astype("<i8").tobytes(), size[take][at].astype("<i4").tobytes(), *(pieces[i] for i in take[at].tolist())]))
+            short = (key[take][at] >> np.uint64(17)).astype("<u2")  # tells anchors of a bucket apart, most of the time
+            strings = (size[take][at] - length).astype(np.uint8)
+            out["segs"].append(_squeezed(np.array([len(at)], "<i8"), short, np.diff(low[at], prepend=0).astype("<i8"), (high > low)[at].astype(np.uint8), strings, *(pieces[i] for i in take[at].tolist())))
     return pa.table({"batch": pa.array(out["batch"], pa.int32()), "bucket": pa.array(out["bucket"], pa.int32()), "segs": pa.array(out["segs"], pa.binary())})
 
 
@@ -306,49 +370,64 @@ def _least_documents(batches: Iterator[pa.RecordBatch], length: int) -> Iterator
     """batch, found: for the pieces of each batch the least document of every string, where that can matter."""
     schema = "batch int, found binary"
 
-    def close(now: list[tuple[int, bytes]]) -> pa.RecordBatch:
-        h, low, high, size, owner, body = [], [], [], [], [], []
+    def close(now: list[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
+        key, h, low, several, size, owner, body = [], [], [], [], [], [], []
         for i, (_, data) in enumerate(now):
+            data = zstandard.decompress(data)
             n = int(np.frombuffer(data, "<i8", 1)[0])
-            h.append(np.frombuffer(data, "<u8", n, 8))
-            low.append(np.frombuffer(data, "<i8", n, 8 + 8 * n))
-            high.append(np.frombuffer(data, "<i8", n, 8 + 16 * n))
-            size.append(np.frombuffer(data, "<i4", n, 8 + 24 * n).astype(np.int64))
-            body.append(np.frombuffer(data, np.uint8, offset=8 + 28 * n))
-            owner.append(np.full(n, i))
-        h, low, high, size, owner, data = (np.concatenate(x) for x in (h, low, high, size, owner, body))
-        begin, n = np.cumsum(size) - size, size - length + 1
+            key.append(np.frombuffer(data, "<u2", n, 8))
+            low.append(np.cumsum(np.frombuffer(data, "<i8", n, 8 + 2 * n)))
+            several.append(np.frombuffer(data, np.uint8, n, 8 + 10 * n).astype(bool))
+            size.append(np.frombuffer(data, np.uint8, n, 8 + 11 * n).astype(np.int64) + length)
+            body.append(np.frombuffer(data, np.uint8, offset=8 + 12 * n))
+            owner.append(np.full(n, i, np.int32))
+            ends = np.cumsum(size[-1]).tolist()
+            view = memoryview(body[-1])
+            h.append(np.fromiter((xxhash.xxh3_64_intdigest(view[a:b]) for a, b in zip([0, *ends], ends)), np.uint64, n))
+        key, h, low, several, size, owner, data = (np.concatenate(x) for x in (key, h, low, several, size, owner, body))
+        begin = np.cumsum(size) - size
+        order = np.argsort(key, kind="stable")
+        strings = np.cumsum(size[order] - length + 1)
+        start = 0
+        while start < len(order):
+            end = int(np.searchsorted(strings, (strings[start - 1] if start else 0) + SORTED)) + 1
+            end = int(np.searchsorted(key[order], key[order[min(end, len(order)) - 1]], "right"))  # all of the last anchor
+            take = order[start:end]
+            yield classes([b for b, _ in now], data, begin[take], h[take], low[take], several[take], size[take], owner[take])
+            start = end
+
+    def classes(batch: list[int], data: np.ndarray, begin: np.ndarray, h: np.ndarray, low: np.ndarray, several: np.ndarray, size: np.ndarray, owner: np.ndarray) -> pa.RecordBatch:
+        n = size - length + 1
         first = np.cumsum(n) - n
-        piece = np.repeat(np.arange(len(n)), n)
+        piece = np.repeat(np.arange(len(n), dtype=np.int32), n)
         starts = np.repeat(begin - first, n) + np.arange(int(n.sum()))
         order, new = deep_shallow_sort(data, starts, length)
-        classes = np.cumsum(new) - 1
         least_of = np.minimum.reduceat(low[piece[order]], np.flatnonzero(new))
         least = np.empty(len(starts), np.int64)
-        least[order] = least_of[classes]
+        least[order] = least_of[np.cumsum(new) - 1]
         low_of_piece, high_of_piece = np.minimum.reduceat(least, first), np.maximum.reduceat(least, first)
-        useful = low_of_piece < high
+        useful = np.flatnonzero(several | (low_of_piece < low))
+        useful = useful[np.argsort(owner[useful], kind="stable")]
         flat = low_of_piece == high_of_piece
         out: dict[str, list] = {"batch": [], "found": []}
-        for i, (batch, _) in enumerate(now):
-            one = np.flatnonzero(useful & flat & (owner == i))
-            many = np.flatnonzero(useful & ~flat & (owner == i))
-            if len(one) or len(many):
-                values = np.concatenate([least[first[k] : first[k] + n[k]] for k in many]) if len(many) else np.zeros(0, np.int64)
-                out["batch"].append(batch)
-                out["found"].append(b"".join([np.array([len(one), len(many)], "<i8").tobytes(), h[one].astype("<u8").tobytes(), low_of_piece[one].astype("<i8").tobytes(), h[many].astype("<u8").tobytes(), n[many].astype("<i8").tobytes(), values.astype("<i8").tobytes()]))
+        for i, a, b in _cut(owner[useful]):
+            mine = useful[a:b]
+            one, many = mine[flat[mine]], mine[~flat[mine]]
+            values = np.concatenate([least[first[k] : first[k] + n[k]] for k in many]) if len(many) else np.zeros(0, np.int64)
+            out["batch"].append(batch[i])
+            out["found"].append(b"".join([np.array([len(one), len(many)], "<i8").tobytes(), h[one].astype("<u8").tobytes(), low_of_piece[one].astype("<i8").tobytes(), h[many].astype("<u8").tobytes(), n[many].astype("<i8").tobytes(), values.astype("<i8").tobytes()]))
         return common.record(out, schema)
 
     current, now = None, []
     for b in batches:
         for bucket, batch, data in zip(*(b.column(c).to_pylist() for c in ("bucket", "batch", "segs")), strict=True):
             if bucket != current and now:
-                yield close(now)
+                yield from close(now)
                 now = []
             current = bucket
             now.append((batch, data))
     if now:
-        yield close(now)
+        yield from close(now)
 
 
 def _lookup(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -406,32 +485,33 @@ def removed_bytes(texts: list[bytes], ids: np.ndarray, found: pa.Table, length:
 
 
 def _marked(docs: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
-    """The rows with their batch, and what was found for each batch."""
+    """The texts by batch, and what was found for each batch."""
     spark = docs.sparkSession
     parts = common.partitions(spark)
-    buckets = 4 * parts
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    batches = max(2 * parts, -(-size // BATCH))
+    # enough of both for all tasks, but a MB of text for each at least: every batch may send to every bucket
+    buckets = max(1, -(-size // BUCKET), min(4 * parts, size >> 20))
+    batches = max(1, -(-size // BATCH), min(2 * parts, size >> 20))
     dealt = docs.withColumn("batch", F.pmod(F.xxhash64("doc_id"), F.lit(batches)).cast("int"))
-    shared = common.saved(_shared_anchors(dealt, buckets, length))
+    shared = common.saved(_shared_anchors(dealt, buckets, length, batches))
 
     def hand_on(left: pa.Table, right: pa.Table) -> pa.Table:
         return _batch_segments(left, right, buckets, length) if left.num_rows and right.num_rows else pa.table({"batch": pa.array([], pa.int32()), "bucket": pa.array([], pa.int32()), "segs": pa.array([], pa.binary())})
 
-    pieces = dealt.groupBy("batch").cogroup(shared.groupBy("batch")).applyInArrow(hand_on, "batch int, bucket int, segs binary")
-    sorted_ = pieces.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(lambda it: _least_documents(it, length), "batch int, found binary")
-    found = common.saved(sorted_).withColumns({"hot": F.lit(False), "anchors": F.lit(None).cast("binary")})
+    blocks = _blocks(dealt)
+    pieces = blocks.groupBy("batch").cogroup(shared.groupBy("batch")).applyInArrow(hand_on, "batch int, bucket int, segs binary")
+    found = pieces.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(lambda it: _least_documents(it, length), "batch int, found binary")
+    found = found.withColumns({"hot": F.lit(False), "anchors": F.lit(None).cast("binary")})
     hot = shared.where("hot").withColumn("found", F.lit(None).cast("binary")).select("batch", "found", "hot", "anchors")
-    return dealt, found.unionByName(hot)
+    return blocks, found.unionByName(hot)
 
 
 def suffix_dedup(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept (the bytes that stay): one row per input row."""
-    dealt, found = _marked(common.texts_of(docs, id_col, text_col), length)
+    blocks, found = _marked(common.texts_of(docs, id_col, text_col), length)
 
     def remove(left: pa.Table, right: pa.Table) -> pa.Table:
-        texts = common.raw(left.column("text")) if left.num_rows else []
-        ids = left.column("doc_id").to_numpy() if left.num_rows else np.zeros(0, np.int64)
+        ids, texts = _texts(left)
         gone = removed_bytes(texts, ids, right, length) if right.num_rows else [None] * len(texts)
         spans = [0 if m is None else int(np.count_nonzero(np.diff(m.astype(np.int8), prepend=0) == 1)) for m in gone]
         kept = [t if m is None else np.frombuffer(t, np.uint8)[~m].tobytes() for t, m in zip(texts, gone, strict=True)]
@@ -440,5 +520,5 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
             "n_spans": pa.array(spans, pa.int64()), "kept": pa.array(kept, pa.binary()),
         })
 
-    return dealt.groupBy("batch").cogroup(found.groupBy("batch")).applyInArrow(remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return blocks.groupBy("batch").cogroup(found.groupBy("batch")).applyInArrow(remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 

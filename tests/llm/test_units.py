@@ -37,14 +37,6 @@ def test_bpe_of_very_long_pretokens(reference_encoding, text):
     assert bpe.load(MULTI).encode(text).tolist() == reference_encoding.encode_ordinary(text)
 
 
-def test_rank_queue_is_ordered():
-    rng = np.random.default_rng(0)
-    queue, want = bpe.RankQueue(), sorted(zip(rng.integers(0, 50_000, 500).tolist(), rng.integers(0, 99, 500).tolist()))
-    for rank, at in rng.permutation(want).tolist():
-        queue.push(rank, at)
-    assert [queue.pop() for _ in want] == want and queue.pop() == (-1, -1)
-
-
 def test_both_token_libraries_agree():
     vocabulary, ranks = (public_tokenizers.path(f"byte_bpe_50k.{x}") for x in ("json", "tiktoken"))
     for text in ["", "plain text, 123", "é漢字😀 \n\n  x", "a <|endoftext|> b", "word " * 300]:
