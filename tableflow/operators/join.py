@@ -40,6 +40,7 @@ def federated_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
 
 def detect_deletes(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of the target whose key the source no longer has (NULL keys match NULL keys)."""
-    gone = source.select(*[F.col(f"`{column_named(source, k)}`").alias(f"_key_{i}") for i, k in enumerate(keys)]).distinct()
-    same = [F.col(f"`{column_named(target, k)}`").eqNullSafe(F.col(f"_key_{i}")) for i, k in enumerate(keys)]
-    return target.join(gone, same, "left_anti")
+    own, other = [column_named(target, k) for k in keys], [column_named(source, k) for k in keys]
+    # as structs, whose NULL fields are equal; each takes the target's type
+    kept = source.select(F.struct(*[F.col(f"`{b}`").cast(target.schema[a].dataType).alias(a) for a, b in zip(own, other, strict=True)]).alias("_key"))
+    return target.join(kept, F.struct(*[target[f"`{a}`"].alias(a) for a in own]) == kept["_key"], "left_anti")

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.values import all_equal, fingerprint_number, row_md5, values_equal
 from .project import column_named, where_limit
@@ -56,13 +57,22 @@ class Diff:
             (writer.option("header", True).csv if fmt == "csv" else writer.json)(f"{path}/{name}")
 
 
-def _side(df: DataFrame, keys: list[str], columns: list[str], name: str, unique: bool) -> DataFrame:
-    """The keys, the row as one struct and the row's rank among those of its key, by a hash of the row."""
-    side = df.select(*[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)], F.struct(*[F.col(f"`{c}`") for c in columns]).alias(name))
+def _common_type(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The type in which two key columns are compared."""
+    if a == b:
+        return a
+    if isinstance(a, T.IntegralType) and isinstance(b, T.IntegralType):
+        return T.LongType()
+    return T.DoubleType() if isinstance(a, T.NumericType) and isinstance(b, T.NumericType) else T.StringType()
+
+
+def _side(df: DataFrame, keys: list[Column], columns: list[str], name: str, unique: bool) -> DataFrame:
+    """The key as one struct (equal structs have equal or both NULL fields), the row as another, its rank in its key by a hash."""
+    side = df.select(F.struct(*keys).alias("_key"), F.struct(*[F.col(f"`{c}`") for c in columns]).alias(name))
     if unique:
         return side.withColumn("_rank", F.lit(1))
     draw = F.xxhash64(name)
-    order = Window.partitionBy(*[f"_k{i}" for i in range(len(keys))]).orderBy(draw.desc() if name == "source" else draw.asc())
+    order = Window.partitionBy("_key").orderBy(draw.desc() if name == "source" else draw.asc())
     return side.withColumn("_rank", F.row_number().over(order))
 
 
@@ -79,10 +89,13 @@ def diff(source: DataFrame, target: DataFrame, keys: list[str], where: str | Non
     right = target.select(*[F.col(f"`{column_named(target, c)}`").alias(c) for c in columns])
     left = source.select(*[F.col(f"`{c}`") for c in columns])
     left, right = where_limit(left, where, limit, keys), where_limit(right, where, limit, keys)
-    a, b = _side(left, keys, columns, "source", unique_keys), _side(right, keys, columns, "target", unique_keys)
+    types = [_common_type(left.schema[k].dataType, right.schema[k].dataType) for k in keys]
+    own = [F.col(f"`{k}`").cast(t).alias(f"k{i}") for i, (k, t) in enumerate(zip(keys, types, strict=True))]
+    a, b = _side(left, own, columns, "source", unique_keys), _side(right, own, columns, "target", unique_keys)
     a = a.where("_rank = 1").withColumn("_in_source", F.lit(True))
     b = b.withColumn("_in_target", F.lit(True))
-    on = all_equal([a[f"_k{i}"].eqNullSafe(b[f"_k{i}"]) for i in range(len(keys))]) & (a["_rank"] == b["_rank"])
+    # on the key alone, so that ranking and joining share one shuffle and one sort of each side
+    on = (a["_key"] == b["_key"]) & (b["_rank"] == 1)
     names = [
         F.when(~values_equal(F.col(f"source.`{c}`"), F.col(f"target.`{c}`"), left.schema[c].dataType, right.schema[c].dataType), F.lit(c)) for c in columns
     ]

@@ -85,6 +85,24 @@ def test_diff(spark):
         reconcile.diff(source, target, [])
 
 
+def test_diff_and_deletes_shuffle_each_side_once(spark):
+    a = spark.range(100).withColumn("v", F.lit("x"))
+    b = spark.range(50, 150).withColumn("v", F.lit("y"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for df in (reconcile.diff(a, b, ["id"]).rows, join.detect_deletes(b, a, ["id"])):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange hashpartitioning") == 2 and "SortMergeJoin" in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_deletes_with_null_keys(spark):
+    target = spark.createDataFrame([(1, "a"), (None, "b"), (3, "c")], "id long, v string")
+    source = spark.createDataFrame([(1,), (None,)], "ID int")
+    assert rows(join.detect_deletes(target, source, ["id"])) == [(3, "c")]
+
+
 def test_diff_reports(spark, tmp_path):
     a = spark.createDataFrame([(1, "x"), (2, "y")], "id long, v string")
     b = spark.createDataFrame([(2, "z"), (3, "y")], "id long, v string")
