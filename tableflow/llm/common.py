@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import tempfile
-import zlib
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -89,6 +88,3 @@ def small_side(ids: DataFrame, rows: int = 1_000_000) -> DataFrame:
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-
-def held_out(doc_id: int) -> bool:
-    return zlib.crc32(str(doc_id).encode()) % 3 == 1

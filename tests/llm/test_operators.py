@@ -239,3 +239,9 @@ def test_components(spark):
     want = brute.components({x for l in real for x in l}, real)
     assert dict(map(tuple, components.components(df).collect())) == want
     assert components.components(df.limit(0)).count() == 0
+
+
+def test_rows_without_an_id_are_left_out(spark):
+    df = spark.createDataFrame([(1, "a b c d e f"), (None, "a b c d e f"), (2, "A b c d e f")], "doc_id long, text string")
+    for out in (exact_dedup.exact_dedup(df), ngram_join.jaccard_components(df), suffix_dedup.suffix_dedup(df), bpe.bpe_encode(df, MULTI), packing.pack(df, VOCABULARY, RANKS), licenses.scan_licenses(df)):
+        assert sorted(r["doc_id"] for r in out.select("doc_id").distinct().collect()) == [1, 2]
