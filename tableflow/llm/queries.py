@@ -79,10 +79,40 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+#: Components of the links p(a, b): every node's least reachable one.
+_REACH = """r(a, b) AS (SELECT a, b FROM p UNION SELECT r.a, p.b FROM r JOIN p ON r.b = p.a),
+        c AS (SELECT a AS id, least(a, min(b)) AS component_id FROM r GROUP BY a)"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op2_embedding_near_dedup": f"""
+        WITH RECURSIVE v AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL),
+        p AS (SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.label = y.label AND x.vec_id <> y.vec_id AND len(x.e) = len(y.e) WHERE list_cosine_similarity(x.e, y.e) >= 0.93),
+        {_REACH}
+        SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(component_id, vec_id) AS component_id, coalesce(component_id, vec_id) = vec_id AS kept
+        FROM embeddings LEFT JOIN (SELECT a AS id, count(*) AS n FROM p GROUP BY a) q ON q.id = vec_id LEFT JOIN c ON c.id = vec_id""",
     "op3_exact_dedup": f"""
         WITH d AS (SELECT doc_id, {_LOWER} AS folded FROM documents),
         g AS (SELECT folded, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY folded)
         SELECT doc_id, keep_id, group_size, keep_id = doc_id AS kept, sha256(folded) AS text_sha256
         FROM d JOIN g USING (folded)""",
+    "op6_ngram_jaccard_join": f"""
+        WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+        s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+              ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM w),
+        g AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+        o AS (SELECT x.doc_id AS a, y.doc_id AS b, any_value(x.n) AS na, any_value(y.n) AS nb, count(*) AS n FROM g x JOIN g y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY x.doc_id, y.doc_id),
+        p AS (SELECT a, b FROM o WHERE 100 * n >= 75 * (na + nb - n)),
+        {_REACH}
+        SELECT doc_id, len(s)::BIGINT AS n_shingles, coalesce(component_id, doc_id) AS component_id FROM s LEFT JOIN c ON c.id = doc_id""",
+    "op10_suffix_array_dedup": """
+        WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+        k AS (SELECT doc_id, p, substr(h, 2 * p + 1, 100) AS k FROM (SELECT doc_id, h, unnest(range(0, greatest(len(h) // 2 - 49, 0))) AS p FROM d)),
+        m AS (SELECT k, min(doc_id) AS m FROM k GROUP BY k HAVING min(doc_id) < max(doc_id)),
+        c AS (SELECT doc_id, p, p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS step FROM k JOIN m USING (k) WHERE m < doc_id),
+        i AS (SELECT doc_id, p, sum(CASE WHEN step <= 50 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY p) AS i FROM c),
+        r AS (SELECT doc_id, i, min(p) AS a, max(p) + 50 AS b FROM i GROUP BY doc_id, i),
+        e AS (SELECT doc_id, a, b FROM r UNION ALL SELECT doc_id, len(h) // 2, len(h) // 2 FROM d),
+        f AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a, b), 0) AS since FROM e),
+        x AS (SELECT doc_id, string_agg(substr(h, (2 * since + 1)::BIGINT, (2 * (a - since))::BIGINT), '' ORDER BY a, b) AS kept, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) - 1 AS n_spans, any_value(len(h) // 2) AS n_bytes FROM f JOIN d USING (doc_id) GROUP BY doc_id)
+        SELECT doc_id, n_bytes, n_removed, n_spans, sha256(unhex(kept)) AS kept_sha256 FROM x""",
 }
