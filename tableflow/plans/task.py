@@ -95,8 +95,9 @@ def run_task(spark: SparkSession, spec: TaskSpec) -> TaskResult:
         after = target.count()
         rows = after - before if spec.mode != "merge" else df.count()
         run_sql(spark, spec.post_sql)
-        if spec.rules:
-            quality.enforce(quality.assert_report(target, [r.renamed(spec.columns) for r in spec.rules if r.on_fail != "dlq"])) if any(r.on_fail != "dlq" for r in spec.rules) else None
+        after_load = [r.renamed(spec.columns) for r in spec.rules if r.on_fail != "dlq"]
+        if after_load:
+            quality.enforce(quality.assert_report(target, after_load))
         result = _validated(spec, df, target, before, after)
         if spec.state and spec.resume_key:
             cursor = max_cursor(source, spec.resume_key)
