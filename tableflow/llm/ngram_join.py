@@ -39,7 +39,7 @@ SIMILARITY = 0.75
 #: Sets of one bucket that one task compares.
 BLOCK = 1000
 #: Sets and n-grams that a task holds before it hands on its blocks.
-CHUNK_SETS, CHUNK_GRAMS = 60_000, 4_000_000
+CHUNK_SETS, CHUNK_GRAMS = 60_000, 2_000_000
 #: Bits of a hash that the filter compares beyond those that number all n-grams; equal ones by chance only let more sets pass.
 SPARE_BITS = 13
 #: Ids of documents that may be broadcast (eight bytes each); more are joined by a shuffle.
@@ -53,7 +53,7 @@ class _WordHashes(dict):
     """Hashes of words, remembered for a bounded number of them."""
 
     def __missing__(self, word: bytes) -> bytes:
-        if len(self) > 400_000:
+        if len(self) > 200_000:
             self.clear()
         value = self[word] = xxhash.xxh3_64_digest(word)
         return value
@@ -232,7 +232,7 @@ def _from_steps(data: bytes) -> np.ndarray:
 def _shared_enough(sets: DataFrame, percent: int, parse: Callable[[pa.RecordBatch], Iterator[tuple[int, np.ndarray]]], total: int) -> DataFrame:
     """sid of the sets of which enough n-grams occur in more than one set (of those that parse finds in the rows; total n-grams in all)."""
     bits = min(64, max(32, total.bit_length() + SPARE_BITS))
-    buckets = 4 * common.partitions(sets.sparkSession)
+    buckets = max(1, min(4 * common.partitions(sets.sparkSession), total // 100_000))
     schema = "bucket int, chunk long, grams binary, members binary"
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -379,5 +379,6 @@ def jaccard_components(docs: DataFrame, n: int = N, similarity: float = SIMILARI
         links = common.saved(links.unionByName(_bucket_links(again.join(kept, "sid"), percent)))
     root = components(links)
     named = all_sets.join(root.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-    least_id = named.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    # saved, so that the join below stands alone and Spark may split the rows of a large component
+    least_id = common.saved(named.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id")))
     return named.join(least_id, "root", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
