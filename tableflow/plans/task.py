@@ -46,16 +46,16 @@ def _source(spark: SparkSession, spec: TaskSpec) -> DataFrame:
     return incremental_scan(df, spec.resume_key, cursor) if spec.resume_key else df
 
 
-def prepared(spark: SparkSession, spec: TaskSpec) -> tuple[DataFrame, DataFrame, DataFrame | None]:
-    """The source, the rows to write and those that the row function failed on; all lazy."""
-    source = _source(spark, spec)
+def prepared(spark: SparkSession, spec: TaskSpec, source: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """The rows to write and those that the row function failed on; both lazy."""
+    source = _source(spark, spec) if source is None else source
     df = mask_table(map_columns(source, spec.columns), spec.masks, spec.seed)
     bad = None
     if spec.transform_row:
         df, bad = deadletter.row_transform(df, spec.transform_row, spec.transform_schema, "dlq" if spec.dead_letters else "abort")
     if spec.transforms:
         df = transform_columns(df, spec.transforms)
-    return source, write.conform_types(df, spec.profile) if spec.profile else df, bad
+    return write.conform_types(df, spec.profile) if spec.profile else df, bad
 
 
 def _write_letters(spec: TaskSpec, bad: DataFrame) -> int:
@@ -71,7 +71,12 @@ def run_task(spark: SparkSession, spec: TaskSpec) -> TaskResult:
     started, result, error, failed, rows = datetime.now(timezone.utc), "", "", 0, 0
     cursor = None
     try:
-        source, df, bad = prepared(spark, spec)
+        source = _source(spark, spec)
+        if spec.state:
+            cursor = max_cursor(source, spec.resume_key)
+            if cursor is not None:  # rows that arrive meanwhile wait for the next run
+                source = source.where(F.col(spec.resume_key) <= F.lit(cursor))
+        df, bad = prepared(spark, spec, source)
         if bad is not None and spec.dead_letters:
             failed += _write_letters(spec, bad)
         if spec.rules:
@@ -99,10 +104,8 @@ def run_task(spark: SparkSession, spec: TaskSpec) -> TaskResult:
         if after_load:
             quality.enforce(quality.assert_report(target, after_load))
         result = _validated(spec, df, target, before, after)
-        if spec.state and spec.resume_key:
-            cursor = max_cursor(source, spec.resume_key)
-            if cursor is not None:
-                save_cursor(spark, spec.state, spec.name, cursor)
+        if cursor is not None:
+            save_cursor(spark, spec.state, spec.name, cursor)
     except Exception as e:
         error = str(e)
         raise

@@ -552,7 +552,7 @@ def run_task_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "customers", "unused", table(spark, sf_dir, "customer"), columns=[("c_custkey", "id"), ("c_name", "label"), ("c_acctbal", "balance")], mode="append", resume_key="c_custkey", initial_cursor=99,
         transforms={"label": "concat('C', right(?, 8))", "balance": "cast(round(?) as bigint)"},
     )
-    return prepared(spark, spec)[1]
+    return prepared(spark, spec)[0]
 
 
 # --- change capture, run logs -------------------------------------------------------------------------------------
