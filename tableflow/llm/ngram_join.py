@@ -37,7 +37,7 @@ from .components import components
 N = 5
 SIMILARITY = 0.75
 #: Sets of one bucket that one task compares.
-BLOCK = 1000
+BLOCK = 250
 #: Sets and n-grams that a task holds before it hands on its blocks.
 CHUNK_SETS, CHUNK_GRAMS = 60_000, 2_000_000
 #: Bits of a hash that the filter compares beyond those that number all n-grams; equal ones by chance only let more sets pass.
