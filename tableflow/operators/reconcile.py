@@ -118,13 +118,21 @@ def fingerprint(df: DataFrame, columns: list[str] | None = None, bucket: Column
     return grouped.agg(F.count("*").alias("n_rows"), F.sum(F.col("h").cast("decimal(38,0)")).alias("hash_sum"), F.bit_xor("h").alias("hash_xor"))
 
 
+def beside(*rows: DataFrame) -> DataFrame:
+    """One row with the columns of several one-row tables."""
+    stacked = rows[0]
+    for r in rows[1:]:
+        stacked = stacked.unionByName(r, allowMissingColumns=True)
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
+
+
 def validate_checksum(written: DataFrame, reread: DataFrame) -> DataFrame:
     """One row: both fingerprints and whether they agree."""
     columns = written.columns
     a = fingerprint(written, columns).select(*[F.col(c).alias(f"source_{c}") for c in ("n_rows", "hash_sum", "hash_xor")])
     b = fingerprint(reread.select(*columns), columns).select(*[F.col(c).alias(f"target_{c}") for c in ("n_rows", "hash_sum", "hash_xor")])
     same = all_equal([F.col(f"source_{c}").eqNullSafe(F.col(f"target_{c}")) for c in ("n_rows", "hash_sum", "hash_xor")])
-    return a.crossJoin(b).withColumn("passed", same)  # one row each
+    return beside(a, b).withColumn("passed", same)
 
 
 def same_rows(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -156,5 +164,5 @@ def validate_sample(source: DataFrame, target: DataFrame, n: int = 1000, keys: l
     """Sampled source rows that the target lacks (the first few of them, by key), and a row with both counts."""
     sample = random_sample(source, n, keys or source.columns, seed)
     missing = missing_rows(sample, target)
-    counts = sample.agg(F.count("*").alias("sampled")).crossJoin(missing.agg(F.count("*").alias("missing"))).withColumn("passed", F.col("missing") == 0)
+    counts = beside(sample.agg(F.count("*").alias("sampled")), missing.agg(F.count("*").alias("missing"))).withColumn("passed", F.col("missing") == 0)
     return missing.orderBy(*(keys or source.columns)).limit(show), counts

@@ -353,7 +353,7 @@ def validate_row_count_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     target, source = _merge_pair(spark, sf_dir)
     inserted = write.merge_changes(target, source, ["o_orderkey"]).agg(F.count_if(F.col("action") == "insert").alias("inserted"))
     after, before = scans.row_count(write.merge(target, source, ["o_orderkey"])), scans.row_count(target).withColumnRenamed("n_rows", "before")
-    return inserted.crossJoin(after).crossJoin(before).select("inserted", (F.col("n_rows") - F.col("before")).alias("grew"))  # one row each
+    return reconcile.beside(inserted, after, before).select("inserted", (F.col("n_rows") - F.col("before")).alias("grew"))
 
 
 # --- quality ------------------------------------------------------------------------------------------------------
