@@ -2,18 +2,17 @@
 
 Vectors are normalised; equal ones count as one with a multiplicity. A coarse quantiser (k-means on a bounded sample)
 gives every vector a home list within its label, and the residual to the list's centre is coded in subspaces. To find
-the neighbours of a vector, its distances to all subspace codes of a list are tabled once, and a member's distance
-is a sum of table entries (asymmetric: only the member is quantised). Exact cosines rerank what the table lets pass.
+the neighbours of a vector, its distances to the coded members of a list are taken (asymmetric: only the member is
+quantised); the sums of table entries that they are come from one matrix product. Exact cosines rerank what the table lets pass.
 
 With d the greatest distance that unit vectors at the threshold may have, a list is probed when a neighbour could live
 there: moving by d can change the difference of the squared distances to two centres by 2 d times the centres'
-distance at most, and in a random direction by a normal deviate with that over the root of the dimension.
-``sigmas`` of these deviates are allowed (None allows the whole, which is exact and probes far more lists). A member is
-reranked when its tabled distance is at most d plus its own quantisation error, which loses nothing. The sample
-affects speed and that choice of lists alone; every vector is indexed and queried.
+distance at most. A member is reranked when its tabled distance is at most d plus its own quantisation error. Both bounds
+lose nothing; the sample affects speed alone, and every vector is indexed and queried.
 
-Lists are cut into blocks of about ``BLOCK`` members and slices of about ``QUERIES`` queries; each block meets each
-slice. Counts add up over blocks, and links leave a block as a spanning forest. Vectors that are null, empty, zero or hold
+Lists are numbered so that near ones follow each other, and runs of them with about ``BLOCK`` members go to one task, so a
+vector is sent once for a run and not for each of its lists. A run with more members is cut in blocks, and the vectors that
+query it in slices of about ``QUERIES``; each block meets each slice. Counts add up over blocks, and links leave a block as a spanning forest. Vectors that are null, empty, zero or hold
 null or non-finite components link with nothing, like those without a label; vectors of different lengths never
 link. Repeated vec_ids are one vector if the rows are equal. An empty table gives an empty result.
 """
@@ -22,7 +21,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
@@ -34,8 +33,9 @@ LISTS, MOST_LISTS, SAMPLE = 16, 1024, 8192
 #: Subspaces and codes in each.
 SUBSPACES, CODES = 16, 16
 #: Members and queries that one task compares.
-BLOCK, QUERIES = 2048, 8192
-SIGMAS = 2.5
+BLOCK, QUERIES = 16384, 16384
+#: None is exact. A number allows a neighbour that many deviates of a move in a random direction, and loses others.
+SIGMAS = None
 
 
 def normalised(x: np.ndarray) -> np.ndarray:
@@ -56,6 +56,16 @@ def k_means(x: np.ndarray, k: int, seed: int, rounds: int = 8) -> np.ndarray:
     return centres
 
 
+def in_turn(centres: np.ndarray) -> np.ndarray:
+    """An order in which near centres follow each other: halves by the widest direction, again and again."""
+    if len(centres) < 3:
+        return np.arange(len(centres))
+    away = centres - centres.mean(0)
+    order = np.argsort(away @ np.linalg.svd(away, full_matrices=False)[2][0], kind="stable")
+    half = len(order) // 2
+    return np.concatenate([part[in_turn(centres[part])] for part in (order[:half], order[half:])])
+
+
 def squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum((a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2 * a @ b.T, 0)
 
@@ -65,6 +75,7 @@ class Index:
 
     def __init__(self, sample: np.ndarray, lists: int = LISTS, subspaces: int = SUBSPACES, codes: int = CODES, seed: int = 7):
         self.centres = k_means(sample, lists, seed)
+        self.centres = self.centres[in_turn(self.centres)]
         home = squared(sample, self.centres).argmin(1)
         residuals = sample - self.centres[home]
         width = sample.shape[1]
@@ -74,15 +85,14 @@ class Index:
     def encode(self, residuals: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Codes (rows, subspaces) and how far each residual is from what its codes stand for."""
         codes = np.stack([squared(residuals[:, a:b], book).argmin(1) for a, b, book in zip(self.edges[:-1], self.edges[1:], self.books, strict=True)], 1)
-        coded = np.hstack([book[c] for book, c in zip(self.books, codes.T, strict=True)])
-        return codes, np.sqrt(((residuals - coded) ** 2).sum(1))
+        return codes, np.sqrt(((residuals - self.decode(codes)) ** 2).sum(1))
+
+    def decode(self, codes: np.ndarray) -> np.ndarray:
+        return np.hstack([book[c] for book, c in zip(self.books, codes.T, strict=True)])
 
     def tabled(self, queries: np.ndarray, codes: np.ndarray) -> np.ndarray:
-        """Squared asymmetric distances of query residuals to coded members."""
-        out = np.zeros((len(queries), len(codes)))
-        for j, (a, b, book) in enumerate(zip(self.edges[:-1], self.edges[1:], self.books, strict=True)):
-            out += squared(queries[:, a:b], book)[:, codes[:, j]]
-        return out
+        """Squared asymmetric distances of query residuals to coded members: the sums of table entries, as one matrix product."""
+        return squared(queries, self.decode(codes))
 
     def probes(self, x: np.ndarray, reach: float, sigmas: float | None) -> tuple[np.ndarray, np.ndarray]:
         """Home list of each vector, and which lists could hold one within reach.
@@ -99,12 +109,14 @@ class Index:
 
 def _within(index: Index, centre: int, members: np.ndarray, queries: np.ndarray, cosine: float, reach: float):
     """Pairs (query place, member place) that reach the cosine."""
-    codes, error = index.encode(members - index.centres[centre])
-    far = np.sqrt(((members - index.centres[centre]) ** 2).sum(1))
-    for at in range(0, len(queries), 512):
-        q = queries[at : at + 512] - index.centres[centre]
-        near = index.tabled(q, codes) <= (reach + error + 1e-9)[None, :] ** 2
-        near &= np.abs(np.sqrt((q * q).sum(1))[:, None] - far[None, :]) <= reach + 1e-9
+    centre = index.centres[centre]
+    codes, error = index.encode(members - centre)
+    far = np.sqrt(((members - centre) ** 2).sum(1))
+    stand = np.vstack([index.decode(codes) + centre, centre])  # distances do not change when all is moved by the centre
+    for at in range(0, len(queries), 2048):
+        d = squared(queries[at : at + 2048], stand)
+        near = d[:, :-1] <= (reach + error + 1e-9)[None, :] ** 2
+        near &= np.abs(np.sqrt(d[:, -1])[:, None] - far[None, :]) <= reach + 1e-6
         i, j = np.nonzero(near)
         for s in range(0, len(i), 1 << 16):
             a, b = i[s : s + (1 << 16)], j[s : s + (1 << 16)]
@@ -150,48 +162,78 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, id_col: str = "v
         indexes[w] = Index(normalised(np.array([r["v"] for r in some], float)), int(min(MOST_LISTS, max(LISTS, n**0.5))))
     shared = vectors.sparkSession.sparkContext.broadcast(indexes)  # MOST_LISTS + CODES vectors at most for each length
 
-    def place(b: pa.RecordBatch) -> dict | None:
+    def by_width(b: pa.RecordBatch):
         values = b.column("v").to_pylist()
         width = np.array([len(v) for v in values])
-        rows, cells, homes = [], [], []
         for w in np.unique(width):
             at = np.flatnonzero(width == w)
-            home, probed = shared.value[w].probes(normalised(np.array([values[i] for i in at], float)), reach, sigmas)
-            i, c = np.nonzero(probed)
-            rows.append(at[i])
-            cells.append(c)
-            homes.append(c == home[i])
-        at = np.concatenate(rows)
-        return {"label": b.column("label").take(pa.array(at)), "width": width[at], "cell": np.concatenate(cells), "home": np.concatenate(homes), "u": b.column("u").take(pa.array(at)), "copies": b.column("copies").take(pa.array(at)), "v": b.column("v").take(pa.array(at))}
-
-    placed = common.saved(common.map_arrow(distinct, place, f"label string, width int, cell int, home boolean, u long, copies long, v {kind}"))
-    cell = ["label", "width", "cell"]
-    sizes = placed.groupBy(*cell).agg(F.ceil(F.count_if("home") / BLOCK).alias("blocks"), F.ceil(F.count("*") / QUERIES).alias("slices")).where("blocks > 0")
-    known = placed.join(sizes, cell).withColumns({"own_block": F.pmod(F.xxhash64("u"), F.col("blocks")), "own_slice": F.pmod(F.xxhash64("u", F.lit(1)), F.col("slices"))})
+            yield w, at, shared.value[w].probes(normalised(np.array([values[i] for i in at], float)), reach, sigmas)
+
+    def housed(b: pa.RecordBatch) -> dict:
+        width, home = np.zeros(b.num_rows, int), np.zeros(b.num_rows, int)
+        for w, at, (own, _) in by_width(b):
+            width[at], home[at] = w, own
+        return {"label": b.column("label"), "width": width, "home": home}
+
+    of_label = ["label", "width"]
+    before = Window.partitionBy(*of_label).orderBy("home").rowsBetween(Window.unboundedPreceding, -1)
+    lists = common.map_arrow(distinct, housed, "label string, width int, home int").groupBy(*of_label, "home").agg(F.count("*").alias("n"))
+    lists = lists.withColumn("run", F.floor(F.coalesce(F.sum("n").over(before), F.lit(0)) / BLOCK))
+    # one row for each label and length: its lists (MOST_LISTS at most) and their runs
+    runs = common.saved(lists.groupBy(*of_label).agg(F.sort_array(F.collect_list(F.struct("home", "run"))).alias("r")).select(*of_label, F.col("r.home").alias("lists"), F.col("r.run").alias("runs")))
+
+    def place(b: pa.RecordBatch) -> dict:
+        home, run, asks = np.zeros(b.num_rows, int), np.zeros(b.num_rows, int), [[]] * b.num_rows
+        for _, at, (own, near) in by_width(b):
+            labels = b.column("label").take(pa.array(at)).to_pylist()
+            first = {label: i for i, label in reversed(list(enumerate(labels)))}
+            kinds = np.array([first[label] for label in labels])
+            for f in np.unique(kinds):
+                here = np.flatnonzero(kinds == f)
+                cells, of = np.array(b.column("lists")[at[f]].as_py()), np.array(b.column("runs")[at[f]].as_py())
+                starts = np.flatnonzero(np.diff(of, prepend=-1))
+                met = np.logical_or.reduceat(near[np.ix_(here, cells)], starts, axis=1)
+                for i, row in zip(here, met, strict=True):
+                    home[at[i]], run[at[i]], asks[at[i]] = own[i], of[np.searchsorted(cells, own[i])], of[starts[row]]
+        return {"label": b.column("label"), "width": b.column("width"), "home": home, "run": run, "asks": asks, "u": b.column("u"), "copies": b.column("copies"), "v": b.column("v")}
+
+    sized = distinct.withColumn("width", F.size("v")).join(runs, of_label)
+    known = common.saved(common.map_arrow(sized, place, f"label string, width int, home int, run long, asks array<long>, u long, copies long, v {kind}"))
+    asked = known.select(*of_label, F.explode("asks").alias("run"), "u", "copies", "v")
+    sizes = known.groupBy(*of_label, "run").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    sizes = sizes.join(asked.groupBy(*of_label, "run").agg(F.ceil(F.count("*") / QUERIES).alias("slices")), [*of_label, "run"])
+    cell = [*of_label, "run"]
 
     def every(n: str) -> F.Column:
         return F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
 
-    member = known.where("home").withColumn("slice", every("slices")).select(*cell, F.col("own_block").alias("block"), "slice", "u", "copies", "v", F.lit(True).alias("member"))
-    query = known.withColumn("block", every("blocks")).select(*cell, "block", F.col("own_slice").alias("slice"), "u", "copies", "v", F.lit(False).alias("member"))
+    member = known.join(sizes, cell).withColumn("slice", every("slices")).select(*cell, F.pmod(F.xxhash64("u"), F.col("blocks")).alias("block"), "slice", "u", "copies", "v", "home")
+    query = asked.join(sizes, cell).withColumn("block", every("blocks")).select(*cell, "block", F.pmod(F.xxhash64("u", F.lit(1)), F.col("slices")).alias("slice"), "u", "copies", "v", F.lit(None).cast("int").alias("home"))
 
     def compare(table: pa.Table) -> pa.Table:
-        width, centre = table.column("width")[0].as_py(), table.column("cell")[0].as_py()
+        width = table.column("width")[0].as_py()
+        index = shared.value[width]
         u, copies = table.column("u").to_numpy(), table.column("copies").to_numpy()
         v = normalised(table.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, width))
-        is_member = table.column("member").to_numpy()
-        member, query = np.flatnonzero(is_member), np.flatnonzero(~is_member)
+        home = table.column("home").fill_null(-1).to_numpy()
+        queries = np.flatnonzero(home < 0)
         names, where = np.unique(u, return_inverse=True)
         n = np.zeros(len(names), np.int64)
         pairs: list[tuple[int, int]] = []
-        if len(member) and len(query):
-            for a, b in _within(shared.value[width], centre, v[member], v[query], cosine, reach):
-                b = member[b]
-                left, right = where[query[a]], where[b]
-                other = left != right
-                left, right = left[other], right[other]
-                np.add.at(n, left, copies[b[other]])
-                pairs += _forest(len(names), left, right)
+        lists_here = np.unique(home[home >= 0])
+        asks = np.zeros((len(queries), len(lists_here)), bool)
+        for at in range(0, len(queries), 1024):
+            asks[at : at + 1024] = index.probes(v[queries[at : at + 1024]], reach, sigmas)[1][:, lists_here]
+        for c, asked_here in zip(lists_here, asks.T, strict=True):
+            member, query = np.flatnonzero(home == c), queries[asked_here]
+            for part in range(0, len(member), 2048):
+                some = member[part : part + 2048]
+                for a, b in _within(index, c, v[some], v[query], cosine, reach):
+                    left, right = where[query[a]], where[some[b]]
+                    other = left != right
+                    left, right = left[other], right[other]
+                    np.add.at(n, left, copies[some[b[other]]])
+                    pairs += _forest(len(names), left, right)
         ends = np.array(pairs, np.int64).reshape(-1, 2)
         pairs = _forest(len(names), ends[:, 0], ends[:, 1])
         hit = np.flatnonzero(n)

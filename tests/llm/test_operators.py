@@ -231,6 +231,23 @@ def test_embeddings(spark):
     assert embedding_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_embeddings_along_few_directions(spark, monkeypatch):
+    """Vectors on a plane: neighbours across a cell's border lie along the line between two centres. Also in many runs, blocks and slices."""
+    rng = np.random.default_rng(12)
+    angle = rng.permutation(np.concatenate([np.arange(0, 4, 0.05), 4.6 + 0.05 * np.arange(20)]))
+    axes = np.linalg.qr(rng.normal(size=(64, 2)))[0].T
+    x = np.stack([np.cos(angle), np.sin(angle)], 1) @ axes + rng.normal(size=(len(angle), 64)) * 1e-4
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int").repartition(3)
+    cosines = x @ x.T / np.outer(*[np.sqrt((x * x).sum(1))] * 2)
+    links = [(i, j) for i, j in zip(*map(np.ndarray.tolist, np.nonzero(cosines >= 0.93)), strict=True) if i != j]
+    root = brute.components(range(len(x)), links)
+    want = [(i, sum(a == i for a, _ in links), root[i], root[i] == i) for i in range(len(x))]
+    assert rows(embedding_dedup.near_duplicates(df), "vec_id", "n_links", "component_id", "kept") == want
+    monkeypatch.setattr(embedding_dedup, "BLOCK", 4)
+    monkeypatch.setattr(embedding_dedup, "QUERIES", 16)
+    assert rows(embedding_dedup.near_duplicates(df), "vec_id", "n_links", "component_id", "kept") == want
+
+
 def test_components(spark):
     rng = np.random.default_rng(10)
     links = [(int(a), int(b)) for a, b in rng.integers(0, 300, (220, 2))] + [(1000 + i, 1001 + i) for i in range(60)] + [(2000, 2001 + i) for i in range(100)] + [(7, 7), (7, None)]
