@@ -203,6 +203,24 @@ def test_added_spans_keep_base_spans(spark):
         assert set(filter(None, pii.written(brute.base_spans(t)).split(","))) <= set(out[i]["spans"].split(","))
 
 
+def test_loose_forms_are_added_and_redacted(spark):
+    """Planted phones and mails that the base rules do not know, in a table of any size; numbers that are no personal data stay."""
+    planted = {"call (415) 555-2671 now": ("phone", "call [phone] now"), "tel 415-555-2671 or": ("phone", "tel [phone] or"), "see bob (at) example (dot) org soon": ("email", "see [email] soon"), "ask ann.lee [at] mail.example.com today": ("email", "ask [email] today")}
+    stays = ["on 2021-03-04 it", "of 04.03.2021 the", 'token = "0641917ea4e9feb9c1234567890"', "paid 1.234.567 for it", "pi is 3.14159265 or", "from 1999-2003 on", "id a12345678901b"]
+    for n in (1, 120):
+        texts = [f"{words(i, 4)} {t} {words(i + 500, 4)}" for i in range(n) for t in [*planted, *stays]]
+        df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+        detector = pii.train(df)
+        out = {r["doc_id"]: r for r in pii.detect(df, detector).collect()}
+        red = {r["doc_id"]: r["text"] for r in pii.redact(df, detector).collect()}
+        for i, t in enumerate(texts):
+            k = i % (len(planted) + len(stays))
+            was = [*planted, *stays][k]
+            kind, now = list(planted.values())[k] if k < len(planted) else (None, was)
+            assert (out[i]["n_added"], out[i]["spans"].split(":")[0] or None) == (int(kind is not None), kind), t
+            assert red[i] == t.replace(was, now)
+
+
 def test_licenses(docs, empty, clashing):
     for df in (docs, clashing):
         got = {r["doc_id"]: (r["n_licenses"], r["license"]) for r in licenses.scan_licenses(df).collect()}
