@@ -7,8 +7,11 @@ Coverage is the share of the template's words that were matched. A template is r
 templates whose matched stretches overlap, only the one with most matched words (then the best covered) stays.
 
 Before anything is aligned, a bound that loses nothing decides: coverage cannot exceed the share of the template's words
-that occur in the text at all. What is aligned are the stretches around every occurrence, in the whole text, of the
-template's three words that are rarest in it; so copies of a notice are found one by one.
+that occur in the text at all. A copy that reaches ``least`` lacks a bounded number of the template's words, so of one word
+more than that at least one is matched: those positions whose words are rarest in the text are the starts, at every occurrence
+in the whole text, so copies of a notice are found one by one. From a start the stretch to be aligned grows on both sides, to
+the whole text if need be, until the template reaches ``least``, or the words to the left and right cannot make it do so.
+The least such stretch counts; insertions in a notice may have any length.
 
 Null and empty texts have no license. Repeated rows give repeated results; an empty table gives an empty result.
 """
@@ -134,10 +137,8 @@ class Scanner:
                 for i, w in enumerate(body):
                     if w in present:
                         places.setdefault(w, []).append(i)
-            for lo, hi in self._windows(template, places, len(body)):
-                pairs = align(template, body[lo:hi])
-                if pairs and len(pairs) >= self.least * len(template):
-                    found.append((name, len(pairs) / len(template), lo + pairs[0][1], lo + pairs[-1][1] + 1, len(template)))
+            for pairs in self._copies(template, places, body):
+                found.append((name, len(pairs) / len(template), pairs[0][1], pairs[-1][1] + 1, len(template)))
         found.sort(key=lambda x: (-x[1] * x[4], -x[1], x[2], x[0]))
         out: list[tuple[str, float, int, int]] = []
         for name, coverage, a, b, _ in found:
@@ -145,11 +146,47 @@ class Scanner:
                 out.append((name, coverage, a, b))
         return out
 
-    def _windows(self, template: list[str], places: dict[str, list[int]], length: int) -> list[tuple[int, int]]:
-        """Stretches of the text that could hold the template: around every occurrence of its three rarest words there."""
-        rarest = sorted((len(places[w]), template.index(w), w) for w in set(template) if places.get(w))[:3]
-        slack = len(template) // 4 + 1
-        return sorted({(max(0, p - i - slack), min(length, p - i + len(template) + slack)) for _, i, w in rarest for p in places[w]})
+    def _copies(self, template: list[str], places: dict[str, list[int]], body: list[str]) -> list[list[tuple[int, int]]]:
+        """Matched places (template, text) of every copy found, each stretch once."""
+        size = len(template)
+        need = next(k for k in range(size + 1) if k >= self.least * size)
+        # a copy lacks size - need words at most: of one position more, one is matched
+        starts = sorted((len(places.get(w, ())), i) for i, w in enumerate(template))[: size - need + 1]
+        out = {}
+        for _, i in starts:
+            for p in places.get(template[i], ()):
+                pairs = self._grown(template, body, places, i, p, need)
+                if pairs:
+                    out[pairs[0][1], pairs[-1][1]] = max(out.get((pairs[0][1], pairs[-1][1]), []), pairs, key=len)
+        return [out[k] for k in sorted(out)]
+
+    @staticmethod
+    def _grown(template: list[str], body: list[str], places: dict[str, list[int]], i: int, p: int, need: int) -> list[tuple[int, int]] | None:
+        """The alignment of the least stretch around word p of the text, matched with word i of the template, that reaches need."""
+        size, slack = len(template), len(template) // 4 + 1
+        most_left = sum(w in places and places[w][0] < p for w in template[:i])
+        most_right = sum(w in places and places[w][-1] > p for w in template[i + 1 :])
+        left: list[tuple[int, int]] = []
+        right: list[tuple[int, int]] = []
+        first = True
+        while True:
+            lo, hi = max(0, p - i - slack), min(len(body), p - i + size + slack)
+            if first:
+                whole = align(template, body[lo:hi])
+                if len(whole) >= need:
+                    return [(a, lo + b) for a, b in whole]
+                first = False
+            if most_left + most_right + 1 < need:
+                return None
+            if len(left) < most_left:
+                left = max(left, [(a, lo + b) for a, b in align(template[:i], body[lo:p])], key=len)
+            if len(right) < most_right:
+                right = max(right, [(i + 1 + a, p + 1 + b) for a, b in align(template[i + 1 :], body[p + 1 : hi])], key=len)
+            if len(left) + 1 + len(right) >= need:
+                return [*left, (i, p), *right]
+            if lo == 0 and hi == len(body):
+                return None
+            slack *= 2
 
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, least: float = LEAST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

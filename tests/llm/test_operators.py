@@ -228,6 +228,25 @@ def test_licenses(docs, empty, clashing):
     assert licenses.scan_licenses(empty).count() == 0
 
 
+def test_licenses_that_lack_their_rarest_words(spark):
+    header = licenses.words(licenses.TEMPLATES["Apache-2.0-header"])
+    edited = ["edited" if w in ("governing", "permissions", "compliance") else w for w in header]
+    both = " ".join(header) + f" {words(1, 300)} " + " ".join(edited)
+    # all but three words occur twice elsewhere, those three once and never in the notice
+    apart = f" {words(2, 40)} ".join([*edited, *(w for w in edited for _ in range(2)), "governing", "permissions", "compliance"])
+    once = " ".join(edited) + " " + apart
+    inserted = " ".join(["Released under the", words(3, 30), "MIT License"])
+    scattered = " ".join(["MIT License", words(4, 30), "released under the"])
+    df = spark.createDataFrame(list(enumerate([both, once, inserted, scattered, " ".join(edited[12:])])), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in licenses.scan_licenses(df).collect()}
+    assert (got[0]["n_licenses"], got[0]["licenses"]) == (2, "Apache-2.0-header,Apache-2.0-header")
+    for i, text in enumerate([" ".join(edited), inserted]):
+        name = ["Apache-2.0-header", "MIT"][i]
+        whole = licenses.align(licenses.words(licenses.TEMPLATES[name]), licenses.words(text))
+        assert (got[1 + i]["license"], got[1 + i]["coverage"]) == (name, len(whole) / len(licenses.words(licenses.TEMPLATES[name])))
+    assert [got[i]["n_licenses"] for i in (3, 4)] == [0, 0]
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(9)
     base = rng.normal(size=(60, 24))
