@@ -5,10 +5,10 @@ byte of a longer character), each with 1 + log of its count. One weight vector s
 P(grade >= k) = sigmoid(w.x - theta_k), theta ascending. The expected severity is the sum of those probabilities over k >= 1.
 Grades are whatever integers the labels hold; thresholds are fitted for the grades that occur.
 
-Training reads at most ``max_rows`` labelled documents, chosen by a hash of their id, and keeps the ``max_words``
-words that tell grades apart best: chi-square, in ``min_docs`` of them and in the share ``min_share`` of those above the
-lowest grade, and ``min_z`` standard deviations from chance, so that words of one group of copies stay out. Equal texts count once in it, so a
-group of copies does not teach its own vocabulary. Scoring reads every whole text.
+Training reads at most ``max_rows`` labelled documents, chosen by a hash of their id, and keeps every word that tells
+grades apart: in ``min_docs`` of them at least, by a chi-square test ``min_z`` standard deviations from chance, and by a
+likelihood ratio that holds for rare words too and for as many words as are tested. There is no limit to their number or
+to their share of the toxic documents, so a long tail of words counts. Texts of equal words count once. Scoring reads every whole text.
 
 Where the labels are binary, the positives are split in two grades by the score of a first fit (see ``refined``).
 
@@ -58,36 +58,48 @@ class OrdinalModel:
         return 1 / (1 + np.exp(-np.clip(scores[:, None] - self.thresholds[None, :], -40, 40)))
 
 
-def fit(rows: list[tuple[int, list[int], np.ndarray]], n_words: int, l2: float = 0.3, steps: int = 25) -> tuple[list[int], np.ndarray, np.ndarray]:
-    """Grades, weights and thresholds: damped Newton steps on the penalised likelihood of all splits at once."""
+def fit(rows: list[tuple[int, list[int], np.ndarray]], n_words: int, l2: float = 0.3, steps: int = 500) -> tuple[list[int], np.ndarray, np.ndarray]:
+    """Grades, weights and thresholds: limited-memory BFGS steps on the penalised likelihood of all splits at once, over sparse rows."""
     grades = sorted({g for g, _, _ in rows})
     y = np.searchsorted(grades, [g for g, _, _ in rows])
     n, k = len(rows), len(grades) - 1
-    x = np.zeros((n, n_words))
-    for i, (_, at, values) in enumerate(rows):
-        x[i, at] = values
+    row = np.repeat(np.arange(n), [len(at) for _, at, _ in rows])
+    word = np.concatenate([np.asarray(at, int) for _, at, _ in rows])
+    value = np.concatenate([np.asarray(x, float) for _, _, x in rows])
     reached = (y[:, None] > np.arange(k)[None, :]).astype(float)  # grade is over threshold j
     above = reached.mean(0)
     beta = np.concatenate([np.zeros(n_words), -np.log(above / (1 - above))])
 
-    def loss(b: np.ndarray) -> float:
-        z = (x @ b[:n_words])[:, None] - b[None, n_words:]
-        return float(np.logaddexp(0, np.where(reached > 0, -z, z)).sum() + l2 / 2 * (b[:n_words] ** 2).sum())
-
-    now = loss(beta)
+    def loss(b: np.ndarray) -> tuple[float, np.ndarray]:
+        z = np.bincount(row, value * b[word], n)[:, None] - b[None, n_words:]
+        err = 1 / (1 + np.exp(-np.clip(z, -40, 40))) - reached
+        slope = np.concatenate([np.bincount(word, value * err.sum(1)[row], n_words) + l2 * b[:n_words], -err.sum(0)])
+        return float(np.logaddexp(0, np.where(reached > 0, -z, z)).sum() + l2 / 2 * (b[:n_words] ** 2).sum()), slope
+
+    # the Hessian's diagonal at the start scales the first direction
+    spread = above * (1 - above)
+    diagonal = np.concatenate([np.bincount(word, value**2, n_words) * spread.sum() + l2, n * spread + 1e-6])
+    now, slope = loss(beta)
+    past: list[tuple[np.ndarray, np.ndarray]] = []
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip((x @ beta[:n_words])[:, None] - beta[None, n_words:], -40, 40)))
-        err, weight = reached - p, p * (1 - p)
-        gradient = np.concatenate([x.T @ err.sum(1) - l2 * beta[:n_words], -err.sum(0)])
-        cross = -(x.T @ weight)
-        hessian = np.block([[(x * weight.sum(1)[:, None]).T @ x + l2 * np.eye(n_words), cross], [cross.T, np.diag(weight.sum(0) + 1e-6)]])
-        move = np.linalg.solve(hessian, gradient)
-        while (new := loss(beta + move)) > now + 1e-9 and np.abs(move).max() > 1e-9:
-            move = move / 2
-        beta = beta + move
-        if now - new < 1e-7 * abs(now):
+        move, kept = -slope, []
+        for s, t in reversed(past):
+            kept.append((s @ move) / (s @ t))
+            move = move - kept[-1] * t
+        move = move / diagonal
+        for (s, t), a in zip(past, reversed(kept), strict=True):
+            move = move + (a - (t @ move) / (s @ t)) * s
+        size, fall = 1.0, float(slope @ move)
+        while (new := loss(beta + size * move))[0] > now + 1e-4 * size * fall and size > 1e-12:
+            size /= 2
+        if new[0] >= now:
+            break
+        s, t = size * move, new[1] - slope
+        if s @ t > 1e-12:
+            past = [*past[-9:], (s, t)]
+        beta, now, slope = beta + s, new[0], new[1]
+        if np.abs(slope).max() < 1e-5 * max(1.0, n**0.5):
             break
-        now = new
     return grades, beta[:n_words], np.maximum.accumulate(beta[n_words:])
 
 
@@ -107,7 +119,7 @@ def refined(rows: list[tuple[int, list[int], np.ndarray]], n_words: int) -> list
     return [(high + 1 if g == high and s > middle else g, at, x) for (g, at, x), s in zip(rows, scores, strict=True)]
 
 
-def train(docs: DataFrame, labels: DataFrame, grade_col: str = "grade", max_rows: int = 20_000, max_words: int = 256, min_docs: int = 10, min_share: float = 0.05, min_z: float = 3.0, id_col: str = "doc_id", text_col: str = "text") -> OrdinalModel:
+def train(docs: DataFrame, labels: DataFrame, grade_col: str = "grade", max_rows: int = 20_000, min_docs: int = 2, min_z: float = 3.0, id_col: str = "doc_id", text_col: str = "text") -> OrdinalModel:
     """Fit on at most max_rows labelled documents."""
     graded = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(grade_col).cast("int").alias("grade")).where("doc_id is not null and grade is not null")
     graded = graded.groupBy("doc_id").agg(F.max("grade").alias("grade"))
@@ -127,9 +139,16 @@ def train(docs: DataFrame, labels: DataFrame, grade_col: str = "grade", max_rows
     high = all_rows - totals[lowest]
     seen = each.groupBy("word").agg(F.count("*").alias("n"), F.count_if(F.col("grade") > lowest).alias("h")).where(f"n >= {min_docs} and word <> ''")
     share = high / all_rows
+    tested = seen.count()
     spread = F.col("h") - F.col("n") * share
-    seen = seen.withColumn("chi", spread * spread / F.col("n")).where((F.col("chi") >= min_z**2 * share * (1 - share)) & (F.col("h") >= min_share * high))
-    chosen = seen.orderBy(F.desc("chi"), "word").limit(max_words)
+
+    def part(k: F.Column, p: float) -> F.Column:
+        return F.when(k > 0, k * F.log(k / (F.col("n") * p))).otherwise(0.0)
+
+    # chance gives a ratio of r with a probability of exp(-r / 2) at most, on each side
+    ratio = 2 * (part(F.col("h"), share) + part(F.col("n") - F.col("h"), 1 - share))
+    passed = (spread * spread / F.col("n") >= min_z**2 * share * (1 - share)) & (ratio >= 2 * np.log(max(tested, 1)))
+    chosen = seen.where(passed).select("word").orderBy("word")
     vocabulary = [r["word"].encode() for r in chosen.collect()]
     shell = OrdinalModel(vocabulary, [0], np.zeros(0), np.zeros(0))
 
@@ -151,7 +170,7 @@ def hash_of(text: bytes) -> int:
 
 def grade(docs: DataFrame, model: OrdinalModel, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, grade (most probable), severity (expected), toxic_probability, rejected (that probability reaches the threshold)."""
-    frozen = docs.sparkSession.sparkContext.broadcast(model)  # max_words weights
+    frozen = docs.sparkSession.sparkContext.broadcast(model)  # a weight for each word that passed, of max_rows documents at most
 
     def score(b: pa.RecordBatch) -> dict:
         m: OrdinalModel = frozen.value

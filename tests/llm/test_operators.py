@@ -180,6 +180,21 @@ def test_toxicity(spark, docs, empty):
     assert toxicity.grade(empty, model).count() == 0
 
 
+def test_toxicity_of_a_long_tail(spark):
+    """Words in a small share of the toxic documents each, more of them than 256, and a table with few positives."""
+    rng = np.random.default_rng(17)
+    clean, tail = words(21, 400).split(), [f"slur{i}" for i in range(300)]
+    text = lambda *bad: " ".join([*rng.choice(clean, 30), *bad])
+    labelled = [(i, text(*([tail[i % 300], tail[i % 300]] if i < 3000 else [])), int(i < 3000)) for i in range(9000)]
+    few = [(i, text(*(["scum"] if i < 8 else [])), int(i < 8)) for i in range(200)]
+    for rows_, bad in ((labelled, tail), (few, ["scum"])):
+        d = spark.createDataFrame([x[:2] for x in rows_], "doc_id long, text string")
+        model = toxicity.train(d, spark.createDataFrame([x[::2] for x in rows_], "doc_id long, toxic int"), "toxic")
+        new = [(i, text(w, w)) for i, w in enumerate(bad)] + [(1000 + i, text()) for i in range(100)]
+        out = {r["doc_id"]: r["rejected"] for r in toxicity.grade(spark.createDataFrame(new, "doc_id long, text string"), model).collect()}
+        assert out == {i: i < 1000 for i, _ in new}
+
+
 def test_pii(docs, empty, clashing):
     detector = pii.train(docs)
     want = sorted((i, *[sum(s[2] == k for s in brute.base_spans(t)) for k in range(4)], hashlib.sha256(pii.written(brute.base_spans(t)).encode()).hexdigest()) for i, t in fixture())
