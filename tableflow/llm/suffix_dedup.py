@@ -10,8 +10,8 @@ how the work is dealt:
 2. Texts are dealt in batches of a few MB. A batch hands on its distinct segments with a shared anchor (the least
    and greatest document of each), dealt by the anchor. Segments of an anchor that very many batches hold are cut
    into single strings, dealt by their own content, so no anchor gathers in one task.
-3. A bucket's suffixes are sorted deep-shallow: multikey quicksort takes all of them to ``SHALLOW`` bytes, and what
-   still agrees is ordered by blind tries, which compare against one leaf and branch where they part. Suffixes
+3. A bucket's suffixes are sorted deep-shallow: groups are refined by sorts over eight-byte words to ``SHALLOW`` bytes, and
+   what still agrees is regrouped in rounds by where it parts from one leaf. Suffixes
    that are equal to the full length form a class, and its least document goes back to the batches.
 4. The batches mark the bytes.
 
