@@ -5,12 +5,16 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows in one Arrow batch. Texts may be long, so batches stay far below Spark's default of 10,000 rows.
-ARROW_ROWS = 1000
+#: Rows and bytes that a function gets at a time. Spark's own Arrow batches end at 64 MB; working copies of texts are larger.
+SLICE_ROWS, SLICE_BYTES = 1000, 8 << 20
+#: Bytes of input for which an operator asks for one shuffle partition, beside the session's number.
+PARTITION_BYTES = 32 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,12 +22,22 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def texts_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: str) -> DataFrame:
-    """Only the columns an operator needs, as ``doc_id`` and ``text``; other columns of the input cannot clash.
+    """Only the columns an operator needs, as ``doc_id`` and ``text``; other columns of the input cannot clash. A missing id stays NULL."""
+    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *[F.col(c) for c in more])
 
-    Rows without an id are left out: no result could name them.
-    """
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
-    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *[F.col(c) for c in more]).where("doc_id is not null")
+
+def slices(batch: pa.RecordBatch, rows: int = SLICE_ROWS, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of at most so many rows and bytes, but of one row at least."""
+    held = np.zeros(batch.num_rows, np.int64)
+    for c in batch.columns:
+        if pa.types.is_string(c.type) or pa.types.is_binary(c.type) or pa.types.is_large_string(c.type) or pa.types.is_large_binary(c.type):
+            held += pc.fill_null(pc.binary_length(c), 0).to_numpy(zero_copy_only=False)
+    ends, at = np.cumsum(held), 0
+    while at < batch.num_rows:
+        full = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, "right"))
+        to = min(at + rows, max(at + 1, full), batch.num_rows)
+        yield batch.slice(at, to - at)
+        at = to
 
 
 def strings(column: pa.Array | pa.ChunkedArray) -> list[str]:
@@ -40,14 +54,15 @@ def raw(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
 
 
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schema: str) -> DataFrame:
-    """Apply fn to each Arrow batch; it returns the columns of the result, or None for no rows."""
+    """Apply fn to each slice of each Arrow batch; it returns the columns of the result, or None for no rows."""
     names = [f.split()[0] for f in schema.split(", ")]
     types = arrow_types(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows and (out := fn(batch)) is not None:
-                yield pa.RecordBatch.from_arrays([pa.array(out[n], types[n]) for n in names], names)
+            for part in slices(batch):
+                if (out := fn(part)) is not None:
+                    yield pa.RecordBatch.from_arrays([pa.array(out[n], types[n]) for n in names], names)
 
     return df.mapInArrow(run, schema)
 
@@ -55,7 +70,7 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schema
 def arrow_types(schema: str) -> dict[str, pa.DataType]:
     known = {
         "long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "binary": pa.binary(), "boolean": pa.bool_(),
-        "array<int>": pa.list_(pa.int32()), "array<double>": pa.list_(pa.float64()), "array<long>": pa.list_(pa.int64()), "array<float>": pa.list_(pa.float32()), "array<string>": pa.list_(pa.string()),
+        "array<int>": pa.list_(pa.int32()), "array<double>": pa.list_(pa.float64()), "array<long>": pa.list_(pa.int64()), "array<float>": pa.list_(pa.float32()), "array<string>": pa.list_(pa.string()), "array<binary>": pa.list_(pa.binary()),
     }
     return {f.split()[0]: known[f.split()[1]] for f in schema.split(", ")}
 
@@ -66,10 +81,13 @@ def record(columns: dict, schema: str) -> pa.RecordBatch:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder for checkpoints that all machines share: the session's, or one of its own where none is named."""
+    """The folder for checkpoints that all machines share: the session's. Where none is named, a session in one process gets its own."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None and not sc.master.startswith("local"):
+            raise RuntimeError("name a folder that all machines share in spark.checkpoint.dir")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-checkpoint-"))
     return sc.getCheckpointDir()
 
 
@@ -85,6 +103,6 @@ def small_side(ids: DataFrame, rows: int = 1_000_000) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= rows else ids.hint("shuffle_hash")
 
 
-def partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
+def partitions(spark: SparkSession, size: int = 0, each: int = PARTITION_BYTES) -> int:
+    """The session's number of shuffle partitions, or more where so many bytes need them."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // each))
