@@ -34,12 +34,30 @@ def canon_of(df: DataFrame, name: str) -> Column:
     return canon(F.col(f"`{name}`"), df.schema[name].dataType)
 
 
-def row_md5(df: DataFrame, columns: list[str] | None = None, strict: bool = False) -> Column:
-    """MD5 of the row's canonical texts, joined by a bar; NULL is spelled out. strict puts each text's length before it."""
-    texts = [F.coalesce(canon_of(df, c), F.lit("NULL")) for c in columns or df.columns]
-    if strict:
-        texts = [F.concat(F.when(F.col(f"`{c}`").isNull(), F.lit("n")).otherwise(F.char_length(t).cast("string")), F.lit(":"), t) for c, t in zip(columns or df.columns, texts, strict=True)]
-    return F.md5(F.concat_ws("|", *texts).cast("binary"))
+def exact_text(c: Column, data_type: T.DataType) -> Column:
+    """A text that differs whenever the value does: shortest digits of numbers (1, 1.0 and 1.00 are one value), times to the microsecond."""
+    if isinstance(data_type, (T.DoubleType, T.FloatType)):
+        return F.regexp_replace((c + F.lit(0.0).cast(data_type)).cast("string"), r"\.0$", "")  # -0.0 is 0.0
+    if isinstance(data_type, T.DecimalType) and data_type.scale > 0:
+        return F.regexp_replace(F.regexp_replace(c.cast("string"), "0+$", ""), r"\.$", "")
+    if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
+        return F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    if isinstance(data_type, (T.ArrayType, T.MapType, T.StructType)):
+        return F.to_json(c, {"ignoreNullFields": "false"})
+    return canon(c, data_type)
+
+
+def row_md5(df: DataFrame, columns: list[str] | None = None, strict: bool = True) -> Column:
+    """MD5 of the row's texts. Exact texts behind their lengths, NULL as n, so that no two rows are written alike.
+
+    strict=False is the form that other engines are compared by: canonical texts joined by a bar, NULL spelled out;
+    it takes some different rows for equal.
+    """
+    names = columns or df.columns
+    if not strict:
+        return F.md5(F.concat_ws("|", *[F.coalesce(canon_of(df, c), F.lit("NULL")) for c in names]).cast("binary"))
+    texts = [exact_text(F.col(f"`{c}`"), df.schema[c].dataType) for c in names]
+    return F.md5(F.concat(F.lit(""), *[F.coalesce(F.concat(F.char_length(t).cast("string"), F.lit(":"), t), F.lit("n")) for t in texts]).cast("binary"))
 
 
 def fingerprint_number(md5: Column) -> Column:
@@ -62,6 +80,25 @@ def values_equal(a: Column, b: Column, left: T.DataType, right: T.DataType) -> C
     return a.cast("string").eqNullSafe(b.cast("string"))
 
 
+def common_type(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The type in which two key columns are compared; text where they have no other in common."""
+    if a == b:
+        return a
+    if isinstance(a, T.IntegralType) and isinstance(b, T.IntegralType):
+        return T.LongType()
+    whole = [20 if isinstance(x, T.IntegralType) else x.precision - x.scale if isinstance(x, T.DecimalType) else 99 for x in (a, b)]
+    scale = max(x.scale if isinstance(x, T.DecimalType) else 0 for x in (a, b))
+    if isinstance(a, T.NumericType) and isinstance(b, T.NumericType):
+        return T.DecimalType(max(whole) + scale, scale) if max(whole) + scale <= 38 else T.DoubleType()
+    times = (T.TimestampType, T.TimestampNTZType, T.DateType)
+    return T.TimestampType() if isinstance(a, times) and isinstance(b, times) else T.StringType()
+
+
+def key_value(c: Column, own: T.DataType, wanted: T.DataType) -> Column:
+    """A key in the type it is compared in: its exact text where that is text, so that the number 1.0 meets the text 1."""
+    return exact_text(c, own) if isinstance(wanted, T.StringType) and not isinstance(own, T.StringType) else c.cast(wanted)
+
+
 def parse_time(c: Column) -> Column:
     """The first layout that reads the text; NULL if none does."""
     return F.coalesce(*[F.try_to_timestamp(c, F.lit(x)) for x in TIME_LAYOUTS])

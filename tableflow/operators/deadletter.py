@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -32,7 +33,10 @@ def split_loadable(df: DataFrame, schema: T.StructType, keys: list[str] | None =
     if keys:
         order = [F.size("_reasons").asc(), *[F.col(c) for c in order_by or []], F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])]
         typed = [F.col(f"`{column_named(df, k)}`").try_cast(schema[k].dataType) for k in keys]
-        first = F.row_number().over(Window.partitionBy(*typed).orderBy(*order)) == 1
+        unreadable = reduce(lambda x, y: x | y, [k.isNull() for k in typed])
+        # rows without a key repeat nobody's: each is dealt by itself
+        spread = F.when(unreadable, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns], F.monotonically_increasing_id()))
+        first = F.row_number().over(Window.partitionBy(*typed, spread).orderBy(*order)) == 1
         rows = rows.withColumn("_reasons", F.when(first | (F.size("_reasons") > 0), F.col("_reasons")).otherwise(F.array(F.lit("duplicate key"))))
         if target is not None:
             known = target.select(*[F.col(f"`{k}`").alias(f"_t{i}") for i, k in enumerate(keys)]).distinct().withColumn("_known", F.lit(True))
@@ -81,11 +85,8 @@ def read_dead_letters(spark: SparkSession, path: str, schema: T.StructType, fmt:
     return rows.select(*[F.col("row")[i].try_cast(f.dataType).alias(f.name) for i, f in enumerate(schema.fields)])
 
 
-def row_transform(df: DataFrame, fn: Callable[[dict], dict], schema: T.StructType, on_error: str = "dlq") -> tuple[DataFrame, DataFrame]:
-    """A Python function of a row given by column name, in Arrow batches. Missing keys become NULL, others are ignored.
-
-    Rows it fails on come back as they were, with the message as _error; on_error="abort" raises instead.
-    """
+def tagged_transform(df: DataFrame, fn: Callable[[dict], dict], schema: T.StructType, on_error: str = "dlq") -> DataFrame:
+    """Each row once: what a Python function makes of it (_out_…), the row itself (_in_…) and the message where the function failed (_error)."""
     names = [f.name for f in schema.fields]
     both = T.StructType([*[T.StructField(f"_out_{f.name}", f.dataType) for f in schema.fields], *[T.StructField(f"_in_{f.name}", f.dataType) for f in df.schema.fields], T.StructField("_error", T.StringType())])
 
@@ -109,7 +110,20 @@ def row_transform(df: DataFrame, fn: Callable[[dict], dict], schema: T.StructTyp
                 out["_error"].append(error)
             yield pd.DataFrame({k: pd.Series(v, dtype=object) for k, v in out.items()})
 
-    rows = df.mapInPandas(run, both)
-    good = rows.where("_error is null").select(*[F.col(f"`_out_{n}`").alias(n) for n in names])
-    bad = rows.where("_error is not null").select(*[F.col(f"`_in_{c}`").alias(c) for c in df.columns], "_error")
+    return df.mapInPandas(run, both)
+
+
+def split_transformed(rows: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """What the function made, and the rows it failed on with the message as _error."""
+    good = rows.where("_error is null").select(*[F.col(f"`_out_{f.name}`").alias(f.name) for f in schema.fields])
+    bad = rows.where("_error is not null").select(*[F.col(f"`{c}`").alias(c.removeprefix("_in_")) for c in rows.columns if c.startswith("_in_")], "_error")
     return good, bad
+
+
+def row_transform(df: DataFrame, fn: Callable[[dict], dict], schema: T.StructType, on_error: str = "dlq") -> tuple[DataFrame, DataFrame]:
+    """A Python function of a row given by column name, in Arrow batches. Missing keys become NULL, others are ignored.
+
+    Rows it fails on come back as they were, with the message as _error; on_error="abort" raises instead. Both results run
+    the function; save tagged_transform and split that where both are used.
+    """
+    return split_transformed(tagged_transform(df, fn, schema, on_error), schema)

@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.values import common_type, key_value
 from .project import column_named
 
 
+def _comparable(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> tuple[list[Column], list[Column]]:
+    """The keys of both sides in the types they are compared in."""
+    kinds = [(left.schema[a].dataType, right.schema[b].dataType) for a, b in pairs]
+    wanted = [common_type(x, y) for x, y in kinds]
+    own = [key_value(left[f"`{a}`"], x, w) for (a, _), (x, _), w in zip(pairs, kinds, wanted, strict=True)]
+    other = [key_value(right[f"`{b}`"], y, w) for (_, b), (_, y), w in zip(pairs, kinds, wanted, strict=True)]
+    return own, other
+
+
 def check_column_conflicts(left: DataFrame, right: DataFrame, keys: list[str]) -> None:
     """Non-key columns of one name on both sides are an error."""
     known = {k.lower() for k in keys}
@@ -19,16 +29,13 @@ def check_column_conflicts(left: DataFrame, right: DataFrame, keys: list[str]) -
 def federated_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Equi-join: keys, then the kept side's other columns, then the rest. NULL keys match nothing; duplicates multiply.
 
-    Keys of one type compare natively, others by their text.
+    Keys of one type compare natively, numbers by value, other mixed types by their exact text.
     """
     if how not in ("inner", "left", "right"):
         raise ValueError(f"unknown join type: {how}")
     check_column_conflicts(left, right, keys)
     pairs = [(column_named(left, k), column_named(right, k)) for k in keys]
-    matches = []
-    for a, b in pairs:
-        x, y = left[f"`{a}`"], right[f"`{b}`"]
-        matches.append(x == y if left.schema[a].dataType == right.schema[b].dataType else x.cast("string") == y.cast("string"))
+    matches = [x == y for x, y in zip(*_comparable(left, right, pairs), strict=True)]
     joined = left.join(right, matches, how)
     own = right if how == "right" else left
     shown = [own[f"`{b if how == 'right' else a}`"].alias(a) for a, b in pairs]
@@ -40,7 +47,9 @@ def federated_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
 
 def detect_deletes(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of the target whose key the source no longer has (NULL keys match NULL keys)."""
-    own, other = [column_named(target, k) for k in keys], [column_named(source, k) for k in keys]
-    # as structs, whose NULL fields are equal; each takes the target's type
-    kept = source.select(F.struct(*[F.col(f"`{b}`").cast(target.schema[a].dataType).alias(a) for a, b in zip(own, other, strict=True)]).alias("_key"))
-    return target.join(kept, F.struct(*[target[f"`{a}`"].alias(a) for a in own]) == kept["_key"], "left_anti")
+    pairs = [(column_named(target, k), column_named(source, k)) for k in keys]
+    own, other = _comparable(target, source, pairs)
+    # as structs, whose NULL fields are equal
+    named = lambda columns: F.struct(*[c.alias(f"k{i}") for i, c in enumerate(columns)])
+    kept = source.select(named(other).alias("_key"))
+    return target.join(kept, named(own) == kept["_key"], "left_anti")

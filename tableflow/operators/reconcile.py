@@ -6,9 +6,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..functions.values import all_equal, fingerprint_number, row_md5, values_equal
+from ..functions.values import all_equal, common_type, fingerprint_number, key_value, row_md5, values_equal
 from .project import column_named, where_limit
 
 
@@ -57,15 +56,6 @@ class Diff:
             (writer.option("header", True).csv if fmt == "csv" else writer.json)(f"{path}/{name}")
 
 
-def _common_type(a: T.DataType, b: T.DataType) -> T.DataType:
-    """The type in which two key columns are compared."""
-    if a == b:
-        return a
-    if isinstance(a, T.IntegralType) and isinstance(b, T.IntegralType):
-        return T.LongType()
-    return T.DoubleType() if isinstance(a, T.NumericType) and isinstance(b, T.NumericType) else T.StringType()
-
-
 def _side(df: DataFrame, keys: list[Column], columns: list[str], name: str, unique: bool) -> DataFrame:
     """The key as one struct (equal structs have equal or both NULL fields), the row as another, its rank in its key by a hash."""
     side = df.select(F.struct(*keys).alias("_key"), F.struct(*[F.col(f"`{c}`") for c in columns]).alias(name))
@@ -76,11 +66,12 @@ def _side(df: DataFrame, keys: list[Column], columns: list[str], name: str, uniq
     return side.withColumn("_rank", F.row_number().over(order))
 
 
-def diff(source: DataFrame, target: DataFrame, keys: list[str], where: str | None = None, limit: int | None = None, unique_keys: bool = False) -> Diff:
+def diff(source: DataFrame, target: DataFrame, keys: list[str], where: str | None = None, limit: int | None = None, unique_keys: bool = False, strict_keys: bool = False) -> Diff:
     """Compare two tables by key, NULL keys included. Columns are those that both tables have, matched without regard to case.
 
     A key with several rows: the source's last one takes part (by a hash of the row), the others do not; the target's
-    first one is compared and its others count as target_only. unique_keys promises that there are none and saves the ranking.
+    first one is compared and its others count as target_only. unique_keys promises that there are none and saves the
+    ranking; strict_keys looks, and raises when there are any.
     """
     if not keys:
         raise ValueError("a diff needs keys")
@@ -89,9 +80,13 @@ def diff(source: DataFrame, target: DataFrame, keys: list[str], where: str | Non
     right = target.select(*[F.col(f"`{column_named(target, c)}`").alias(c) for c in columns])
     left = source.select(*[F.col(f"`{c}`") for c in columns])
     left, right = where_limit(left, where, limit, keys), where_limit(right, where, limit, keys)
-    types = [_common_type(left.schema[k].dataType, right.schema[k].dataType) for k in keys]
-    own = [F.col(f"`{k}`").cast(t).alias(f"k{i}") for i, (k, t) in enumerate(zip(keys, types, strict=True))]
-    a, b = _side(left, own, columns, "source", unique_keys), _side(right, own, columns, "target", unique_keys)
+    types = [common_type(left.schema[k].dataType, right.schema[k].dataType) for k in keys]
+    own, other = ([key_value(F.col(f"`{k}`"), side.schema[k].dataType, t).alias(f"k{i}") for i, (k, t) in enumerate(zip(keys, types, strict=True))] for side in (left, right))
+    if strict_keys:
+        for name, side, key in (("source", left, own), ("target", right, other)):
+            if not side.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+                raise ValueError(f"the {name} has repeated keys")
+    a, b = _side(left, own, columns, "source", unique_keys or strict_keys), _side(right, other, columns, "target", unique_keys or strict_keys)
     a = a.where("_rank = 1").withColumn("_in_source", F.lit(True))
     b = b.withColumn("_in_target", F.lit(True))
     # on the key alone, so that ranking and joining share one shuffle and one sort of each side
@@ -105,10 +100,24 @@ def diff(source: DataFrame, target: DataFrame, keys: list[str], where: str | Non
     return Diff(joined.withColumn("diff_cols", differing).withColumn("state", state).select("source", "target", "diff_cols", "state"), keys, columns)
 
 
-def table_digest(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """MD5 over the sorted row hashes. All hashes meet in one task: for small tables; fingerprint answers the same at any size."""
-    hashes = df.select(row_md5(df, columns).alias("h"))
-    return hashes.agg(F.md5(F.expr("listagg(h, '\\n') within group (order by h)").cast("binary")).alias("digest"))
+#: Row hashes that are sorted and joined in one group of a digest.
+DIGEST_ROWS = 100_000
+
+
+def table_digest(df: DataFrame, columns: list[str] | None = None, strict: bool = False) -> DataFrame:
+    """One MD5 of the multiset of rows: MD5 over the sorted row hashes, joined by line feeds.
+
+    A larger table's hashes are dealt by their first digits, as many as leave DIGEST_ROWS in a group on average; each
+    group has its own digest, and the digest is over those in order. Tables of equal rows have equal counts, so equal groups.
+    """
+    hashes = df.select(row_md5(df, columns, strict).alias("h"))
+    n, digits = hashes.count(), 0
+    while n > DIGEST_ROWS << 4 * digits:
+        digits += 1
+    for at in range(digits, -1, -1):  # groups of groups, sixteen at a time
+        hashes = hashes.groupBy(F.left("h", F.lit(at)).alias("p")).agg(F.md5(F.expr("listagg(h, '\\n') within group (order by h)").cast("binary")).alias("h"))
+        hashes = hashes.select(F.concat("p", "h").alias("h")) if at else hashes
+    return hashes.agg(F.coalesce(F.max("h"), F.md5(F.lit("").cast("binary"))).alias("digest"))
 
 
 def fingerprint(df: DataFrame, columns: list[str] | None = None, bucket: Column | None = None) -> DataFrame:

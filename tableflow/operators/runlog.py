@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+#: The columns of an audit row.
 HISTORY = (
     "id string, config_hash string, started_at timestamp, finished_at timestamp, task_name string, source_db string, target_db string, mode string, "
     "rows_processed long, rows_failed long, validation_result string, error_message string, version string"

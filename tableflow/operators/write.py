@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -54,33 +55,131 @@ def write_table(df: DataFrame, path: str, mode: str = "replace", must_exist: boo
         raise ValueError(f"unknown write mode: {mode}")
 
 
+def _tie(df: DataFrame) -> Column:
+    """A hash of the whole row, to settle ties alike in every run."""
+    return F.xxhash64(*[F.to_json(F.col(f"`{f.name}`")) if isinstance(f.dataType, T.MapType) else F.col(f"`{f.name}`") for f in df.schema.fields])
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def is_path(target: str) -> bool:
+    return not target.startswith(("catalog:", "jdbc:"))
+
+
+def in_types(df: DataFrame, target: DataFrame) -> DataFrame:
+    """The columns that the target has too, in its types."""
+    own = {f.name.lower(): f for f in target.schema.fields}
+    return df.select(*[F.col(f"`{c}`").cast(own[c.lower()].dataType).alias(own[c.lower()].name) for c in df.columns if c.lower() in own])
+
+
+class Target:
+    """Where a task writes: a folder of Parquet files, a table of the catalog, or one of a database."""
+
+    def __init__(self, spark: SparkSession, name: str, options: dict[str, str] | None = None, evolve: bool = False):
+        self.spark, self.name, self.options, self.evolve = spark, name, options or {}, evolve
+        self.kind, self.table = ("path", name) if is_path(name) else ("catalog", name.removeprefix("catalog:")) if name.startswith("catalog:") else ("jdbc", self.options["dbtable"])
+
+    def exists(self) -> bool:
+        if self.kind == "path":
+            return path_exists(self.spark, self.table)
+        if self.kind == "catalog":
+            return self.spark.catalog.tableExists(self.table)
+        try:
+            self.spark.read.format("jdbc").options(url=self.name, **self.options).load()
+        except Exception:  # each driver names a missing table in its own way; a broken connection fails again at the write
+            return False
+        return True
+
+    def read(self) -> DataFrame:
+        if self.kind == "path":
+            return merge_table(self.spark, self.table, self.evolve)
+        return self.spark.table(self.table) if self.kind == "catalog" else self.spark.read.format("jdbc").options(url=self.name, **self.options).load()
+
+    def write(self, df: DataFrame, spec, exists: bool) -> None:
+        """One load in the task's mode. Columns are matched by name; new ones are added if the task says so."""
+        if spec.must_exist and not exists:
+            raise FileNotFoundError(f"no table {self.name}")
+        out = clustered(df, spec.cluster) if spec.cluster else df
+        if self.kind == "jdbc":
+            out.write.format("jdbc").options(url=self.name, **self.options).mode("append" if spec.mode == "append" else "overwrite").save()
+        elif self.kind == "catalog":
+            if spec.mode == "replace" or not exists:
+                out.write.mode("overwrite").saveAsTable(self.table)
+            else:
+                known = {c.lower() for c in self.spark.table(self.table).columns}
+                more = [f for f in df.schema.fields if f.name.lower() not in known] if spec.schema_evolution else []
+                if more:
+                    self.spark.sql(f"ALTER TABLE {self.table} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in more)})")
+                evolve_append(self.spark.table(self.table).limit(0), out).select(*self.spark.table(self.table).columns).write.insertInto(self.table)
+        elif spec.mode == "merge":
+            merge_into(self.spark, self.table, df, spec.merge_keys, spec.order_by or None, evolve=spec.schema_evolution)
+        else:
+            if spec.mode == "append" and exists and spec.schema_evolution:
+                out = evolve_append(self.read().limit(0), out)
+            write_table(out, self.table, spec.mode)
+
+
 def latest_per_key(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
-    """Of the rows of a key the last one in the given order."""
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order_by]))
-    return df.withColumn("_place", place).where("_place = 1").drop("_place")
+    """Of the rows of a key the last one in the given order, NULL being least; of equal ones that with the greatest hash.
+
+    A maximum with partial results, so a key of very many rows is no single sort. Rows with a NULL key are a key of their own.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row")
+    order = F.struct(*[F.col(f"`{column_named(df, c)}`") for c in order_by], _tie(df))
+    return df.groupBy(*[F.col(f"`{column_named(df, k)}`").alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.max_by(row, order).alias("_row")).select("_row.*")
+
+
+def _cast(c: Column, own: T.DataType, wanted: T.DataType, name: str) -> Column:
+    """The value in the target's type; one that does not fit stops the job instead of becoming NULL."""
+    if own == wanted:
+        return c
+    made = c.try_cast(wanted)
+    return F.when(c.isNotNull() & made.isNull(), F.raise_error(F.concat(F.lit(f"{name} does not fit {wanted.simpleString()}: "), c.cast("string")))).otherwise(made)
 
 
 def _checked(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+    """The source's columns that the target has, in its order and types."""
     if not keys:
         raise ValueError("a merge needs keys")
-    return source.select(*[F.col(f"`{column_named(source, c)}`").alias(c) for c in target.columns])
+    for k in keys:
+        column_named(target, k), column_named(source, k)
+    own = {f.name.lower(): f for f in source.schema.fields}
+    both = [(own[f.name.lower()], f) for f in target.schema.fields if f.name.lower() in own]
+    return source.select(*[_cast(F.col(f"`{a.name}`"), a.dataType, b.dataType, b.name).alias(b.name) for a, b in both])
+
+
+def one_row_per_key(df: DataFrame, keys: list[str], order_by: list[str] | None) -> DataFrame:
+    """The row of each key that a merge takes: the last by order_by, without an order the one with the greatest hash. Keys with a NULL are not compared."""
+    some_null = F.lit(False)
+    for k in keys:
+        some_null = some_null | F.col(f"`{k}`").isNull()
+    return latest_per_key(df.where(~some_null), keys, order_by or []).unionByName(df.where(some_null))
 
 
 def merge(target: DataFrame, source: DataFrame, keys: list[str], order_by: list[str] | None = None) -> DataFrame:
     """The target after an upsert: rows of the source win by key, the last of them by order_by; the rest of the target stays.
 
+    The source takes the target's types. Columns that it lacks keep their values in rows it updates and are NULL in new ones.
     Keys with a NULL match nothing and are inserted. A source of key columns alone changes no row.
     """
-    source = latest_per_key(source, keys, order_by) if order_by else source
-    new = _checked(target, source, keys)
+    more = [c for c in order_by or [] if c.lower() not in {x.lower() for x in target.columns}]
+    new = _checked(target, source, keys) if not more else _checked(target.select("*", *[F.lit(None).cast(source.schema[column_named(source, c)].dataType).alias(c) for c in more]), source, keys)
+    new = one_row_per_key(new, [column_named(target, k) for k in keys], order_by).drop(*more)
     kept = target.join(new.select(*keys), keys, "left_anti")
-    return kept.unionByName(new)
+    lacking = [c for c in target.columns if c not in new.columns]
+    if lacking:
+        new = new.join(target.select(*keys, *lacking), keys, "left").select(*target.columns)
+    return kept.select(*target.columns).unionByName(new)
 
 
 def merge_changes(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     """The keys with what a merge would do: insert, update, unchanged or keep."""
-    new = _checked(target, source, keys)
-    values = [c for c in target.columns if c not in keys]
+    keys = [column_named(target, k) for k in keys]
+    new = one_row_per_key(_checked(target, source, keys), keys, None)
+    values = [c for c in new.columns if c not in keys]
     a = target.select(*[F.col(f"`{k}`").alias(f"_t{i}") for i, k in enumerate(keys)], F.struct(*([F.col(f"`{c}`") for c in values] or [F.lit(1).alias("x")])).alias("_old"))
     b = new.select(*keys, F.struct(*([F.col(f"`{c}`") for c in values] or [F.lit(1).alias("x")])).alias("_new"))
     joined = b.join(a, all_equal([F.col(f"`{k}`") == F.col(f"_t{i}") for i, k in enumerate(keys)]), "full")
@@ -92,26 +191,127 @@ def bucket_of(keys: list[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(buckets)).cast("int")
 
 
-def merge_into(spark: SparkSession, path: str, source: DataFrame, keys: list[str], order_by: list[str] | None = None, buckets: int = 64) -> None:
+#: Bytes of a table for which a new one gets one folder of keys, and the least number of them.
+FOLDER_BYTES, FOLDERS = 1 << 30, 64
+#: Beside the folders: how many there are and the table's schema. Spark's readers skip names that start so.
+_ABOUT = "_merge_table.json"
+
+
+def merge_table(spark: SparkSession, path: str, evolve: bool = False) -> DataFrame:
+    """A table kept by merge_into, with the columns of all its merges; a plain table as it is, with evolve the columns of all its files."""
+    about = _about(spark, path)
+    if about is None:
+        return spark.read.option("mergeSchema", evolve).parquet(path)
+    return spark.read.schema(T.StructType.fromJson(about["schema"]).add("key_bucket", T.IntegerType())).parquet(path).drop("key_bucket")
+
+
+def _about(spark: SparkSession, path: str) -> dict | None:
+    fs, p = _fs(spark, f"{path.rstrip('/')}/{_ABOUT}")
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def _put_about(spark: SparkSession, path: str, about: dict) -> None:
+    fs, p = _fs(spark, f"{path.rstrip('/')}/{_ABOUT}")
+    out = fs.create(p, True)
+    out.write(bytearray(json.dumps(about).encode()))
+    out.close()
+
+
+def _in_folders(df: DataFrame, keys: list[str], buckets: int, path: str) -> None:
+    """Write the rows into folders by key; Spark evens out the files, so a large folder has several."""
+    df.withColumn("key_bucket", bucket_of(keys, buckets)).hint("rebalance", "key_bucket").write.partitionBy("key_bucket").parquet(path)
+
+
+def _restored(spark: SparkSession, path: str) -> None:
+    """Put back folders that a run moved aside and died before it replaced."""
+    fs, p = _fs(spark, path)
+    for aside in fs.globStatus(_fs(spark, f"{path.rstrip('/')}/_old_*")[1]) or []:
+        for folder in fs.listStatus(aside.getPath()):
+            home = _fs(spark, f"{path.rstrip('/')}/{folder.getPath().getName()}")[1]
+            if not fs.exists(home):
+                fs.rename(folder.getPath(), home)
+        fs.delete(aside.getPath(), True)
+
+
+def merge_into(spark: SparkSession, path: str, source: DataFrame, keys: list[str], order_by: list[str] | None = None, buckets: int | None = None, evolve: bool = False) -> None:
     """Upsert into a Parquet table kept in folders by a hash of the key: only folders the source touches are written again.
 
-    Each rewritten folder appears by Spark's own commit of a dynamic overwrite; the merged rows are staged first, as
-    a plan cannot overwrite what it reads.
+    The source takes the table's types; a value that does not fit stops the merge before anything changes. The number of
+    folders is fixed when the table is made (by its size, if not given), kept beside it, and another one is refused. evolve
+    adds the source's new columns, NULL in older rows; otherwise they are left out. A plain Parquet table is dealt into
+    folders by its first merge.
+
+    Merged folders are staged, then take the places of the old ones one by one; folders that a dead run moved aside are
+    put back by the next, and a merge that is run again gives the same table. Of several rows of a key see one_row_per_key.
     """
-    dealt = source.withColumn("key_bucket", bucket_of(keys, buckets))
-    if not path_exists(spark, path):
-        (latest_per_key(dealt, keys, order_by) if order_by else dealt).repartition("key_bucket").write.partitionBy("key_bucket").parquet(path)
+    if not keys:
+        raise ValueError("a merge needs keys")
+    path = path.rstrip("/")
+    staged = f"{path}_staging_{uuid.uuid4().hex}"
+    fs, place = _fs(spark, path)
+    if fs.exists(place):
+        _restored(spark, path)
+    about = _about(spark, path) if fs.exists(place) else None
+    if about is None:
+        rows = spark.read.parquet(path) if fs.exists(place) else None
+        if rows is not None and "key_bucket" in rows.columns:
+            raise ValueError(f"{path} has folders of keys, but nothing says how many there should be")
+        merged = one_row_per_key(source, [column_named(source, k) for k in keys], order_by) if rows is None else merge(*_evolved(rows, source, evolve), keys, order_by)
+        size = int(str(merged._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        buckets = buckets or max(FOLDERS, min(1 << 16, -(-size // FOLDER_BYTES) if size < 1 << 60 else 0))
+        _in_folders(merged, [column_named(merged, k) for k in keys], buckets, staged)
+        _put_about(spark, staged, {"buckets": buckets, "keys": [column_named(merged, k) for k in keys], "schema": merged.schema.jsonValue()})
+        _swap(spark, staged, path)
         return
-    target = spark.read.parquet(path)
-    # a Boolean for each of a fixed number of buckets comes to the driver
-    touched = [r[0] for r in dealt.select("key_bucket").distinct().collect()]
-    old = target.where(F.col("key_bucket").isin(touched))
-    staged = f"{path.rstrip('/')}_staging_{uuid.uuid4().hex}"
-    merge(old.drop("key_bucket"), source, keys, order_by).withColumn("key_bucket", bucket_of(keys, buckets)).write.parquet(staged)
-    fresh = spark.read.parquet(staged).repartition("key_bucket")
-    fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("key_bucket").parquet(path)
-    fs, p = _fs(spark, staged)
-    fs.delete(p, True)
+    if buckets not in (None, about["buckets"]):
+        raise ValueError(f"{path} has {about['buckets']} folders of keys, not {buckets}")
+    if sorted(k.lower() for k in keys) != sorted(k.lower() for k in about["keys"]):
+        raise ValueError(f"{path} is dealt by {', '.join(about['keys'])}")
+    buckets, keys = about["buckets"], about["keys"]
+    schema = T.StructType.fromJson(about["schema"])
+    table = spark.read.schema(T.StructType(schema.fields).add("key_bucket", T.IntegerType())).parquet(path)
+    old, new = _evolved(table, source, evolve)
+    columns = [c for c in old.columns if c != "key_bucket"]
+    keyed = _checked(old.select(*keys), source, keys)
+    # the numbers of folders come to the driver: as many as there are at most
+    touched = sorted(r[0] for r in keyed.select(bucket_of(keys, buckets)).distinct().collect())
+    merged = merge(old.where(F.col("key_bucket").isin(touched)).select(*columns), new, keys, order_by)
+    _in_folders(merged, keys, buckets, staged)
+    fresh, _ = _fs(spark, staged)
+    made = {f.getPath().getName() for f in fresh.listStatus(_fs(spark, staged)[1]) if f.isDirectory()}
+    if not made <= {f"key_bucket={b}" for b in touched}:
+        raise RuntimeError("merged rows belong to folders that were not read")
+    if merged.columns != [f.name for f in schema.fields]:
+        _put_about(spark, path, about | {"schema": merged.schema.jsonValue()})  # before the rows: readers see NULL until then
+    aside = f"{path}/_old_{uuid.uuid4().hex}"
+    fs.mkdirs(_fs(spark, aside)[1])
+    for name in sorted(made):
+        home = _fs(spark, f"{path}/{name}")[1]
+        if fs.exists(home) and not fs.rename(home, _fs(spark, f"{aside}/{name}")[1]):
+            raise OSError(f"cannot move {home} aside")
+        if not fs.rename(_fs(spark, f"{staged}/{name}")[1], home):
+            raise OSError(f"cannot put {name} in place")
+    fs.delete(_fs(spark, aside)[1], True)
+    fs.delete(_fs(spark, staged)[1], True)
+
+
+def _evolved(table: DataFrame, source: DataFrame, evolve: bool) -> tuple[DataFrame, DataFrame]:
+    """Both with the source's new columns, if they are to be added."""
+    known = {c.lower() for c in table.columns}
+    more = [f for f in source.schema.fields if f.name.lower() not in known] if evolve else []
+    return table.withColumns({f.name: F.lit(None).cast(f.dataType) for f in more}) if more else table, source
+
+
+def inserted_keys(target: DataFrame, source: DataFrame, keys: list[str]) -> int:
+    """By how many rows a merge will make the target grow: keys that it lacks, and source rows with a NULL in their key."""
+    new = _checked(target.select(*keys), source, keys)
+    return one_row_per_key(new, keys, None).join(target.select(*keys), keys, "left_anti").count()
 
 
 def evolve_append(target: DataFrame, source: DataFrame) -> DataFrame:

@@ -16,11 +16,17 @@ from ..operators.quality import Rule
 
 @dataclass
 class TaskSpec:
-    """One movement of a table; source is a DataFrame or SQL over views."""
+    """One movement of a table.
+
+    source is a DataFrame, SQL over views, or a database: a dict of url, query and properties. With shards a source with a
+    resume_key is read in so many ranges of it. target is a folder of Parquet files, ``catalog:`` and the name of a table,
+    or ``jdbc:`` and the rest of a database's url, with options dbtable and what else the driver needs. interval (seconds)
+    marks a task that cdc_sync runs again. Rows are staged beside a folder; for other targets below staging, else persisted.
+    """
 
     name: str
     target: str
-    source: DataFrame | str
+    source: DataFrame | str | dict[str, Any]
     views: dict[str, DataFrame] = field(default_factory=dict)
     join: tuple[DataFrame, DataFrame, list[str], str] | None = None
     mode: str = "replace"
@@ -47,6 +53,10 @@ class TaskSpec:
     pre_sql: list[str] = field(default_factory=list)
     post_sql: list[str] = field(default_factory=list)
     history: str | None = None
+    shards: int = 1
+    options: dict[str, str] = field(default_factory=dict)
+    staging: str | None = None
+    interval: float | None = None
 
     def __post_init__(self) -> None:
         self.mode = "merge" if self.mode == "upsert" else self.mode
@@ -56,6 +66,12 @@ class TaskSpec:
             raise ValueError(f"unknown mode: {self.mode}")
         if self.mode == "merge" and not self.merge_keys:
             raise ValueError("merge needs merge_keys")
+        if self.mode == "merge" and self.target.startswith(("catalog:", "jdbc:")):
+            raise ValueError("merge is for folders of Parquet files")
+        if self.target.startswith("jdbc:") and "dbtable" not in self.options:
+            raise ValueError("a database target needs the option dbtable")
+        if self.shards > 1 and not self.resume_key:
+            raise ValueError("shards need a resume_key")
         if self.state and not self.resume_key:
             raise ValueError("a state table needs a resume_key")
         if self.schema_evolution and self.mode == "replace":

@@ -18,7 +18,7 @@ from .functions.masks import MaskRule
 from .operators import deadletter, join, profile, project, quality, reconcile, runlog, write
 from .operators.quality import Rule
 from .plans.spec import TaskSpec
-from .plans.task import prepared, run_task
+from .plans.task import cdc_sync, prepared, run_task
 from .sources import scans
 from .streaming import cdc
 from .streaming.cdc import max_cursor
@@ -92,6 +92,12 @@ def shard_counts_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scans.with_shard(table(spark, sf_dir, "orders"), "o_orderkey", 7).groupBy("shard").agg(F.count("*").alias("n_rows"))
 
 
+@query(_RANGES + " SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey > 999")
+def sharded_scan_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows past a cursor, read as five ranges of the key with filters of their own."""
+    return scans.sharded_scan(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"), "o_orderkey", 5, 999)
+
+
 @query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice >= 100000 AND o_totalprice < 150000")
 def shard_filter_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scans.shard_filter(table(spark, sf_dir, "orders"), "o_totalprice", 100000.0, 150000.0, False).select("o_orderkey", "o_totalprice")
@@ -160,6 +166,48 @@ def fed_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join.federated_join(left, right, ["orderkey", "linenumber"])
 
 
+_MIXED = "WITH l AS (SELECT o_orderkey, CASE WHEN o_orderkey % 9 = 0 THEN o_custkey + 0.5::DOUBLE ELSE o_custkey::DOUBLE END AS custkey FROM orders), c AS (SELECT c_custkey, c_name FROM customer)"
+
+
+def _half_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders whose customer's number is a double, in some rows no whole one."""
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 9 == 0, F.col("o_custkey") + 0.5).otherwise(F.col("o_custkey").cast("double")).alias("custkey"))
+
+
+@query(_MIXED + " SELECT l.custkey, o_orderkey, c_name FROM l JOIN c ON l.custkey = c.c_custkey")
+def fed_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Double keys against whole numbers."""
+    return join.federated_join(_half_keys(spark, sf_dir), table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("custkey"), "c_name"), ["custkey"])
+
+
+@query(_MIXED + " SELECT l.custkey, o_orderkey, c_name FROM l JOIN c ON l.custkey = c.c_custkey WHERE c_custkey % 4 <> 0")
+def fed_numbers_and_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Double keys against texts, some of which are no number."""
+    key = F.when(F.col("c_custkey") % 4 == 0, F.concat(F.lit("no. "), F.col("c_custkey"))).otherwise(F.col("c_custkey").cast("string"))
+    return join.federated_join(_half_keys(spark, sf_dir), table(spark, sf_dir, "customer").select(key.alias("custkey"), "c_name"), ["custkey"])
+
+
+@query("SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey % 6 = 0 OR o_orderkey % 7 = 0")
+def detect_deletes_text_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers against texts: a number that the source spells otherwise is gone."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    source = o.where("o_orderkey % 6 <> 0").select(F.when(F.col("o_orderkey") % 7 == 0, F.concat(F.lit("order "), F.col("o_orderkey"))).otherwise(F.col("o_orderkey").cast("string")).alias("o_orderkey"))
+    return join.detect_deletes(o, source, ["o_orderkey"])
+
+
+@query("SELECT a.o_orderkey, a.o_orderstatus, b.o_orderstatus AS other_status, 'columns on both sides: o_orderstatus; rename one side with an alias' AS message FROM orders a JOIN orders b ON a.o_orderkey = b.o_orderkey + 1")
+def fed_conflict_renamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A join that is refused, and after the alias that the refusal asks for."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    after = o.select((F.col("o_orderkey") + 1).alias("o_orderkey"), "o_orderstatus")
+    try:
+        join.federated_join(o, after, ["o_orderkey"])
+        message = "no refusal"
+    except ValueError as e:
+        message = str(e)
+    return join.federated_join(o, after.withColumnRenamed("o_orderstatus", "other_status"), ["o_orderkey"]).withColumn("message", F.lit(message))
+
+
 # --- merge, append, evolve ----------------------------------------------------------------------------------------
 
 
@@ -264,6 +312,15 @@ def detect_deletes_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join.detect_deletes(target, source, ["o_orderkey"])
 
 
+@query("""SELECT user_id, count(*) FILTER (WHERE event_id % 2 = 0) > 0 AS paired, greatest(count(*) FILTER (WHERE event_id % 2 = 0) - 1, 0) AS extra, count(*) FILTER (WHERE event_id % 2 = 0) = 0 AS missing FROM events GROUP BY user_id""")
+def diff_repeated_keys_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated keys on both sides, some without a row in the target: one pair, the target's others, or a missing key."""
+    e = table(spark, sf_dir, "events").select("user_id", "event_id")
+    rows = reconcile.diff(e, e.where("event_id % 2 = 0").withColumn("event_id", F.col("event_id") + 1), ["user_id"]).rows
+    state = F.col("state")
+    return rows.groupBy(F.coalesce("source.user_id", "target.user_id").alias("user_id")).agg((F.count_if(state.isin("equal", "mismatch")) == 1).alias("paired"), F.count_if(state == "target_only").alias("extra"), (F.count_if(state == "source_only") == 1).alias("missing"))
+
+
 @query("SELECT user_id, count(*) FILTER (WHERE n > 1) AS extra FROM (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events) GROUP BY user_id")
 def diff_repeated_keys_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").select("user_id", "event_id")
@@ -282,20 +339,36 @@ def _hashable(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT o_orderkey, {_H} AS h FROM orders")
 def row_md5_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = _hashable(spark, sf_dir)
+    return df.select("o_orderkey", values.row_md5(df, strict=False).alias("h"))
+
+
+_TEXTS = ["CAST(o_orderkey AS VARCHAR)", "CASE WHEN o_orderkey % 7 <> 0 THEN CAST(o_custkey AS VARCHAR) END", "o_orderstatus", "regexp_replace(CAST(o_totalprice AS VARCHAR), '\\.0$', '')", "strftime(o_orderdate, '%Y-%m-%d %H:%M:%S.%f')"]
+_STRICT = f"md5({' || '.join(f"coalesce(length({t}) || ':' || {t}, 'n')" for t in _TEXTS)})"
+
+
+@query(f"SELECT o_orderkey, {_STRICT} AS h FROM orders")
+def row_md5_strict_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = _hashable(spark, sf_dir)
     return df.select("o_orderkey", values.row_md5(df).alias("h"))
 
 
-@query(f"""WITH h AS (SELECT ('0x' || substr({_H}, 1, 15))::BIGINT AS h FROM orders) SELECT count(*) AS n_rows, CAST(sum(CAST(h AS HUGEINT)) AS VARCHAR) AS hash_sum, bit_xor(h) AS hash_xor FROM h""")
+@query(f"""WITH h AS (SELECT ('0x' || substr({_STRICT}, 1, 15))::BIGINT AS h FROM orders) SELECT count(*) AS n_rows, CAST(sum(CAST(h AS HUGEINT)) AS VARCHAR) AS hash_sum, bit_xor(h) AS hash_xor FROM h""")
 def fingerprint_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.fingerprint(_hashable(spark, sf_dir)).withColumn("hash_sum", F.col("hash_sum").cast("string"))
 
 
-@query(f"""WITH h AS (SELECT o_orderkey % 16 AS bucket, ('0x' || substr({_H}, 1, 15))::BIGINT AS h FROM orders) SELECT bucket, count(*) AS n_rows, CAST(sum(CAST(h AS HUGEINT)) AS VARCHAR) AS hash_sum, bit_xor(h) AS hash_xor FROM h GROUP BY bucket""")
+@query(f"""WITH h AS (SELECT o_orderkey % 16 AS bucket, ('0x' || substr({_STRICT}, 1, 15))::BIGINT AS h FROM orders) SELECT bucket, count(*) AS n_rows, CAST(sum(CAST(h AS HUGEINT)) AS VARCHAR) AS hash_sum, bit_xor(h) AS hash_xor FROM h GROUP BY bucket""")
 def fingerprint_buckets_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.fingerprint(_hashable(spark, sf_dir), bucket=F.col("o_orderkey") % 16).withColumn("hash_sum", F.col("hash_sum").cast("string"))
 
 
+@query(f"SELECT md5(string_agg(h, chr(10) ORDER BY h)) AS digest FROM (SELECT {_H} AS h FROM orders)")
+def digest_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One group up to DIGEST_ROWS rows; the SQL is that of one group."""
+    return reconcile.table_digest(_hashable(spark, sf_dir))
+
+
 @query("SELECT md5(string_agg(h, chr(10) ORDER BY h)) AS digest FROM (SELECT md5(concat_ws('|', CAST(n_nationkey AS VARCHAR), n_name, CAST(n_regionkey AS VARCHAR))) AS h FROM nation)")
 def digest_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.table_digest(table(spark, sf_dir, "nation"))
@@ -307,6 +380,21 @@ def validate_checksum_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.validate_checksum(df, df.where("o_orderkey % 100 <> 0")).select("source_n_rows", "target_n_rows", "passed")
 
 
+@query(f"""WITH h AS (SELECT o_orderkey, ('0x' || substr({_STRICT}, 1, 15))::BIGINT AS h FROM orders), v(version, expected) AS (VALUES ('same', TRUE), ('one price', FALSE), ('two swapped', FALSE), ('one twice', FALSE))
+    SELECT version, (SELECT count(*) FROM h) AS source_n_rows, (SELECT CAST(sum(CAST(h AS HUGEINT)) AS VARCHAR) FROM h) AS source_hash_sum, expected AS passed FROM v""")
+def validate_checksum_changes_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables of equal length: the same one, one with one value changed by a cent, one with two statuses exchanged, one with a row for another."""
+    df = _hashable(spark, sf_dir)
+    low = df.agg(F.min("o_orderkey").alias("first"), F.min(F.when(F.col("o_orderstatus") == "F", F.col("o_orderkey"))).alias("f"), F.min(F.when(F.col("o_orderstatus") == "O", F.col("o_orderkey"))).alias("o")).first()
+    other = F.when(F.col("o_orderkey") == low["f"], "O").when(F.col("o_orderkey") == low["o"], "F").otherwise(F.col("o_orderstatus"))
+    versions = {
+        "same": df.orderBy(F.desc("o_orderkey")), "one price": df.withColumn("o_totalprice", F.when(F.col("o_orderkey") == low["first"], F.col("o_totalprice") + 0.01).otherwise(F.col("o_totalprice"))),
+        "two swapped": df.withColumn("o_orderstatus", other), "one twice": df.where(F.col("o_orderkey") != low["f"]).unionByName(df.where(F.col("o_orderkey") == low["o"])),
+    }
+    rows = [reconcile.validate_checksum(df, v).select(F.lit(name).alias("version"), "source_n_rows", F.col("source_hash_sum").cast("string").alias("source_hash_sum"), "passed") for name, v in versions.items()]
+    return write.append_union(rows)
+
+
 @query("SELECT (SELECT count(*) FROM orders WHERE o_orderkey % 10 = 0) AS only_left, (SELECT count(*) FROM orders WHERE o_orderkey % 15 = 0) AS only_right, (SELECT count(*) FROM orders WHERE o_orderkey % 10 = 0) = 0 AS passed")
 def same_rows_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
@@ -341,19 +429,26 @@ def row_preview_part(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("p_partkey", values.row_preview(df).alias("preview"))
 
 
-@query("""SELECT event_id, event_id % 3 <> 0 AS same_number, event_id % 4 = 0 AS same_null, TRUE AS same_text FROM events""")
+@query("""SELECT event_id, event_id % 3 <> 0 AS same_number, event_id % 4 = 0 AS same_null, event_id % 5 <> 0 AS same_text, event_id % 2 = 0 AS same_time FROM events""")
 def values_equal_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events").select("event_id", F.when(F.col("event_id") % 3 == 0, F.col("event_id") + 1).otherwise(F.col("event_id")).cast("double").alias("b"))
-    some, text = F.when(F.col("event_id") % 4 != 0, F.col("event_id")), F.col("event_id").cast("string")
-    return e.select("event_id", values.values_equal(F.col("event_id"), F.col("b"), T.LongType(), T.DoubleType()).alias("same_number"), values.values_equal(some, F.lit(None).cast("long"), T.LongType(), T.LongType()).alias("same_null"), values.values_equal(F.col("event_id"), text, T.LongType(), T.StringType()).alias("same_text"))
+    e, key = table(spark, sf_dir, "events"), F.col("event_id")
+    double = F.when(key % 3 == 0, key + 1).otherwise(key).cast("double")
+    text = F.when(key % 5 == 0, F.concat(F.lit("0"), key)).otherwise(key.cast("string"))
+    late = F.when(key % 2 == 0, F.col("ts")).otherwise(F.col("ts") + F.expr("interval 1 microsecond"))
+    return e.select(
+        "event_id", values.values_equal(key, double, T.LongType(), T.DoubleType()).alias("same_number"), values.values_equal(F.when(key % 4 != 0, key), F.lit(None).cast("long"), T.LongType(), T.LongType()).alias("same_null"),
+        values.values_equal(key, text, T.LongType(), T.StringType()).alias("same_text"), values.values_equal(F.col("ts"), late, T.TimestampNTZType(), T.TimestampNTZType()).alias("same_time"),
+    )
 
 
-@query("SELECT abs((SELECT count(*) FROM orders WHERE o_orderkey % 3 = 0 AND o_orderkey % 2 <> 0)) AS inserted, (SELECT count(*) FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0) - (SELECT count(*) FROM orders WHERE o_orderkey % 2 = 0) AS grew")
+@query(_MERGE + """ SELECT count(*) FILTER (WHERE o_orderkey NOT IN (SELECT o_orderkey FROM t)) AS inserted, TRUE AS passed, FALSE AS passed_short, 'row count: target grew by ' || count(*) FILTER (WHERE o_orderkey NOT IN (SELECT o_orderkey FROM t))
+    || ', expected ' || count(*) AS message FROM s""")
 def validate_row_count_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A merge grows its target by the inserted keys, not by the rows written."""
     target, source = _merge_pair(spark, sf_dir)
-    inserted = write.merge_changes(target, source, ["o_orderkey"]).agg(F.count_if(F.col("action") == "insert").alias("inserted"))
-    after, before = scans.row_count(write.merge(target, source, ["o_orderkey"])), scans.row_count(target).withColumnRenamed("n_rows", "before")
-    return reconcile.beside(inserted, after, before).select("inserted", (F.col("n_rows") - F.col("before")).alias("grew"))
+    before, after, inserted = target.count(), write.merge(target, source, ["o_orderkey"]).count(), write.inserted_keys(target, source, ["o_orderkey"])
+    good, short = reconcile.validate_row_count(before, after, inserted), reconcile.validate_row_count(before, after, source.count())
+    return spark.createDataFrame([(inserted, good[0], short[0], short[1])], "inserted long, passed boolean, passed_short boolean, message string")
 
 
 # --- quality ------------------------------------------------------------------------------------------------------
@@ -619,8 +714,11 @@ def parse_time_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder below the one that the session names for checkpoints; below a temporary one where none is named."""
-    return f"{spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp(prefix='tableflow-')}/tableflow_{uuid.uuid4().hex}"
+    """A new folder below the one that the session names for checkpoints; a session in one process may do without a name."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named is None and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("name a folder that all machines share in spark.checkpoint.dir")
+    return f"{named or tempfile.mkdtemp(prefix='tableflow-')}/tableflow_{uuid.uuid4().hex}"
 
 
 @query("SELECT o_orderkey, o_orderstatus, o_custkey FROM orders WHERE o_orderkey % 2 = 0 UNION ALL SELECT o_orderkey, 'Z', o_custkey FROM orders WHERE o_orderkey % 2 = 1")
@@ -640,7 +738,97 @@ def merge_into_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{scratch(spark)}/orders"
     write.merge_into(spark, path, target, ["o_orderkey"], buckets=8)
     write.merge_into(spark, path, source, ["o_orderkey"], buckets=8)
-    return spark.read.parquet(path).drop("key_bucket")
+    return write.merge_table(spark, path)
+
+
+@query(_MERGE + """ SELECT o_orderkey, o_orderstatus, cents, CASE WHEN o_orderkey % 4 = 0 AND o_orderkey % 2 = 0 THEN 'quarter' END AS more FROM
+    (SELECT * FROM t WHERE o_orderkey NOT IN (SELECT o_orderkey FROM s) UNION ALL SELECT * FROM s) ORDER BY 1""")
+def merge_into_other_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two merges into a table with long keys: integer keys, every row twice, then text keys and a new column."""
+    target, source = _merge_pair(spark, sf_dir)
+    path = f"{scratch(spark)}/orders"
+    write.merge_into(spark, path, target, ["o_orderkey"], buckets=8)
+    twice = source.unionByName(source.withColumn("cents", F.col("cents") - 1)).withColumn("o_orderkey", F.col("o_orderkey").cast("int"))
+    write.merge_into(spark, path, twice, ["o_orderkey"], ["cents"])
+    more = write.merge_table(spark, path).where("o_orderkey % 4 = 0").select(F.col("o_orderkey").cast("string").alias("o_orderkey"), F.lit("quarter").alias("more"))
+    write.merge_into(spark, path, more, ["o_orderkey"], evolve=True)
+    return write.merge_table(spark, path)
+
+
+@query(_DIFF + " SELECT sk AS o_orderkey, sc AS source_custkey, tc AS target_custkey FROM j WHERE state = 'mismatch'")
+def diff_report_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The set of differing rows as a report has it: written as CSV files, rows of both sides as JSON, and read again."""
+    path = f"{scratch(spark)}/report"
+    _orders_diff(spark, sf_dir).write(path, "csv")
+    report = spark.read.option("header", True).csv(f"{path}/mismatch")
+    return report.select(F.col("o_orderkey").cast("long").alias("o_orderkey"), F.get_json_object("source", "$.o_custkey").cast("long").alias("source_custkey"), F.get_json_object("target", "$.o_custkey").cast("long").alias("target_custkey"))
+
+
+@query(_CUST + """ SELECT 'abort' AS action, 'not_null(seg): ' || count(*) FILTER (WHERE seg IS NULL) || ' violations; regex(seg, ^[A-E]): ' || count(*) FILTER (WHERE NOT regexp_matches(seg, '^[A-E]')) || ' violations' AS outcome FROM c
+    UNION ALL SELECT 'warn', '' FROM c WHERE c_custkey = 1 UNION ALL SELECT 'dlq', 'not_null(seg),regex(seg, ^[A-E])' FROM c WHERE c_custkey = 1""")
+def on_fail_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each action makes of the same broken rules: an error with their messages, nothing, or their names for the dead letters."""
+    df, out = _checked_customers(spark, sf_dir), []
+    for action in ("abort", "warn", "dlq"):
+        report = quality.assert_report(df, [Rule("not_null", column="seg", on_fail=action), Rule("regex", column="seg", pattern="^[A-E]", on_fail=action), Rule("range", column="c_custkey", min=0, on_fail=action)])
+        try:
+            out.append((action, ",".join(quality.enforce(report))))
+        except quality.AssertionFailed as e:
+            out.append((action, str(e)))
+    return spark.createDataFrame(out, "action string, outcome string")
+
+
+@query("SELECT 'before' AS what, count(*) AS n_rows FROM customer WHERE c_custkey % 2 = 0 UNION ALL SELECT 'after', count(*) FROM customer")
+def task_hooks_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statements before and after an append see the target without and with the new rows."""
+    folder, c = scratch(spark), table(spark, sf_dir, "customer").select("c_custkey")
+    write.write_table(c.where("c_custkey % 2 = 0"), f"{folder}/out")
+    seen = lambda what: f"INSERT OVERWRITE DIRECTORY '{folder}/{what}' USING parquet SELECT '{what}' AS what, count(*) AS n_rows FROM parquet.`{folder}/out`;"
+    run_task(spark, TaskSpec("hooks", f"{folder}/out", c.where("c_custkey % 2 = 1"), mode="append", pre_sql=[seen("before")], post_sql=[f"REFRESH '{folder}/out'", seen("after")]))
+    return spark.read.parquet(f"{folder}/before", f"{folder}/after")
+
+
+@query("SELECT 'events' AS task, 'ok' AS status, count(*) AS n_rows, (count(*) + 2499) // 2500 AS batches FROM events")
+def stream_progress_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream over files of 2500 events, one a batch; its progress as rows of a run log."""
+    folder, e = scratch(spark), table(spark, sf_dir, "events")
+    e.coalesce(1).write.option("maxRecordsPerFile", 2500).parquet(f"{folder}/in")
+    stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    q = cdc.cdc_stream(stream, f"{folder}/out", f"{folder}/checkpoint")
+    q.awaitTermination()
+    log = spark.createDataFrame([(p["task"], p["status"], p["batch_id"], p["rows"]) for p in cdc.stream_progress(q, "events")], "task string, status string, batch_id long, rows long")
+    return log.where("rows > 0").groupBy("task", "status").agg(F.sum("rows").alias("n_rows"), F.count("*").alias("batches"))
+
+
+@query("SELECT 'clicks' AS task, event_id FROM events WHERE event_type = 'click' UNION ALL SELECT 'others', event_id FROM events WHERE event_type <> 'click'")
+def cdc_sync_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tasks with cursors of their own: a first run, and two rounds over a source that has grown meanwhile."""
+    folder, e = scratch(spark), table(spark, sf_dir, "events").select("event_id", "event_type")
+    third = F.pmod("event_id", F.lit(3))
+    bounds = e.agg(F.max("event_id").alias("hi")).first()["hi"]
+    steps = [e.where(F.col("event_id") <= bounds // 3), e.where((F.col("event_id") > bounds // 3) & (F.col("event_id") <= 2 * bounds // 3)), e.where(F.col("event_id") > 2 * bounds // 3)]
+    steps[0].withColumn("part", third).write.parquet(f"{folder}/in")
+    later = iter(steps[1:])
+    specs = [TaskSpec(n, f"{folder}/{n}", f"SELECT event_id FROM parquet.`{folder}/in` WHERE event_id > :last_value AND event_type {sign} 'click'", mode="append", resume_key="event_id", initial_cursor=-1, state=f"{folder}/state", interval=float(s)) for n, sign, s in (("clicks", "=", 9), ("others", "<>", 4))]
+    cdc_sync(spark, specs, rounds=2, wait=lambda seconds: next(later).withColumn("part", third).write.mode("append").parquet(f"{folder}/in"))
+    return write.append_union([spark.read.parquet(f"{folder}/{s.name}").select(F.lit(s.name).alias("task"), "event_id") for s in specs])
+
+
+@query("""SELECT c_custkey AS id, 'ValueError: key ' || c_custkey AS error FROM customer WHERE c_custkey % 10 = 3
+    UNION ALL SELECT c_custkey, 'assertion failed: range(twice, , ' || (SELECT 2 * max(c_custkey) - 100 FROM customer) || ')' FROM customer WHERE c_custkey % 10 <> 3 AND 2 * c_custkey > (SELECT 2 * max(c_custkey) - 100 FROM customer)""")
+def run_task_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A task whose row function fails on some rows and whose rule sends others to the dead letters."""
+    folder, c = scratch(spark), table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+
+    def change(row: dict) -> dict:
+        if row["c_custkey"] % 10 == 3:
+            raise ValueError(f"key {row['c_custkey']}")
+        return {"id": row["c_custkey"], "twice": row["c_custkey"] * 2}
+
+    most = 2 * c.agg(F.max("c_custkey").alias("m")).first()["m"] - 100
+    run_task(spark, TaskSpec("letters", f"{folder}/out", c, transform_row=change, transform_schema=T.StructType.fromDDL("id long, twice long"), rules=[Rule("range", column="twice", max=most, on_fail="dlq")], dead_letters=f"{folder}/dead", validate="checksum"))
+    letters = spark.read.schema("row array<string>, error string").json(f"{folder}/dead")
+    return letters.select(F.col("row")[0].cast("long").alias("id"), "error")
 
 
 @query("SELECT c_custkey AS id, 'C***' AS label, CAST(round(c_acctbal) AS BIGINT) AS balance FROM customer WHERE c_acctbal >= 0 OR c_custkey >= 0")
@@ -658,7 +846,9 @@ def run_task_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT 'customers' AS task_name, 'merge' AS mode, (SELECT count(*) FROM customer) AS rows_processed, 0::BIGINT AS rows_failed, 'passed' AS validation_result")
 def history_of_task(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch(spark)
-    run_task(spark, TaskSpec("customers", f"{folder}/out", table(spark, sf_dir, "customer"), mode="upsert", merge_keys=["c_custkey"], validate="sample", sample_size=50, history=f"{folder}/history"))
+    c = table(spark, sf_dir, "customer")
+    write.merge_into(spark, f"{folder}/out", c.where("c_custkey % 3 = 0"), ["c_custkey"], buckets=8)
+    run_task(spark, TaskSpec("customers", f"{folder}/out", c, mode="upsert", merge_keys=["c_custkey"], validate="row_count", history=f"{folder}/history"))
     return runlog.recent_history([spark.read.parquet(f"{folder}/history")]).select("task_name", "mode", "rows_processed", "rows_failed", "validation_result")
 
 
@@ -673,11 +863,14 @@ def poll_rounds_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
+    """Three files and more, one a batch."""
     folder = scratch(spark)
-    columns = ["event_id", "user_id", "event_type"]
-    stream = spark.readStream.schema(table(spark, sf_dir, "events").schema).parquet(f"{sf_dir}/event[s].parquet").select(*columns)
+    e = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    n = max(1, -(-e.count() // 3))
+    e.coalesce(1).write.option("maxRecordsPerFile", n).parquet(f"{folder}/in")
+    stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
     cdc.cdc_stream(stream, f"{folder}/out", f"{folder}/checkpoint", mode, ["user_id"], ["event_id"]).awaitTermination()
-    return spark.read.parquet(f"{folder}/out").select(*columns)
+    return (write.merge_table(spark, f"{folder}/out") if mode == "merge" else spark.read.parquet(f"{folder}/out")).select(*e.columns)
 
 
 @query("SELECT event_id, user_id, event_type FROM events")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,27 +12,58 @@ from pyspark.sql import types as T
 
 
 def query_scan(spark: SparkSession, sql: str, views: dict[str, DataFrame] | None = None, args: dict[str, Any] | None = None) -> DataFrame:
-    """Run a task's SQL over named DataFrames; closing semicolons are dropped."""
-    for name, df in (views or {}).items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(sql.strip().rstrip(";").rstrip(), args=args)
-
+    """Run a task's SQL over named DataFrames; closing semicolons are dropped. Views of the session are as before afterwards."""
+    known = {t.name.lower() for t in spark.catalog.listTables() if t.isTemporary} if views else set()
+    before = {name: spark.table(name) for name in views or {} if name.lower() in known}
+    try:
+        for name, df in (views or {}).items():
+            df.createOrReplaceTempView(name)
+        return spark.sql(sql.strip().rstrip(";").rstrip(), args=args)  # names are resolved here, once
+    finally:
+        for name in views or {}:
+            if name in before:
+                before[name].createOrReplaceTempView(name)
+            else:
+                spark.catalog.dropTempView(name)
+
+
+def jdbc_scan(spark: SparkSession, url: str, query: str, properties: dict[str, str] | None = None, key: str | None = None, cursor: Any = None, shards: int = 1) -> DataFrame:
+    """A query of a database. With a key only rows past the cursor; with shards also in parallel ranges of the key.
+
+    The cursor is a filter that reaches the database, in the ranges' bounds too. Without rows there is one range.
+    """
+    text = query.strip().rstrip(";").rstrip()
+    if key is None or shards < 2:
+        df = spark.read.format("jdbc").options(url=url, query=text, **(properties or {})).load()
+        return df if key is None else incremental_scan(df, key, cursor)
+    return incremental_scan(range_scan(spark, url, f"({text}) q", key, shards, properties, cursor), key, cursor)
 
-def jdbc_scan(spark: SparkSession, url: str, query: str, properties: dict[str, str] | None = None) -> DataFrame:
-    return spark.read.format("jdbc").options(url=url, query=query.strip().rstrip(";"), **(properties or {})).load()
 
+def range_scan(spark: SparkSession, url: str, table: str, key: str, partitions: int, properties: dict[str, str] | None = None, cursor: Any = None) -> DataFrame:
+    """Read a table (or a query in brackets with a name) over JDBC in parallel ranges of a numeric or time key.
 
-def range_scan(spark: SparkSession, url: str, table: str, key: str, partitions: int, properties: dict[str, str] | None = None) -> DataFrame:
-    """Read a table over JDBC in parallel ranges of a numeric or time key; the bounds come from one aggregate query."""
+    The bounds come from one aggregate query, over the rows past the cursor if there is one; rows outside the bounds fall in the first or last range.
+    """
     if partitions < 2:
         raise ValueError("a range scan needs two partitions at least")
-    own = spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url).quoteIdentifier(key)
-    low, high = jdbc_scan(spark, url, f"SELECT MIN({own}) AS lo, MAX({own}) AS hi FROM {table}", properties).first()
+    whole = spark.read.jdbc(url, table, properties=properties)
+    low, high = incremental_scan(whole, key, cursor).agg(F.min(key), F.max(key)).first()
     if low is None:
-        return spark.read.jdbc(url, table, properties=properties)
+        return whole
     return spark.read.jdbc(url, table, column=key, lowerBound=low, upperBound=high, numPartitions=partitions, properties=properties)
 
 
+def sharded_scan(df: DataFrame, key: str, shards: int, cursor: Any = None) -> DataFrame:
+    """The rows past the cursor as a union of one scan for each range of the key, each with its own filters on the files.
+
+    Only the ranges come to the driver, a row each. Rows without a key are in none of them.
+    """
+    df = incremental_scan(df, key, cursor)
+    ranges = shard_ranges(df, key, shards).orderBy("shard").collect()
+    parts = [shard_filter(df, key, r["lower"], r["upper"], r["last_inclusive"]) for r in ranges]
+    return reduce(DataFrame.unionByName, parts) if parts else df.limit(0)
+
+
 def shard_ranges(df: DataFrame, key: str, shards: int) -> DataFrame:
     """shard, lower, upper, last_inclusive: the key's range in at most so many parts; one part when all keys are equal, no row without keys.
 

@@ -13,6 +13,8 @@ from ..operators.write import merge_into, path_exists, write_table
 from ..sources.scans import incremental_scan
 
 STATE = "task_key string, cursor string, saved_at timestamp"
+#: Files of a state table that are rewritten as one.
+COMPACT = 200
 
 
 def task_key(source: str, target: str, table: str) -> str:
@@ -28,7 +30,10 @@ def load_cursor(spark: SparkSession, path: str, key: str, default: Any = None) -
 
 
 def save_cursor(spark: SparkSession, path: str, key: str, cursor: Any) -> None:
-    """Append the cursor: one tiny file for each round, none is ever rewritten."""
+    """Append the cursor, one tiny file for each round; many of them are rewritten as one row for each task."""
+    if path_exists(spark, path) and len(spark.read.schema(STATE).parquet(path).inputFiles()) >= COMPACT:
+        latest = spark.read.schema(STATE).parquet(path).groupBy("task_key").agg(F.max_by("cursor", "saved_at").alias("cursor"), F.max("saved_at").alias("saved_at"))
+        write_table(latest.coalesce(1), path)
     one = spark.range(1).select(F.lit(key).alias("task_key"), F.lit(str(cursor)).alias("cursor"), F.current_timestamp().alias("saved_at"))
     one.coalesce(1).write.mode("append").parquet(path)
 

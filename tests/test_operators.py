@@ -1,4 +1,5 @@
 import datetime as dt
+from decimal import Decimal as D
 
 import pytest
 from pyspark.sql import functions as F
@@ -103,6 +104,70 @@ def test_deletes_with_null_keys(spark):
     assert rows(join.detect_deletes(target, source, ["id"])) == [(3, "c")]
 
 
+def test_keys_of_other_types(spark):
+    """Numbers by value, numbers against text, text that is no number."""
+    whole = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k long, v string")
+    for ddl, keys in (("k double, w string", [1.0, 2.5, None]), ("k string, w string", ["1", "x", None]), ("k decimal(10,2), w string", [D("1.00"), D("2.50"), None]), ("k int, w string", [1, 7, None])):
+        other = spark.createDataFrame([(k, "w") for k in keys], ddl)
+        assert rows(join.federated_join(whole, other, ["k"]).select("v", "w")) == [("a", "w")], ddl
+        assert rows(join.federated_join(other, whole, ["k"]).select("v", "w")) == [("a", "w")], ddl
+        assert rows(join.detect_deletes(whole, other, ["k"])) == [(2, "b")], ddl
+        assert tuple(reconcile.diff(whole, other, ["k"]).summary.first())[2:4] == (1, 1), ddl
+    floats = spark.createDataFrame([(1.0,), (1e20,)], "k double")
+    assert join.federated_join(floats, spark.createDataFrame([("1", 0)], "k string, w int"), ["k"]).count() == 1
+
+
+def test_strict_keys(spark):
+    one, two = spark.createDataFrame([(1,), (2,)], "id long"), spark.createDataFrame([(1,), (1,)], "id long")
+    assert tuple(reconcile.diff(one, one, ["id"], strict_keys=True).summary.first()) == (2, 2, 0, 0, 0)
+    for pair in ((one, two), (two, one)):
+        with pytest.raises(ValueError, match="repeated keys"):
+            reconcile.diff(*pair, ["id"], strict_keys=True)
+
+
+def test_checksums_tell_different_tables_apart(spark):
+    def passed(a, b, ddl):
+        return reconcile.validate_checksum(spark.createDataFrame(a, ddl), spark.createDataFrame(b, ddl)).first()["passed"]
+
+    t = dt.datetime(2024, 1, 1)
+    different = [
+        ([("a|b", "c")], [("a", "b|c")], "x string, y string"), ([(None,)], [("NULL",)], "x string"), ([(None, "a")], [("a", None)], "x string, y string"), ([(1e-8,)], [(2e-8,)], "x double"),
+        ([(t,)], [(t.replace(microsecond=800_000),)], "x timestamp"), ([(1e40,)], [(2e40,)], "x double"), ([(float("nan"),)], [(None,)], "x double"), ([(float("inf"),)], [(float("-inf"),)], "x double"), ([("",)], [(None,)], "x string"),
+        ([(1,), (1,)], [(1,)], "x int"), ([([1, None],)], [([1],)], "x array<int>"), ([((None, 1),)], [((1, None),)], "x struct<a:int,b:int>"), ([(D("0.00000001"),)], [(D("0.00000002"),)], "x decimal(20,8)"),
+    ]
+    for a, b, ddl in different:
+        assert not passed(a, b, ddl) and passed(a, a, ddl) and passed(b, b, ddl), (a, b)
+    assert passed([(0.0,)], [(-0.0,)], "x double")
+    whole, part = spark.createDataFrame([(1,), (100,)], "x int"), spark.createDataFrame([(1.0,), (100.0,)], "x double")
+    assert reconcile.validate_checksum(whole, part).first()["passed"]
+
+
+def test_digest_of_many_groups(spark, monkeypatch):
+    df = spark.range(3000).withColumn("v", F.col("id") % 7)
+    plain = reconcile.table_digest(df).first()[0]
+    monkeypatch.setattr(reconcile, "DIGEST_ROWS", 10)
+    parts = reconcile.table_digest(df.repartition(5)).first()[0]
+    assert parts != plain and parts == reconcile.table_digest(df.orderBy(F.desc("id"))).first()[0]
+    assert parts != reconcile.table_digest(df.withColumn("v", F.when(F.col("id") == 77, 99).otherwise(F.col("v")))).first()[0]
+    assert len(parts) == 32 and reconcile.table_digest(df.limit(0)).first()[0] == reconcile.table_digest(df.limit(0)).first()[0]
+
+
+def test_views_of_the_session_stay(spark):
+    spark.range(3).createOrReplaceTempView("mine")
+    assert scans.query_scan(spark, "SELECT * FROM mine, other", {"mine": spark.range(5).withColumnRenamed("id", "a"), "other": spark.range(2).withColumnRenamed("id", "b")}).count() == 10
+    assert spark.table("mine").count() == 3 and not spark.catalog.tableExists("other")
+    spark.catalog.dropTempView("mine")
+
+
+def test_sharded_scans(spark, tmp_path):
+    spark.range(1, 101).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    for shards, cursor, n in ((4, None, 100), (3, 40, 60), (5, 100, 0), (7, 99, 1)):
+        out = scans.sharded_scan(df, "id", shards, cursor)
+        assert (out.count(), out.distinct().count()) == (n, n)
+    assert scans.sharded_scan(df, "id", 4, 40)._jdf.queryExecution().toString().count("GreaterThan(id,40)") >= 4
+
+
 def test_diff_reports(spark, tmp_path):
     a = spark.createDataFrame([(1, "x"), (2, "y")], "id long, v string")
     b = spark.createDataFrame([(2, "z"), (3, "y")], "id long, v string")
@@ -207,6 +272,45 @@ def test_writes(spark, tmp_path):
         write.write_table(spark.range(1), path, "other")
 
 
+def test_merge_into_keeps_every_row(spark, tmp_path):
+    """Keys of other types, repeated and NULL keys, new columns, a plain table, another number of folders, a run that died."""
+    path = str(tmp_path / "m")
+    write.merge_into(spark, path, spark.range(200).withColumn("v", F.lit("a")), ["id"], buckets=8)
+    for name, source in (("int", spark.range(50).select(F.col("id").cast("int").alias("ID"), F.lit("b").alias("v"))), ("text", spark.range(50, 60).select(F.col("id").cast("string").alias("id"), F.lit("c").alias("v")))):
+        write.merge_into(spark, path, source, ["id"])
+        got = write.merge_table(spark, path)
+        assert (got.count(), got.select("id").distinct().count(), dict(got.dtypes)) == (200, 200, {"id": "bigint", "v": "string"}), name
+    assert write.merge_table(spark, path).groupBy("v").count().where("v = 'b'").first()["count"] == 50
+    with pytest.raises(Exception, match="does not fit"):
+        write.merge_into(spark, path, spark.createDataFrame([("x", "d")], "id string, v string"), ["id"])
+    for keys, n in ((["id"], 16), (["v"], 8)):
+        with pytest.raises(ValueError):
+            write.merge_into(spark, path, spark.range(1).withColumn("v", F.lit("e")), keys, buckets=n)
+    assert write.merge_table(spark, path).where("v in ('a', 'b', 'c')").count() == 200
+    twice = spark.createDataFrame([(7, "x"), (7, "y"), (None, "n"), (None, "n")], "id long, v string")
+    write.merge_into(spark, path, twice, ["id"])
+    got = write.merge_table(spark, path)
+    assert got.where("id = 7").count() == 1 and got.where("id is null").count() == 2 and got.count() == 202
+    wide = spark.createDataFrame([(8, "z", 1.5), (900, "z", 2.5)], "id long, v string, more double")
+    write.merge_into(spark, path, wide, ["id"])
+    assert write.merge_table(spark, path).columns == ["id", "v"]
+    write.merge_into(spark, path, wide, ["id"], evolve=True)
+    got = write.merge_table(spark, path)
+    assert rows(got.where("more is not null")) == [(8, "z", 1.5), (900, "z", 2.5)] and got.count() == 203
+    folder = next(p for p in sorted((tmp_path / "m").iterdir()) if p.name.startswith("key_bucket"))
+    (tmp_path / "m" / "_old_x").mkdir()
+    folder.rename(tmp_path / "m" / "_old_x" / folder.name)
+    write.merge_into(spark, path, spark.createDataFrame([(900, "again")], "id long, v string"), ["id"])
+    got = write.merge_table(spark, path)
+    assert got.count() == 203 and not list((tmp_path / "m").glob("_old_*"))
+    assert rows(got.where("id = 900")) == [(900, "again", 2.5)]  # a column that the source lacks keeps its value
+    plain = str(tmp_path / "plain")
+    write.write_table(spark.range(20).withColumn("v", F.lit("a")), plain)
+    write.merge_into(spark, plain, spark.range(15, 25).withColumn("v", F.lit("b")), ["id"])
+    assert {r["v"]: r["count"] for r in write.merge_table(spark, plain).groupBy("v").count().collect()} == {"a": 15, "b": 10}
+    assert [p.name for p in tmp_path.iterdir() if "staging" in p.name] == []
+
+
 def test_merge_into_rewrites_only_touched_folders(spark, tmp_path):
     path = str(tmp_path / "m")
     write.merge_into(spark, path, spark.range(200).withColumn("v", F.lit("a")), ["id"], buckets=8)
@@ -271,3 +375,6 @@ def test_jdbc_round_trip(spark, tmp_path):
     df = scans.range_scan(spark, url, "events", "id", 4, props)
     assert df.rdd.getNumPartitions() == 4 and df.count() == 100
     assert scans.jdbc_scan(spark, url, 'SELECT * FROM events WHERE "id" > 90;', props).count() == 10
+    late = scans.jdbc_scan(spark, url, "SELECT * FROM events;", props, key="id", cursor=60, shards=3)
+    assert late.rdd.getNumPartitions() == 3 and rows(late.select("id")) == rows(spark.range(61, 101))
+    assert scans.jdbc_scan(spark, url, "SELECT * FROM events", props, key="id", cursor=100, shards=3).count() == 0

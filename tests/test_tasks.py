@@ -3,9 +3,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableflow.functions.masks import MaskRule
+from tableflow.operators import write
 from tableflow.operators.quality import AssertionFailed, Rule
 from tableflow.plans.spec import TaskSpec
-from tableflow.plans.task import run_task
+from tableflow.plans.task import cdc_sync, run_task
 from tableflow.streaming import cdc
 
 
@@ -90,3 +91,105 @@ def test_streams_restart_without_repeats(spark, tmp_path, mode):
     run()
     got = rows(spark.read.parquet(target).select("id", "k", "v"))
     assert got == ([(3, 1, "c"), (4, 2, "d"), (5, 3, "e")] if mode == "merge" else [(1, 1, "a"), (2, 2, "b"), (3, 1, "c"), (4, 2, "d"), (5, 3, "e")])
+
+
+def test_rows_pass_the_function_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def once(r):
+        seen.add(1)
+        return r if r["id"] % 10 else None
+
+    spec = TaskSpec("o", str(tmp_path / "out"), spark.range(100), transform_row=once, transform_schema=T.StructType.fromDDL("id long"), transforms={"id": "? * 2"}, rules=[Rule("not_null", column="id"), Rule("range", column="id", max=150, on_fail="dlq")], dead_letters=str(tmp_path / "d"), validate="checksum")
+    result = run_task(spark, spec)
+    assert (seen.value, result.rows, result.failed, result.validation) == (100, 90, 10 + 22, "passed")
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["d", "out"]
+
+
+@pytest.mark.parametrize("validate", ["row_count", "checksum", "sample"])
+def test_merges_are_validated(spark, tmp_path, validate, monkeypatch):
+    target = str(tmp_path / "m")
+    for ids, ddl, rows_after in ((range(200), "long", 200), (range(150, 300), "int", 300), ([7, 7, 301], "string", 301)):
+        df = spark.createDataFrame([(i,) for i in ids], "i long").select(F.col("i").cast(ddl).alias("id"), F.lit(ddl).alias("v"))
+        result = run_task(spark, TaskSpec("m", target, df, mode="merge", merge_keys=["id"], validate=validate))
+        assert result.validation == "passed" and spark.read.parquet(target).count() == rows_after
+    wide = spark.createDataFrame([(5, "w", 1)], "id long, v string, n int")
+    assert run_task(spark, TaskSpec("m", target, wide, mode="merge", merge_keys=["id"], validate=validate, schema_evolution=True)).validation == "passed"
+    real = write.merge_into
+    monkeypatch.setattr(write, "merge_into", lambda spark, path, source, *a, **k: real(spark, path, source.where("id <> 1000"), *a, **k))
+    lost = run_task(spark, TaskSpec("m", target, spark.createDataFrame([(1000, "x", 1)], "id long, v string, n int"), mode="merge", merge_keys=["id"], validate=validate))
+    assert lost.validation not in ("", "passed")
+
+
+def test_appends_are_validated_as_multisets(spark, tmp_path, monkeypatch):
+    target = str(tmp_path / "a")
+    df = spark.createDataFrame([(1,), (1,), (2,)], "id long")
+    assert [run_task(spark, TaskSpec("a", target, df, mode="append", validate="checksum")).validation for _ in range(2)] == ["passed", "passed"]
+    real = write.write_table
+    monkeypatch.setattr(write, "write_table", lambda df, *a, **k: real(df.distinct(), *a, **k))
+    assert run_task(spark, TaskSpec("a", target, df, mode="append", validate="checksum")).validation.startswith("checksum")
+
+
+def test_catalog_and_database_targets(spark, tmp_path):
+    url = f"jdbc:derby:{tmp_path}/db;create=true"
+    props = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    to_db = {"target": url, "options": {"dbtable": "results", **props}, "staging": str(tmp_path / "stage")}
+    first = run_task(spark, TaskSpec("j", source=spark.range(1, 41), validate="checksum", **to_db))
+    second = run_task(spark, TaskSpec("j", source=spark.range(41, 51), mode="append", validate="row_count", **to_db))
+    assert (first.rows, first.validation, second.rows, second.validation) == (40, "passed", 10, "passed")
+    source = {"url": url, "query": "SELECT * FROM results;", "properties": props}
+    spec = TaskSpec("c", "catalog:from_db", source, mode="append", resume_key="id", initial_cursor=20, shards=3, validate="checksum", rules=[Rule("not_null", column="id")])
+    try:
+        assert (result := run_task(spark, spec)).rows == 30 and result.validation == "passed"
+        more = TaskSpec("c", "catalog:from_db", spark.createDataFrame([("x", 99)], "more string, id long"), mode="append", schema_evolution=True)
+        run_task(spark, more)
+        assert rows(spark.table("from_db").where("id > 49")) == [(50, None), (99, "x")]
+        run_task(spark, TaskSpec("c", "catalog:from_db", spark.range(2)))
+        assert rows(spark.table("from_db")) == [(0,), (1,)]
+    finally:
+        spark.sql("DROP TABLE IF EXISTS from_db")
+    for broken in ({"mode": "merge", "merge_keys": ["id"], "target": "catalog:x"}, {"target": "jdbc:x"}, {"shards": 2}):
+        with pytest.raises(ValueError):
+            TaskSpec(**({"name": "n", "target": "t", "source": spark.range(1)} | broken))
+
+
+def test_rounds_of_several_tasks(spark, tmp_path):
+    """Two tasks with an interval and one without: a first run of all, then rounds of the two at the smaller interval."""
+    source = str(tmp_path / "src")
+    spark.range(5).write.parquet(source)
+    waited = []
+
+    def more(seconds):
+        waited.append(seconds)
+        n = spark.read.parquet(source).count()
+        spark.range(n, n + 3).write.mode("append").parquet(source)
+
+    table = lambda: f"SELECT * FROM parquet.`{source}` WHERE id > :last_value"
+    specs = [TaskSpec(n, str(tmp_path / n), table(), mode="append", resume_key="id", initial_cursor=-1, state=str(tmp_path / "state"), interval=s) for n, s in (("a", 5.0), ("b", 2.0))]
+    specs.append(TaskSpec("once", str(tmp_path / "once"), spark.range(2)))
+    results = cdc_sync(spark, specs, rounds=2, wait=more)
+    assert waited == [2.0, 2.0] and [[r.rows for r in x] for x in results] == [[5, 5, 2], [3, 3], [3, 3]]
+    assert spark.read.parquet(str(tmp_path / "a")).count() == 11
+    with pytest.raises(ValueError):
+        cdc_sync(spark, [TaskSpec("x", str(tmp_path / "x"), spark.range(1), interval=1.0)], 1)
+
+
+def test_hooks_run_in_order(spark, tmp_path):
+    spark.sql(f"CREATE TABLE hooks (n INT, what STRING) USING parquet LOCATION '{tmp_path}/hooks'")
+    try:
+        run_task(spark, TaskSpec("h", str(tmp_path / "out"), spark.range(3), pre_sql=["INSERT INTO hooks VALUES (1, 'before');"], post_sql=["INSERT INTO hooks SELECT count(*), 'after' FROM parquet.`" + str(tmp_path / "out") + "`"]))
+        assert rows(spark.table("hooks")) == [(1, "before"), (3, "after")]
+        with pytest.raises(Exception, match="nothing_here"):
+            run_task(spark, TaskSpec("h", str(tmp_path / "no"), spark.range(3), pre_sql=["DROP TABLE nothing_here"]))
+        assert not (tmp_path / "no").exists()
+    finally:
+        spark.sql("DROP TABLE hooks")
+
+
+def test_state_tables_are_compacted(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(cdc, "COMPACT", 4)
+    path = str(tmp_path / "s")
+    for i in range(12):
+        cdc.save_cursor(spark, path, "ab"[i % 2], i)
+    assert (cdc.load_cursor(spark, path, "a"), cdc.load_cursor(spark, path, "b")) == ("10", "11")
+    assert len(list((tmp_path / "s").glob("*.parquet"))) <= 4
