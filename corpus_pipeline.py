@@ -30,14 +30,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts (ASCII case aside) the row with the largest doc_id stays."""
-    gone = exact_dedup.exact_dedup(docs).where("not kept").select("doc_id")
-    return docs.select(*COLUMNS).join(common.small_side(gone), "doc_id", "left_anti").select(*COLUMNS)
+    return exact_dedup.without_copies(docs.select(*COLUMNS))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the smallest doc_id stays."""
-    gone = ngram_join.jaccard_components(docs).where("doc_id <> component_id").select("doc_id")
-    return docs.select(*COLUMNS).join(common.small_side(gone), "doc_id", "left_anti").select(*COLUMNS)
+    return ngram_join.without_near_copies(docs.select(*COLUMNS))
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

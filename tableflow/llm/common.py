@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows and bytes that a function gets at a time. Spark's own Arrow batches end at 64 MB; working copies of texts are larger.
@@ -106,3 +106,43 @@ def small_side(ids: DataFrame, rows: int = 1_000_000) -> DataFrame:
 def partitions(spark: SparkSession, size: int = 0, each: int = PARTITION_BYTES) -> int:
     """The session's number of shuffle partitions, or more where so many bytes need them."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // each))
+
+
+#: Rows of one key that a join leaves in one task, at least.
+HOT_ROWS = 200
+
+
+def spread_join(big: DataFrame, small: DataFrame, key: str, counts: DataFrame, total: int, how: str) -> DataFrame:
+    """big joined with small (one row a key), where the rows of a frequent key are dealt over several tasks.
+
+    counts (key, n) says how many rows of big a key has, of so many in all. A key is frequent from a quarter of a task's
+    even share, so there are four times as many of them as tasks at most, and their list can be broadcast.
+    """
+    even = max(HOT_ROWS, total // (4 * partitions(big.sparkSession)))
+    hot = F.broadcast(counts.where(F.col("n") > even).select(key, F.ceil(F.col("n") / even).cast("int").alias("_parts")))
+    others = [F.col(f"`{c}`") for c in big.columns if c != key]
+    dealt = big.join(hot, key, "left").withColumn("_part", F.when(F.col("_parts").isNull(), 0).otherwise(F.pmod(F.xxhash64(*others), F.col("_parts")).cast("int"))).drop("_parts")
+    each = small.join(hot, key, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1))).drop("_parts")
+    return dealt.join(each, [key, "_part"], how).drop("_part")
+
+
+def surviving(docs: DataFrame, groups: DataFrame, text_key: Column, id_col: str) -> DataFrame:
+    """The rows of docs, with all their columns, but for those that do not stay; of rows repeated as a whole one stays.
+
+    groups (doc_id, text_key, stays) has every row of docs that belongs to a group of copies; a row is known by its id and
+    the key of its text, as an id may have several texts.
+    """
+    own_id, own_key = (next(n for k in range(len(docs.columns) + 1) if (n := f"_{what}{k}") not in docs.columns) for what in ("id", "key"))
+    pairs = saved(groups.groupBy(F.col("doc_id").alias(own_id), F.col("text_key").alias(own_key)).agg(F.max("stays").alias("_stays"), F.count("*").alias("_n")))
+
+    def same(side: DataFrame) -> Column:
+        return F.col(f"`{id_col}`").cast("long").eqNullSafe(side[own_id]) & (text_key == side[own_key])
+
+    gone = small_side(pairs.where("not _stays").select(own_id, own_key))
+    left = docs.join(gone, same(gone), "left_anti")
+    again = pairs.where("_stays and _n > 1").select(own_id, own_key)
+    if again.isEmpty():
+        return left
+    again = small_side(again)
+    one = left.join(again, same(again)).groupBy(own_id, own_key).agg(F.first(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("_row")).select("_row.*")
+    return left.join(again, same(again), "left_anti").unionByName(one)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import common
 from .common import saved
 
 
@@ -15,21 +16,26 @@ def _state(edges: DataFrame) -> tuple:
 def components(links: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:
     """node, root: every node that has a link, with the smallest node it can reach.
 
-    Links may repeat, point either way or at themselves; null ends are ignored. A node with a very long list of
-    neighbours stays a join of rows with one row of its least neighbour, never a gathered list.
+    Links may repeat, point either way or at themselves; null ends are ignored. A node with a very long list of neighbours
+    stays a join of rows with one row of its least neighbour, dealt over as many tasks as it needs, never a gathered list.
     """
     links = links.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a is not null and b is not null")
     nodes = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    # every edge points from the greater node to the smaller
     edges = saved(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     state = _state(edges)
     for _ in range(rounds):
         if not state[0]:
             break
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = both.join(least, "a").where("b > a and b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        down = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(down, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.a", "e.b")
+        # large star: the greater neighbours of a node go to its least neighbour, or stay with it where it has none smaller
+        least = edges.groupBy(F.col("a").alias("at")).agg(F.min("b").alias("m"))
+        hubs = edges.groupBy(F.col("b").alias("at")).agg(F.count("*").alias("n"))
+        up = common.spread_join(edges.select(F.col("b").alias("at"), "a"), least, "at", hubs, state[0], "left")
+        large = up.select("a", F.coalesce("m", "at").alias("b")).distinct()
+        # small star: the smaller neighbours of a node go to the least of them, and so does the node
+        down = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+        met = common.spread_join(large, down.drop("n"), "a", down.select("a", "n"), state[0], "inner")
+        small = met.select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.a", "e.b")
         edges = saved(small.where("a <> b").distinct())
         now = _state(edges)
         if now == state:

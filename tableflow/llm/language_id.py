@@ -6,10 +6,12 @@ hasn't seen it costs its escape probability (method C: distinct followers agains
 frozen after training, so a text's code length is exact and does not depend on what was scored before. The language
 with the least code length wins; the score is its share of the posterior under equal priors.
 
-Training reads at most ``per_language`` documents of each language, chosen by a hash of their id among those whose
-text and language are not null (and which the caller did not hold out). A null text or one without a letter is
-``und`` with score 0; so is every text when nothing could be learned. Ties go to the first language by name. Repeated
-rows give repeated results; an empty table gives an empty result.
+Training reads at most ``per_language`` documents and ``language_bytes`` bytes of each language, the first by a hash of their id
+and text among those whose text and language are not null (and which the caller did not hold out); the first one always. A null
+text or one without a letter is ``und`` with score 0; so is every text when nothing could be learned. Ties go to the first
+language by name. Code lengths of frequent byte pairs are tabled in single precision, so a length is exact to seven digits. A
+row without an id is scored like any other, repeated rows give repeated results, other columns cannot clash; an empty table gives
+an empty result.
 """
 
 from __future__ import annotations
@@ -18,15 +20,15 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
 
 ORDER = 3
 START = b"\n" * ORDER
-#: Frequent byte pairs for which code lengths are tabled; other positions take the trees themselves.
-PAIRS = 1024
+#: Frequent byte pairs for which code lengths are tabled (fewer of them for many languages, by the bytes of the table); other positions take the trees themselves.
+PAIRS, TABLE_BYTES = 1024, 64 << 20
 UNKNOWN = "und"
 _ASCII_LETTER = re.compile("[A-Za-z]")
 
@@ -77,7 +79,8 @@ class Model:
         pairs = np.zeros(65536, np.int64)
         for tree in self.trees:
             np.add.at(pairs, tree.grams[1], tree.counts[1])
-        top = np.argsort(-pairs, kind="stable")[: min(PAIRS, np.count_nonzero(pairs))]
+        most = min(PAIRS, int((TABLE_BYTES / 4 / max(len(self.trees), 1)) ** 0.5) - 1)
+        top = np.argsort(-pairs, kind="stable")[: min(most, np.count_nonzero(pairs))]
         top = np.sort(top).astype(np.uint32)
         self.pair_id = np.full(65536, len(top), np.int32)
         self.pair_id[top] = np.arange(len(top))
@@ -122,27 +125,27 @@ class Model:
         return [self.languages[k] if ok else UNKNOWN for k, ok in zip(best, letters, strict=True)], [float(s) if ok else 0.0 for s, ok in zip(share, letters, strict=True)]
 
 
-def train(docs: DataFrame, lang_col: str = "lang", per_language: int = 300, id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """Fit on at most per_language documents of each language."""
+def train(docs: DataFrame, lang_col: str = "lang", per_language: int = 300, language_bytes: int = 8 << 20, id_col: str = "doc_id", text_col: str = "text") -> Model:
+    """Fit on at most per_language documents, and language_bytes bytes but for the first document, of each language."""
     known = common.texts_of(docs, id_col, text_col, lang_col).withColumnRenamed(lang_col, "lang").where("text is not null and lang is not null")
     texts: dict[str, list[bytes]] = {}
-    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row for each language
     if counts:
         scale = 1 << 30
-        # twice the expected share, then the first per_language by hash: no sort of all texts
+        # twice the expected share by their hash, then the first of those: no sort of all texts
         bound = F.create_map(*[x for k, n in sorted(counts.items()) for x in (F.lit(k), F.lit(int(scale * min(1, 2 * per_language / n))))])
-        draw = F.pmod(F.xxhash64("doc_id"), F.lit(scale))
-        some = known.withColumn("draw", draw).where(F.col("draw") < bound[F.col("lang")])
-        rows = some.select("lang", "draw", "doc_id", "text").limit(4 * per_language * len(counts)).collect()
-        for r in sorted(rows, key=lambda r: (r["lang"], r["draw"], r["doc_id"])):
-            if len(own := texts.setdefault(r["lang"], [])) < per_language:
-                own.append(r["text"].encode("utf-8", "replace"))
+        some = known.withColumn("draw", F.pmod(F.xxhash64("doc_id", "text"), F.lit(scale))).where(F.col("draw") < bound[F.col("lang")])
+        first = Window.partitionBy("lang").orderBy("draw", "doc_id", "text")
+        so_far = F.sum(F.octet_length("text")).over(first.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        some = some.withColumns({"place": F.row_number().over(first), "so_far": so_far})
+        for r in some.where((F.col("place") <= per_language) & ((F.col("so_far") <= language_bytes) | (F.col("place") == 1))).orderBy("lang", "place").collect():
+            texts.setdefault(r["lang"], []).append(r["text"].encode("utf-8", "replace"))
     return Model(texts)
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, lang_pred, score for every row."""
-    frozen = docs.sparkSession.sparkContext.broadcast(model)  # bounded by per_language and PAIRS
+    frozen = docs.sparkSession.sparkContext.broadcast(model)  # for each language a tree of language_bytes at most; one table of TABLE_BYTES
 
     def score(b: pa.RecordBatch) -> dict:
         pred, share = frozen.value.predict(common.strings(b.column("text")))

@@ -3,19 +3,25 @@
 A document's set holds the hashes of its distinct word n-grams. Documents with the same set are one set from then on.
 Linked sets share at least ``similarity`` of the larger one, which gives an exact filter: only sets with that share of
 n-grams that occur in another set can link. It runs twice, over all sets and over those left, as packed blocks of
-sorted hashes. Of the sets that remain, the n-grams are ordered by how many sets hold them (rarest first); linked sets
-share one of their first |x| - ceil(similarity |x|) + 1. All sets that share such an n-gram meet in the bucket of the
-least of them, so a group of near copies meets in a few buckets rather than in one for each n-gram.
+sorted hashes; what a task finds in two of its own sets is sent once, so a very common n-gram stays small. Of the sets that
+remain, the n-grams are ordered by how many sets hold them (rarest first). The larger of two linked sets, y, has their first
+shared n-gram among its first |y| - ceil(similarity |y|) + 1, the smaller, x, among its first |x| - ceil(2 similarity /
+(1 + similarity) |x|) + 1, since they share that much of x. An n-gram counts if some set holds it so early as a smaller one. All
+sets that hold such an n-gram early meet in the bucket of the least of them, so a group of near copies meets in a few buckets
+rather than in one for each n-gram.
 
 In a bucket the sets go into a prefix tree with common n-grams first. Each set walks the tree; sets below a node share
-the overlap counted on the way to it, and a subtree is left out when even all remaining n-grams cannot reach the
-similarity, or when it is linked already. A bucket that exceeds ``BLOCK`` sets is cut into blocks which each hold the
-bucket's first set; sets that end up linked to it need no further comparison among themselves, and only the rest is
-compared across blocks. Every link that is kept has been counted exactly.
+the overlap counted on the way to it, and a subtree is left out when even all remaining n-grams that it could share cannot
+reach the similarity, or when it is linked already. N-grams that no other set of the bucket has are counted in the sizes alone.
+A bucket that exceeds ``BLOCK`` sets is cut into blocks which each hold the bucket's first set; sets that end up linked to
+it need no further comparison among themselves, and only the rest is compared across blocks. Every link that is kept has
+been counted exactly.
 
 Words are separated by ASCII white space and lower-cased A-Z. With fewer than n words the whole sequence is the one
 n-gram; null and empty texts and those without words have an empty set, link with nothing and are their own component.
-Rows that repeat a doc_id are separate rows with one id. An empty table gives an empty result.
+Sets are known by 128 bits. Rows that repeat a doc_id are separate rows with one id. A row without an id takes part in links
+and gives its component no id; where no row of a component has one, component_id is NULL. Other columns cannot clash. An
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -23,6 +29,7 @@ from __future__ import annotations
 import hashlib
 import string
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +45,10 @@ N = 5
 SIMILARITY = 0.75
 #: Sets of one bucket that one task compares.
 BLOCK = 250
-#: Sets and n-grams that a task holds before it hands on its blocks.
-CHUNK_SETS, CHUNK_GRAMS = 60_000, 2_000_000
+#: Sets, rows and n-grams that a task holds before it hands on its blocks.
+CHUNK_SETS, CHUNK_ROWS, CHUNK_GRAMS = 60_000, 200_000, 2_000_000
+#: Packed bytes of an n-gram, about.
+GRAM_BYTES = 5
 #: Bits of a hash that the filter compares beyond those that number all n-grams; equal ones by chance only let more sets pass.
 SPARE_BITS = 13
 #: Ids of documents that may be broadcast (eight bytes each); more are joined by a shuffle.
@@ -79,8 +88,9 @@ def shingles(text: bytes, n: int = N) -> np.ndarray:
     return np.unique(x)
 
 
-def set_id(grams: np.ndarray) -> int:
-    return int.from_bytes(hashlib.blake2b(grams.tobytes(), digest_size=8).digest(), "little", signed=True)
+def set_id(grams: np.ndarray) -> bytes:
+    """128 bits of a set."""
+    return xxhash.xxh3_128_digest(grams.tobytes())
 
 
 def linked(overlap: int, a: int, b: int, percent: int) -> bool:
@@ -89,7 +99,7 @@ def linked(overlap: int, a: int, b: int, percent: int) -> bool:
 
 
 class PrefixTree:
-    """A compressed trie of sets in one order; every node knows its depth and the sizes of the sets below it."""
+    """A compressed trie of sets in one order; every node knows its depth, and of the sets below it the sizes and the longest path."""
 
     def __init__(self, sets: list[np.ndarray], percent: int):
         self.percent = percent
@@ -97,15 +107,18 @@ class PrefixTree:
         grams, where, counts = np.unique(flat, return_inverse=True, return_counts=True)
         rank = np.empty(len(grams), np.int64)
         rank[np.lexsort((grams, -counts))] = np.arange(len(grams))  # common n-grams first: long shared paths
+        common_to_some = int((counts > 1).sum())  # the others can be in no overlap
         ranked, at = rank[where], 0
         self.sets: list[np.ndarray] = []
         for s in sets:
-            self.sets.append(np.sort(ranked[at : at + len(s)]))
+            own = ranked[at : at + len(s)]
+            self.sets.append(np.sort(own[own < common_to_some]))
             at += len(s)
         self.order = sorted(range(len(sets)), key=lambda i: self.sets[i].astype(">i8").tobytes())
-        self.sizes = np.array([len(self.sets[i]) for i in self.order])
+        self.sizes = np.array([len(sets[i]) for i in self.order])
+        self.lengths = np.array([len(self.sets[i]) for i in self.order])
         self.mask = np.zeros(len(grams), bool)
-        # nodes: (labels of the edge to it, depth, first leaf, last leaf + 1, least size, greatest size, children)
+        # nodes: (labels of the edge to it, depth, first leaf, last leaf + 1, least size, greatest size, longest path, children)
         self.root = self._grow(0, len(self.order), 0)
 
     def _common(self, a: np.ndarray, b: np.ndarray) -> int:
@@ -124,7 +137,7 @@ class PrefixTree:
             children = []
             if hi - lo > 1:
                 a = lo
-                while a < hi and len(self.sets[self.order[a]]) == end:  # sets that end here
+                while a < hi and self.lengths[a] == end:  # sets that end here
                     a += 1
                 while a < hi:
                     head = self.sets[self.order[a]][end]
@@ -135,43 +148,41 @@ class PrefixTree:
                     children.append((a, left + 1, end))
                     a = left + 1
             if ready or not children:
-                nodes[lo, hi, start] = (first[start:end], end, lo, hi, int(self.sizes[lo:hi].min()), int(self.sizes[lo:hi].max()), [nodes.pop(c) for c in children])
+                nodes[lo, hi, start] = (first[start:end], end, lo, hi, int(self.sizes[lo:hi].min()), int(self.sizes[lo:hi].max()), int(self.lengths[lo:hi].max()), [nodes.pop(c) for c in children])
             else:
                 work.append((lo, hi, start, True))
                 work += [(*c, False) for c in children]
         return nodes[low, high, depth]
 
-    def _hopeless(self, size: int, overlap: int, left: int, depth: int, least: int, most: int) -> bool:
-        """Whether no set below the node can be similar, whatever follows; the bound is best where depth + left n-grams end."""
-        s = min(max(depth + left, least), most)
-        return not linked(overlap + min(left, s - depth), size, s, self.percent)
+    def _hopeless(self, size: int, overlap: int, left: int, depth: int, least: int, most: int, longest: int) -> bool:
+        """Whether no set below the node can be similar, whatever follows; the bound is best for a set that ends with what can be shared."""
+        more = min(left, longest - depth)
+        s = min(max(depth + more, least), most)
+        return not linked(overlap + min(more, s - depth), size, s, self.percent)
 
     def join(self) -> list[tuple[int, int]]:
         """A spanning forest of the similar pairs, as places in the list of sets."""
         n, out = len(self.order), []
         label = np.arange(n)
         for i in range(n):
-            probe = self.sets[self.order[i]]
-            size = len(probe)
+            probe, size = self.sets[self.order[i]], int(self.sizes[i])
             self.mask[probe] = True
             stack = [(self.root, 0, 0)]
             while stack:
-                (labels, depth, lo, hi, least, most, children), overlap, used = stack.pop()
+                (labels, depth, lo, hi, least, most, longest, children), overlap, used = stack.pop()
                 if hi <= i or (label[lo:hi] == label[i]).all():
                     continue
-                left = size - used
-                if self._hopeless(size, overlap, left, depth - len(labels), least, most):
+                if self._hopeless(size, overlap, len(probe) - used, depth - len(labels), least, most, longest):
                     continue
                 if len(labels):
                     overlap += int(np.count_nonzero(self.mask[labels]))
                     used = int(np.searchsorted(probe, labels[-1], "right"))
-                    left = size - used
-                    if self._hopeless(size, overlap, left, depth, least, most):
+                    if self._hopeless(size, overlap, len(probe) - used, depth, least, most, longest):
                         continue
                 stack += [(c, overlap, used) for c in children]
                 a = lo
-                while a < hi and self.sizes[a] == depth:
-                    if label[a] != label[i] and linked(overlap, size, depth, self.percent):
+                while a < hi and self.lengths[a] == depth:
+                    if label[a] != label[i] and linked(overlap, size, int(self.sizes[a]), self.percent):
                         out.append((self.order[i], self.order[a]))
                         label[label == label[a]] = label[i]
                     a += 1
@@ -179,38 +190,41 @@ class PrefixTree:
         return out
 
 
-def _hashes(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id, n_shingles, sid (null without words) of every row."""
+#: What a chunk knows of each of its rows; place: of its set in the chunk, -1 for an empty one.
+_ROW = np.dtype([("doc_id", "<i8"), ("null", "?"), ("place", "<i4"), ("key", "V16")])
 
-    def run(b: pa.RecordBatch) -> dict:
-        sets = [shingles(t, n) for t in common.raw(b.column("text"))]
-        return {"doc_id": b.column("doc_id"), "n_shingles": [len(s) for s in sets], "sid": [set_id(s) if len(s) else None for s in sets]}
 
-    return common.map_arrow(docs, run, "doc_id long, n_shingles long, sid long")
+class _Row(NamedTuple):
+    doc_id: int | None
+    sid: bytes | None
+    grams: np.ndarray
+    key: bytes
 
 
-def _sets(docs: DataFrame, n: int) -> DataFrame:
-    """sid, grams (sorted, eight bytes each)."""
+def _of_texts(n: int, keyed: bool) -> Callable[[pa.RecordBatch], Iterator[_Row]]:
+    """The rows of a table of texts; keyed: with the MD5 of each text."""
 
-    def run(b: pa.RecordBatch) -> dict | None:
-        sets = [s for t in common.raw(b.column("text")) if len(s := shingles(t, n))]
-        return {"sid": [set_id(s) for s in sets], "grams": [s.tobytes() for s in sets]}
+    def rows(b: pa.RecordBatch) -> Iterator[_Row]:
+        for doc_id, text in zip(b.column("doc_id").to_pylist(), common.raw(b.column("text")), strict=True):
+            s = shingles(text, n)
+            yield _Row(doc_id, set_id(s) if len(s) else None, s, hashlib.md5(text).digest() if keyed else bytes(16))
 
-    return common.map_arrow(docs, run, "sid long, grams binary")
+    return rows
 
 
-def _of_texts(n: int) -> Callable[[pa.RecordBatch], Iterator[tuple[int, np.ndarray]]]:
-    def sets(b: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
-        for text in common.raw(b.column("text")):
-            if len(s := shingles(text, n)):
-                yield set_id(s), s
+def _of_sets(b: pa.RecordBatch) -> Iterator[_Row]:
+    for sid, data in zip(b.column("sid").to_pylist(), b.column("grams").to_pylist(), strict=True):
+        yield _Row(None, sid, np.frombuffer(data, np.uint64), bytes(16))
 
-    return sets
 
+def _sets(docs: DataFrame, n: int) -> DataFrame:
+    """sid, grams (sorted, eight bytes each)."""
 
-def _of_sets(b: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
-    for sid, data in zip(b.column("sid").to_pylist(), b.column("grams").to_pylist(), strict=True):
-        yield sid, np.frombuffer(data, np.uint64)
+    def run(b: pa.RecordBatch) -> dict:
+        sets = [s for t in common.raw(b.column("text")) if len(s := shingles(t, n))]
+        return {"sid": [set_id(s) for s in sets], "grams": [s.tobytes() for s in sets]}
+
+    return common.map_arrow(docs, run, "sid binary, grams binary")
 
 
 def _steps(grams: np.ndarray) -> bytes:
@@ -229,96 +243,143 @@ def _from_steps(data: bytes) -> np.ndarray:
     return np.cumsum(np.concatenate([np.frombuffer(data, "<u8", 1, 1), steps.view("<u8").ravel()]), dtype=np.uint64)
 
 
-def _shared_enough(sets: DataFrame, percent: int, parse: Callable[[pa.RecordBatch], Iterator[tuple[int, np.ndarray]]], total: int) -> DataFrame:
-    """sid of the sets of which enough n-grams occur in more than one set (of those that parse finds in the rows; total n-grams in all)."""
+_COUNTED = "chunk long, sids binary, sizes binary, own binary, rows binary, counts binary"
+
+
+def _counted(sets: DataFrame, parse: Callable[[pa.RecordBatch], Iterator[_Row]], total: int) -> DataFrame:
+    """For each chunk of rows its sets, its rows, and how many n-grams of each set are in another set too (total: n-grams in all, at most)."""
     bits = min(64, max(32, total.bit_length() + SPARE_BITS))
-    buckets = max(1, min(4 * common.partitions(sets.sparkSession), total // 100_000))
-    schema = "bucket int, chunk long, grams binary, members binary"
+    parts = common.partitions(sets.sparkSession, GRAM_BYTES * total)
+    buckets = max(1, min(4 * parts, total // 100_000))
+    schema = "bucket int, chunk long, grams binary, members binary, several binary, own binary, rows binary"
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Hashes by range, sorted; beside each the place of its set in the chunk. The chunk's sets come as bucket -1."""
+        """Hashes by range, sorted, each once, with the place of its set in the chunk, or a flag where several sets have it. The chunk's sets and rows come as a bucket below 0."""
         task, made = TaskContext.get().partitionId(), 0
-        held: dict[int, np.ndarray] = {}
+        held: dict[bytes, np.ndarray] = {}
+        places: dict[bytes, int] = {}
+        rows: list[tuple] = []
         count = 0
 
-        def rows() -> pa.RecordBatch:
-            chunk = task << 24 | made
-            sizes = np.array([len(g) for g in held.values()])
-            grams = np.concatenate(list(held.values())) >> np.uint64(64 - bits)
+        def chunk_rows() -> pa.RecordBatch:
+            if made >> 16:
+                raise OverflowError("a task has too many rows: use more partitions")
+            chunk = task << 16 | made
+            sizes = np.array([len(g) for g in held.values()], np.int64)
+            grams = np.concatenate(list(held.values())) >> np.uint64(64 - bits) if held else np.zeros(0, np.uint64)
             members = np.repeat(np.arange(len(sizes), dtype=np.uint16), sizes)
             order = np.argsort(grams, kind="stable")
             grams, members = grams[order], members[order]
+            first = np.r_[True, grams[1:] != grams[:-1]][: len(grams)]
+            again = np.r_[~first[1:], False][: len(grams)]
+            own = np.bincount(members[~first | again], minlength=len(sizes))  # found in two of the chunk's own sets
+            grams, members, several = grams[first], members[first], again[first]
             bucket = ((grams >> np.uint64(bits - 32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-            edges = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True])
-            out: dict[str, list] = {"bucket": [-1 - chunk % buckets], "chunk": [chunk], "grams": [np.array(list(held), np.int64).tobytes()], "members": [sizes.astype(np.int64).tobytes()]}
+            edges = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True]) if len(bucket) else []
+            out: dict[str, list] = {"bucket": [-1 - chunk % buckets], "chunk": [chunk], "grams": [b"".join(held)], "members": [sizes.tobytes()], "several": [None], "own": [own.astype(np.uint32).tobytes()], "rows": [np.array(rows, _ROW).tobytes()]}
             for a, b in zip(edges[:-1], edges[1:], strict=True):
-                for k, v in zip(out, (int(bucket[a]), chunk, _steps(grams[a:b]), members[a:b].tobytes()), strict=True):
+                for k, v in zip(out, (int(bucket[a]), chunk, _steps(grams[a:b]), members[a:b].tobytes(), np.packbits(several[a:b]).tobytes(), None, None), strict=True):
                     out[k].append(v)
             return common.record(out, schema)
 
-        for b in batches:
-            for sid, grams in parse(b):
-                if sid not in held:
-                    held[sid] = grams
-                    count += len(grams)
-                if len(held) >= CHUNK_SETS or count >= CHUNK_GRAMS:
-                    yield rows()
-                    held, count, made = {}, 0, made + 1
-        if held:
-            yield rows()
+        for batch in batches:
+            for b in common.slices(batch):
+                for row in parse(b):
+                    if row.sid is not None and row.sid not in held:
+                        places[row.sid] = len(held)
+                        held[row.sid] = row.grams
+                        count += len(row.grams)
+                    rows.append((row.doc_id or 0, row.doc_id is None, -1 if row.sid is None else places[row.sid], row.key))
+                    if len(held) >= CHUNK_SETS or len(rows) >= CHUNK_ROWS or count >= CHUNK_GRAMS:
+                        yield chunk_rows()
+                        held, places, rows, count, made = {}, {}, [], 0, made + 1
+        if rows:
+            yield chunk_rows()
 
     def count_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """For each chunk how many n-grams of each set were seen in another one, in the buckets of this task."""
+        """For each chunk how many n-grams of each set were seen in another chunk, in the buckets of this task."""
         shared: dict[int, np.ndarray] = {}
-        out_schema = "chunk long, sids binary, sizes binary, counts binary"
 
-        def close(now: list[tuple[int, bytes, bytes]]) -> None:
-            grams, members, owner = [], [], []
-            for i, (_, data, places) in enumerate(now):
+        def close(now: list[tuple[int, bytes, bytes, bytes]]) -> None:
+            grams, members, flags, owner = [], [], [], []
+            for i, (_, data, places, several) in enumerate(now):
                 grams.append(_from_steps(data))
                 members.append(np.frombuffer(places, np.uint16))
+                flags.append(np.unpackbits(np.frombuffer(several, np.uint8), count=len(members[-1])).astype(bool))
                 owner.append(np.full(len(members[-1]), i, np.int32))
-            g, m, o = np.concatenate(grams), np.concatenate(members), np.concatenate(owner)
+            g, m, f, o = (np.concatenate(x) for x in (grams, members, flags, owner))
             order = np.argsort(g, kind="stable")
-            g, m, o = g[order], m[order], o[order]
+            g, m, f, o = g[order], m[order], f[order], o[order]
             same = g[1:] == g[:-1]
-            more = np.r_[same, False] | np.r_[False, same]
-            for i, (chunk, _, _) in enumerate(now):
-                c = np.bincount(m[more & (o == i)], minlength=1)
+            more = (np.r_[same, False] | np.r_[False, same]) & ~f  # those with the flag are counted in their chunk
+            m, o = m[more], o[more]
+            order = np.argsort(o, kind="stable")
+            m, o = m[order], o[order]
+            for i, a, b in zip(*_runs(o), strict=True):
+                chunk = now[i][0]
+                c = np.bincount(m[a:b], minlength=1)
                 old = shared.get(chunk, np.zeros(0, np.int64))
                 n = max(len(c), len(old))
                 shared[chunk] = np.pad(c, (0, n - len(c))) + np.pad(old, (0, n - len(old)))
 
         current, now = None, []
         for b in batches:
-            for bucket, chunk, grams, members in zip(*(b.column(c).to_pylist() for c in ("bucket", "chunk", "grams", "members")), strict=True):
+            for bucket, chunk, grams, members, several, own, rows in zip(*(b.column(c).to_pylist() for c in ("bucket", "chunk", "grams", "members", "several", "own", "rows")), strict=True):
                 if bucket < 0:
-                    yield common.record({"chunk": [chunk], "sids": [grams], "sizes": [members], "counts": [None]}, out_schema)
+                    yield common.record({"chunk": [chunk], "sids": [grams], "sizes": [members], "own": [own], "rows": [rows], "counts": [None]}, _COUNTED)
                     continue
                 if bucket != current and now:
                     close(now)
                     now = []
                 current = bucket
-                now.append((chunk, grams, members))
+                now.append((chunk, grams, members, several))
         if now:
             close(now)
-        if shared:
-            yield common.record({"chunk": list(shared), "sids": [None] * len(shared), "sizes": [None] * len(shared), "counts": [c.astype(np.uint32).tobytes() for c in shared.values()]}, out_schema)
+        for chunk, c in shared.items():
+            yield common.record({"chunk": [chunk], "sids": [None], "sizes": [None], "own": [None], "rows": [None], "counts": [c.astype(np.uint32).tobytes()]}, _COUNTED)
+
+    packed = sets.mapInArrow(blocks, schema).repartition(parts, "bucket").sortWithinPartitions("bucket")
+    return packed.mapInArrow(count_shared, _COUNTED)
+
+
+def _runs(values: np.ndarray) -> tuple[list[int], list[int], list[int]]:
+    """Value, start and end of the runs of equal values."""
+    edges = np.flatnonzero(np.r_[True, values[1:] != values[:-1], True]) if len(values) else np.zeros(1, np.int64)
+    return values[edges[:-1]].tolist(), edges[:-1].tolist(), edges[1:].tolist()
+
+
+def _rows_of(counted: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, sid (NULL without words), key, place (a number of the set that no other set has)."""
+
+    def run(b: pa.RecordBatch) -> dict | None:
+        out: dict[str, list] = {k: [] for k in ("doc_id", "n_shingles", "sid", "key", "place")}
+        for chunk, sids, sizes, rows in zip(*(b.column(c).to_pylist() for c in ("chunk", "sids", "sizes", "rows")), strict=True):
+            rows, sizes = np.frombuffer(rows, _ROW), np.frombuffer(sizes, np.int64)
+            place = rows["place"].tolist()
+            out["doc_id"] += [None if none else i for i, none in zip(rows["doc_id"].tolist(), rows["null"].tolist(), strict=True)]
+            out["n_shingles"] += [0 if p < 0 else int(sizes[p]) for p in place]
+            out["sid"] += [None if p < 0 else sids[16 * p : 16 * p + 16] for p in place]
+            out["key"] += [k.tobytes() for k in rows["key"]]
+            out["place"] += [None if p < 0 else chunk << 16 | p for p in place]
+        return out
+
+    return common.map_arrow(counted.where("rows is not null").select("chunk", "sids", "sizes", "rows"), run, "doc_id long, n_shingles long, sid binary, key binary, place long")
+
+
+def _shared_enough(counted: DataFrame, percent: int) -> DataFrame:
+    """sid of the sets of which enough n-grams occur in more than one set."""
 
     def decide(table: pa.Table) -> pa.Table:
-        sids = sizes = None
-        total = np.zeros(CHUNK_SETS + 1, np.int64)
-        for a, b, c in zip(*(table.column(k).to_pylist() for k in ("sids", "sizes", "counts")), strict=True):
+        sids, sizes, total = b"", np.zeros(0, np.int64), np.zeros(CHUNK_SETS + 1, np.int64)
+        for a, b, own, c in zip(*(table.column(k).to_pylist() for k in ("sids", "sizes", "own", "counts")), strict=True):
             if c is None:
-                sids, sizes = np.frombuffer(a, np.int64), np.frombuffer(b, np.int64)
-            else:
-                c = np.frombuffer(c, np.uint32)
-                total[: len(c)] += c
-        return pa.table({"sid": sids[100 * total[: len(sids)] >= percent * sizes]})
+                sids, sizes, c = a, np.frombuffer(b, np.int64), own
+            c = np.frombuffer(c, np.uint32)
+            total[: len(c)] += c
+        passed = np.flatnonzero(100 * total[: len(sizes)] >= percent * sizes)
+        return pa.table({"sid": pa.array([sids[16 * i : 16 * i + 16] for i in passed.tolist()], pa.binary())})
 
-    packed = sets.mapInArrow(blocks, schema).repartition(common.partitions(sets.sparkSession), "bucket").sortWithinPartitions("bucket")
-    counted = packed.mapInArrow(count_shared, "chunk long, sids binary, sizes binary, counts binary")
-    return counted.groupBy("chunk").applyInArrow(decide, "sid long").distinct()
+    return counted.drop("rows").groupBy("chunk").applyInArrow(decide, "sid binary").distinct()
 
 
 def _bucket_links(groups: DataFrame, percent: int) -> DataFrame:
@@ -334,40 +395,51 @@ def _bucket_links(groups: DataFrame, percent: int) -> DataFrame:
     return groups.groupBy("pivot", "block", "other").applyInArrow(run, "a long, b long")
 
 
-def jaccard_components(docs: DataFrame, n: int = N, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id: one row per input row."""
+class _Linked(NamedTuple):
+    rows: DataFrame
+    sets: DataFrame
+
+
+def _linked(docs: DataFrame, n: int, similarity: float, keyed: bool) -> _Linked:
+    """The rows (doc_id, n_shingles, sid, key), and sid, n (its rows), root (of its component) of each set."""
     percent = round(100 * similarity)
-    docs = common.texts_of(docs, id_col, text_col)
-    all_sets = common.saved(_hashes(docs, n))
-    total = all_sets.agg(F.sum("n_shingles")).first()[0] or 0
-    first = common.saved(_shared_enough(docs, percent, _of_texts(n), total))
-    some = all_sets.join(first, "sid", "left_semi").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
-    some = common.saved(some.select("doc_id"))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    # a word and what follows it have two bytes at least; short whole sequences are one n-gram
+    counted = common.saved(_counted(docs, _of_texts(n, keyed), size // 2 + 1))
+    rows = common.saved(_rows_of(counted))
+    sets = common.saved(rows.where("sid is not null").groupBy("sid").agg(F.min("place").alias("place"), F.min("doc_id").alias("doc_id"), F.count("*").alias("n")))
+    first = common.saved(_shared_enough(counted, percent))
+    # one document of each set; those without an id all come, and whatever else has the same id
+    some = common.saved(sets.join(first, "sid", "left_semi").select(F.col("doc_id").alias("some_id")).distinct())
     some = F.broadcast(some) if some.count() <= BROADCAST_IDS else some.hint("shuffle_hash")
-    left = common.saved(_sets(docs.join(some, "doc_id", "left_semi"), n).dropDuplicates(["sid"]))
+    left = common.saved(_sets(docs.join(some, F.col("doc_id").eqNullSafe(F.col("some_id")), "left_semi"), n).dropDuplicates(["sid"]))
     held = left.agg(F.sum(F.octet_length("grams"))).first()[0] or 0
-    kept = common.saved(left.join(_shared_enough(left, percent, _of_sets, held // 8), "sid", "left_semi"))
+    enough = left.join(_shared_enough(_counted(left, _of_sets, held // 8), percent), "sid", "left_semi")
+    # from here on a set is known by its number
+    kept = common.saved(enough.join(sets.select("sid", "place"), "sid").select(F.col("place").alias("sid"), "grams"))
 
     def exploded(b: pa.RecordBatch) -> dict:
-        sets = [np.frombuffer(g, np.int64) for g in b.column("grams").to_pylist()]
-        sizes = np.array([len(s) for s in sets])
-        return {"sid": np.repeat(b.column("sid").to_numpy(), sizes), "size": np.repeat(sizes, sizes), "gram": np.concatenate(sets)}
+        own = [np.frombuffer(g, np.int64) for g in b.column("grams").to_pylist()]
+        sizes = np.array([len(s) for s in own])
+        return {"sid": np.repeat(b.column("sid").to_numpy(), sizes), "size": np.repeat(sizes, sizes), "gram": np.concatenate(own)}
 
     grams = common.map_arrow(kept, exploded, "sid long, size long, gram long")
     shared = grams.groupBy("gram").agg(F.count("*").alias("df")).where("df > 1")
     of_set = Window.partitionBy("sid")
     ranked = grams.join(shared, "gram").withColumns({"n_shared": F.count("*").over(of_set), "place": F.row_number().over(of_set.orderBy("df", "gram"))})
-    prefix = F.col("size") - F.ceil(F.col("size") * percent / 100) + 1
-    meets = ranked.where(F.col("size") - F.col("n_shared") + F.col("place") <= prefix).select("gram", "sid")
+    at = F.col("size") - F.col("n_shared") + F.col("place")  # n-grams that no other set has are rarer than all of these
+    as_larger = F.col("size") - F.ceil(F.col("size") * percent / 100) + 1
+    as_smaller = F.col("size") - F.ceil(F.col("size") * (2 * percent) / (100 + percent)) + 1
+    meets = ranked.where(at <= as_larger).select("gram", "sid", (at <= as_smaller).cast("int").alias("small"))
     # the least of the sets that hold the n-gram in their prefix
-    least = meets.groupBy("gram").agg(F.min("sid").alias("pivot"), F.count("*").alias("n")).where("n > 1")
-    members = common.saved(meets.join(least, "gram").select("pivot", "sid").distinct())
+    least = meets.groupBy("gram").agg(F.min("sid").alias("pivot"), F.count("*").alias("n"), F.max("small").alias("small")).where("n > 1 and small = 1")
+    members = common.saved(meets.join(least.select("gram", "pivot"), "gram").select("pivot", "sid").distinct())
     large = common.saved(members.groupBy("pivot").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK).select("pivot", F.ceil(F.col("n") / BLOCK).alias("blocks")))
     dealt = members.join(large, "pivot", "left").withColumn("block", F.coalesce(F.pmod(F.xxhash64("sid"), F.col("blocks")), F.lit(0)))
     heads = large.select("pivot", F.col("pivot").alias("sid"), "blocks", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
     once = dealt.unionByName(heads).select("pivot", "block", F.lit(-1).cast("long").alias("other"), "sid").distinct()
     links = common.saved(_bucket_links(once.join(kept, "sid"), percent))
-    if large.count():
+    if not large.isEmpty():
         root = components(links)
         named = dealt.where("blocks is not null").join(root.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
         of_pivot = large.select("pivot").join(root.withColumnRenamed("node", "pivot"), "pivot", "left").select("pivot", F.coalesce("root", "pivot").alias("main"))
@@ -378,7 +450,29 @@ def jaccard_components(docs: DataFrame, n: int = N, similarity: float = SIMILARI
         again = a.unionByName(b).select("pivot", "block", "other", "sid").distinct()
         links = common.saved(links.unionByName(_bucket_links(again.join(kept, "sid"), percent)))
     root = components(links)
-    named = all_sets.join(root.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-    # saved, so that the join below stands alone and Spark may split the rows of a large component
-    least_id = common.saved(named.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id")))
-    return named.join(least_id, "root", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    named = sets.join(root.withColumnRenamed("node", "place"), "place", "left")
+    return _Linked(rows, common.saved(named.where("n > 1 or root is not null").select("sid", "n", "doc_id", F.coalesce("root", "place").alias("root"))))
+
+
+def jaccard_components(docs: DataFrame, n: int = N, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id: one row per input row."""
+    rows, sets = _linked(common.texts_of(docs, id_col, text_col), n, similarity, False)
+    least = sets.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    small = common.saved(sets.select("sid", "root").join(least, "root").select("sid", "component_id"))
+    named = common.spread_join(rows.select("sid", "doc_id", "n_shingles"), small, "sid", sets.select("sid", "n"), rows.count(), "left")
+    return named.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def without_near_copies(docs: DataFrame, n: int = N, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows, with all their columns, one of each component: that with the smallest doc_id, of several such that with the least MD5 of its text."""
+    rows, sets = _linked(common.texts_of(docs, id_col, text_col), n, similarity, True)
+    of_row = common.spread_join(rows.select("sid", "doc_id", "key"), sets.select("sid", "root"), "sid", sets.select("sid", "n"), rows.count(), "inner")
+    of_row = common.saved(of_row.select("root", "doc_id", F.lower(F.hex("key")).alias("text_key")))
+    known = common.saved(of_row.groupBy("root").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")))
+    total = of_row.count()
+    first = common.spread_join(of_row, known.select("root", "least"), "root", known.select("root", "n"), total, "inner").where(F.col("doc_id").eqNullSafe(F.col("least")))
+    first = common.saved(first.groupBy("root", "doc_id").agg(F.min("text_key").alias("kept_key")).select("root", F.col("doc_id").alias("kept_id"), "kept_key"))
+    groups = common.spread_join(of_row, first, "root", known.select("root", "n"), total, "inner")
+    groups = groups.select("doc_id", "text_key", (F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("text_key") == F.col("kept_key"))).alias("stays"))
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    return common.surviving(docs, groups, F.md5(text.cast("binary")), id_col)

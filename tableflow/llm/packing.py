@@ -5,8 +5,12 @@ kept in a table. The totals of the partitions (one row each) then become global
 second pass cuts every document at the multiples of the window length. A document that crosses a boundary leaves
 one record on either side. All sequences but the last are full, so there is no padding but at the very end.
 
-Nulls count as empty texts; every document ends with the separator, so an empty one holds that id alone. Repeated
-rows are packed as often as they occur. An empty table gives an empty result.
+Documents follow each other as the scan deals them out, so sequence numbers depend on the layout of the files; the pieces
+of a document do not move apart.
+
+Nulls count as empty texts; every document ends with the separator, so an empty one holds that id alone. A row without an id
+is packed like any other. Repeated rows are packed as often as they occur. Other columns cannot clash. An empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -27,29 +31,28 @@ from . import common
 
 WINDOW = 1024
 SEPARATOR = 0
-#: Text that the vocabulary's own file turns into a special id; such texts take the slower library.
-SPECIAL = "<|endoftext|>"
 
 
 @cache
 def encoders(vocabulary: str, ranks: str | None):
-    """The encoder of the vocabulary's file and, where it is given, a faster one of the same vocabulary as ranks."""
+    """The encoder of the vocabulary's file, a faster one of the same vocabulary where it is given as ranks, and the strings that only the first one knows."""
     from tokenizers import Tokenizer
 
     slow = Tokenizer.from_file(vocabulary)
+    special = tuple(t.content for t in slow.get_added_tokens_decoder().values())
     if ranks is None:
-        return slow, None
+        return slow, None, special
     import tiktoken
 
     with open(ranks, "rb") as f:
         table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return slow, tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
+    return slow, tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={}), special
 
 
 def token_ids(text: str, vocabulary: str, ranks: str | None) -> np.ndarray:
     """The ids by the vocabulary's file, then the separator. Both libraries give the same ids; a test compares them."""
-    slow, fast = encoders(vocabulary, ranks)
-    ids = slow.encode(text, add_special_tokens=False).ids if fast is None or SPECIAL in text else fast.encode_ordinary(text)
+    slow, fast, special = encoders(vocabulary, ranks)
+    ids = slow.encode(text, add_special_tokens=False).ids if fast is None or any(t in text for t in special) else fast.encode_ordinary(text)
     ids.append(SEPARATOR)
     return np.array(ids, "<u4")
 
@@ -60,7 +63,7 @@ def tokenise(docs: DataFrame, vocabulary: str, ranks: str | None = None) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, total = TaskContext.get().partitionId(), 0
-        for b in batches:
+        for b in (part for batch in batches for part in common.slices(batch)):
             ids = [token_ids(t, vocabulary, ranks) for t in common.strings(b.column("text"))]
             n = np.array([len(x) for x in ids], np.int64)
             # ids of this vocabulary fit in two bytes

@@ -16,7 +16,8 @@ how the work is dealt:
 4. The batches mark the bytes.
 
 Nulls count as empty texts; shorter texts than ``length`` lose nothing. Rows that repeat a doc_id take nothing from
-each other. Matches never cross documents. An empty table gives an empty result.
+each other. A row without an id counts as the last one (as the greatest long, which stands for it), and such rows take nothing from
+each other. Matches never cross documents. Other columns cannot clash. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -45,6 +46,8 @@ STEP, HELD = 1 << 20, 3 << 19
 SORTED = 150_000
 #: Text bytes that a task holds before it hands on its blocks.
 BLOCKS = 32 << 20
+#: Stands for a missing id.
+LAST = (1 << 63) - 1
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 
 
@@ -176,7 +179,7 @@ def _cut(sorted_key: np.ndarray) -> Iterator[tuple[int, int, int]]:
         yield int(sorted_key[a]), int(a), int(b)
 
 
-def _shared_anchors(docs: DataFrame, buckets: int, length: int, batches: int) -> DataFrame:
+def _shared_anchors(docs: DataFrame, buckets: int, length: int, batches: int, parts: int) -> DataFrame:
     """batch, hot, anchors: for each batch the anchors of its texts that another text has too."""
     narrow = "<u2" if batches <= 65536 else "<u4"
     shift = np.uint64(64 - BITS)
@@ -203,7 +206,7 @@ def _shared_anchors(docs: DataFrame, buckets: int, length: int, batches: int) ->
             return common.record(out, schema)
 
         seen = size = 0
-        for b in batches:
+        for b in (part for batch in batches for part in common.slices(batch)):
             texts, group = common.raw(b.column("text")), b.column("batch").to_numpy()
             for _, anchor, text, _, _, first in segments(texts, length):
                 text = text.astype(np.int64) + first
@@ -248,7 +251,6 @@ def _shared_anchors(docs: DataFrame, buckets: int, length: int, batches: int) ->
         if now:
             yield close(now)
 
-    parts = common.partitions(docs.sparkSession)
     return docs.mapInArrow(give, schema).repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(meet, out_schema)
 
 
@@ -300,7 +302,7 @@ def _blocks(docs: DataFrame) -> DataFrame:
             return common.record(out, schema)
 
         size = 0
-        for b in it:
+        for b in (part for batch in it for part in common.slices(batch)):
             texts = common.raw(b.column("text"))
             held.append((b.column("batch").to_numpy(), b.column("doc_id").to_numpy(), texts))
             size += sum(map(len, texts))
@@ -487,28 +489,30 @@ def removed_bytes(texts: list[bytes], ids: np.ndarray, found: pa.Table, length:
 def _marked(docs: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
     """The texts by batch, and what was found for each batch."""
     spark = docs.sparkSession
-    parts = common.partitions(spark)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = common.partitions(spark, size)
     # enough of both for all tasks, but a MB of text for each at least: every batch may send to every bucket
     buckets = max(1, -(-size // BUCKET), min(4 * parts, size >> 20))
     batches = max(1, -(-size // BATCH), min(2 * parts, size >> 20))
     dealt = docs.withColumn("batch", F.pmod(F.xxhash64("doc_id"), F.lit(batches)).cast("int"))
-    shared = common.saved(_shared_anchors(dealt, buckets, length, batches))
+    shared = common.saved(_shared_anchors(dealt, buckets, length, batches, parts)).repartition(parts, "batch")
 
     def hand_on(left: pa.Table, right: pa.Table) -> pa.Table:
         return _batch_segments(left, right, buckets, length) if left.num_rows and right.num_rows else pa.table({"batch": pa.array([], pa.int32()), "bucket": pa.array([], pa.int32()), "segs": pa.array([], pa.binary())})
 
-    blocks = _blocks(dealt)
+    # both sides of a batch in one of so many tasks
+    blocks = _blocks(dealt).repartition(parts, "batch")
     pieces = blocks.groupBy("batch").cogroup(shared.groupBy("batch")).applyInArrow(hand_on, "batch int, bucket int, segs binary")
     found = pieces.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(lambda it: _least_documents(it, length), "batch int, found binary")
     found = found.withColumns({"hot": F.lit(False), "anchors": F.lit(None).cast("binary")})
     hot = shared.where("hot").withColumn("found", F.lit(None).cast("binary")).select("batch", "found", "hot", "anchors")
-    return blocks, found.unionByName(hot)
+    return blocks, found.unionByName(hot).repartition(parts, "batch")
 
 
 def suffix_dedup(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept (the bytes that stay): one row per input row."""
-    blocks, found = _marked(common.texts_of(docs, id_col, text_col), length)
+    texts = common.texts_of(docs, id_col, text_col).withColumn("doc_id", F.coalesce("doc_id", F.lit(LAST)))
+    blocks, found = _marked(texts, length)
 
     def remove(left: pa.Table, right: pa.Table) -> pa.Table:
         ids, texts = _texts(left)
@@ -516,7 +520,7 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
         spans = [0 if m is None else int(np.count_nonzero(np.diff(m.astype(np.int8), prepend=0) == 1)) for m in gone]
         kept = [t if m is None else np.frombuffer(t, np.uint8)[~m].tobytes() for t, m in zip(texts, gone, strict=True)]
         return pa.table({
-            "doc_id": pa.array(ids, pa.int64()), "n_bytes": pa.array([len(t) for t in texts], pa.int64()), "n_removed": pa.array([len(t) - len(k) for t, k in zip(texts, kept, strict=True)], pa.int64()),
+            "doc_id": pa.array(ids, pa.int64(), mask=ids == LAST), "n_bytes": pa.array([len(t) for t in texts], pa.int64()), "n_removed": pa.array([len(t) - len(k) for t, k in zip(texts, kept, strict=True)], pa.int64()),
             "n_spans": pa.array(spans, pa.int64()), "kept": pa.array(kept, pa.binary()),
         })
 
