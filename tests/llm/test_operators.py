@@ -178,6 +178,33 @@ def test_toxicity(spark, docs, empty):
         flat = toxicity.grade(docs, toxicity.train(d, none, "toxic"))
         assert flat.where("rejected or severity <> 0").count() == 0 and flat.count() == len(fixture())
     assert toxicity.grade(empty, model).count() == 0
+    clashing = df.select("*", *[F.lit("x").alias(c) for c in ("grade", "bag", "severity", "rejected")])
+    assert sorted(map(tuple, toxicity.grade(clashing, model).collect())) == sorted(map(tuple, toxicity.grade(df, model).collect()))
+    assert toxicity.accepted(clashing, model).count() == sum(not w for _, _, w in test)
+    # of two labels, of one document or of equal words, the higher counts, in any order of the rows
+    again = labels.unionByName(labels.withColumn("toxic", F.lit(0))).repartition(7)
+    assert np.allclose(toxicity.train(d, again, "toxic").weights, toxicity.train(d, labels, "toxic").weights)
+    long = spark.createDataFrame([(1, text(0) + " plain" * 400_000), (2, "plain " * 400_000 + text(1) + " scum" * 50)], "doc_id long, text string")
+    assert {r["doc_id"]: r["rejected"] for r in toxicity.grade(long, model).collect()} == {1: False, 2: True}
+
+
+def test_toxicity_of_stems_with_many_endings(spark):
+    """Each form is rare, the stem is not; four languages, one of them with few positives."""
+    rng = np.random.default_rng(19)
+    clean = words(31, 300).split()
+    stems, endings = {"de": "achlich", "fr": "réeux", "es": "bomente", "en": "worthless"}, words(32, 150).split()
+    def text(lang, bad):
+        w = list(rng.choice(clean, 40))
+        for at in rng.choice(40, 5 * bad, replace=False):
+            w[at] = stems[lang] + str(rng.choice(endings))
+        return " ".join(w)
+    many = {"de": 40, "fr": 40, "es": 25, "en": 150}
+    labelled = [(lang, text(lang, k < n), int(k < n)) for lang, n in many.items() for k in range(10 * n)]
+    d = spark.createDataFrame([(i, t) for i, (_, t, _) in enumerate(labelled)], "doc_id long, text string")
+    model = toxicity.train(d, spark.createDataFrame([(i, y) for i, (_, _, y) in enumerate(labelled)], "doc_id long, toxic int"), "toxic")
+    new = [(i, text(lang, bad), bad) for i, (lang, bad) in enumerate([(lang, bad) for lang in many for bad in (0, 1)] * 25)]
+    out = {r["doc_id"]: r["rejected"] for r in toxicity.grade(spark.createDataFrame([x[:2] for x in new], "doc_id long, text string"), model).collect()}
+    assert np.mean([out[i] for i, _, bad in new if bad]) > 0.97 and np.mean([out[i] for i, _, bad in new if not bad]) < 0.02
 
 
 def test_toxicity_of_a_long_tail(spark):
@@ -310,7 +337,64 @@ def test_components(spark):
     assert components.components(df.limit(0)).count() == 0
 
 
-def test_rows_without_an_id_are_left_out(spark):
-    df = spark.createDataFrame([(1, "a b c d e f"), (None, "a b c d e f"), (2, "A b c d e f")], "doc_id long, text string")
-    for out in (exact_dedup.exact_dedup(df), ngram_join.jaccard_components(df), suffix_dedup.suffix_dedup(df), bpe.bpe_encode(df, MULTI), packing.pack(df, VOCABULARY, RANKS), licenses.scan_licenses(df)):
-        assert sorted(r["doc_id"] for r in out.select("doc_id").distinct().collect()) == [1, 2]
+def test_rows_without_an_id(spark):
+    """They take part like any other row; what they get is stated with each operator."""
+    text = " ".join(f"w{i}" for i in range(30))
+    df = spark.createDataFrame([(1, text), (None, text), (2, text.upper()), (None, "alone " + text[:60]), (None, None)], "doc_id long, text string").repartition(3)
+    count = lambda out: sorted((r["doc_id"] or 0) for r in out.select("doc_id").collect())
+    for out in (bpe.bpe_encode(df, MULTI), packing.pack(df, VOCABULARY, RANKS), licenses.scan_licenses(df), pii.detect(df, pii.train(df)), toxicity.grade(df, toxicity.train(df, df.select("doc_id", F.lit(1).alias("grade")))), language_id.identify(df, language_id.train(df.withColumn("lang", F.lit("en"))))):
+        assert count(out) == [0, 0, 0, 1, 2]
+    plain = lambda out, *c: sorted(map(tuple, out.select(*c).collect()), key=repr)
+    assert plain(exact_dedup.exact_dedup(df), "doc_id", "keep_id", "group_size", "kept") == sorted([(1, 2, 3, False), (2, 2, 3, True), (None, 2, 3, False), (None, None, 1, True), (None, None, 1, True)], key=repr)
+    assert plain(ngram_join.jaccard_components(df), "doc_id", "n_shingles", "component_id") == sorted([(1, 26, 1), (2, 26, 1), (None, 26, 1), (None, 15, None), (None, 0, None)], key=repr)
+    assert plain(suffix_dedup.suffix_dedup(df), "doc_id", "n_bytes", "n_removed") == sorted([(1, 109, 0), (2, 109, 0), (None, 109, 109), (None, 66, 60), (None, 0, 0)], key=repr)
+
+
+def test_repeated_rows(spark):
+    """Given twice, a row gets the same result twice, and counts as two where rows are counted."""
+    once = [(i, t) for i, t in fixture() if i in (1, 4, 6, 9, 20, 21, 50, 51)]
+    df = spark.createDataFrame(once, "doc_id long, text string")
+    twice = df.unionByName(df).repartition(3)
+    detector, model = pii.train(df), language_id.train(df.withColumn("lang", F.lit("en")))
+    grader = toxicity.train(df, df.select("doc_id", (F.col("doc_id") > 9).cast("int").alias("grade")))
+    for make in (lambda d: pii.detect(d, detector), lambda d: language_id.identify(d, model), lambda d: toxicity.grade(d, grader), lambda d: bpe.bpe_round_trip(d, MULTI), licenses.scan_licenses, ngram_join.jaccard_components, suffix_dedup.suffix_dedup):
+        columns = make(df).columns
+        assert sorted(map(repr, make(twice).select(*columns).collect())) == sorted(2 * list(map(repr, make(df).select(*columns).collect())))
+    tokens = lambda d: {r["doc_id"]: r["n"] for r in packing.pack(d, VOCABULARY, RANKS).groupBy("doc_id").agg(F.sum("length").alias("n")).collect()}
+    assert tokens(twice) == {k: 2 * n for k, n in tokens(df).items()}
+
+
+def test_one_row_of_each_group_stays(spark):
+    """Exact and near copies, rows repeated as a whole, an id with two texts, rows without an id, clashing columns."""
+    base = words(1, 60)
+    near = base.replace(base.split()[30], "edited")
+    data = [(1, base), (1, base), (2, base.upper()), (3, near), (3, words(5, 40)), (4, words(6, 40)), (4, words(6, 40)), (None, base), (None, words(7, 40)), (None, words(7, 40)), (5, None), (6, "")]
+    df = spark.createDataFrame([(i, t, "k", 1) for i, t in data], "doc_id long, text string, _key string, stays int").repartition(4)
+    exact = exact_dedup.without_copies(df)
+    assert exact.columns == df.columns
+    left = sorted(((r["doc_id"], r["text"]) for r in exact.collect()), key=repr)
+    assert left == sorted([(2, base.upper()), (3, near), (3, words(5, 40)), (4, words(6, 40)), (None, words(7, 40)), (6, "")], key=repr)
+    kept = sorted(((r["doc_id"], r["text"]) for r in ngram_join.without_near_copies(df).collect()), key=repr)
+    assert kept == sorted([(1, base), (3, words(5, 40)), (4, words(6, 40)), (None, words(7, 40)), (5, None), (6, "")], key=repr)
+
+
+def test_very_common_ngrams(spark, monkeypatch):
+    """A line that every document has, hot sets, small chunks and buckets: the same components."""
+    monkeypatch.setattr(ngram_join, "CHUNK_SETS", 40)
+    monkeypatch.setattr(ngram_join, "CHUNK_ROWS", 50)
+    monkeypatch.setattr(ngram_join, "BLOCK", 8)
+    line = words(3, 24)
+    data = [(i, f"{line} {words(100 + i, 4 + i % 9)}") for i in range(150)] + [(200 + i, line) for i in range(60)] + [(300 + i, f"{line} {words(100 + i, 4 + i % 9)} x") for i in range(30)]
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(5)
+    assert rows(ngram_join.jaccard_components(df), "doc_id", "n_shingles", "component_id") == brute.jaccard(data)
+
+
+def test_arrow_slices():
+    import pyarrow as pa
+
+    from tableflow.llm import common
+
+    batch = pa.RecordBatch.from_arrays([pa.array(range(7)), pa.array(["a" * 5, "a" * 50, "a", None, "aaa", "aa", "a" * 9])], ["i", "t"])
+    parts = list(common.slices(batch, rows=3, size=10))
+    assert pa.Table.from_batches(parts).equals(pa.Table.from_batches([batch]))
+    assert all(p.num_rows <= 3 and (p.num_rows == 1 or sum(len(t or "") for t in p.column("t").to_pylist()) <= 10) for p in parts)

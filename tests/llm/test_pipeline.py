@@ -25,7 +25,7 @@ def test_run(spark, tmp_path):
         seen = spark.read.parquet(str(tmp_path / "out" / name))
         assert seen.columns == docs.columns, name
     model = toxicity.train(docs, labels, "toxic")
-    kept = [(i, t) for i, t in clean + toxic if not model.at_least(toxicity.np.array([model.score((t or "").encode())]))[0, 0] >= 0.5]
+    kept = [(i, t) for i, t in clean + toxic if not model.at_least(toxicity.np.array([model.score(t or "")]))[0, 0] >= model.cut]
     assert sorted(i for i, _ in kept) == sorted(i for i, _ in clean)
     stays = {i for i, *_, k, _ in brute.exact(kept) if k}
     kept = [(i, t) for i, t in kept if i in stays]

@@ -1,13 +1,19 @@
 """The registered queries over the smallest given tables, against plain versions of their contracts."""
 
+import base64
 import hashlib
 import os
 import zlib
 
 import duckdb
 import numpy as np
+import public_tokenizers
 import pytest
+import tiktoken
 
+from pyspark.sql import functions as F
+
+from tableflow.llm import toxicity
 from tableflow.llm.queries import ORACLE_SQL, QUERIES
 
 from . import brute
@@ -57,6 +63,19 @@ def test_toxicity(spark, documents):
     assert len(result(spark, "op4_toxicity", "doc_id", "severity", "rejected")) == len(documents)
 
 
+def test_toxicity_held_out(spark):
+    """Labels of a third of the documents are kept from the fit: in each language most of its toxic ones are rejected, and hardly any clean one."""
+    sf = "/root/testdata/sf0.1"
+    if not os.path.isdir(sf):
+        pytest.skip("no larger tables")
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    model = toxicity.train(docs, labels.where(~held), "toxic")
+    graded = toxicity.grade(docs.join(labels.where(held).select("doc_id", "toxic"), "doc_id"), model).join(labels, "doc_id").join(docs.select("doc_id", "lang"), "doc_id")
+    shares = {(r["lang"], r["toxic"]): r["share"] for r in graded.groupBy("lang", "toxic").agg(F.avg(F.col("rejected").cast("int")).alias("share")).collect()}
+    assert all(share > 0.75 if toxic else share < 0.02 for (_, toxic), share in shares.items()), shares
+
+
 def test_ngram_join(spark, documents):
     assert result(spark, "op6_ngram_jaccard_join", "doc_id", "n_shingles", "component_id") == brute.jaccard([d[:2] for d in documents])
 
@@ -74,8 +93,12 @@ def test_personal_data(spark, documents):
 
 
 def test_byte_bpe(spark, documents):
-    got = result(spark, "op9_byte_bpe", "doc_id", "decoded_sha256")
-    assert got == [(i, hashlib.sha256(t.encode()).hexdigest()) for i, t, _ in documents]
+    got = result(spark, "op9_byte_bpe", "doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    ids = {i: np.array(library.encode_ordinary(t or ""), "<u4") for i, t, _ in documents}
+    assert got == [(i, len(ids[i]), hashlib.sha256(ids[i].tobytes()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()) for i, t, _ in documents]
 
 
 def test_suffix_dedup(spark, documents):

@@ -44,15 +44,24 @@ def test_both_token_libraries_agree():
 
 
 @settings(max_examples=100, deadline=None)
-@given(st.lists(st.integers(0, 2**64 - 1), max_size=60), st.lists(st.integers(0, 2**64 - 1), max_size=60))
-def test_quotient_filters_merge_losslessly(a, b):
-    a, b = a + a[:5] + b[:3], b + b[:5] + a[:2]
-    build = lambda x: exact_dedup.CountingQuotientFilter.build(np.array(x, np.uint64), 12)
-    both = exact_dedup.CountingQuotientFilter.loads(build(a).dumps()).merge(build(b))
-    want = {v: (a + b).count(v) for v in set(a + b)}
-    assert dict(zip(both.fingerprints().tolist(), both.counts.tolist())) == want
-    parts = dict(x for _, f in both.slices(7) for x in zip(f.fingerprints().tolist(), f.counts.tolist()))
-    assert parts == want
+@given(st.lists(st.lists(st.integers(0, 2**40 - 1), max_size=60), min_size=1, max_size=5), st.integers(40, 64))
+def test_quotient_filters_merge_losslessly(parts, width):
+    parts = [p + p[:5] + parts[0][:3] for p in parts]
+    build = lambda x: exact_dedup.CountingQuotientFilter.build(np.array(x, np.uint64), width)
+    whole = exact_dedup.CountingQuotientFilter.merge([exact_dedup.CountingQuotientFilter.loads(build(p).dumps()) for p in parts])
+    flat = [v for p in parts for v in p]
+    assert dict(zip(whole.fingerprints().tolist(), whole.counts().tolist())) == {v: flat.count(v) for v in set(flat)}
+
+
+def test_quotient_filters_are_smaller_than_their_fingerprints():
+    rng = np.random.default_rng(2)
+    fp = rng.integers(0, 2**56, 70_000, dtype=np.uint64)
+    counts = np.where(np.arange(70_000) % 100 == 0, 300, 1)
+    f = exact_dedup.CountingQuotientFilter.build(fp, 56, counts)
+    assert len(f.dumps()) < 0.75 * 8 * len(fp)
+    back = exact_dedup.CountingQuotientFilter.loads(f.dumps())
+    order = np.argsort(fp)
+    assert (back.fingerprints() == fp[order]).all() and (back.counts() == counts[order]).all()
 
 
 @settings(max_examples=60, deadline=None)
@@ -89,6 +98,16 @@ def test_prefix_tree_finds_the_components(sets):
     assert brute.components(range(len(sets)), found) == brute.components(range(len(sets)), links)
 
 
+def test_prefix_tree_leaves_a_template_at_once():
+    """Sets that share a common part too small to link: no walk meets their other n-grams."""
+    shared = np.arange(76, dtype=np.uint64)
+    tree = ngram_join.PrefixTree([np.concatenate([shared, 1000 + 100 * i + np.arange(24, dtype=np.uint64)]) for i in range(200)], 75)
+    calls = []
+    check = tree._hopeless
+    tree._hopeless = lambda *a: calls.append(1) or check(*a)
+    assert tree.join() == [] and len(calls) <= 4 * 200
+
+
 def test_packed_steps():
     for values in ([], [5], [0, 1, 2**40], list(range(0, 10**6, 999))):
         v = np.array(values, np.uint64)
@@ -113,20 +132,66 @@ def test_tabled_code_lengths_equal_the_trees():
     assert model.predict(["le renard", "the fox", "123 …", ""])[0] == ["fr", "en", "und", "und"]
 
 
-def test_ordinal_fit_shares_weights():
-    rng = np.random.default_rng(3)
+def _graded(seed, n, grades):
+    rng = np.random.default_rng(seed)
     rows = []
-    for _ in range(800):
+    for _ in range(n):
         k = int(rng.integers(0, 6))
-        grade = int(np.clip(k - 1 + rng.integers(-1, 2), 0, 3))
+        grade = int(np.clip(k - 1 + rng.integers(-1, 2), 0, grades - 1))
         rows.append((grade, [0, 1] if k else [1], np.array([float(k), 1.0]) if k else np.array([1.0])))
+    return rows
+
+
+def test_ordinal_fit_shares_weights():
+    rows = _graded(3, 800, 4)
     grades, w, theta = toxicity.fit(rows, 2)
     assert grades == [0, 1, 2, 3] and w[0] > 1 and (np.diff(theta) > 0).all()
-    model = toxicity.OrdinalModel([b"bad", b"the"], grades, w, theta)
+    model = toxicity.OrdinalModel(["bad", "the"], grades, w, theta)
     severity = model.at_least(np.array([0.0, w[0] * 2, w[0] * 5])).sum(1)
     assert severity[0] < severity[1] < severity[2] <= 3
 
 
+@pytest.mark.parametrize("grades", [2, 3, 5])
+def test_likelihood_is_the_cumulative_link(grades):
+    """The value against plain differences of probabilities, the slope against finite differences, the fit against a stationary point."""
+    rows = _graded(grades, 60, grades)
+    names = sorted({g for g, _, _ in rows})
+    loss = toxicity.Likelihood(rows, 2, names, 0.3)
+    b = loss.start() + np.random.default_rng(1).normal(size=2 + len(names) - 1) * 0.3
+    theta = loss.thresholds(b)
+    assert (np.diff(theta) > 0).all()
+    plain = 0.3 / 2 * (b[:2] ** 2).sum()
+    for g, at, x in rows:
+        s, k = float(b[:2][at] @ x), names.index(g)
+        upper = 1 / (1 + math.exp(s - theta[k])) if k < len(theta) else 1.0
+        lower = 1 / (1 + math.exp(s - theta[k - 1])) if k else 0.0
+        plain -= math.log(upper - lower)
+    value, slope = loss(b)
+    assert abs(value - plain) < 1e-8 * abs(plain)
+    for i in range(len(b)):
+        step = np.zeros(len(b))
+        step[i] = 1e-6
+        assert abs((loss(b + step)[0] - loss(b - step)[0]) / 2e-6 - slope[i]) < 1e-4 * max(1, abs(slope[i]))
+    _, w, theta = toxicity.fit(rows, 2)
+    at = np.concatenate([w, theta[:1], np.log(np.diff(theta))])
+    assert np.abs(loss(at)[1]).max() < 1e-2
+
+
+def test_cut_is_where_f1_is_best():
+    p, high = np.array([0.9, 0.8, 0.7, 0.3, 0.2, 0.1]), np.array([1, 1, 0, 1, 0, 0], bool)
+    cut = toxicity.best_cut(p, high)
+    scores = {c: (lambda r: 2 * (r & high).sum() / (r.sum() + high.sum()))(p >= c) for c in (0.95, 0.85, 0.75, 0.5, 0.25, 0.15)}
+    rejected = p >= cut
+    assert 2 * (rejected & high).sum() / (rejected.sum() + high.sum()) == max(scores.values())
+    assert toxicity.best_cut(np.array([np.nan, 0.4]), np.array([True, False])) == 0.5
+
+
+def test_features_are_words_and_their_beginnings():
+    assert toxicity.words("Ächlich_x, IDIOT's 42!") == ["ächlich", "x", "idiot", "s", "42"]
+    assert toxicity.parts("abcde") == ["abcde", "abc*", "abcd*"] and toxicity.parts("ab") == ["ab"]
+    assert len(toxicity.parts("a" * 5000)) == 1 + toxicity.LONGEST - toxicity.SHORTEST + 1
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet="ab@.-_+%1234567890 ()\né", max_size=60))
 def test_base_spans(text):
