@@ -66,40 +66,43 @@ def segments(texts: list[bytes], length: int = LENGTH) -> Iterator[tuple[np.ndar
             end += 1
         sizes = np.array([len(t) for t in texts[at:end]])
         data = np.frombuffer(b"".join(texts[at:end]), np.uint8)
-        if sizes.max(initial=0) >= length:
+        if len(data) >= length and sizes.max(initial=0) >= length:
             yield (data, *_runs(data, sizes, length), at)
         at = end
 
 
 def _runs(data: np.ndarray, sizes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    w = words_at(data)
     n = len(data) - GRAM + 1
-    h = w[:n].astype(np.uint64) * _ODD[0]
-    h += w[8 : n + 8].astype(np.uint64) * _ODD[1]
-    h += w[GRAM - 8 : n + GRAM - 8].astype(np.uint64) * _ODD[2]
-    h ^= h >> np.uint64(32)
-    h *= _ODD[3]
+    w = np.ndarray((len(data) - 7,), "<u8", data, 0, (1,)).astype(np.uint64)  # the eight bytes from each place on
+    h = w[:n] * _ODD[0]
+    h += w[8 : n + 8] * _ODD[1]
+    h += w[GRAM - 8 : n + GRAM - 8] * _ODD[2]
     h ^= h >> np.uint64(29)
-    span = length - GRAM + 1  # anchors that a string has to choose from
-    low, where, have = h, np.arange(n, dtype=np.int32), 1
+    h *= _ODD[3]
+    # half of the hash before the place: the least of a window is one comparison, and ties stay with the leftmost
+    low = h & ~np.uint64(0xFFFFFFFF)
+    low |= np.arange(n, dtype=np.uint64)
+    span, have = length - GRAM + 1, 1  # anchors that a string has to choose from
     while have < span:
         by = min(have, span - have)
-        later = low[by:] < low[:-by]
-        where = np.where(later, where[by:], where[:-by])  # ties stay with the leftmost
-        low = np.where(later, low[by:], low[:-by])
+        low = np.minimum(low[by:], low[:-by])
         have += by
+    where = low.astype(np.uint32)
     ends = np.cumsum(sizes)
-    text = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
-    starts = np.flatnonzero(np.repeat(ends, sizes) - np.arange(len(data)) >= length)
-    anchor = where[starts]
-    first = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (starts[1:] != starts[:-1] + 1)]) if len(starts) else np.zeros(0, np.int64)
-    count = np.diff(np.r_[first, len(starts)])
-    begin = starts[first]
-    chosen = h[anchor[first]]  # the lowest of many, so mixed again to spread over all values
+    inside = np.ones(len(where), bool)
+    for a, b in zip((ends - np.minimum(sizes, length - 1)).tolist(), ends.tolist(), strict=True):
+        inside[a:b] = False  # no string starts so near the end of a text
+    new = np.r_[True, where[1:] != where[:-1]]
+    new[1:] |= ~inside[:-1]
+    new &= inside
+    begin = np.flatnonzero(new)
+    text = np.searchsorted(ends, begin, "right")
+    count = np.minimum(np.r_[begin[1:], len(data)], ends[text] - length + 1) - begin
+    chosen = h[where[begin]]  # the lowest of many, so mixed again to spread over all values
     chosen ^= chosen >> np.uint64(33)
     chosen *= _ODD[1]
     chosen ^= chosen >> np.uint64(31)
-    return chosen, text[begin], begin, count
+    return chosen, text.astype(np.int32), begin, count
 
 
 def packed(values: np.ndarray) -> bytes:
@@ -116,6 +119,12 @@ def unpacked(data: bytes) -> np.ndarray:
     return np.cumsum(np.concatenate([first, steps.astype(np.uint64)]), dtype=np.uint64)
 
 
+def _groups(ascending: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the groups of equal numbers begin, and the number of each place's group."""
+    new = np.r_[True, ascending[1:] != ascending[:-1]]
+    return np.flatnonzero(new), np.cumsum(new) - 1
+
+
 def deep_shallow_sort(data: np.ndarray, starts: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
     """Order of the suffixes at starts by their first length bytes (which data has to hold), and where a new class begins in it."""
     n = len(starts)
@@ -130,29 +139,37 @@ def deep_shallow_sort(data: np.ndarray, starts: np.ndarray, length: int = LENGTH
         if not len(open_):
             break
         key = w[starts[order[open_]] + depth].astype(np.uint64)
-        rank = np.lexsort((key, group[open_]))
-        order[open_], key = order[open_][rank], key[rank]
-        g = group[open_]
-        new = np.r_[True, (g[1:] != g[:-1]) | (key[1:] != key[:-1])]
-        group[open_] = open_[np.flatnonzero(new)][np.cumsum(new) - 1]
-        single = new & np.r_[new[1:], True]
-        open_ = open_[~single]
+        first, of = _groups(group[open_])
+        mixed = np.logical_or.reduceat(key != key[first[of]], first)[of]  # the others stay one group, as they are
+        if mixed.any():
+            some, key, g = open_[mixed], key[mixed], group[open_[mixed]]
+            rank = np.lexsort((key, g)) if depth else np.argsort(key)
+            order[some], key = order[some][rank], key[rank]
+            new = np.r_[True, (g[1:] != g[:-1]) | (key[1:] != key[:-1])]
+            group[some] = some[np.flatnonzero(new)][np.cumsum(new) - 1]
+        first, of = _groups(group[open_])
+        open_ = open_[(np.diff(np.r_[first, len(open_)]) > 1)[of]]
     # blind tries: compare with one leaf of the group, branch where the two part; equal ones share the leaf
-    depth = np.full(n, shallow)
     while len(open_):
-        g = group[open_]
-        new = np.r_[True, g[1:] != g[:-1]]
-        leaf = open_[np.flatnonzero(new)][np.cumsum(new) - 1]
-        mine, other = starts[order[open_]], starts[order[leaf]]
+        first, of = _groups(group[open_])
+        mine, other = starts[order[open_]], starts[order[open_[first[of]]]]
         part = np.full(len(open_), length)
+        todo = np.arange(len(open_))
         for d in range(shallow, length, 8):
-            todo = np.flatnonzero(part == length)
             if not len(todo):
                 break
             x = w[mine[todo] + d].astype(np.uint64) ^ w[other[todo] + d].astype(np.uint64)
+            apart = np.flatnonzero(x)
+            x, at = x[apart], todo[apart]
             zero = sum((x < np.uint64(1) << np.uint64(8 * k)).astype(np.int64) for k in range(1, 8))
-            part[todo] = np.where(x != 0, np.minimum(d + zero, length), length)
+            part[at] = np.minimum(d + zero, length)
+            todo = np.delete(todo, apart)
         same = part >= length
+        mixed = ~np.logical_and.reduceat(same, first)[of]
+        open_, same, part, mine, other = (v[mixed] for v in (open_, same, part, mine, other))
+        if not len(open_):
+            break
+        g = group[open_]
         byte, beside = pad[np.minimum(mine + part, len(pad) - 1)].astype(np.int64), pad[np.minimum(other + part, len(pad) - 1)].astype(np.int64)
         side = np.where(same, 0, np.where(byte < beside, -1, 1))
         # below the leaf: those that part early come first; above it: those that part late
