@@ -58,34 +58,82 @@ _FOLD = bytes.maketrans(string.ascii_uppercase.encode(), string.ascii_lowercase.
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
 
 
-class _WordHashes(dict):
-    """Hashes of words, remembered for a bounded number of them."""
+#: Bytes of texts that are hashed at a time, and the longest word that takes the shared sums; longer ones are hashed by themselves.
+STEP, LONG_WORD = 1 << 20, 64
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_BYTE = np.random.default_rng(20).integers(0, 2**63, 256, np.uint64) * np.uint64(2) + np.uint64(1)  # a number for each byte
+_BASE = 0xD1342543DE82EF95
 
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) > 200_000:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_digest(word)
-        return value
 
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
 
-_words = _WordHashes()
 
+_POWER, _INVERSE = (_powers(b, STEP + LONG_WORD + 1) for b in (_BASE, pow(_BASE, -1, 1 << 64)))
 
-def shingles(text: bytes, n: int = N) -> np.ndarray:
-    """Sorted distinct hashes of a text's word n-grams."""
-    words = text.translate(_FOLD).split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    h = np.frombuffer(b"".join(map(_words.__getitem__, words)), ">u8").astype(np.uint64)
-    k = min(n, len(h))
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x ^= x >> np.uint64(32)
+    x *= _ODD[0]
+    x ^= x >> np.uint64(29)
+    x *= _ODD[3]
+    x ^= x >> np.uint64(32)
+    return x
+
+
+def _word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each word: the polynomial of its bytes, from running sums over the text, mixed."""
+    out = np.empty(len(starts), np.uint64)
+    edges = np.searchsorted(starts, np.arange(0, len(data) + STEP, STEP))
+    for k, (i, j) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)):
+        if i < j:
+            at = k * STEP
+            part = data[at : at + STEP + LONG_WORD]
+            sums = np.zeros(len(part) + 1, np.uint64)
+            np.cumsum(_BYTE[part] * _POWER[: len(part)], out=sums[1:])
+            out[i:j] = (sums[np.minimum(ends[i:j] - at, len(part))] - sums[starts[i:j] - at]) * _INVERSE[starts[i:j] - at]
+    for i in np.flatnonzero(ends - starts > LONG_WORD).tolist():
+        out[i] = xxhash.xxh3_64_intdigest(data[starts[i] : ends[i]].tobytes())
+    return _mixed(out)
+
+
+def _chained(h: np.ndarray, k: int) -> np.ndarray:
+    """A hash of every k hashes that follow each other."""
     x = np.zeros(len(h) - k + 1, np.uint64)
     for j in range(k):
-        x = x * _ODD[0] + h[j : j + len(x)] * _ODD[1 + j % 4]
+        x *= _ODD[0]
+        x += h[j : j + len(x)] * _ODD[1 + j % 4]
         x ^= x >> np.uint64(31)
     x *= np.uint64(0xBF58476D1CE4E5B9)
     x ^= x >> np.uint64(32)
     x += np.uint64(k)  # a short whole sequence is no n-gram of a longer text
-    return np.unique(x)
+    return x
+
+
+def shingle_sets(texts: list[bytes], n: int = N) -> list[np.ndarray]:
+    """For each text the sorted distinct hashes of its word n-grams."""
+    data = np.frombuffer(b" ".join([b"", *texts, b""]).translate(_FOLD), np.uint8)
+    space = _SPACE[data]
+    edge = np.flatnonzero(space[1:] != space[:-1]) + 1
+    starts, ends = edge[::2], edge[1::2]
+    h = _word_hashes(data, starts, ends)
+    begins = np.cumsum([1, *(len(t) + 1 for t in texts)])
+    first = np.searchsorted(starts, begins)  # of the words of each text
+    x = _chained(h, n) if len(h) >= n else np.zeros(0, np.uint64)
+    out = []
+    for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+        own = x[a : b - n + 1] if b - a >= n else _chained(h[a:b], b - a) if b > a else x[:0]
+        own = np.sort(own)
+        same = own[1:] == own[:-1]
+        out.append(own[np.r_[True, ~same]] if same.any() else own)
+    return out
+
+
+def shingles(text: bytes, n: int = N) -> np.ndarray:
+    return shingle_sets([text], n)[0]
 
 
 def set_id(grams: np.ndarray) -> bytes:
@@ -205,8 +253,8 @@ def _of_texts(n: int, keyed: bool) -> Callable[[pa.RecordBatch], Iterator[_Row]]
     """The rows of a table of texts; keyed: with the MD5 of each text."""
 
     def rows(b: pa.RecordBatch) -> Iterator[_Row]:
-        for doc_id, text in zip(b.column("doc_id").to_pylist(), common.raw(b.column("text")), strict=True):
-            s = shingles(text, n)
+        texts = common.raw(b.column("text"))
+        for doc_id, text, s in zip(b.column("doc_id").to_pylist(), texts, shingle_sets(texts, n), strict=True):
             yield _Row(doc_id, set_id(s) if len(s) else None, s, hashlib.md5(text).digest() if keyed else bytes(16))
 
     return rows
@@ -221,7 +269,7 @@ def _sets(docs: DataFrame, n: int) -> DataFrame:
     """sid, grams (sorted, eight bytes each)."""
 
     def run(b: pa.RecordBatch) -> dict:
-        sets = [s for t in common.raw(b.column("text")) if len(s := shingles(t, n))]
+        sets = [s for s in shingle_sets(common.raw(b.column("text")), n) if len(s)]
         return {"sid": [set_id(s) for s in sets], "grams": [s.tobytes() for s in sets]}
 
     return common.map_arrow(docs, run, "sid binary, grams binary")
@@ -268,7 +316,7 @@ def _counted(sets: DataFrame, parse: Callable[[pa.RecordBatch], Iterator[_Row]],
             sizes = np.array([len(g) for g in held.values()], np.int64)
             grams = np.concatenate(list(held.values())) >> np.uint64(64 - bits) if held else np.zeros(0, np.uint64)
             members = np.repeat(np.arange(len(sizes), dtype=np.uint16), sizes)
-            order = np.argsort(grams, kind="stable")
+            order = np.argsort(grams)
             grams, members = grams[order], members[order]
             first = np.r_[True, grams[1:] != grams[:-1]][: len(grams)]
             again = np.r_[~first[1:], False][: len(grams)]
@@ -283,7 +331,7 @@ def _counted(sets: DataFrame, parse: Callable[[pa.RecordBatch], Iterator[_Row]],
             return common.record(out, schema)
 
         for batch in batches:
-            for b in common.slices(batch):
+            for b in common.slices(batch, size=2 * STEP):
                 for row in parse(b):
                     if row.sid is not None and row.sid not in held:
                         places[row.sid] = len(held)
@@ -308,7 +356,7 @@ def _counted(sets: DataFrame, parse: Callable[[pa.RecordBatch], Iterator[_Row]],
                 flags.append(np.unpackbits(np.frombuffer(several, np.uint8), count=len(members[-1])).astype(bool))
                 owner.append(np.full(len(members[-1]), i, np.int32))
             g, m, f, o = (np.concatenate(x) for x in (grams, members, flags, owner))
-            order = np.argsort(g, kind="stable")
+            order = np.argsort(g)
             g, m, f, o = g[order], m[order], f[order], o[order]
             same = g[1:] == g[:-1]
             more = (np.r_[same, False] | np.r_[False, same]) & ~f  # those with the flag are counted in their chunk
@@ -430,7 +478,7 @@ def _linked(docs: DataFrame, n: int, similarity: float, keyed: bool) -> _Linked:
     at = F.col("size") - F.col("n_shared") + F.col("place")  # n-grams that no other set has are rarer than all of these
     as_larger = F.col("size") - F.ceil(F.col("size") * percent / 100) + 1
     as_smaller = F.col("size") - F.ceil(F.col("size") * (2 * percent) / (100 + percent)) + 1
-    meets = ranked.where(at <= as_larger).select("gram", "sid", (at <= as_smaller).cast("int").alias("small"))
+    meets = common.saved(ranked.where(at <= as_larger).select("gram", "sid", (at <= as_smaller).cast("int").alias("small")))
     # the least of the sets that hold the n-gram in their prefix
     least = meets.groupBy("gram").agg(F.min("sid").alias("pivot"), F.count("*").alias("n"), F.max("small").alias("small")).where("n > 1 and small = 1")
     members = common.saved(meets.join(least.select("gram", "pivot"), "gram").select("pivot", "sid").distinct())
