@@ -11,10 +11,14 @@ distance at most. A member is reranked when its tabled distance is at most d plu
 lose nothing; the sample affects speed alone, and every vector is indexed and queried.
 
 Lists are numbered so that near ones follow each other, and runs of them with about ``BLOCK`` members go to one task, so a
-vector is sent once for a run and not for each of its lists. A run with more members is cut in blocks, and the vectors that
-query it in slices of about ``QUERIES``; each block meets each slice. Counts add up over blocks, and links leave a block as a spanning forest. Vectors that are null, empty, zero or hold
-null or non-finite components link with nothing, like those without a label; vectors of different lengths never
-link. Repeated vec_ids are one vector if the rows are equal. An empty table gives an empty result.
+vector is sent once for a run and not for each of its lists. Of two lists only the vectors of the first query the second, and
+what they find counts for both. A run with more members is cut in blocks, and the vectors that query it in slices of about
+``QUERIES``; each block meets each slice. Counts add up over blocks, and links leave a block as a spanning forest.
+
+Vectors that are null, empty, zero or hold null or non-finite components link with nothing, like those without a label;
+vectors of different lengths never link; lengths with few vectors have one list. A vector without a vec_id takes no part and
+comes back without one. Repeated vec_ids are one vector if the rows are equal; if they differ, n_links is the greatest and
+component_id the least of theirs. Other columns cannot clash. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,8 +32,11 @@ from . import common
 from .components import components
 
 COSINE = 0.93
-#: Coarse lists (the root of the number of vectors, within these), and vectors of the sample that fits them.
-LISTS, MOST_LISTS, SAMPLE = 16, 1024, 8192
+#: Coarse lists (the root of the number of vectors, within these); vectors of the sample that fits them: at least, for a list, and over all lengths of vectors.
+LISTS, MOST_LISTS = 16, 4096
+SAMPLE, SAMPLE_A_LIST, SAMPLES = 8192, 8, 65536
+#: Vectors of one length from which it gets lists of its own.
+FEW = 64
 #: Subspaces and codes in each.
 SUBSPACES, CODES = 16, 16
 #: Members and queries that one task compares.
@@ -74,7 +81,7 @@ class Index:
     """The coarse centres and the codes of the residuals' subspaces, for vectors of one length."""
 
     def __init__(self, sample: np.ndarray, lists: int = LISTS, subspaces: int = SUBSPACES, codes: int = CODES, seed: int = 7):
-        self.centres = k_means(sample, lists, seed)
+        self.centres = k_means(sample, lists, seed) if len(sample) > 1 else np.zeros((1, sample.shape[1]))
         self.centres = self.centres[in_turn(self.centres)]
         home = squared(sample, self.centres).argmin(1)
         residuals = sample - self.centres[home]
@@ -147,20 +154,28 @@ def _forest(n: int, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
 
 
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", sigmas: float | None = SIGMAS) -> DataFrame:
-    """vec_id, n_links, component_id, kept: one row per vec_id."""
+    """vec_id, n_links, component_id, kept: one row per vec_id (one for all rows without)."""
     reach = float(np.sqrt(2 - 2 * cosine)) + 1e-9
     kind = "array<float>" if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else "array<double>"
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast(kind).alias("v"), F.col(label_col).cast("string").alias("label"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    good = rows.where("label is not null and v is not null and size(v) > 0").where(finite).where(F.exists("v", lambda x: x != 0))
+    good = rows.where("vec_id is not null and label is not null and v is not null and size(v) > 0").where(finite).where(F.exists("v", lambda x: x != 0))
     # equal vectors of a label are one, under their smallest id
     distinct = common.saved(good.groupBy("label", "v").agg(F.min("vec_id").alias("u"), F.countDistinct("vec_id").alias("copies")))
     widths = {r["w"]: r["n"] for r in distinct.groupBy(F.size("v").alias("w")).agg(F.count("*").alias("n")).orderBy("w").collect()}
-    indexes = {}
-    for w, n in widths.items():
-        some = distinct.where(F.size("v") == w).orderBy(F.xxhash64("u"), "u").limit(SAMPLE).select("v").collect()
-        indexes[w] = Index(normalised(np.array([r["v"] for r in some], float)), int(min(MOST_LISTS, max(LISTS, n**0.5))))
-    shared = vectors.sparkSession.sparkContext.broadcast(indexes)  # MOST_LISTS + CODES vectors at most for each length
+    lists = {w: int(min(MOST_LISTS, max(LISTS, n**0.5))) for w, n in widths.items() if n >= FEW}
+    # of each length so many vectors by their hash, all in one job; SAMPLES bounds what comes to the driver
+    wanted = {w: min(max(SAMPLE, SAMPLE_A_LIST * k), max(FEW, SAMPLES // len(lists))) for w, k in lists.items()}
+    samples: dict[int, list] = {}
+    if lists:
+        scale = 1 << 30
+        bound = F.create_map(*[x for w, n in wanted.items() for x in (F.lit(w), F.lit(int(scale * min(1, 1.5 * n / widths[w]))))])
+        some = distinct.select("u", "v", F.size("v").alias("w"), F.pmod(F.xxhash64("u"), F.lit(scale)).alias("draw")).where(F.col("draw") < F.coalesce(bound[F.col("w")], F.lit(0)))
+        some = some.withColumn("place", F.row_number().over(Window.partitionBy("w").orderBy("draw", "u", "v"))).where(F.col("place") <= F.create_map(*[x for w, n in wanted.items() for x in (F.lit(w), F.lit(n))])[F.col("w")])
+        for r in some.orderBy("w", "place").select("w", "v").collect():
+            samples.setdefault(r["w"], []).append(r["v"])
+    indexes = {w: Index(normalised(np.array(samples[w], float)), lists[w]) if w in samples else Index(np.ones((1, w)) / w**0.5, 1) for w in widths}
+    shared = vectors.sparkSession.sparkContext.broadcast(indexes)  # MOST_LISTS + CODES vectors at most for each length that many vectors have
 
     def by_width(b: pa.RecordBatch):
         values = b.column("v").to_pylist()
@@ -192,14 +207,15 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, id_col: str = "v
                 here = np.flatnonzero(kinds == f)
                 cells, of = np.array(b.column("lists")[at[f]].as_py()), np.array(b.column("runs")[at[f]].as_py())
                 starts = np.flatnonzero(np.diff(of, prepend=-1))
-                met = np.logical_or.reduceat(near[np.ix_(here, cells)], starts, axis=1)
+                later = near[np.ix_(here, cells)] & (cells[None, :] >= own[here][:, None])
+                met = np.logical_or.reduceat(later, starts, axis=1)
                 for i, row in zip(here, met, strict=True):
                     home[at[i]], run[at[i]], asks[at[i]] = own[i], of[np.searchsorted(cells, own[i])], of[starts[row]]
         return {"label": b.column("label"), "width": b.column("width"), "home": home, "run": run, "asks": asks, "u": b.column("u"), "copies": b.column("copies"), "v": b.column("v")}
 
     sized = distinct.withColumn("width", F.size("v")).join(runs, of_label)
     known = common.saved(common.map_arrow(sized, place, f"label string, width int, home int, run long, asks array<long>, u long, copies long, v {kind}"))
-    asked = known.select(*of_label, F.explode("asks").alias("run"), "u", "copies", "v")
+    asked = known.select(*of_label, F.explode("asks").alias("run"), "u", "copies", "v", "home")
     sizes = known.groupBy(*of_label, "run").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
     sizes = sizes.join(asked.groupBy(*of_label, "run").agg(F.ceil(F.count("*") / QUERIES).alias("slices")), [*of_label, "run"])
     cell = [*of_label, "run"]
@@ -207,33 +223,36 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, id_col: str = "v
     def every(n: str) -> F.Column:
         return F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
 
-    member = known.join(sizes, cell).withColumn("slice", every("slices")).select(*cell, F.pmod(F.xxhash64("u"), F.col("blocks")).alias("block"), "slice", "u", "copies", "v", "home")
-    query = asked.join(sizes, cell).withColumn("block", every("blocks")).select(*cell, "block", F.pmod(F.xxhash64("u", F.lit(1)), F.col("slices")).alias("slice"), "u", "copies", "v", F.lit(None).cast("int").alias("home"))
+    member = known.join(sizes, cell).withColumn("slice", every("slices")).select(*cell, F.pmod(F.xxhash64("u"), F.col("blocks")).alias("block"), "slice", "u", "copies", "v", "home", F.lit(False).alias("asking"))
+    query = asked.join(sizes, cell).withColumn("block", every("blocks")).select(*cell, "block", F.pmod(F.xxhash64("u", F.lit(1)), F.col("slices")).alias("slice"), "u", "copies", "v", "home", F.lit(True).alias("asking"))
 
     def compare(table: pa.Table) -> pa.Table:
         width = table.column("width")[0].as_py()
         index = shared.value[width]
         u, copies = table.column("u").to_numpy(), table.column("copies").to_numpy()
         v = normalised(table.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, width))
-        home = table.column("home").fill_null(-1).to_numpy()
-        queries = np.flatnonzero(home < 0)
+        home, asking = table.column("home").to_numpy(), table.column("asking").to_numpy(zero_copy_only=False)
+        queries = np.flatnonzero(asking)
         names, where = np.unique(u, return_inverse=True)
         n = np.zeros(len(names), np.int64)
         pairs: list[tuple[int, int]] = []
-        lists_here = np.unique(home[home >= 0])
+        lists_here = np.unique(home[~asking])
         asks = np.zeros((len(queries), len(lists_here)), bool)
         for at in range(0, len(queries), 1024):
-            asks[at : at + 1024] = index.probes(v[queries[at : at + 1024]], reach, sigmas)[1][:, lists_here]
+            some = queries[at : at + 1024]
+            asks[at : at + 1024] = index.probes(v[some], reach, sigmas)[1][:, lists_here] & (lists_here[None, :] >= home[some][:, None])
         for c, asked_here in zip(lists_here, asks.T, strict=True):
-            member, query = np.flatnonzero(home == c), queries[asked_here]
+            member, query = np.flatnonzero(~asking & (home == c)), queries[asked_here]
             for part in range(0, len(member), 2048):
                 some = member[part : part + 2048]
                 for a, b in _within(index, c, v[some], v[query], cosine, reach):
-                    left, right = where[query[a]], where[some[b]]
-                    other = left != right
-                    left, right = left[other], right[other]
-                    np.add.at(n, left, copies[some[b[other]]])
-                    pairs += _forest(len(names), left, right)
+                    a, b = query[a], some[b]
+                    other = where[a] != where[b]
+                    a, b = a[other], b[other]
+                    np.add.at(n, where[a], copies[b])
+                    one_way = home[a] < c  # in its own list the other one asks too
+                    np.add.at(n, where[b[one_way]], copies[a[one_way]])
+                    pairs += _forest(len(names), where[a], where[b])
         ends = np.array(pairs, np.int64).reshape(-1, 2)
         pairs = _forest(len(names), ends[:, 0], ends[:, 1])
         hit = np.flatnonzero(n)
@@ -252,5 +271,5 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, id_col: str = "v
         ids.join(result, ["label", "v"], "left")
         .groupBy("vec_id")
         .agg(F.max(F.coalesce("n_links", F.lit(0))).alias("n_links"), F.min(F.coalesce("component_id", "vec_id")).alias("component_id"))
-        .withColumn("kept", F.col("vec_id") == F.col("component_id"))
+        .withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
     )
