@@ -13,7 +13,12 @@ in the whole text, so copies of a notice are found one by one. From a start the
 the whole text if need be, until the template reaches ``least``, or the words to the left and right cannot make it do so.
 The least such stretch counts; insertions in a notice may have any length.
 
-Null and empty texts have no license. Repeated rows give repeated results; an empty table gives an empty result.
+Before a text is aligned anywhere, its longest common subsequence with the template (one pass, a bit for each word of the
+template) says whether the template can be there at all: an alignment is never longer.
+
+Null and empty texts have no license. Of templates with as many matched words and equal coverage that overlap, the first in the
+text counts, then the first by name. A row without an id is scanned like any other, repeated rows give repeated results, other
+columns cannot clash; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,7 +32,7 @@ from pyspark.sql import DataFrame
 
 from . import common
 
-#: Short notices in public use, by their SPDX names.
+#: Notices and whole texts in public use, by their SPDX names; where a shorter one is part of a longer one, the longer one is reported.
 TEMPLATES: dict[str, str] = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0",
     "Apache-2.0-header": (
@@ -52,6 +57,44 @@ TEMPLATES: dict[str, str] = {
     ),
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0",
     "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License",
+    "MIT-full": (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), "
+        "to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, "
+        "and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: "
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. "
+        "THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, "
+        "FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER "
+        "LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+    ),
+    "BSD-2-Clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+        "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+        "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation "
+        "and/or other materials provided with the distribution. "
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS AS IS AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, "
+        "THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE "
+        "LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS "
+        "OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, "
+        "OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+    ),
+    "ISC": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice "
+        "and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED AS IS AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING "
+        "ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY "
+        "DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN "
+        "CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+    ),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, "
+        "either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."
+    ),
+    "Zlib": (
+        "This software is provided as-is, without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. "
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: "
+        "1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product "
+        "documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. "
+        "3. This notice may not be removed or altered from any source distribution."
+    ),
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
 }
 LEAST = 0.9
@@ -82,6 +125,20 @@ def longest_increasing(values: list[int]) -> list[int]:
     return out[::-1]
 
 
+def longest_common(template: list[str], text: list[str]) -> int:
+    """Length of a longest common subsequence. Bit i of the row stays set while word i of the template adds nothing to what came before."""
+    places: dict[str, int] = {}
+    for i, w in enumerate(template):
+        places[w] = places.get(w, 0) | 1 << i
+    whole = (1 << len(template)) - 1
+    row = whole
+    for w in text:
+        if at := places.get(w):
+            met = row & at
+            row = (row + met | row - met) & whole
+    return len(template) - row.bit_count()
+
+
 def align(template: list[str], text: list[str]) -> list[tuple[int, int]]:
     """Matched places (template, text), increasing on both sides."""
     out: list[tuple[int, int]] = []
@@ -137,6 +194,8 @@ class Scanner:
                 for i, w in enumerate(body):
                     if w in present:
                         places.setdefault(w, []).append(i)
+            if longest_common(template, body) < self.least * len(template):
+                continue
             for pairs in self._copies(template, places, body):
                 found.append((name, len(pairs) / len(template), pairs[0][1], pairs[-1][1] + 1, len(template)))
         found.sort(key=lambda x: (-x[1] * x[4], -x[1], x[2], x[0]))

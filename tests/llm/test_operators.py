@@ -261,6 +261,7 @@ def test_loose_forms_are_added_and_redacted(spark):
             kind, now = list(planted.values())[k] if k < len(planted) else (None, was)
             assert (out[i]["n_added"], out[i]["spans"].split(":")[0] or None) == (int(kind is not None), kind), t
             assert red[i] == t.replace(was, now)
+    assert all(r["precision"] >= 0.95 and r["recall"] > 0.8 for r in detector.report.values()), detector.report
 
 
 def test_licenses(docs, empty, clashing):
@@ -308,6 +309,34 @@ def test_embeddings(spark):
     found = rows(embedding_dedup.near_duplicates(df), "vec_id", "n_links", "component_id", "kept")
     assert sum(r[1] for r in found) >= 0.9 * len(links)
     assert embedding_dedup.near_duplicates(df.limit(0)).count() == 0
+    # an id with several vectors, vectors without an id
+    more = df.drop("u").unionByName(spark.createDataFrame([(1, base[0].tolist(), 0), (None, base[0].tolist(), 0), (None, base[1].tolist(), 1)], "vec_id long, embedding array<double>, label int"))
+    again = {r["vec_id"]: r for r in embedding_dedup.near_duplicates(more).collect()}
+    first = {r[0]: r for r in want}
+    assert len(again) == len(want) + 1 and again[None]["n_links"] == 0 and again[None]["kept"] and again[1]["component_id"] == first[0][2]
+
+
+@pytest.mark.parametrize("rank", [2, 4, 8])
+def test_every_link_of_vectors_of_low_rank(spark, rank, monkeypatch):
+    """Clusters and chains in few dimensions, labels of very different sizes, several lengths; also in many runs, blocks and slices."""
+    rng = np.random.default_rng(rank)
+    axes = np.linalg.qr(rng.normal(size=(48, rank)))[0].T
+    x = [rng.normal(size=rank) @ axes for _ in range(260)]
+    x += [x[i] + 0.15 * rng.normal(size=rank) @ axes for i in range(120)]
+    label = [0 if i % 3 else i % 7 for i in range(len(x))]
+    x += [v[:40] for v in x[:80]] + [np.ones(3 + i) for i in range(6)]
+    label += label[:80] + [0] * 6
+    df = spark.createDataFrame([(i, v.tolist(), k) for i, (v, k) in enumerate(zip(x, label, strict=True))], "vec_id long, embedding array<double>, label int").repartition(3)
+    cos = lambda a, b: float(a @ b / np.sqrt((a @ a) * (b @ b)))
+    links = [(i, j) for i in range(len(x)) for j in range(len(x)) if i != j and label[i] == label[j] and len(x[i]) == len(x[j]) and cos(x[i], x[j]) >= 0.93]
+    root = brute.components(range(len(x)), links)
+    n = np.bincount([a for a, _ in links], minlength=len(x))
+    want = [(i, int(n[i]), root[i], root[i] == i) for i in range(len(x))]
+    assert len(links) > 100 and rows(embedding_dedup.near_duplicates(df), "vec_id", "n_links", "component_id", "kept") == want
+    if rank == 4:
+        monkeypatch.setattr(embedding_dedup, "BLOCK", 20)
+        monkeypatch.setattr(embedding_dedup, "QUERIES", 30)
+        assert rows(embedding_dedup.near_duplicates(df), "vec_id", "n_links", "component_id", "kept") == want
 
 
 def test_embeddings_along_few_directions(spark, monkeypatch):

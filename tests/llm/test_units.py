@@ -2,6 +2,7 @@
 
 import base64
 import math
+import re
 
 import numpy as np
 import public_tokenizers
@@ -108,6 +109,29 @@ def test_prefix_tree_leaves_a_template_at_once():
     assert tree.join() == [] and len(calls) <= 4 * 200
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet=" \n\t\x0b\x0c\r\x1c\xa0aAbé", max_size=60), max_size=6), st.integers(1, 5))
+def test_shingle_sets_tell_word_sequences_apart(texts, n):
+    """As many hashes as there are distinct n-grams, equal ones where the n-grams are, whatever else is hashed beside them."""
+    sets = ngram_join.shingle_sets([t.encode() for t in texts], n)
+    plain = []
+    for t in texts:
+        w = re.findall(r"[^\x20\x09-\x0D]+", brute.fold(t))
+        plain.append({tuple(w)} if 0 < len(w) < n else {tuple(w[i : i + n]) for i in range(len(w) - n + 1)})
+    assert [len(s) for s in sets] == [len(p) for p in plain] and all((np.diff(s.astype(object)) > 0).all() for s in sets)
+    for s, p in zip(sets, plain):
+        for s2, p2 in zip(sets, plain):
+            assert len(np.intersect1d(s, s2)) == len(p & p2)
+    assert all((ngram_join.shingles(t.encode(), n) == s).all() for t, s in zip(texts, sets))
+
+
+def test_words_across_steps(monkeypatch):
+    texts = [b" ".join(b"%x" % (i * 7919 % 10007) * (1 + i % 9) for i in range(3000)), b"y" * 5000 + b" end", b"z" * 64 + b" " + b"z" * 65]
+    want = ngram_join.shingle_sets(texts)
+    monkeypatch.setattr(ngram_join, "STEP", 100)
+    assert all((a == b).all() for a, b in zip(want, ngram_join.shingle_sets(texts)))
+
+
 def test_packed_steps():
     for values in ([], [5], [0, 1, 2**40], list(range(0, 10**6, 999))):
         v = np.array(values, np.uint64)
@@ -211,6 +235,14 @@ def test_boosted_trees_learn():
     assert ((p > 0.5) == y[400:]).mean() > 0.93
 
 
+def test_isotonic_steps():
+    p, y = np.array([0.1, 0.2, 0.3, 0.4, 0.4, 0.9]), np.array([0, 1, 0, 1, 1, 1.0])
+    at, value = pii.isotonic(p, y)
+    assert at.tolist() == [0.1, 0.2, 0.4] and value.tolist() == [0.0, 0.5, 1.0]
+    found = pii.Detector(None, np.zeros(4), [(at, value)] * 4)
+    assert [found.probability(0, x) for x in (0.0, 0.15, 0.25, 0.39, 0.95)] == [0.0, 0.0, 0.5, 0.5, 1.0]
+
+
 def test_candidates_overlap_no_base_span():
     text = "call 415-555-2671 or +1 415 555 2671, bob (at) site (dot) org, a@b.org"
     base = pii.base_spans(text)
@@ -228,6 +260,51 @@ def test_patience():
     assert all(a[i] == b[j] for i, j in pairs) and [a[i] for i, _ in pairs] == "the quick brown jumps over the dog".split()
 
 
+def _lcs(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        before = row[:]
+        for j, y in enumerate(b):
+            row[j + 1] = before[j] + 1 if x == y else max(row[j], before[j + 1])
+    return row[-1]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from("abcdefgh"), max_size=14), st.lists(st.sampled_from("abcdefghxyz"), max_size=30))
+def test_alignments_and_the_longest_common_subsequence(a, b):
+    pairs = licenses.align(a, b)
+    assert licenses.longest_common(a, b) == _lcs(a, b) >= len(pairs)
+    assert all(a[i] == b[j] for i, j in pairs) and all(x < y and u < v for (x, u), (y, v) in zip(pairs, pairs[1:]))
+
+
+@pytest.mark.parametrize("name", sorted(licenses.TEMPLATES))
+def test_edited_copies_are_found_as_brute_force_finds_them(name):
+    """Words replaced, left out and inserted at random, in a longer text: reported where the longest common subsequence has the coverage and the edits leave anchors."""
+    rng = np.random.default_rng(len(name))
+    scanner = licenses.Scanner({name: licenses.TEMPLATES[name]}, 0.9)
+    template = scanner.templates[name]
+    for n_edits in (0, 1, len(template) // 12, len(template) // 4):
+        body = list(template)
+        for at in sorted(rng.choice(len(body), min(n_edits, len(body)), replace=False))[::-1]:
+            body[at : at + 1] = [["edit"], [], [body[at], "more", "words"]][int(rng.integers(3))]
+        text = ["before"] * 40 + body + ["after"] * 40
+        want = _lcs(template, text) / len(template)
+        found = scanner.scan(" ".join(text))
+        assert bool(found) == (want >= 0.9) and all(c <= want for _, c, _, _ in found)
+
+
+def test_a_full_text_beside_an_edited_copy():
+    full = licenses.words(licenses.TEMPLATES["MIT-full"])
+    copy = list(full)
+    for at in range(5, len(copy), 24):
+        copy[at] = "edited"
+    found = licenses.Scanner(licenses.TEMPLATES, 0.9).scan(" ".join([*full, "and", "then", *copy]))
+    assert [n for n, *_ in found] == ["MIT-full", "MIT-full"] and found[0][1] == 1.0
+    sentence = licenses.words(licenses.TEMPLATES["BSD-text"])
+    apart = [*sentence[:10], *["inserted"] * 12, *sentence[10:]]
+    assert [n for n, *_ in licenses.Scanner(licenses.TEMPLATES, 0.9).scan(" ".join(apart))] == ["BSD-text"]
+
+
 def test_license_scanner():
     scanner = licenses.Scanner(licenses.TEMPLATES, licenses.LEAST)
     noise = "lorem the of under license " * 50
