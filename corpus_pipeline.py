@@ -5,8 +5,10 @@ columns of ``documents``; the last returns the pieces of packed sequences. ``run
 Parquet in the folder the session names in spark.checkpoint.dir and reads it again, so no stage is ever computed twice
 and a lost executor costs one stage at most.
 
-doc_id is the key of documents. Rows without text are harmless, equal to each other and have no personal data; one
-of them survives the exact dedup. An empty table goes through all stages as an empty one.
+Rows without text are harmless, equal to each other and have no personal data; one of them survives the exact dedup. Rows
+are told apart by their id and text, so texts that share an id are judged one by one, of rows repeated as a whole one stays, and
+rows without an id take part like any other; where a copy has an id, that one stays. Columns beyond those of documents do
+not pass. An empty table goes through all stages as an empty one. The folder of a run is left to whoever owns the shared one, since its result is read from it.
 """
 
 from __future__ import annotations

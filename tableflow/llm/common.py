@@ -112,17 +112,24 @@ def partitions(spark: SparkSession, size: int = 0, each: int = PARTITION_BYTES)
 HOT_ROWS = 200
 
 
-def spread_join(big: DataFrame, small: DataFrame, key: str, counts: DataFrame, total: int, how: str) -> DataFrame:
-    """big joined with small (one row a key), where the rows of a frequent key are dealt over several tasks.
+def frequent(counts: DataFrame, key: str, total: int) -> list[tuple]:
+    """The keys that one task should not take alone, and over how many to deal each; counts (key, n) says how many of so many rows a key has.
 
-    counts (key, n) says how many rows of big a key has, of so many in all. A key is frequent from a quarter of a task's
-    even share, so there are four times as many of them as tasks at most, and their list can be broadcast.
+    A key is frequent from a quarter of a task's even share on, so the list has four keys for each shuffle partition at most.
     """
-    even = max(HOT_ROWS, total // (4 * partitions(big.sparkSession)))
-    hot = F.broadcast(counts.where(F.col("n") > even).select(key, F.ceil(F.col("n") / even).cast("int").alias("_parts")))
+    even = max(HOT_ROWS, total // (4 * partitions(counts.sparkSession)))
+    return [(r[0], -(-r[1] // even)) for r in counts.where(F.col("n") > even).select(key, "n").collect()]
+
+
+def spread_join(big: DataFrame, small: DataFrame, key: str, hot: list[tuple], how: str) -> DataFrame:
+    """big joined with small (one row a key), where the rows of frequent keys are dealt over several tasks."""
+    if not hot:
+        return big.join(small, key, how)
+    kind = small.schema[key].dataType.simpleString()
+    parts = F.broadcast(big.sparkSession.createDataFrame(hot, f"`{key}` {kind}, _parts int"))
     others = [F.col(f"`{c}`") for c in big.columns if c != key]
-    dealt = big.join(hot, key, "left").withColumn("_part", F.when(F.col("_parts").isNull(), 0).otherwise(F.pmod(F.xxhash64(*others), F.col("_parts")).cast("int"))).drop("_parts")
-    each = small.join(hot, key, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1))).drop("_parts")
+    dealt = big.join(parts, key, "left").withColumn("_part", F.when(F.col("_parts").isNull(), 0).otherwise(F.pmod(F.xxhash64(*others), F.col("_parts")).cast("int"))).drop("_parts")
+    each = small.join(parts, key, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1))).drop("_parts")
     return dealt.join(each, [key, "_part"], how).drop("_part")
 
 

@@ -27,14 +27,16 @@ def components(links: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
     for _ in range(rounds):
         if not state[0]:
             break
+        # nodes of very many links, as the greater or the smaller end
+        ends = edges.select(F.explode(F.array(F.struct(F.col("a").alias("at"), F.lit(True).alias("greater")), F.struct(F.col("b").alias("at"), F.lit(False).alias("greater")))).alias("e"))
+        hubs = common.frequent(ends.groupBy("e").agg(F.count("*").alias("n")), "e", state[0])
         # large star: the greater neighbours of a node go to its least neighbour, or stay with it where it has none smaller
         least = edges.groupBy(F.col("a").alias("at")).agg(F.min("b").alias("m"))
-        hubs = edges.groupBy(F.col("b").alias("at")).agg(F.count("*").alias("n"))
-        up = common.spread_join(edges.select(F.col("b").alias("at"), "a"), least, "at", hubs, state[0], "left")
+        up = common.spread_join(edges.select(F.col("b").alias("at"), "a"), least, "at", [(e["at"], k) for e, k in hubs if not e["greater"]], "left")
         large = up.select("a", F.coalesce("m", "at").alias("b")).distinct()
         # small star: the smaller neighbours of a node go to the least of them, and so does the node
-        down = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
-        met = common.spread_join(large, down.drop("n"), "a", down.select("a", "n"), state[0], "inner")
+        down = large.groupBy("a").agg(F.min("b").alias("m"))
+        met = common.spread_join(large, down, "a", [(e["at"], k) for e, k in hubs if e["greater"]], "inner")
         small = met.select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.a", "e.b")
         edges = saved(small.where("a <> b").distinct())
         now = _state(edges)

@@ -507,20 +507,20 @@ def jaccard_components(docs: DataFrame, n: int = N, similarity: float = SIMILARI
     rows, sets = _linked(common.texts_of(docs, id_col, text_col), n, similarity, False)
     least = sets.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     small = common.saved(sets.select("sid", "root").join(least, "root").select("sid", "component_id"))
-    named = common.spread_join(rows.select("sid", "doc_id", "n_shingles"), small, "sid", sets.select("sid", "n"), rows.count(), "left")
+    named = common.spread_join(rows.select("sid", "doc_id", "n_shingles"), small, "sid", common.frequent(sets, "sid", rows.count()), "left")
     return named.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def without_near_copies(docs: DataFrame, n: int = N, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows, with all their columns, one of each component: that with the smallest doc_id, of several such that with the least MD5 of its text."""
     rows, sets = _linked(common.texts_of(docs, id_col, text_col), n, similarity, True)
-    of_row = common.spread_join(rows.select("sid", "doc_id", "key"), sets.select("sid", "root"), "sid", sets.select("sid", "n"), rows.count(), "inner")
+    of_row = common.spread_join(rows.select("sid", "doc_id", "key"), sets.select("sid", "root"), "sid", common.frequent(sets, "sid", rows.count()), "inner")
     of_row = common.saved(of_row.select("root", "doc_id", F.lower(F.hex("key")).alias("text_key")))
     known = common.saved(of_row.groupBy("root").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")))
-    total = of_row.count()
-    first = common.spread_join(of_row, known.select("root", "least"), "root", known.select("root", "n"), total, "inner").where(F.col("doc_id").eqNullSafe(F.col("least")))
+    hot = common.frequent(known, "root", of_row.count())
+    first = common.spread_join(of_row, known.select("root", "least"), "root", hot, "inner").where(F.col("doc_id").eqNullSafe(F.col("least")))
     first = common.saved(first.groupBy("root", "doc_id").agg(F.min("text_key").alias("kept_key")).select("root", F.col("doc_id").alias("kept_id"), "kept_key"))
-    groups = common.spread_join(of_row, first, "root", known.select("root", "n"), total, "inner")
+    groups = common.spread_join(of_row, first, "root", hot, "inner")
     groups = groups.select("doc_id", "text_key", (F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("text_key") == F.col("kept_key"))).alias("stays"))
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     return common.surviving(docs, groups, F.md5(text.cast("binary")), id_col)
