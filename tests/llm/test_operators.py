@@ -141,6 +141,12 @@ def test_bpe(docs, empty, clashing):
     assert bpe.bpe_round_trip(empty, MULTI).count() == 0
 
 
+def _first_texts(train):
+    """Of each language the text that comes first by its hash."""
+    drawn = train.where("text is not null and lang is not null").withColumn("draw", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)))
+    return [r["t"] for r in drawn.groupBy("lang").agg(F.min_by("text", F.struct("draw", "doc_id")).alias("t")).orderBy("lang").collect()]
+
+
 def test_language_id(spark, docs, empty):
     parts = {"en": "the and of with that thing there which".split(), "fr": "le la été être pour dans avec qué".split()}
     rng = np.random.default_rng(6)
@@ -152,6 +158,14 @@ def test_language_id(spark, docs, empty):
     assert all(r["lang_pred"] == r["lang"] for r in got if r["lang"] != "x")
     assert all((r["lang_pred"], r["score"]) == ("und", 0.0) for r in got if r["lang"] == "x")
     assert all(0 <= r["score"] <= 1 for r in got)
+    clashing = test.select("*", *[F.lit("x").alias(c) for c in ("lang_pred", "score", "draw", "place")])
+    assert sorted(map(tuple, language_id.identify(clashing, model).collect())) == sorted(map(tuple, language_id.identify(test, model).collect()))
+    again = language_id.train(train.select("*", *[F.lit("x").alias(c) for c in ("draw", "place", "so_far")]).repartition(5), per_language=20)
+    assert all((a == b).all() for x, y in zip(again.trees, model.trees) for a, b in zip(x.counts, y.counts))  # whatever the partitions
+    small = language_id.train(train, per_language=20, language_bytes=1)
+    assert [int(t.counts[0].sum()) for t in small.trees] == [len(t.encode()) for t in _first_texts(train)]
+    long = spark.createDataFrame([(1, make("fr") * 20_000), (2, make("en") + " " + "9" * 3_000_000)], "doc_id long, text string")
+    assert {r["doc_id"]: r["lang_pred"] for r in language_id.identify(long, model).collect()} == {1: "fr", 2: "en"}
     nothing = language_id.train(empty)
     assert {r["lang_pred"] for r in language_id.identify(docs, nothing).collect()} == {"und"}
 

@@ -47,3 +47,18 @@ def test_empty(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_rows_without_an_id_and_repeated_rows(spark, tmp_path):
+    """Columns that clash with those of the stages do not pass, every kept text is packed once for each row that stays."""
+    text = words(1, 40)
+    rows = [(1, text), (1, text), (None, text), (None, words(2, 40)), (None, words(2, 40)), (3, words(3, 40)), (3, words(4, 40)), (4, None), (None, None)]
+    df = spark.createDataFrame([(i, t, "en", "s", None if t is None else len(t), 1, "x") for i, t in rows], f"{SCHEMA}, grade int, _key0 string")
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    got = {}
+    for p in corpus_pipeline.run(spark, str(tmp_path)).collect():
+        got.setdefault((p["doc_id"], p["doc_tokens"]), []).append(p["length"])
+    path = public_tokenizers.path
+    want = [(i, len(packing.token_ids(t or "", path("byte_bpe_50k.json"), None))) for i, t in [(1, text), (None, words(2, 40)), (3, words(3, 40)), (3, words(4, 40)), (4, None)]]
+    assert sorted(got, key=repr) == sorted(want, key=repr) and all(sum(v) == n for (_, n), v in got.items())

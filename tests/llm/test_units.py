@@ -305,6 +305,12 @@ def test_a_full_text_beside_an_edited_copy():
     assert [n for n, *_ in licenses.Scanner(licenses.TEMPLATES, 0.9).scan(" ".join(apart))] == ["BSD-text"]
 
 
+def test_templates_that_tie():
+    """Two names for one text: the first by name; equal coverage apart: each."""
+    two = licenses.Scanner({"B": "one two three four five", "A": "one two three four five", "C": "six seven eight nine ten"}, 0.9)
+    assert [n for n, *_ in two.scan("one two three four five, six seven eight nine ten")] == ["A", "C"]
+
+
 def test_license_scanner():
     scanner = licenses.Scanner(licenses.TEMPLATES, licenses.LEAST)
     noise = "lorem the of under license " * 50
