@@ -460,7 +460,9 @@ def _linked(docs: DataFrame, n: int, similarity: float, keyed: bool) -> _Linked:
     # one document of each set; those without an id all come, and whatever else has the same id
     some = common.saved(sets.join(first, "sid", "left_semi").select(F.col("doc_id").alias("some_id")).distinct())
     some = F.broadcast(some) if some.count() <= BROADCAST_IDS else some.hint("shuffle_hash")
-    left = common.saved(_sets(docs.join(some, F.col("doc_id").eqNullSafe(F.col("some_id")), "left_semi"), n).dropDuplicates(["sid"]))
+    spark = docs.sparkSession
+    left = _sets(docs.join(some, F.col("doc_id").eqNullSafe(F.col("some_id")), "left_semi"), n)
+    left = common.saved(left.repartition(common.partitions(spark, size), "sid").dropDuplicates(["sid"]))
     held = left.agg(F.sum(F.octet_length("grams"))).first()[0] or 0
     enough = left.join(_shared_enough(_counted(left, _of_sets, held // 8), percent), "sid", "left_semi")
     # from here on a set is known by its number
@@ -471,10 +473,12 @@ def _linked(docs: DataFrame, n: int, similarity: float, keyed: bool) -> _Linked:
         sizes = np.array([len(s) for s in own])
         return {"sid": np.repeat(b.column("sid").to_numpy(), sizes), "size": np.repeat(sizes, sizes), "gram": np.concatenate(own)}
 
-    grams = common.map_arrow(kept, exploded, "sid long, size long, gram long")
+    # tables with a row for each n-gram are dealt over as many tasks as their bytes need
+    parts = common.partitions(spark, 4 * (kept.agg(F.sum(F.octet_length("grams"))).first()[0] or 0))
+    grams = common.map_arrow(kept, exploded, "sid long, size long, gram long").repartition(parts, "gram")
     shared = grams.groupBy("gram").agg(F.count("*").alias("df")).where("df > 1")
     of_set = Window.partitionBy("sid")
-    ranked = grams.join(shared, "gram").withColumns({"n_shared": F.count("*").over(of_set), "place": F.row_number().over(of_set.orderBy("df", "gram"))})
+    ranked = grams.join(shared, "gram").repartition(parts, "sid").withColumns({"n_shared": F.count("*").over(of_set), "place": F.row_number().over(of_set.orderBy("df", "gram"))})
     at = F.col("size") - F.col("n_shared") + F.col("place")  # n-grams that no other set has are rarer than all of these
     as_larger = F.col("size") - F.ceil(F.col("size") * percent / 100) + 1
     as_smaller = F.col("size") - F.ceil(F.col("size") * (2 * percent) / (100 + percent)) + 1
