@@ -97,7 +97,7 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def small_side(ids: DataFrame, rows: int = 1_000_000) -> DataFrame:
+def small_side(ids: DataFrame, rows: int = 250_000) -> DataFrame:
     """A saved list of ids for a join with texts: broadcast while it has so few rows, else hashed after a shuffle, never sorted."""
     ids = saved(ids)
     return F.broadcast(ids) if ids.count() <= rows else ids.hint("shuffle_hash")
