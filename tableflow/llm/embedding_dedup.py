@@ -266,10 +266,11 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, id_col: str = "v
     root = components(found.where("to is not null"), "u", "to")
     result = distinct.join(counts, "u", "left").join(root.withColumnRenamed("node", "u"), "u", "left")
     result = result.select("label", "v", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("root", "u").alias("component_id"))
+    known_id = F.col("vec_id").isNotNull()
     ids = rows.groupBy("vec_id", "label", "v").agg(F.count("*").alias("rows"))
     return (
         ids.join(result, ["label", "v"], "left")
         .groupBy("vec_id")
-        .agg(F.max(F.coalesce("n_links", F.lit(0))).alias("n_links"), F.min(F.coalesce("component_id", "vec_id")).alias("component_id"))
+        .agg(F.max(F.when(known_id, F.coalesce("n_links", F.lit(0))).otherwise(0)).alias("n_links"), F.min(F.when(known_id, F.coalesce("component_id", "vec_id"))).alias("component_id"))
         .withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
     )

@@ -380,6 +380,20 @@ def test_components(spark):
     assert components.components(df.limit(0)).count() == 0
 
 
+def test_components_of_hubs(spark, monkeypatch):
+    """Nodes with a large share of all links, as the smallest, the greatest and a middle node, and a chain through them: dealt over tasks."""
+    from tableflow.llm import common
+
+    monkeypatch.setattr(common, "HOT_ROWS", 5)
+    links = [(0, 10 + i) for i in range(150)] + [(9000, 1000 + i) for i in range(150)] + [(5000, 4900 + i) for i in range(200)] + [(159, 1003), (4000, 4001), (4001, 4002)]
+    dealt = []
+    real = common.spread_join
+    monkeypatch.setattr(common, "spread_join", lambda *a: dealt.append(len(a[3])) or real(*a))
+    df = spark.createDataFrame(links, "a long, b long").repartition(4)
+    assert dict(map(tuple, components.components(df).collect())) == brute.components({x for k in links for x in k}, links)
+    assert max(dealt) > 0
+
+
 def test_rows_without_an_id(spark):
     """They take part like any other row; what they get is stated with each operator."""
     text = " ".join(f"w{i}" for i in range(30))
@@ -426,6 +440,7 @@ def test_very_common_ngrams(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "CHUNK_SETS", 40)
     monkeypatch.setattr(ngram_join, "CHUNK_ROWS", 50)
     monkeypatch.setattr(ngram_join, "BLOCK", 8)
+    monkeypatch.setattr(ngram_join.common, "HOT_ROWS", 5)
     line = words(3, 24)
     data = [(i, f"{line} {words(100 + i, 4 + i % 9)}") for i in range(150)] + [(200 + i, line) for i in range(60)] + [(300 + i, f"{line} {words(100 + i, 4 + i % 9)} x") for i in range(30)]
     df = spark.createDataFrame(data, "doc_id long, text string").repartition(5)
