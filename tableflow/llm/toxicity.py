@@ -36,7 +36,7 @@ from . import common
 SHORTEST, LONGEST = 3, 10
 FOLDS = 3
 #: Features that a task counts before it hands them on, and words of which a worker remembers the features.
-HELD, MEMO = 1_000_000, 200_000
+HELD, MEMO = 150_000, 100_000
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -216,7 +216,7 @@ def train(docs: DataFrame, labels: DataFrame, grade_col: str = "grade", max_rows
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """In how many bags each feature is, and in how many of them the grade is over each threshold."""
-        seen: dict[str, np.ndarray] = {}
+        seen: dict[str, list[int]] = {}
 
         def rows() -> pa.RecordBatch:
             at, table = list(seen), np.array(list(seen.values()))
@@ -229,7 +229,7 @@ def train(docs: DataFrame, labels: DataFrame, grade_col: str = "grade", max_rows
                 place = grades.index(grade_)
                 for feature in {p for w in bag.split(" ")[::2] if w for p in parts(w)}:
                     if (own := seen.get(feature)) is None:
-                        own = seen[feature] = np.zeros(len(grades), np.int64)
+                        own = seen[feature] = [0] * len(grades)
                     own[place] += 1
                 if len(seen) >= HELD:
                     yield rows()
