@@ -24,28 +24,33 @@ from tableflow.llm import common, exact_dedup, ngram_join, packing, pii, toxicit
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+@common.small_batches
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the grader rejects go; it learns from the labels of those documents that arrive."""
     model = toxicity.train(docs, common.read(spark, sf_dir, "labels"), "toxic")
     return toxicity.accepted(docs.select(*COLUMNS), model)
 
 
+@common.small_batches
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts (ASCII case aside) the row with the largest doc_id stays."""
     return exact_dedup.without_copies(docs.select(*COLUMNS))
 
 
+@common.small_batches
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the smallest doc_id stays."""
     return ngram_join.without_near_copies(docs.select(*COLUMNS))
 
 
+@common.small_batches
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every span found is replaced by its kind; n_chars follows the text."""
     redacted = pii.redact(docs.select(*COLUMNS), pii.train(docs))
     return redacted.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(*COLUMNS)
 
 
+@common.small_batches
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of 1024 tokens."""
     path = public_tokenizers.path

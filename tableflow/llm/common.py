@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 from collections.abc import Callable, Iterator
 
@@ -12,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows and bytes that a function gets at a time. Spark's own Arrow batches end at 64 MB; working copies of texts are larger.
-SLICE_ROWS, SLICE_BYTES = 1000, 8 << 20
+SLICE_ROWS, SLICE_BYTES = 1000, 4 << 20
 #: Bytes of input for which an operator asks for one shuffle partition, beside the session's number.
 PARTITION_BYTES = 32 << 20
 
@@ -21,6 +22,17 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(job: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """A job whose session hands rows to Python a thousand at a time. Operators leave settings alone; whoever runs them chooses."""
+
+    @functools.wraps(job)
+    def run(spark: SparkSession, *more) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(SLICE_ROWS))
+        return job(spark, *more)
+
+    return run
+
+
 def texts_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: str) -> DataFrame:
     """Only the columns an operator needs, as ``doc_id`` and ``text``; other columns of the input cannot clash. A missing id stays NULL."""
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *[F.col(c) for c in more])

@@ -46,7 +46,7 @@ SIMILARITY = 0.75
 #: Sets of one bucket that one task compares.
 BLOCK = 250
 #: Sets, rows and n-grams that a task holds before it hands on its blocks.
-CHUNK_SETS, CHUNK_ROWS, CHUNK_GRAMS = 60_000, 200_000, 2_000_000
+CHUNK_SETS, CHUNK_ROWS, CHUNK_GRAMS = 60_000, 200_000, 1_000_000
 #: Packed bytes of an n-gram, about.
 GRAM_BYTES = 5
 #: Bits of a hash that the filter compares beyond those that number all n-grams; equal ones by chance only let more sets pass.

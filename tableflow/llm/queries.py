@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, embedding_dedup, exact_dedup, language_id, licenses, ngram_join, packing, pii, suffix_dedup, toxicity
-from .common import read
+from .common import read, small_batches
 
 VOCABULARY = "byte_bpe_50k.json"
 VOCABULARY_RANKS = "byte_bpe_50k.tiktoken"
@@ -77,6 +77,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
 }
 
+QUERIES = {name: small_batches(query) for name, query in QUERIES.items()}
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 #: Components of the links p(a, b): every node's least reachable one.
