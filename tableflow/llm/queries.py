@@ -8,12 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embedding_dedup, exact_dedup, language_id, licenses, ngram_join, packing, pii, suffix_dedup, toxicity
+from . import bpe, embedding_dedup, exact_dedup, language_id, licenses, ngram_join, packing, pieces, pii, suffix_dedup, toxicity
 from .common import read, small_batches
 
 VOCABULARY = "byte_bpe_50k.json"
 VOCABULARY_RANKS = "byte_bpe_50k.tiktoken"
 MULTI_RANKS = "byte_bpe_multi_50k.tiktoken"
+PIECES = "piece_bpe_32k.model"
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,6 +65,10 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
 
 
+def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.piece_round_trip(read(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
@@ -75,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
+    "op12_sentencepiece": op12_sentencepiece,
 }
 
 QUERIES = {name: small_batches(query) for name, query in QUERIES.items()}
