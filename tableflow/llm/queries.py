@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embedding_dedup, exact_dedup, language_id, licenses, ngram_join, packing, pieces, pii, suffix_dedup, toxicity
+from . import bpe, conversation_trie, embedding_dedup, exact_dedup, language_id, licenses, ngram_join, packing, pieces, pii, suffix_dedup, toxicity, whitening
 from .common import read, small_batches
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -65,10 +65,18 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
 
 
+def op11_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.prefix_trie(read(spark, sf_dir, "conversations"))
+
+
 def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.piece_round_trip(read(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
@@ -80,7 +88,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
+    "op11_conversation_prefix_trie": op11_conversation_prefix_trie,
     "op12_sentencepiece": op12_sentencepiece,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
 
 QUERIES = {name: small_batches(query) for name, query in QUERIES.items()}
@@ -123,4 +133,24 @@ ORACLE_SQL: dict[str, str] = {
         f AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a, b), 0) AS since FROM e),
         x AS (SELECT doc_id, string_agg(substr(h, (2 * since + 1)::BIGINT, (2 * (a - since))::BIGINT), '' ORDER BY a, b) AS kept, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) - 1 AS n_spans, any_value(len(h) // 2) AS n_bytes FROM f JOIN d USING (doc_id) GROUP BY doc_id)
         SELECT doc_id, n_bytes, n_removed, n_spans, sha256(unhex(kept)) AS kept_sha256 FROM x""",
+    # CRC-32 bit by bit: each digit, then eight shifts
+    "op11_conversation_prefix_trie": """
+        WITH o AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+              row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(strlen(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, ''))) AS pos
+              FROM conversations WHERE conv_id IS NOT NULL),
+        h AS (SELECT conv_id, conv_id - conv_id % 100 AS base, (4294967295 - list_reduce([4294967295] || flatten(list_transform(range(1, len(conv_id::VARCHAR) + 1),
+              lambda i: [ascii(substr(conv_id::VARCHAR, i, 1))::BIGINT] || [-1::BIGINT, -1, -1, -1, -1, -1, -1, -1])),
+              lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END)) % 6 AS h FROM (SELECT DISTINCT conv_id FROM o)),
+        t AS (SELECT h.conv_id, o.pos, role, text FROM h JOIN o ON o.conv_id = h.base AND o.pos <= h.h UNION ALL SELECT h.conv_id, o.pos, role, text FROM h JOIN o ON o.conv_id = h.conv_id AND o.pos > h.h),
+        k AS (SELECT conv_id, row_number() OVER w AS depth, string_agg(md5(strlen(role)::VARCHAR || ':' || role || text), '') OVER w AS key, length(text) AS points
+              FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY pos ROWS UNBOUNDED PRECEDING)
+              UNION ALL SELECT conv_id, 0, '', 0 FROM h),
+        n AS (SELECT depth, key, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(points) AS points FROM k GROUP BY depth, key),
+        c AS (SELECT left(key, (32 * (depth - 1))::BIGINT) AS key, count(*) AS n FROM n WHERE depth > 0 GROUP BY 1),
+        m AS (SELECT n.*, coalesce(c.n, 0) AS n_children, p.conv_id AS parent_conv_id FROM n LEFT JOIN c ON c.key = n.key LEFT JOIN n p ON p.key = left(n.key, (32 * (n.depth - 1))::BIGINT) AND n.depth > 0),
+        s AS (SELECT key, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END)::BIGINT AS n_leaves, sum((n_convs - 1) * points)::BIGINT AS saved_tokens
+              FROM (SELECT left(key, 32 * unnest(range(0, depth + 1))) AS key, n_children, n_convs, points FROM m) GROUP BY key),
+        e AS (SELECT key, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS ends FROM (SELECT conv_id, arg_max(key, depth) AS key FROM k GROUP BY conv_id) GROUP BY key)
+        SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, coalesce(ends, sha256('')) AS ends_sha256
+        FROM m JOIN s USING (key) LEFT JOIN e USING (key)""",
 }
