@@ -121,7 +121,7 @@ class Pieces:
         self.bytes_of[unknown] = spec.unk_surface.encode()
         self.text_of = np.array([str(i) for i in range(len(names))], object)
         self.leads = np.array([k == 1 and n.startswith(SPACE) for n, k in zip(names, kinds, strict=True)])
-        self.silent = {i for i, k in enumerate(kinds) if k == 3}
+        self.mute = np.array([k == 3 for k in kinds])
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -269,12 +269,15 @@ class Pieces:
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids: the space that encoding puts first is taken off, bytes that are no UTF-8 are replaced one by one."""
+        silent = np.flatnonzero(self.mute[ids])
+        if len(silent):  # bytes on both sides of a control piece do not join
+            parts = [p for p in np.split(ids[~self.mute[ids]], silent - np.arange(len(silent))) if len(p)]
+            return "".join(self._text(p, not at) for at, p in enumerate(parts))
+        return self._text(ids, True)
+
+    def _text(self, ids: np.ndarray, first: bool) -> str:
         data = b"".join(self.bytes_of[ids].tolist())
-        if self.prefix:
-            first = next((i for i in ids.tolist() if i not in self.silent), None)
-            if first is not None and self.leads[first]:
-                data = data[1:]
-        return data.decode("utf-8", "one_for_each")
+        return (data[1:] if first and self.prefix and len(ids) and self.leads[ids[0]] else data).decode("utf-8", "one_for_each")
 
 
 _loaded: dict[str, Pieces] = {}
