@@ -2,7 +2,8 @@
 
 For each language a tree of byte contexts up to three bytes long holds how often each byte followed (order 0 to 3).
 A byte costs -log2 of its probability in the longest context that has seen it; on the way down every context that
-hasn't seen it costs its escape probability (method C: distinct followers against all followers). Statistics are
+hasn't seen it costs its escape probability (method C: distinct followers against all followers). A byte that
+no language has seen costs the same in all of them, so many of them outvote no word. Statistics are
 frozen after training, so a text's code length is exact and does not depend on what was scored before. The language
 with the least code length wins; the score is its share of the posterior under equal priors.
 
@@ -76,6 +77,9 @@ class Model:
     def __init__(self, texts: dict[str, list[bytes]]):
         self.languages = sorted(texts)
         self.trees = [ContextTree(texts[x]) for x in self.languages]
+        self.strange = np.ones(256, bool)
+        for tree in self.trees:
+            self.strange[tree.grams[0]] = False
         pairs = np.zeros(65536, np.int64)
         for tree in self.trees:
             np.add.at(pairs, tree.grams[1], tree.counts[1])
@@ -112,7 +116,9 @@ class Model:
                 rare = np.flatnonzero((left == n - 1) | (right == n - 1))
                 if len(rare):
                     keys = (pair[at - 3 : to - 3][rare].astype(np.uint32) << np.uint32(16)) | pair[at - 1 : to - 1][rare]
-                    out[i] += [tree.bits(keys).sum() for tree in self.trees]
+                    strange = self.strange[keys & np.uint32(255)]
+                    keys = keys[~strange]
+                    out[i] += [tree.bits(keys).sum() + 8 * np.count_nonzero(strange) for tree in self.trees]
         return out
 
     def predict(self, texts: list[str]) -> tuple[list[str], list[float]]:
@@ -125,12 +131,13 @@ class Model:
         return [self.languages[k] if ok else UNKNOWN for k, ok in zip(best, letters, strict=True)], [float(s) if ok else 0.0 for s, ok in zip(share, letters, strict=True)]
 
 
-def train(docs: DataFrame, lang_col: str = "lang", per_language: int = 300, language_bytes: int = 8 << 20, id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """Fit on at most per_language documents, and language_bytes bytes but for the first document, of each language."""
+def train(docs: DataFrame, lang_col: str = "lang", per_language: int = 300, language_bytes: int = 8 << 20, total_bytes: int = 128 << 20, id_col: str = "doc_id", text_col: str = "text") -> Model:
+    """Fit on at most per_language documents, and language_bytes bytes (of many languages fewer: total_bytes in all) but for the first document, of each language."""
     known = common.texts_of(docs, id_col, text_col, lang_col).withColumnRenamed(lang_col, "lang").where("text is not null and lang is not null")
     texts: dict[str, list[bytes]] = {}
     counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row for each language
     if counts:
+        language_bytes = min(language_bytes, total_bytes // len(counts))
         scale = 1 << 30
         # twice the expected share by their hash, then the first of those: no sort of all texts
         bound = F.create_map(*[x for k, n in sorted(counts.items()) for x in (F.lit(k), F.lit(int(scale * min(1, 2 * per_language / n))))])
