@@ -166,7 +166,7 @@ def test_language_id(spark, docs, empty):
     assert [int(t.counts[0].sum()) for t in small.trees] == [len(t.encode()) for t in _first_texts(train)]
     long = spark.createDataFrame([(1, make("fr") * 20_000), (2, make("en") + " " + "9" * 3_000_000)], "doc_id long, text string")
     assert {r["doc_id"]: r["lang_pred"] for r in language_id.identify(long, model).collect()} == {1: "fr", 2: "en"}
-    strange = [make(x) + " " + c * n for c in "9#語" for x in ("en", "fr") for n in (1000, 100_000)]  # bytes that neither language has
+    strange = [make(x) + " " + c * n for c in "9#漢" for x in ("en", "fr") for n in (1000, 100_000)]  # bytes that neither language has
     assert model.predict(strange)[0] == ["en", "en", "fr", "fr"] * 3
     assert [sum(map(len, [t.counts[0]])) > 0 for t in language_id.train(train, per_language=20, total_bytes=2).trees] == [True, True]
     nothing = language_id.train(empty)
