@@ -34,6 +34,21 @@ def canon_of(df: DataFrame, name: str) -> Column:
     return canon(F.col(f"`{name}`"), df.schema[name].dataType)
 
 
+def _plain(c: Column, data_type: T.DataType) -> Column:
+    """Nested values with the entries of maps in order, so that equal maps have one text."""
+    if isinstance(data_type, T.MapType):
+        return F.array_sort(F.transform(F.map_entries(c), lambda e: F.struct(_plain(e["key"], data_type.keyType).alias("key"), _plain(e["value"], data_type.valueType).alias("value"))))
+    if isinstance(data_type, T.ArrayType):
+        return F.transform(c, lambda x: _plain(x, data_type.elementType))
+    if isinstance(data_type, T.StructType):
+        return F.when(c.isNotNull(), F.struct(*[_plain(c[f.name], f.dataType).alias(f.name) for f in data_type.fields]))
+    return c
+
+
+def _holds_map(data_type: T.DataType) -> bool:
+    return "map<" in data_type.simpleString()
+
+
 def exact_text(c: Column, data_type: T.DataType) -> Column:
     """A text that differs whenever the value does: shortest digits of numbers (1, 1.0 and 1.00 are one value), times to the microsecond."""
     if isinstance(data_type, (T.DoubleType, T.FloatType)):
@@ -43,7 +58,7 @@ def exact_text(c: Column, data_type: T.DataType) -> Column:
     if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
         return F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
     if isinstance(data_type, (T.ArrayType, T.MapType, T.StructType)):
-        return F.to_json(c, {"ignoreNullFields": "false"})
+        return F.to_json(_plain(c, data_type) if _holds_map(data_type) else c, {"ignoreNullFields": "false"})
     return canon(c, data_type)
 
 

@@ -104,8 +104,8 @@ def diff(source: DataFrame, target: DataFrame, keys: list[str], where: str | Non
 DIGEST_ROWS = 100_000
 
 
-def table_digest(df: DataFrame, columns: list[str] | None = None, strict: bool = False) -> DataFrame:
-    """One MD5 of the multiset of rows: MD5 over the sorted row hashes, joined by line feeds.
+def table_digest(df: DataFrame, columns: list[str] | None = None, strict: bool = True) -> DataFrame:
+    """One MD5 of the multiset of rows: MD5 over the sorted row hashes, joined by line feeds. A hash that occurs n > 1 times stands once, as hash:n.
 
     A larger table's hashes are dealt by their first digits, as many as leave DIGEST_ROWS in a group on average; each
     group has its own digest, and the digest is over those in order. Tables of equal rows have equal counts, so equal groups.
@@ -114,6 +114,8 @@ def table_digest(df: DataFrame, columns: list[str] | None = None, strict: bool =
     n, digits = hashes.count(), 0
     while n > DIGEST_ROWS << 4 * digits:
         digits += 1
+    times = hashes.groupBy("h").agg(F.count("*").alias("n"))  # partial counts: equal rows are one row from here on
+    hashes = times.select(F.when(F.col("n") > 1, F.concat("h", F.lit(":"), F.col("n").cast("string"))).otherwise(F.col("h")).alias("h"))
     for at in range(digits, -1, -1):  # groups of groups, sixteen at a time
         hashes = hashes.groupBy(F.left("h", F.lit(at)).alias("p")).agg(F.md5(F.expr("listagg(h, '\\n') within group (order by h)").cast("binary")).alias("h"))
         hashes = hashes.select(F.concat("p", "h").alias("h")) if at else hashes

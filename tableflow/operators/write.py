@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import json
+import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.values import all_equal
+from ..functions.values import all_equal, row_md5
 from .project import column_named
 
 
@@ -60,6 +61,14 @@ def _tie(df: DataFrame) -> Column:
     return F.xxhash64(*[F.to_json(F.col(f"`{f.name}`")) if isinstance(f.dataType, T.MapType) else F.col(f"`{f.name}`") for f in df.schema.fields])
 
 
+def work_folder(spark: SparkSession) -> str:
+    """A new folder that all machines share, below the one the session names for checkpoints; a session in one process may do without a name."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named is None and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("name a folder that all machines share in spark.checkpoint.dir")
+    return f"{named or tempfile.mkdtemp(prefix='tableflow-')}/tableflow_{uuid.uuid4().hex}"
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)
@@ -87,27 +96,40 @@ class Target:
             return path_exists(self.spark, self.table)
         if self.kind == "catalog":
             return self.spark.catalog.tableExists(self.table)
-        try:
-            self.spark.read.format("jdbc").options(url=self.name, **self.options).load()
-        except Exception:  # each driver names a missing table in its own way; a broken connection fails again at the write
-            return False
-        return True
+        from .dbmerge import table_exists
+
+        return table_exists(self.spark, self.name, self.options)
 
     def read(self) -> DataFrame:
         if self.kind == "path":
             return merge_table(self.spark, self.table, self.evolve)
-        return self.spark.table(self.table) if self.kind == "catalog" else self.spark.read.format("jdbc").options(url=self.name, **self.options).load()
+        return self.spark.table(self.table) if self.kind == "catalog" else self.spark.read.format("jdbc").options(url=self.name, **{k: v for k, v in self.options.items() if k != "staging_table"}).load()
 
     def write(self, df: DataFrame, spec, exists: bool) -> None:
         """One load in the task's mode. Columns are matched by name; new ones are added if the task says so."""
         if spec.must_exist and not exists:
             raise FileNotFoundError(f"no table {self.name}")
         out = clustered(df, spec.cluster) if spec.cluster else df
+        if self.kind != "path" and spec.mode == "merge" and exists:
+            from . import dbmerge
+
+            if self.kind == "jdbc":
+                dbmerge.merge_into_database(self.spark, self.name, self.options, df, spec.merge_keys, spec.order_by or None)
+            else:
+                dbmerge.merge_into_catalog(self.spark, self.table, df, spec.merge_keys, spec.order_by or None, spec.schema_evolution)
+            return
+        if self.kind != "path" and spec.mode == "merge":
+            out = one_row_per_key(out, [column_named(out, k) for k in spec.merge_keys], spec.order_by or None)
         if self.kind == "jdbc":
-            out.write.format("jdbc").options(url=self.name, **self.options).mode("append" if spec.mode == "append" else "overwrite").save()
+            out.write.format("jdbc").options(url=self.name, **{k: v for k, v in self.options.items() if k != "staging_table"}).mode("append" if spec.mode == "append" else "overwrite").save()
         elif self.kind == "catalog":
-            if spec.mode == "replace" or not exists:
-                out.write.mode("overwrite").saveAsTable(self.table)
+            if spec.mode == "replace" and exists:  # the plan may read the table that it replaces
+                staged = work_folder(self.spark)
+                out.write.parquet(staged)
+                self.spark.read.schema(out.schema).parquet(staged).write.mode("overwrite").saveAsTable(self.table)
+                remove(self.spark, staged)
+            elif not exists:
+                out.write.saveAsTable(self.table)
             else:
                 known = {c.lower() for c in self.spark.table(self.table).columns}
                 more = [f for f in df.schema.fields if f.name.lower() not in known] if spec.schema_evolution else []
@@ -159,15 +181,33 @@ def one_row_per_key(df: DataFrame, keys: list[str], order_by: list[str] | None)
     return latest_per_key(df.where(~some_null), keys, order_by or []).unionByName(df.where(some_null))
 
 
+def _some_null(keys: list[str]) -> Column:
+    return F.greatest(F.lit(False), *[F.col(f"`{k}`").isNull() for k in keys])
+
+
+def not_held(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows, but of those with a NULL in their key only as many as the target does not hold."""
+    keys = [column_named(rows, k) for k in keys]
+    if not any(rows.schema[k].nullable for k in keys):
+        return rows
+    without = rows.where(_some_null(keys))
+    own = without.groupBy(row_md5(rows).alias("_h")).agg(F.first(F.struct(*[F.col(f"`{c}`") for c in rows.columns])).alias("_row"), F.count("*").alias("_n"))
+    held = target.where(_some_null(keys)).select(*[F.col(f"`{column_named(target, c)}`").alias(c) for c in rows.columns])
+    held = held.groupBy(row_md5(held).alias("_h")).agg(F.count("*").alias("_m"))
+    lacking = own.join(held, "_h", "left").withColumn("_n", F.col("_n") - F.coalesce("_m", F.lit(0))).where("_n > 0")
+    return rows.where(~_some_null(keys)).unionByName(lacking.select("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n")))).select("_row.*"))
+
+
 def merge(target: DataFrame, source: DataFrame, keys: list[str], order_by: list[str] | None = None) -> DataFrame:
     """The target after an upsert: rows of the source win by key, the last of them by order_by; the rest of the target stays.
 
     The source takes the target's types. Columns that it lacks keep their values in rows it updates and are NULL in new ones.
-    Keys with a NULL match nothing and are inserted. A source of key columns alone changes no row.
+    Rows with a NULL in their key match no key; they are inserted as often as the target does not hold them already, so a
+    merge that is repeated adds none. A source of key columns alone changes no row.
     """
     more = [c for c in order_by or [] if c.lower() not in {x.lower() for x in target.columns}]
     new = _checked(target, source, keys) if not more else _checked(target.select("*", *[F.lit(None).cast(source.schema[column_named(source, c)].dataType).alias(c) for c in more]), source, keys)
-    new = one_row_per_key(new, [column_named(target, k) for k in keys], order_by).drop(*more)
+    new = not_held(target, one_row_per_key(new, [column_named(target, k) for k in keys], order_by).drop(*more), keys)
     kept = target.join(new.select(*keys), keys, "left_anti")
     lacking = [c for c in target.columns if c not in new.columns]
     if lacking:
@@ -176,9 +216,9 @@ def merge(target: DataFrame, source: DataFrame, keys: list[str], order_by: list[
 
 
 def merge_changes(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """The keys with what a merge would do: insert, update, unchanged or keep."""
+    """The keys with what a merge would do: insert, update, unchanged or keep. Rows without a key that the target holds already are kept ones."""
     keys = [column_named(target, k) for k in keys]
-    new = one_row_per_key(_checked(target, source, keys), keys, None)
+    new = not_held(target, one_row_per_key(_checked(target, source, keys), keys, None), keys)
     values = [c for c in new.columns if c not in keys]
     a = target.select(*[F.col(f"`{k}`").alias(f"_t{i}") for i, k in enumerate(keys)], F.struct(*([F.col(f"`{c}`") for c in values] or [F.lit(1).alias("x")])).alias("_old"))
     b = new.select(*keys, F.struct(*([F.col(f"`{c}`") for c in values] or [F.lit(1).alias("x")])).alias("_new"))
@@ -309,9 +349,9 @@ def _evolved(table: DataFrame, source: DataFrame, evolve: bool) -> tuple[DataFra
 
 
 def inserted_keys(target: DataFrame, source: DataFrame, keys: list[str]) -> int:
-    """By how many rows a merge will make the target grow: keys that it lacks, and source rows with a NULL in their key."""
-    new = _checked(target.select(*keys), source, keys)
-    return one_row_per_key(new, keys, None).join(target.select(*keys), keys, "left_anti").count()
+    """By how many rows a merge will make the target grow: keys that it lacks, and rows with a NULL in their key that it does not hold."""
+    new = not_held(target, one_row_per_key(_checked(target, source, keys), [column_named(target, k) for k in keys], None), keys)
+    return new.select(*keys).join(target.select(*keys), keys, "left_anti").count()
 
 
 def evolve_append(target: DataFrame, source: DataFrame) -> DataFrame:

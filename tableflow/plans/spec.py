@@ -21,7 +21,8 @@ class TaskSpec:
     source is a DataFrame, SQL over views, or a database: a dict of url, query and properties. With shards a source with a
     resume_key is read in so many ranges of it. target is a folder of Parquet files, ``catalog:`` and the name of a table,
     or ``jdbc:`` and the rest of a database's url, with options dbtable and what else the driver needs. interval (seconds)
-    marks a task that cdc_sync runs again. Rows are staged beside a folder; for other targets below staging, else persisted.
+    marks a task that cdc_sync runs again. Rows are staged beside a folder; for other targets below staging, else in the session's
+    folder for checkpoints. Rows whose resume_key is NULL are loaded by the first run, which has no cursor, and by no later one.
     """
 
     name: str
@@ -66,8 +67,8 @@ class TaskSpec:
             raise ValueError(f"unknown mode: {self.mode}")
         if self.mode == "merge" and not self.merge_keys:
             raise ValueError("merge needs merge_keys")
-        if self.mode == "merge" and self.target.startswith(("catalog:", "jdbc:")):
-            raise ValueError("merge is for folders of Parquet files")
+        if self.mode == "merge" and self.schema_evolution and self.target.startswith("jdbc:"):
+            raise ValueError("a merge into a database adds no columns")
         if self.target.startswith("jdbc:") and "dbtable" not in self.options:
             raise ValueError("a database target needs the option dbtable")
         if self.shards > 1 and not self.resume_key:

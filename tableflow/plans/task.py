@@ -15,7 +15,7 @@ from ..functions.masks import mask_table
 from ..operators import deadletter, quality, reconcile, runlog, write
 from ..operators.join import federated_join
 from ..operators.project import map_columns, transform_columns
-from ..sources.scans import incremental_scan, jdbc_scan, sharded_scan, templated_scan
+from ..sources.scans import incremental_scan, jdbc_scan, sharded_scan, templated_scan, up_to
 from ..streaming.cdc import load_cursor, max_cursor, save_cursor
 from .spec import TaskSpec
 
@@ -37,8 +37,11 @@ def run_sql(spark: SparkSession, statements: list[str]) -> None:
         spark.sql(s.strip().rstrip(";"))
 
 
-def _source(spark: SparkSession, spec: TaskSpec) -> DataFrame:
-    cursor = load_cursor(spark, spec.state, spec.name, spec.initial_cursor) if spec.state else spec.initial_cursor
+def _cursor(spark: SparkSession, spec: TaskSpec) -> object:
+    return load_cursor(spark, spec.state, spec.name, spec.initial_cursor) if spec.state else spec.initial_cursor
+
+
+def _source(spark: SparkSession, spec: TaskSpec, cursor: object) -> DataFrame:
     if spec.join:
         left, right, keys, how = spec.join
         return federated_join(left, right, keys, how)
@@ -64,7 +67,7 @@ def _masked(spec: TaskSpec, source: DataFrame) -> DataFrame:
 
 def prepared(spark: SparkSession, spec: TaskSpec, source: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
     """The rows to write and those that the row function failed on; both lazy."""
-    df = _masked(spec, _source(spark, spec) if source is None else source)
+    df = _masked(spec, _source(spark, spec, _cursor(spark, spec)) if source is None else source)
     bad = None
     if spec.transform_row:
         df, bad = deadletter.row_transform(df, spec.transform_row, spec.transform_schema, "dlq" if spec.dead_letters else "abort")
@@ -76,11 +79,11 @@ class _Staging:
 
     def __init__(self, spark: SparkSession, spec: TaskSpec):
         at = spec.staging or (f"{spec.target.rstrip('/')}_task" if write.is_path(spec.target) else None)
-        self.spark, self.folder, self.made = spark, at and f"{at}_{uuid.uuid4().hex}", False
+        self.spark, self.folder, self.made = spark, f"{at}_{uuid.uuid4().hex}" if at else None, False
 
     def saved(self, df: DataFrame, name: str) -> DataFrame:
         if self.folder is None:
-            return df.persist()
+            self.folder = write.work_folder(self.spark)
         df.write.parquet(f"{self.folder}/{name}")
         self.made = True
         return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
@@ -107,11 +110,14 @@ def run_task(spark: SparkSession, spec: TaskSpec) -> TaskResult:
     started, result, error, failed, rows = datetime.now(timezone.utc), "", "", 0, 0
     cursor, staging = None, _Staging(spark, spec)
     try:
-        source = _source(spark, spec)
+        since = _cursor(spark, spec)
+        source = _source(spark, spec, since)
         if spec.state:
             cursor = max_cursor(source, spec.resume_key)
             if cursor is not None:  # rows that arrive meanwhile wait for the next run
-                source = source.where(F.col(spec.resume_key) <= F.lit(cursor))
+                source = up_to(source, spec.resume_key, cursor, since is None)
+            elif since is None and spec.mode == "append":  # rows without a key wait for the first that has one; a cursor is saved with them
+                source = source.limit(0)
         df = _masked(spec, source)
         if spec.transform_row:
             both = staging.saved(deadletter.tagged_transform(df, spec.transform_row, spec.transform_schema, "dlq" if spec.dead_letters else "abort"), "transformed")

@@ -56,12 +56,13 @@ def range_scan(spark: SparkSession, url: str, table: str, key: str, partitions:
 def sharded_scan(df: DataFrame, key: str, shards: int, cursor: Any = None) -> DataFrame:
     """The rows past the cursor as a union of one scan for each range of the key, each with its own filters on the files.
 
-    Only the ranges come to the driver, a row each. Rows without a key are in none of them.
+    Only the ranges come to the driver, a row each. Rows without a key are a part of their own where there is no cursor; none of them is past one.
     """
+    keyless = [df.where(F.col(key).isNull())] if cursor is None else []
     df = incremental_scan(df, key, cursor)
     ranges = shard_ranges(df, key, shards).orderBy("shard").collect()
     parts = [shard_filter(df, key, r["lower"], r["upper"], r["last_inclusive"]) for r in ranges]
-    return reduce(DataFrame.unionByName, parts) if parts else df.limit(0)
+    return reduce(DataFrame.unionByName, parts + keyless) if parts + keyless else df.limit(0)
 
 
 def shard_ranges(df: DataFrame, key: str, shards: int) -> DataFrame:
@@ -109,8 +110,14 @@ def with_shard(df: DataFrame, key: str, shards: int) -> DataFrame:
     return df.join(F.broadcast(ranges), inside, "left").drop("lower", "upper", "last_inclusive")
 
 
+def up_to(df: DataFrame, key: str, bound: Any, first: bool) -> DataFrame:
+    """The rows up to a round's bound; the first round takes those without a key too, which no later one will find past its cursor."""
+    inside = F.col(key) <= F.lit(bound)
+    return df.where(inside | F.col(key).isNull() if first else inside)
+
+
 def incremental_scan(df: DataFrame, key: str, cursor: Any = None, lateness: Any = None) -> DataFrame:
-    """Rows strictly past the cursor; with lateness, also those that far behind it (the caller drops what it has seen)."""
+    """Rows strictly past the cursor; with lateness, also those that far behind it (the caller drops what it has seen). Without a cursor all, those without a key too."""
     if cursor is None:
         return df
     bound = F.lit(cursor).cast(df.schema[key].dataType)

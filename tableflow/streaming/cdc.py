@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import threading
 from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..operators.write import merge_into, path_exists, write_table
-from ..sources.scans import incremental_scan
+from ..sources.scans import incremental_scan, up_to
 
 STATE = "task_key string, cursor string, saved_at timestamp"
 #: Files of a state table that are rewritten as one.
@@ -50,13 +51,16 @@ class PollResult:
 
 
 def poll_once(spark: SparkSession, source: DataFrame, key: str, target: str, state: str, name: str, mode: str = "append", merge_keys: list[str] | None = None, initial_cursor: Any = None) -> PollResult:
-    """One round: rows past the cursor, write, then save the new cursor. Run again after a crash, a merge gives the same table."""
+    """One round: rows past the cursor, write, then save the new cursor. Run again after a crash, a merge gives the same table.
+
+    Rows without a key are loaded by the first round that finds a key and had no cursor yet; later ones take no row without one.
+    """
     cursor = load_cursor(spark, state, name, initial_cursor)
     new = incremental_scan(source, key, cursor)
     bound = new.agg(F.max(key).alias("hi"), F.count("*").alias("n")).first()
-    if not bound["n"]:
+    if bound["hi"] is None:
         return PollResult(0, cursor)
-    new = new.where(F.col(key) <= F.lit(bound["hi"]))  # rows that arrive meanwhile wait for the next round
+    new = up_to(new, key, bound["hi"], cursor is None)  # rows that arrive meanwhile wait for the next round
     if mode == "merge":
         merge_into(spark, target, new, merge_keys or [], [key])
     else:
@@ -92,6 +96,59 @@ def without_late_repeats(stream: DataFrame, keys: list[str], event_time: str, la
     return timed.withWatermark(event_time, lateness).dropDuplicatesWithinWatermark(keys)
 
 
-def stream_progress(query: StreamingQuery, task: str) -> list[dict]:
-    """Batches of a query so far as rows of a run log."""
-    return [{"task": task, "batch_id": p["batchId"], "rows": p["numInputRows"], "duration_ms": p["batchDuration"], "status": "ok"} for p in query.recentProgress]
+PROGRESS = "task string, query_id string, batch_id long, rows long, duration_ms long, status string"
+
+
+class ProgressLog(StreamingQueryListener):
+    """Every batch of every stream that starts while it is open, as rows of a run log; Spark itself keeps the last hundred only.
+
+    Rows are appended to the table at path in files of FLUSH batches, the rest when the log is closed or the stream ends. A batch
+    that fails ends its stream; it is a row with status failed and no batch number.
+    """
+
+    FLUSH = 1000
+
+    def __init__(self, spark: SparkSession, task: str, path: str):
+        self.spark, self.task, self.path = spark, task, path
+        self.rows: list[tuple] = []
+        self.open: set[str] = set()
+        self.changed = threading.Condition()
+
+    def onQueryStarted(self, event) -> None:
+        with self.changed:
+            self.open.add(str(event.id))
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        self._add((self.task, str(p.id), p.batchId, p.numInputRows, p.batchDuration, "ok"), self.FLUSH)
+
+    def onQueryTerminated(self, event) -> None:
+        if event.exception:
+            self._add((self.task, str(event.id), None, 0, None, "failed"), self.FLUSH)
+        with self.changed:
+            self.open.discard(str(event.id))
+            self.changed.notify_all()
+
+    def _add(self, row: tuple | None, most: int) -> None:
+        with self.changed:
+            if row:
+                self.rows.append(row)
+            full, self.rows = (self.rows, []) if len(self.rows) >= most else ([], self.rows)
+        if full:
+            self.spark.createDataFrame(full, PROGRESS).coalesce(1).write.mode("append").parquet(self.path)
+
+    def __enter__(self) -> ProgressLog:
+        self.spark.streams.addListener(self)
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        # events come later than the batches that they tell of
+        with self.changed:
+            self.changed.wait_for(lambda: not self.open, timeout=60)
+        self.spark.streams.removeListener(self)
+        self._add(None, 1)
+        if not path_exists(self.spark, self.path):
+            self.spark.createDataFrame([], PROGRESS).write.parquet(self.path)
+
+    def read(self) -> DataFrame:
+        return self.spark.read.schema(PROGRESS).parquet(self.path)

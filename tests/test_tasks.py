@@ -84,8 +84,9 @@ def test_streams_restart_without_repeats(spark, tmp_path, mode):
         q = cdc.cdc_stream(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source), target, check, mode, ["k"], ["id"])
         q.awaitTermination(120)
         return q
-    q = run()
-    assert cdc.stream_progress(q, "t")[0]["rows"] == 3
+    with cdc.ProgressLog(spark, "t", str(tmp_path / "log")) as log:
+        run()
+    assert rows(log.read().where("rows > 0").select("task", "rows", "status")) == [("t", 3, "ok")]
     spark.createDataFrame([(4, 2, "d"), (5, 3, "e")], schema).coalesce(1).write.mode("append").parquet(source)
     run()
     run()
@@ -148,7 +149,7 @@ def test_catalog_and_database_targets(spark, tmp_path):
         assert rows(spark.table("from_db")) == [(0,), (1,)]
     finally:
         spark.sql("DROP TABLE IF EXISTS from_db")
-    for broken in ({"mode": "merge", "merge_keys": ["id"], "target": "catalog:x"}, {"target": "jdbc:x"}, {"shards": 2}):
+    for broken in ({"mode": "merge", "merge_keys": ["id"], "target": "jdbc:x", "options": {"dbtable": "t"}, "schema_evolution": True}, {"target": "jdbc:x"}, {"shards": 2}):
         with pytest.raises(ValueError):
             TaskSpec(**({"name": "n", "target": "t", "source": spark.range(1)} | broken))
 
@@ -193,3 +194,51 @@ def test_state_tables_are_compacted(spark, tmp_path, monkeypatch):
         cdc.save_cursor(spark, path, "ab"[i % 2], i)
     assert (cdc.load_cursor(spark, path, "a"), cdc.load_cursor(spark, path, "b")) == ("10", "11")
     assert len(list((tmp_path / "s").glob("*.parquet"))) <= 4
+
+
+@pytest.mark.parametrize("how", [{"state": True}, {"shards": 4}, {"state": True, "shards": 3}, {}])
+def test_rows_without_a_resume_key_are_loaded_once(spark, tmp_path, how):
+    df = spark.range(100).select(F.when(F.col("id") % 5 > 0, F.col("id")).alias("k"), "id")
+    target, state = str(tmp_path / "t"), {"state": str(tmp_path / "s")} if "state" in how else {}
+    spec = lambda source: TaskSpec("n", target, source, mode="append", resume_key="k", shards=how.get("shards", 1), validate="row_count", **state)
+    assert (first := run_task(spark, spec(df))).rows == 100 and first.validation == "passed"
+    assert spark.read.parquet(target).distinct().count() == 100
+    if state:
+        more = df.unionByName(spark.range(100, 120).select(F.col("id").alias("k"), "id"))
+        assert run_task(spark, spec(more)).rows == 20 and spark.read.parquet(target).distinct().count() == spark.read.parquet(target).count() == 120
+
+
+def test_rows_without_a_key_wait_for_a_cursor(spark, tmp_path):
+    keyless = spark.range(3).select(F.lit(None).cast("long").alias("k"), "id")
+    spec = lambda source: TaskSpec("w", str(tmp_path / "t"), source, mode="append", resume_key="k", state=str(tmp_path / "s"))
+    args = (str(tmp_path / "p"), str(tmp_path / "ps"), "p")
+    assert [run_task(spark, spec(keyless)).rows for _ in range(2)] == [0, 0] and [cdc.poll_once(spark, keyless, "k", *args).rows for _ in range(2)] == [0, 0]
+    both = keyless.unionByName(spark.range(10, 12).select(F.col("id").alias("k"), "id"))
+    assert [run_task(spark, spec(both)).rows for _ in range(2)] == [5, 0] and [cdc.poll_once(spark, both, "k", *args).rows for _ in range(2)] == [5, 0]
+
+
+def test_streams_are_logged_whole(spark, tmp_path):
+    """More batches than Spark's own progress keeps; then a stream that fails."""
+    source = str(tmp_path / "in")
+    spark.range(105).coalesce(1).write.option("maxRecordsPerFile", 1).parquet(source)
+    stream = lambda: spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(source)
+    with cdc.ProgressLog(spark, "t", str(tmp_path / "log")) as log:
+        stream().writeStream.format("noop").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+    got = log.read().where("rows > 0")
+    assert got.count() == got.select("batch_id").distinct().count() == 105 and got.agg(F.sum("rows")).first()[0] == 105
+    with cdc.ProgressLog(spark, "f", str(tmp_path / "flog")) as log:
+        q = stream().select(F.raise_error(F.lit("broken")).alias("x")).writeStream.format("noop").option("checkpointLocation", str(tmp_path / "fc")).trigger(availableNow=True).start()
+        with pytest.raises(Exception, match="broken"):
+            q.awaitTermination()
+    assert rows(log.read().select("task", "status")) == [("f", "failed")]
+
+
+def test_catalog_tables_replaced_from_themselves(spark, tmp_path):
+    try:
+        run_task(spark, TaskSpec("a", "catalog:self_made", spark.range(10)))
+        for n in (9, 8):
+            run_task(spark, TaskSpec("a", "catalog:self_made", spark.table("self_made").where(f"id < {n}"), rules=[Rule("not_null", column="id")], validate="checksum"))
+            assert spark.table("self_made").count() == n
+        assert not spark.sparkContext._jsc.getPersistentRDDs()
+    finally:
+        spark.sql("DROP TABLE IF EXISTS self_made")
