@@ -75,7 +75,7 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 def is_path(target: str) -> bool:
-    return not target.startswith(("catalog:", "jdbc:"))
+    return not target.startswith(("catalog:", "jdbc:", "versioned:"))
 
 
 def in_types(df: DataFrame, target: DataFrame) -> DataFrame:
@@ -85,13 +85,20 @@ def in_types(df: DataFrame, target: DataFrame) -> DataFrame:
 
 
 class Target:
-    """Where a task writes: a folder of Parquet files, a table of the catalog, or one of a database."""
+    """Where a task writes: a folder of Parquet files, one with a log of versions, a table of the catalog, or one of a database."""
 
     def __init__(self, spark: SparkSession, name: str, options: dict[str, str] | None = None, evolve: bool = False):
         self.spark, self.name, self.options, self.evolve = spark, name, options or {}, evolve
-        self.kind, self.table = ("path", name) if is_path(name) else ("catalog", name.removeprefix("catalog:")) if name.startswith("catalog:") else ("jdbc", self.options["dbtable"])
+        self.kind, self.table = ("versioned", name.removeprefix("versioned:")) if name.startswith("versioned:") else ("path", name) if is_path(name) else ("catalog", name.removeprefix("catalog:")) if name.startswith("catalog:") else ("jdbc", self.options["dbtable"])
+
+    def versions(self):
+        from .versioned import VersionedTable
+
+        return VersionedTable(self.spark, self.table)
 
     def exists(self) -> bool:
+        if self.kind == "versioned":
+            return self.versions().exists()
         if self.kind == "path":
             return path_exists(self.spark, self.table)
         if self.kind == "catalog":
@@ -101,15 +108,26 @@ class Target:
         return table_exists(self.spark, self.name, self.options)
 
     def read(self) -> DataFrame:
+        if self.kind == "versioned":
+            return self.versions().read()
         if self.kind == "path":
             return merge_table(self.spark, self.table, self.evolve)
         return self.spark.table(self.table) if self.kind == "catalog" else self.spark.read.format("jdbc").options(url=self.name, **{k: v for k, v in self.options.items() if k != "staging_table"}).load()
 
-    def write(self, df: DataFrame, spec, exists: bool) -> None:
-        """One load in the task's mode. Columns are matched by name; new ones are added if the task says so."""
+    def write(self, df: DataFrame, spec, exists: bool, cursor: tuple | None = None) -> None:
+        """One load in the task's mode. Columns are matched by name; new ones are added if the task says so. A versioned table takes the cursor into the same commit."""
         if spec.must_exist and not exists:
             raise FileNotFoundError(f"no table {self.name}")
         out = clustered(df, spec.cluster) if spec.cluster else df
+        if self.kind == "versioned":
+            table = self.versions()
+            if spec.mode == "merge":
+                table.merge(df, spec.merge_keys, spec.order_by or None, spec.schema_evolution, cursor)
+            elif spec.mode == "append":
+                table.append(df, spec.schema_evolution, cursor)
+            else:
+                table.replace(df, [n for n, _ in parse_order(spec.cluster)], cursor=cursor)
+            return
         if self.kind != "path" and spec.mode == "merge" and exists:
             from . import dbmerge
 

@@ -19,8 +19,8 @@ class TaskSpec:
     """One movement of a table.
 
     source is a DataFrame, SQL over views, or a database: a dict of url, query and properties. With shards a source with a
-    resume_key is read in so many ranges of it. target is a folder of Parquet files, ``catalog:`` and the name of a table,
-    or ``jdbc:`` and the rest of a database's url, with options dbtable and what else the driver needs. interval (seconds)
+    resume_key is read in so many ranges of it. target is a folder of Parquet files, ``versioned:`` and a folder
+    with a log of versions (state "target" keeps the cursor in it), ``catalog:`` and the name of a table, or ``jdbc:`` and the rest of a database's url, with options dbtable and what else the driver needs. interval (seconds)
     marks a task that cdc_sync runs again. Rows are staged beside a folder; for other targets below staging, else in the session's
     folder for checkpoints. Rows whose resume_key is NULL are loaded by the first run, which has no cursor, and by no later one.
     """
@@ -73,6 +73,8 @@ class TaskSpec:
             raise ValueError("a database target needs the option dbtable")
         if self.shards > 1 and not self.resume_key:
             raise ValueError("shards need a resume_key")
+        if self.state == "target" and not self.target.startswith("versioned:"):
+            raise ValueError("only a versioned target keeps the cursor")
         if self.state and not self.resume_key:
             raise ValueError("a state table needs a resume_key")
         if self.schema_evolution and self.mode == "replace":
@@ -84,6 +86,11 @@ class TaskSpec:
         if any(r.on_fail == "dlq" for r in self.rules) and not self.dead_letters:
             raise ValueError("a rule with on_fail dlq needs dead_letters")
 
+    @property
+    def in_target(self) -> bool:
+        """Whether the cursor is kept in the target's log, committed together with the rows."""
+        return self.state == "target" and self.target.startswith("versioned:")
+
     def fingerprint(self) -> str:
         """A hash of the task's settings for its audit row."""
         plain = {k: v for k, v in vars(self).items() if isinstance(v, (str, int, bool, list, dict, type(None))) and k != "views"}

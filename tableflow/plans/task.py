@@ -38,6 +38,8 @@ def run_sql(spark: SparkSession, statements: list[str]) -> None:
 
 
 def _cursor(spark: SparkSession, spec: TaskSpec) -> object:
+    if spec.in_target:
+        return write.Target(spark, spec.target).versions().cursor(spec.name, spec.initial_cursor)
     return load_cursor(spark, spec.state, spec.name, spec.initial_cursor) if spec.state else spec.initial_cursor
 
 
@@ -143,7 +145,7 @@ def run_task(spark: SparkSession, spec: TaskSpec) -> TaskResult:
             grown = write.inserted_keys(old, df, spec.merge_keys) if old is not None else write.one_row_per_key(df, spec.merge_keys, None).count()
         had = reconcile.fingerprint(old, df.columns).first() if spec.validate == "checksum" and spec.mode == "append" and before and not spec.schema_evolution else None
         run_sql(spark, spec.pre_sql)
-        target.write(df, spec, exists)
+        target.write(df, spec, exists, (spec.name, target.versions().cursor(spec.name), cursor) if spec.in_target and cursor is not None else None)
         now = target.read()
         after = now.count()
         rows = after - before if spec.mode != "merge" else rows
@@ -152,7 +154,7 @@ def run_task(spark: SparkSession, spec: TaskSpec) -> TaskResult:
         if after_load:
             quality.enforce(quality.assert_report(now, after_load))
         result = _validated(spec, df, now, before, after, grown, had)
-        if cursor is not None:
+        if cursor is not None and not spec.in_target:
             save_cursor(spark, spec.state, spec.name, cursor)
     except Exception as e:
         error = str(e)

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from .functions import masks, values
 from .functions.masks import MaskRule
-from .operators import dbmerge, deadletter, join, profile, project, quality, reconcile, runlog, write
+from .operators import dbmerge, deadletter, join, profile, project, quality, reconcile, runlog, versioned, write
 from .operators.quality import Rule
 from .plans.spec import TaskSpec
 from .plans.task import cdc_sync, prepared, run_task
@@ -775,6 +775,32 @@ def merge_into_catalog_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(target.schema).parquet(f"{folder}/orders")
 
 
+@query(_MERGE + " SELECT * FROM t WHERE o_orderkey NOT IN (SELECT o_orderkey FROM s) UNION ALL SELECT * FROM s")
+def versioned_merge_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table with a log of versions: rows in three appends, each with its cursor in the same commit, then a merge, twice."""
+    target, source = _merge_pair(spark, sf_dir)
+    t = versioned.VersionedTable(spark, f"{scratch(spark)}/orders")
+    for i in range(3):
+        t.append(target.where(F.pmod("o_orderkey", F.lit(6)) == 2 * i), cursor=("load", None if i == 0 else i - 1, i))
+    for _ in range(2):
+        t.merge(source, ["o_orderkey"])
+    return t.read()
+
+
+@query("SELECT count(*) AS n_rows, count(*) FILTER (o_orderkey % 10 = 0 AND o_orderkey < 100 OR o_orderkey = 7) AS n_changed, true AS few_files, true AS old_version_stays FROM orders")
+def key_index_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A few keys merged into fifty files by key: files with none of them stay as they are, readers of the version before see no change."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    t = versioned.VersionedTable(spark, f"{scratch(spark)}/orders")
+    before = t.replace(o, ["o_orderkey"], parts=50)
+    pinned = t.read()
+    change = o.where("o_orderkey % 10 = 0 and o_orderkey < 100 or o_orderkey = 7").withColumn("o_orderstatus", F.lit("*"))
+    after = t.merge(change, ["o_orderkey"])
+    kept = len(set(before.files) & set(after.files))
+    same = pinned.where("o_orderstatus = '*'").isEmpty()
+    return t.read().agg(F.count("*").alias("n_rows"), F.count_if(F.col("o_orderstatus") == "*").alias("n_changed")).select("*", F.lit(kept >= len(before.files) - 11).alias("few_files"), F.lit(same).alias("old_version_stays"))
+
+
 @query("SELECT o_orderkey, CASE WHEN o_orderkey % 5 > 0 THEN o_custkey END AS k FROM orders")
 def null_keys_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A fifth of the rows has no key: a first run with a cursor and shards loads all, a second one none; merged twice, none is there twice."""

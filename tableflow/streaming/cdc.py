@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..operators.write import merge_into, path_exists, write_table
+from ..operators.versioned import VersionedTable
 from ..sources.scans import incremental_scan, up_to
 
 STATE = "task_key string, cursor string, saved_at timestamp"
@@ -53,14 +54,21 @@ class PollResult:
 def poll_once(spark: SparkSession, source: DataFrame, key: str, target: str, state: str, name: str, mode: str = "append", merge_keys: list[str] | None = None, initial_cursor: Any = None) -> PollResult:
     """One round: rows past the cursor, write, then save the new cursor. Run again after a crash, a merge gives the same table.
 
-    Rows without a key are loaded by the first round that finds a key and had no cursor yet; later ones take no row without one.
+    With a target ``versioned:`` and its folder the cursor is kept in the table's log, in the commit of its rows: each row is loaded once, whenever a
+    round dies and whoever else polls; state is not used. Rows without a key are loaded by the first round that finds a key and had no cursor yet; later ones take no row without one.
     """
-    cursor = load_cursor(spark, state, name, initial_cursor)
+    table = VersionedTable(spark, target.removeprefix("versioned:")) if target.startswith("versioned:") else None
+    saved = table.cursor(name) if table else None
+    cursor = (initial_cursor if saved is None else saved) if table else load_cursor(spark, state, name, initial_cursor)
     new = incremental_scan(source, key, cursor)
     bound = new.agg(F.max(key).alias("hi"), F.count("*").alias("n")).first()
     if bound["hi"] is None:
         return PollResult(0, cursor)
     new = up_to(new, key, bound["hi"], cursor is None)  # rows that arrive meanwhile wait for the next round
+    if table:
+        done = (name, saved, bound["hi"])
+        table.merge(new, merge_keys or [], [key], cursor=done) if mode == "merge" else table.append(new, cursor=done)
+        return PollResult(bound["n"], bound["hi"])
     if mode == "merge":
         merge_into(spark, target, new, merge_keys or [], [key])
     else:
