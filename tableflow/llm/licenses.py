@@ -9,9 +9,10 @@ templates whose matched stretches overlap, only the one with most matched words
 Before anything is aligned, a bound that loses nothing decides: coverage cannot exceed the share of the template's words
 that occur in the text at all. A copy that reaches ``least`` lacks a bounded number of the template's words, so of one word
 more than that at least one is matched: those positions whose words are rarest in the text are the starts, at every occurrence
-in the whole text, so copies of a notice are found one by one. From a start the stretch to be aligned grows on both sides, to
-the whole text if need be, until the template reaches ``least``, or the words to the left and right cannot make it do so.
-The least such stretch counts; insertions in a notice may have any length.
+in the whole text, so copies of a notice are found one by one. From a start the stretch to be aligned grows on both sides
+until the template reaches ``least``, or the words to the left and right cannot make it do so. A copy may hold words
+that the template lacks, twice as many as the template has words and GAP more: so far a stretch grows, and one
+that is wider is none. Words of a notice that stand in order but all over a long text are therefore no license.
 
 Before a text is aligned anywhere, its longest common subsequence with the template (one pass, a bit for each word of the
 template) says whether the template can be there at all: an alignment is never longer.
@@ -32,6 +33,8 @@ from pyspark.sql import DataFrame
 
 from . import common
 
+#: Words that a copy of even a short template may hold between its own.
+GAP = 32
 #: Notices and whole texts in public use, by their SPDX names; where a shorter one is part of a longer one, the longer one is reported.
 TEMPLATES: dict[str, str] = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0",
@@ -219,10 +222,16 @@ class Scanner:
                     out[pairs[0][1], pairs[-1][1]] = max(out.get((pairs[0][1], pairs[-1][1]), []), pairs, key=len)
         return [out[k] for k in sorted(out)]
 
+    @staticmethod
+    def widest(size: int) -> int:
+        """Words of a stretch at most."""
+        return 3 * size + GAP
+
     @staticmethod
     def _grown(template: list[str], body: list[str], places: dict[str, list[int]], i: int, p: int, need: int) -> list[tuple[int, int]] | None:
         """The alignment of the least stretch around word p of the text, matched with word i of the template, that reaches need."""
         size, slack = len(template), len(template) // 4 + 1
+        most = Scanner.widest(size) - size
         most_left = sum(w in places and places[w][0] < p for w in template[:i])
         most_right = sum(w in places and places[w][-1] > p for w in template[i + 1 :])
         left: list[tuple[int, int]] = []
@@ -232,7 +241,7 @@ class Scanner:
             lo, hi = max(0, p - i - slack), min(len(body), p - i + size + slack)
             if first:
                 whole = align(template, body[lo:hi])
-                if len(whole) >= need:
+                if len(whole) >= need and whole[-1][1] - whole[0][1] < Scanner.widest(size):
                     return [(a, lo + b) for a, b in whole]
                 first = False
             if most_left + most_right + 1 < need:
@@ -242,10 +251,11 @@ class Scanner:
             if len(right) < most_right:
                 right = max(right, [(i + 1 + a, p + 1 + b) for a, b in align(template[i + 1 :], body[p + 1 : hi])], key=len)
             if len(left) + 1 + len(right) >= need:
-                return [*left, (i, p), *right]
-            if lo == 0 and hi == len(body):
+                pairs = [*left, (i, p), *right]
+                return pairs if pairs[-1][1] - pairs[0][1] < Scanner.widest(size) else None
+            if slack == most or lo == 0 and hi == len(body):
                 return None
-            slack *= 2
+            slack = min(2 * slack, most)
 
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, least: float = LEAST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -288,6 +288,24 @@ def test_licenses(docs, empty, clashing):
     assert licenses.scan_licenses(empty).count() == 0
 
 
+def test_licenses_with_wide_gaps():
+    """Words of a notice in order, but far apart, are no license; a copy with fewer words between its own than it may have is one."""
+    scan = licenses.Scanner(licenses.TEMPLATES, licenses.LEAST).scan
+    mit = "released under the mit license".split()
+    spread = f"released {words(1, 3000)} under {words(2, 3000)} the {words(3, 4000)} mit {words(4, 3000)} license"
+    assert scan(spread) == [] and scan(" ".join(f"{w} {words(5, 30)}" for w in mit)) == []
+    most = licenses.Scanner.widest(5) - 5
+    for at in range(1, 5):
+        near, far = (" ".join([*mit[:at], words(6, n), *mit[at:]]) for n in (most, most + 1))
+        assert [x[0] for x in scan(near)] == ["MIT"] and scan(far) == [], at
+        assert [x[0] for x in scan(f"{words(7, 500)} {near} {spread} {near}")] == ["MIT", "MIT"]
+    for name, text in licenses.TEMPLATES.items():
+        body = licenses.words(text)
+        gaps = [w for i, w in enumerate(body) for w in ([w, "in", "between"] if i % 3 == 1 else [w])]
+        assert name in [x[0] for x in scan(" ".join(gaps))] or len(body) < 6, name
+        assert scan(" ".join(f"{w} {words(8, 40)}" for w in body)) == [], name
+
+
 def test_licenses_that_lack_their_rarest_words(spark):
     header = licenses.words(licenses.TEMPLATES["Apache-2.0-header"])
     edited = ["edited" if w in ("governing", "permissions", "compliance") else w for w in header]

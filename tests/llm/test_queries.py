@@ -13,7 +13,7 @@ import tiktoken
 
 from pyspark.sql import functions as F
 
-from tableflow.llm import toxicity
+from tableflow.llm import licenses, toxicity
 from tableflow.llm.queries import ORACLE_SQL, QUERIES
 
 from . import brute
@@ -85,6 +85,21 @@ def test_licenses(spark, documents):
     assert {i for i, n in got.items() if n} == {i for i, t, _ in documents if "icensed under" in t or "Released under the MIT" in t}
 
 
+def test_licenses_by_brute_force(spark, documents):
+    """Every stretch of every text against every template: whether one is covered, by the longest common subsequence."""
+    scanner, want = licenses.Scanner(licenses.TEMPLATES, licenses.LEAST), set()
+    for i, text, _ in documents:
+        body = licenses.words(text or "")
+        for template in scanner.templates.values():
+            own, width, need = set(template), scanner.widest(len(template)), licenses.LEAST * len(template)
+            ahead = np.cumsum([0] + [w in own for w in body])
+            for a in [a for a, w in enumerate(body) if w in own and ahead[min(a + width, len(body))] - ahead[a] >= need]:
+                if licenses.longest_common(template, body[a : a + width]) >= need:
+                    want.add(i)
+                    break
+    assert {i for i, n in result(spark, "op7_license_scan", "doc_id", "n_licenses") if n} == want and want
+
+
 def test_personal_data(spark, documents):
     got = result(spark, "op8_pii", "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256")
     kinds = list(brute.RULES)
