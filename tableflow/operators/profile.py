@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,3 +29,43 @@ def suggest_merge_keys(df: DataFrame, candidates: list[list[str]]) -> DataFrame:
             F.coalesce(F.sum(F.when(F.col("_null"), F.col("_n"))), F.lit(0)).alias("n_null"),
         ))
     return reduce(DataFrame.unionByName, parts).withColumn("is_key", (F.col("n_null") == 0) & (F.col("n_rows") == F.col("n_distinct")))
+
+
+#: Relative standard deviation of the estimated distinct counts; a set is tried exactly from four of them below the row count on.
+ERROR = 0.02
+
+
+def find_keys(df: DataFrame, most: int = 3, columns: list[str] | None = None) -> DataFrame:
+    """key_columns, n_rows, n_distinct, n_null, is_key: the least sets of at most so many columns that tell all rows apart and hold no NULL.
+
+    Level by level over the sets of columns: the distinct counts of all sets of a level are estimated in one scan by mergeable
+    sketches; a set that holds a key already is passed over, one whose columns cannot have enough values together too. Only sets
+    whose estimate comes near the number of rows are counted exactly. Sets come in the order of the columns.
+    """
+    comparable = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.ArrayType, T.StructType, T.BinaryType)) and (columns is None or f.name in columns)]
+    found: list[tuple[str, ...]] = []
+    distinct: dict[str, float] = {}
+    usable, n = comparable, 0
+    for size in range(1, most + 1):
+        sets = [c for c in combinations(usable, size) if not any(set(k) <= set(c) for k in found)]
+        # n rows need n values: of columns with fewer together no key is made
+        sets = [c for c in sets if size == 1 or reduce(lambda a, b: a * b, [distinct[x] * (1 + 4 * ERROR) for x in c]) >= n]
+        if not sets:
+            continue
+        estimates = [F.approx_count_distinct(F.struct(*[F.col(f"`{x}`") for x in c]), ERROR).alias(str(i)) for i, c in enumerate(sets)]
+        row = df.agg(F.count("*").alias("n"), *estimates, *[F.count(F.col(f"`{c}`")).alias(f"has {c}") for c in comparable]).first()
+        n = row["n"]
+        if size == 1:
+            distinct = {c[0]: row[str(i)] for i, c in enumerate(sets)}
+            usable = [c for c in comparable if row[f"has {c}"] == n]
+            sets, near = [c for c in sets if c[0] in usable], {c[0]: distinct[c[0]] for c in sets}
+            tried = [c for c in sets if near[c[0]] >= n * (1 - 4 * ERROR)]
+        else:
+            tried = [c for i, c in enumerate(sets) if row[str(i)] >= n * (1 - 4 * ERROR)]
+        if tried:
+            proofs = suggest_merge_keys(df, [list(c) for c in tried]).where("is_key").collect()  # a row for each set that was near
+            proven = {r["key_columns"] for r in proofs}
+            found += [c for c in tried if ",".join(c) in proven]
+    if not found:
+        return suggest_merge_keys(df.limit(0), [[c] for c in comparable[:1]]).limit(0)
+    return suggest_merge_keys(df, [list(c) for c in found])

@@ -518,6 +518,54 @@ def suggest_keys_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.suggest_merge_keys(table(spark, sf_dir, "conversations"), [["conv_id"], ["turn"], ["conv_id", "turn"]])
 
 
+@query("""WITH d AS (SELECT count(*) AS n, count(DISTINCT conv_id) AS c, count(DISTINCT turn) AS t, count(DISTINCT role) AS r, count(DISTINCT text) AS x, count(DISTINCT (conv_id, turn)) AS ct, count(DISTINCT (conv_id, role)) AS cr,
+    count(DISTINCT (conv_id, text)) AS cx, count(DISTINCT (turn, role)) AS tr, count(DISTINCT (turn, text)) AS tx, count(DISTINCT (role, text)) AS rx FROM conversations)
+    SELECT key_columns, n AS n_rows FROM d, (VALUES ('conv_id'), ('turn'), ('role'), ('text'), ('conv_id,turn'), ('conv_id,role'), ('conv_id,text'), ('turn,role'), ('turn,text'), ('role,text')) k(key_columns)
+    WHERE CASE key_columns WHEN 'conv_id' THEN c = n WHEN 'turn' THEN t = n WHEN 'role' THEN r = n WHEN 'text' THEN x = n WHEN 'conv_id,turn' THEN ct = n AND c < n AND t < n WHEN 'conv_id,role' THEN cr = n AND c < n AND r < n
+      WHEN 'conv_id,text' THEN cx = n AND c < n AND x < n WHEN 'turn,role' THEN tr = n AND t < n AND r < n WHEN 'turn,text' THEN tx = n AND t < n AND x < n ELSE rx = n AND r < n AND x < n END""")
+def find_keys_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The least keys of up to two columns, unaided."""
+    return profile.find_keys(table(spark, sf_dir, "conversations"), 2).select("key_columns", "n_rows")
+
+
+@query("SELECT count(*) AS n_rows, count(DISTINCT l_orderkey * 10 + l_linenumber) AS n_distinct, 9 AS shards, true AS fair FROM lineitem")
+def equal_shards_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A key of two columns where nine tenths of the rows lie in a hundredth of the range, and some have none: eight shards and one for NULL hold every row once, none much over its share."""
+    base = F.when(F.col("l_orderkey") % 10 > 0, F.col("l_orderkey")).otherwise(F.col("l_orderkey") * 1000)
+    rows = table(spark, sf_dir, "lineitem").select(F.when(F.col("l_orderkey") % 50 > 0, base).alias("k"), "l_linenumber", "l_orderkey")
+    shards = scans.equal_shards(rows, ["k", "l_linenumber"], 8)
+    parts = write.append_union([scans.in_shard(rows, ["k", "l_linenumber"], s).withColumn("shard", F.lit(i)) for i, s in enumerate(shards)])
+    by = parts.groupBy("shard").agg(F.count("*").alias("n"))
+    most = by.agg(F.max("n").alias("m"), F.sum("n").alias("s"), F.count("*").alias("c")).select((F.col("m") <= 2 * F.col("s") / 8).alias("fair"), F.col("c").cast("int").alias("shards"))
+    counts = parts.agg(F.count("*").alias("n_rows"), F.countDistinct(F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("n_distinct"))
+    return reconcile.beside(counts, most.select("shards"), most.select("fair"))
+
+
+@query("SELECT event_id, user_id FROM events")
+def late_rows_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rounds over a source whose rows come up to 400 keys late, and some twice: each is loaded once, by appends and by merges."""
+    folder, e = scratch(spark), table(spark, sf_dir, "events").select("event_id", "user_id")
+    late = F.pmod(F.col("event_id"), F.lit(7)) == 0
+    half = e.agg(F.max("event_id").alias("m")).first()["m"] // 2
+    steps = [e.where((F.col("event_id") <= half) & (~late | (F.col("event_id") <= half - 400))), e, e]
+    for source in steps:
+        cdc.poll_once(spark, source, "event_id", f"{folder}/appended", f"{folder}/a", "late", merge_keys=["event_id"], lateness=400)
+        cdc.poll_once(spark, source, "event_id", f"{folder}/merged", f"{folder}/m", "late", "merge", ["event_id"], lateness=400)
+    both = spark.read.parquet(f"{folder}/appended").unionByName(write.merge_table(spark, f"{folder}/merged"))
+    return both.groupBy("event_id", "user_id").agg(F.count("*").alias("n")).where("n = 2").drop("n")
+
+
+@query("SELECT event_id, user_id FROM events")
+def late_rows_stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream in which every row comes twice, the second time in a later batch: the keys of the watermark's stretch are kept as state, so each is loaded once."""
+    folder, e = scratch(spark), table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
+    for step in range(2):
+        e.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    cdc.cdc_stream(cdc.without_late_repeats(stream, ["event_id"], "ts", "10000 days"), f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{folder}/out").select("event_id", "user_id")
+
+
 @query("SELECT count(*) AS n_rows, CAST(sum(octet_length(encode(text)) + octet_length(encode(lang)) + octet_length(encode(source)) + 32) AS BIGINT) AS size_bytes FROM documents")
 def size_estimate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.size_estimate(table(spark, sf_dir, "documents"))

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,6 +54,85 @@ def range_scan(spark: SparkSession, url: str, table: str, key: str, partitions:
     return spark.read.jdbc(url, table, column=key, lowerBound=low, upperBound=high, numPartitions=partitions, properties=properties)
 
 
+#: Keys that are drawn for each shard where they have no mergeable quantiles.
+DRAWN = 400
+
+
+@dataclass(frozen=True)
+class Shard:
+    """Rows from lower (inclusive) to upper (exclusive), tuples of key values; None is open. nulls: rows with a NULL in their key instead."""
+
+    lower: tuple | None = None
+    upper: tuple | None = None
+    nulls: bool = False
+
+
+def equal_shards(df: DataFrame, keys: list[str], shards: int) -> list[Shard]:
+    """Ranges of a key with about as many rows each, whatever its values: at most so many, and one more for rows with a NULL in their key.
+
+    One number or time is cut at mergeable quantiles, so in one pass with partial results; texts and keys of several columns at the
+    quantiles of DRAWN rows a shard, drawn at random with a fixed seed, which alone come to the driver. Together the ranges are
+    open on both sides, so each row is in one, also one that came after the bounds were taken. A single key is never parted.
+    """
+    if shards <= 1:
+        raise ValueError("shards must be over one")
+    columns = [F.col(f"`{k}`") for k in keys]
+    known = df.select(*columns).dropna()
+    kind = df.schema[keys[0]].dataType
+    if len(keys) == 1 and isinstance(kind, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        found = known.agg(F.percentile_approx(columns[0], [i / shards for i in range(1, shards)], 200 * shards).alias("q")).first()["q"]
+        cuts = [(v,) for v in found or []]
+    else:
+        n = known.count()
+        drawn = sorted(map(tuple, known.sample(min(1.0, 1.2 * DRAWN * shards / max(n, 1)), seed=0).collect()))
+        cuts = [drawn[len(drawn) * i // shards] for i in range(1, shards)] if drawn else []
+    cuts = sorted(set(cuts))
+    ranges = [Shard(a, b) for a, b in zip([None, *cuts], [*cuts, None], strict=True)]
+    return ranges + [Shard(nulls=True)]
+
+
+def _from(keys: list[Column], bound: tuple, kinds: list[T.DataType]) -> Column:
+    """Whether the key is at the bound or after it; the first column alone is a filter that reaches the files."""
+    values = [F.lit(v).cast(t) for v, t in zip(bound, kinds, strict=True)]
+    after = keys[-1] >= values[-1]
+    for k, v in reversed(list(zip(keys[:-1], values[:-1], strict=True))):
+        after = (k > v) | (k == v) & after
+    return (keys[0] >= values[0]) & after
+
+
+def in_shard(df: DataFrame, keys: list[str], shard: Shard) -> DataFrame:
+    """The rows of one range."""
+    columns, kinds = [F.col(f"`{k}`") for k in keys], [df.schema[k].dataType for k in keys]
+    missing = reduce(lambda a, b: a | b, [c.isNull() for c in columns])
+    if shard.nulls:
+        return df.where(missing)
+    out = df.where(~missing)
+    if shard.lower is not None:
+        out = out.where(_from(columns, shard.lower, kinds))
+    if shard.upper is not None:
+        out = out.where((columns[0] <= F.lit(shard.upper[0]).cast(kinds[0])) & ~_from(columns, shard.upper, kinds))
+    return out
+
+
+def equal_scan(df: DataFrame, keys: list[str], shards: int, cursor: Any = None) -> DataFrame:
+    """The rows past a cursor of the first key column as a union of one scan for each equal range, each with filters of its own."""
+    df = incremental_scan(df, keys[0], cursor)
+    return reduce(DataFrame.unionByName, [in_shard(df, keys, s) for s in equal_shards(df, keys, shards)])
+
+
+def equal_range_scan(spark: SparkSession, url: str, table: str, key: str, shards: int, properties: dict[str, str] | None = None, cursor: Any = None) -> DataFrame:
+    """A table of a database in ranges of a number with about as many rows each, by its quantiles; rows without a key are a range of their own."""
+    keys = incremental_scan(spark.read.jdbc(url, table, properties=properties).select(key), key, cursor)
+    if not isinstance(keys.schema[key].dataType, T.NumericType):
+        raise TypeError("only a number's ranges can be written for every database")
+    name = f'"{key}"' if not url.startswith(("jdbc:mysql", "jdbc:mariadb")) else f"`{key}`"
+    conditions = []
+    for s in equal_shards(keys, [key], shards):
+        parts = [f"{name} {sign} {bound[0]}" for sign, bound in ((">=", s.lower), ("<", s.upper)) if bound is not None] or [f"{name} IS NOT NULL"]
+        conditions.append(f"{name} IS NULL" if s.nulls else " AND ".join(parts))
+    return incremental_scan(spark.read.jdbc(url, table, predicates=conditions, properties=properties), key, cursor)
+
+
 def sharded_scan(df: DataFrame, key: str, shards: int, cursor: Any = None) -> DataFrame:
     """The rows past the cursor as a union of one scan for each range of the key, each with its own filters on the files.
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from ..operators.write import merge_into, path_exists, write_table
+from ..operators.write import Target, merge_into, path_exists, write_table
 from ..operators.versioned import VersionedTable
 from ..sources.scans import incremental_scan, up_to
 
@@ -51,30 +51,49 @@ class PollResult:
     cursor: Any
 
 
-def poll_once(spark: SparkSession, source: DataFrame, key: str, target: str, state: str, name: str, mode: str = "append", merge_keys: list[str] | None = None, initial_cursor: Any = None) -> PollResult:
+def poll_once(spark: SparkSession, source: DataFrame, key: str, target: str, state: str, name: str, mode: str = "append", merge_keys: list[str] | None = None, initial_cursor: Any = None, lateness: Any = None) -> PollResult:
     """One round: rows past the cursor, write, then save the new cursor. Run again after a crash, a merge gives the same table.
 
-    With a target ``versioned:`` and its folder the cursor is kept in the table's log, in the commit of its rows: each row is loaded once, whenever a
+    lateness (a number, or a timedelta for times) also reads rows that far behind the cursor: those that came late are loaded by the next round. Rows
+    are known by merge_keys: an append takes none whose key the target has in that stretch, a merge takes them by the
+    order of their keys, so one that came late does not overwrite a newer one. With a target ``versioned:`` and its folder the cursor is kept in the table's log, in the commit of its rows: each row is loaded once, whenever a
     round dies and whoever else polls; state is not used. Rows without a key are loaded by the first round that finds a key and had no cursor yet; later ones take no row without one.
     """
     table = VersionedTable(spark, target.removeprefix("versioned:")) if target.startswith("versioned:") else None
     saved = table.cursor(name) if table else None
     cursor = (initial_cursor if saved is None else saved) if table else load_cursor(spark, state, name, initial_cursor)
-    new = incremental_scan(source, key, cursor)
+    new = incremental_scan(source, key, cursor, lateness if cursor is not None else None)
+    if lateness is not None and cursor is not None:
+        if not merge_keys:
+            raise ValueError("late rows are known by merge_keys")
+        new = new_rows(new, Target(spark, target).read(), key, cursor, lateness, merge_keys, mode)
     bound = new.agg(F.max(key).alias("hi"), F.count("*").alias("n")).first()
     if bound["hi"] is None:
         return PollResult(0, cursor)
+    reached = bound["hi"]
+    if lateness is not None and cursor is not None:  # late rows alone do not move the cursor back
+        past = incremental_scan(new, key, cursor).agg(F.max(key)).first()[0]
+        reached = cursor if past is None else past
     new = up_to(new, key, bound["hi"], cursor is None)  # rows that arrive meanwhile wait for the next round
     if table:
-        done = (name, saved, bound["hi"])
+        done = (name, saved, reached)
         table.merge(new, merge_keys or [], [key], cursor=done) if mode == "merge" else table.append(new, cursor=done)
-        return PollResult(bound["n"], bound["hi"])
+        return PollResult(bound["n"], reached)
     if mode == "merge":
         merge_into(spark, target, new, merge_keys or [], [key])
     else:
         write_table(new, target, "append")
-    save_cursor(spark, state, name, bound["hi"])
-    return PollResult(bound["n"], bound["hi"])
+    save_cursor(spark, state, name, reached)
+    return PollResult(bound["n"], reached)
+
+
+def new_rows(rows: DataFrame, target: DataFrame, key: str, cursor: Any, lateness: Any, keys: list[str], mode: str) -> DataFrame:
+    """Of the rows read again from so far behind the cursor those that the target does not have: by their keys, in a merge also those that are newer than its own."""
+    held = incremental_scan(target, key, cursor, lateness).groupBy(*keys).agg(F.max(key).alias("_held"))
+    if mode != "merge":
+        return rows.join(held, keys, "left_anti")
+    older = target.join(rows.select(*keys).distinct(), keys, "left_semi").groupBy(*keys).agg(F.max(key).alias("_held"))
+    return rows.join(older, keys, "left").where(F.col("_held").isNull() | (F.col(key) > F.col("_held"))).select(*rows.columns)
 
 
 def cdc_stream(stream: DataFrame, target: str, checkpoint: str, mode: str = "append", keys: list[str] | None = None, order_by: list[str] | None = None, interval: str | None = None) -> StreamingQuery:

@@ -415,3 +415,44 @@ def test_equal_maps_are_equal(spark):
     assert reconcile.validate_checksum(a, b).first()["passed"]
     c = spark.createDataFrame([({"y": 1, "x": 2}, ({2: None, 1: [{"r": None, "p": "q"}]},)), (None, None)], ddl)
     assert not reconcile.validate_checksum(a, c).first()["passed"]
+
+
+@pytest.mark.parametrize("kind", ["number", "double", "time", "text", "two columns"])
+def test_equal_shards(spark, tmp_path, kind):
+    """Nine tenths of the rows in a hundredth of the range, NULL keys, repeated keys: every row once, no shard over twice its share."""
+    n, skewed = 8, F.when(F.col("id") % 10 > 0, F.col("id") % 997).otherwise(F.col("id") * 1000)
+    key = {"number": skewed, "double": skewed / 7, "time": F.timestamp_seconds(skewed), "text": F.concat(F.lit("key "), skewed.cast("string")), "two columns": F.when(F.col("id") % 10 > 0, 5).otherwise(F.col("id"))}[kind]
+    df = spark.range(20_000).select(F.when(F.col("id") % 100 > 0, key).alias("k"), "id")
+    keys = ["k", "id"] if kind == "two columns" else ["k"]
+    shards = scans.equal_shards(df, keys, n)
+    counts = [scans.in_shard(df, keys, s).count() for s in shards]
+    assert sum(counts) == 20_000 and counts[-1] == 200 and max(counts[:-1]) <= 2 * 19_800 / n and len(counts) == n + 1
+    assert scans.equal_scan(df, keys, n).distinct().count() == 20_000
+    later = spark.createDataFrame([(None, -5), (None, 10**9)], "k string, id long").select(F.col("k").cast(df.schema["k"].dataType).alias("k"), "id")
+    assert sum(scans.in_shard(df.unionByName(later), keys, s).count() for s in shards) == 20_002
+    df.write.parquet(str(tmp_path / "t"))
+    assert "GreaterThanOrEqual(k," in scans.in_shard(spark.read.parquet(str(tmp_path / "t")), keys, shards[3])._jdf.queryExecution().toString()
+    assert scans.equal_scan(df.limit(0), keys, 3).count() == 0
+    with pytest.raises(ValueError):
+        scans.equal_shards(df, keys, 1)
+
+
+def test_equal_ranges_of_a_database(spark, tmp_path):
+    url, props = f"jdbc:derby:{tmp_path}/db;create=true", {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    df = spark.range(1000).select(F.when(F.col("id") % 5 > 0, F.when(F.col("id") < 900, F.col("id") % 90).otherwise(F.col("id") * 1000)).alias("k"), "id")
+    df.write.jdbc(url, "skewed", properties=props)
+    got = scans.equal_range_scan(spark, url, "skewed", "k", 4, props)
+    sizes = got.groupBy(F.spark_partition_id()).count().collect()
+    assert got.count() == got.select("id").distinct().count() == 1000 and max(r["count"] for r in sizes) <= 400
+    assert scans.equal_range_scan(spark, url, "skewed", "k", 4, props, cursor=80).where("k <= 80 or k is null").count() == 0
+
+
+def test_find_keys(spark):
+    df = spark.range(3000).select((F.col("id") / 10).cast("int").alias("a"), (F.col("id") % 10).alias("b"), F.lit("x").alias("c"), F.when(F.col("id") > 0, F.col("id")).alias("with_null"), F.col("id").cast("string").alias("s"), F.array("id").alias("list"))
+    keys = lambda *a, **k: [r["key_columns"] for r in profile.find_keys(*a, **k).collect()]
+    assert keys(df, 2) == ["s", "a,b"] and keys(df.drop("s"), 1) == [] and keys(df.drop("s"), 3) == ["a,b"]
+    nearly = df.select("a", "b").unionByName(df.select("a", "b").limit(1))  # one repeated row: the estimate is near, the count is not
+    assert keys(nearly, 2) == []
+    three = spark.range(1000).select((F.col("id") % 10).alias("x"), (F.col("id") / 10).cast("int").alias("yz")).select("x", (F.col("yz") % 10).alias("y"), (F.col("yz") / 10).cast("int").alias("z"))
+    assert keys(three, 2) == [] and keys(three, 3) == ["x,y,z"] and keys(three, 3, columns=["x", "y"]) == []
+    assert all(r["is_key"] and r["n_null"] == 0 for r in profile.find_keys(df, 2).collect())

@@ -242,3 +242,34 @@ def test_catalog_tables_replaced_from_themselves(spark, tmp_path):
         assert not spark.sparkContext._jsc.getPersistentRDDs()
     finally:
         spark.sql("DROP TABLE IF EXISTS self_made")
+
+
+@pytest.mark.parametrize("target", ["{}/t", "versioned:{}/t"])
+@pytest.mark.parametrize("mode", ["append", "merge"])
+def test_late_rows_are_loaded_once(spark, tmp_path, target, mode):
+    """Rows behind the cursor within the lateness are taken by the next round, once; older ones are not, and none overwrites a newer one."""
+    target = target.format(tmp_path)
+    args = ("at", target, str(tmp_path / "s"), "late", mode, ["id"])
+    made = lambda rows: spark.createDataFrame(rows, "id long, at long, v string")
+    first = [(1, 10, "a"), (2, 20, "b"), (3, 30, "c")]
+    assert cdc.poll_once(spark, made(first), *args, lateness=15) == cdc.PollResult(3, 30)
+    late = [*first, (4, 18, "late"), (5, 12, "too late"), (4, 18, "late")] if mode == "merge" else [*first, (4, 18, "late"), (5, 12, "too late")]
+    assert int(cdc.poll_once(spark, made(late), *args, lateness=15).cursor) == 30
+    assert cdc.poll_once(spark, made(late), *args, lateness=15).rows == 0
+    newer = [*late, (6, 40, "new")] + ([(3, 28, "older")] if mode == "merge" else [])
+    assert cdc.poll_once(spark, made(newer), *args, lateness=15) == cdc.PollResult(1, 40)
+    got = write.Target(spark, target).read()
+    assert rows(got.select("id", "v")) == [(1, "a"), (2, "b"), (3, "c"), (4, "late"), (6, "new")]
+    with pytest.raises(ValueError):
+        cdc.poll_once(spark, made(newer), *args[:5], lateness=15)
+
+
+def test_late_repeats_of_a_stream(spark, tmp_path):
+    source, schema = str(tmp_path / "in"), "id long, at timestamp"
+    stamp = "timestamp'2026-01-01 00:00:00'"
+    batches = ["(1, 0), (2, 60)", "(1, 0), (3, 30)", "(2, 60), (3, 30), (4, 90)"]
+    for b in batches:
+        spark.sql(f"SELECT CAST(id AS BIGINT) AS id, {stamp} + make_interval(0, 0, 0, 0, 0, m) AS at FROM VALUES {b} t(id, m)").coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+        cdc.cdc_stream(cdc.without_late_repeats(stream, ["id"], "at", "3 hours"), str(tmp_path / "out"), str(tmp_path / "c")).awaitTermination()
+    assert rows(spark.read.parquet(str(tmp_path / "out")).select("id")) == [(1,), (2,), (3,), (4,)]
