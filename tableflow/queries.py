@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from .functions import masks, values
 from .functions.masks import MaskRule
-from .operators import dbmerge, deadletter, join, profile, project, quality, reconcile, runlog, versioned, write
+from .operators import dbmerge, deadletter, hashtree, join, profile, project, quality, reconcile, runlog, versioned, write
 from .operators.quality import Rule
 from .plans.spec import TaskSpec
 from .plans.task import cdc_sync, prepared, run_task
@@ -861,6 +861,31 @@ def null_keys_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return write.merge_table(spark, f"{folder}/merged")
 
 
+@query(_DIFF + " SELECT count(sk) AS source_total, count(tk) AS target_total, count(*) FILTER (state = 'source_only') AS source_only, count(*) FILTER (state = 'target_only') AS target_only, count(*) FILTER (state = 'mismatch') AS mismatch FROM j")
+def tree_diff_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two versions of a table compared by the fingerprints of their key ranges, of which one tree was saved before."""
+    source, target = _perturbed(spark, sf_dir)
+    path = f"{scratch(spark)}/tree"
+    hashtree.build(source, ["o_orderkey"], leaves=256).save(path)
+    tree = hashtree.load_tree(spark, path)
+    other = hashtree.build(target, ["o_orderkey"], tree.cuts)
+    return hashtree.summary(hashtree.tree_diff(source, target, tree, other), tree, other)
+
+
+@query("SELECT o_orderkey, 'mismatch' AS state FROM orders WHERE o_orderkey IN (77, 1501) UNION ALL SELECT o_orderkey, 'source_only' FROM orders WHERE o_orderkey = 800")
+def tree_diff_few_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three keys differ: of both tables only their ranges are read, under a twentieth of the rows."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    other = o.where("o_orderkey <> 800").withColumn("o_orderstatus", F.when(F.col("o_orderkey").isin(77, 1501), "?").otherwise(F.col("o_orderstatus")))
+    tree = hashtree.build(o, ["o_orderkey"], leaves=256)
+    changed = hashtree.build(other, ["o_orderkey"], tree.cuts)
+    leaves = hashtree.differing(tree, changed)
+    if 20 * hashtree.rows_of(o, tree, leaves).count() > tree.total()[0]:
+        raise RuntimeError("more than a twentieth of the rows was read")
+    found = hashtree.tree_diff(o, other, tree, changed).rows.where("state <> 'equal'")
+    return found.select(F.coalesce("source.o_orderkey", "target.o_orderkey").alias("o_orderkey"), "state")
+
+
 @query(_DIFF + " SELECT sk AS o_orderkey, sc AS source_custkey, tc AS target_custkey FROM j WHERE state = 'mismatch'")
 def diff_report_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The set of differing rows as a report has it: written as CSV files, rows of both sides as JSON, and read again."""
