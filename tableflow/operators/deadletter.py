@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import multiprocessing
 from collections.abc import Callable
 from functools import reduce
 
@@ -85,12 +86,77 @@ def read_dead_letters(spark: SparkSession, path: str, schema: T.StructType, fmt:
     return rows.select(*[F.col("row")[i].try_cast(f.dataType).alias(f.name) for i, f in enumerate(schema.fields)])
 
 
-def tagged_transform(df: DataFrame, fn: Callable[[dict], dict], schema: T.StructType, on_error: str = "dlq") -> DataFrame:
-    """Each row once: what a Python function makes of it (_out_…), the row itself (_in_…) and the message where the function failed (_error)."""
+class RowFailure(Exception):
+    """What became of a row in a process of its own; its text is the message."""
+
+
+class LimitedCalls:
+    """A function called in a child process that is killed when a row takes too long, whatever it does, and started again for the next row."""
+
+    def __init__(self, fn: Callable[[dict], dict], limit_s: float):
+        self.fn, self.limit_s, self.child = fn, limit_s, None
+
+    @staticmethod
+    def _answer(fn: Callable[[dict], dict], pipe) -> None:
+        while True:
+            try:
+                row = pipe.recv()
+            except EOFError:
+                return
+            try:
+                pipe.send((True, fn(row)))
+            except Exception as e:  # the function's, or a result that cannot be sent
+                pipe.send((False, f"{type(e).__name__}: {e}"))
+
+    def __call__(self, row: dict) -> dict:
+        if self.child is None:
+            fork = multiprocessing.get_context("fork")
+            self.pipe, theirs = fork.Pipe()
+            self.child = fork.Process(target=self._answer, args=(self.fn, theirs), daemon=True)
+            self.child.start()
+            theirs.close()
+        try:
+            self.pipe.send(row)
+            if not self.pipe.poll(self.limit_s):
+                raise RowFailure(f"TimeoutError: no result within {self.limit_s} s")
+            ok, value = self.pipe.recv()
+        except (EOFError, OSError):
+            self.close()
+            raise RowFailure("RuntimeError: the function ended its process") from None
+        except RowFailure:
+            self.close()
+            raise
+        if not ok:
+            raise RowFailure(value)
+        return value
+
+    def close(self) -> None:
+        if self.child is not None:
+            self.child.kill()
+            self.child.join()
+            self.pipe.close()
+            self.child = None
+
+
+def tagged_transform(df: DataFrame, fn: Callable[[dict], dict], schema: T.StructType, on_error: str = "dlq", limit_s: float | None = None) -> DataFrame:
+    """Each row once: what a Python function makes of it (_out_…), the row itself (_in_…) and the message where the function failed (_error).
+
+    With a limit the function runs in a child of the worker; a row that takes longer fails, even where it hangs for good or ends its process.
+    """
     names = [f.name for f in schema.fields]
     both = T.StructType([*[T.StructField(f"_out_{f.name}", f.dataType) for f in schema.fields], *[T.StructField(f"_in_{f.name}", f.dataType) for f in df.schema.fields], T.StructField("_error", T.StringType())])
 
     def run(batches):
+        if limit_s is None:
+            yield from rows(batches, fn)
+            return
+        limited = LimitedCalls(fn, limit_s)
+        try:
+            yield from rows(batches, limited)
+        finally:
+            limited.close()
+
+    def rows(batches, fn):
         for batch in batches:
             out: dict[str, list] = {f.name: [] for f in both.fields}
             for row in batch.astype(object).where(batch.notna(), None).to_dict("records"):
@@ -102,7 +168,7 @@ def tagged_transform(df: DataFrame, fn: Callable[[dict], dict], schema: T.Struct
                 except Exception as e:  # the row's own failure is data
                     if on_error == "abort":
                         raise
-                    made, error = {}, f"{type(e).__name__}: {e}"
+                    made, error = {}, str(e) if isinstance(e, RowFailure) else f"{type(e).__name__}: {e}"
                 for n in names:
                     out[f"_out_{n}"].append(made.get(n))
                 for n, v in row.items():
@@ -120,10 +186,10 @@ def split_transformed(rows: DataFrame, schema: T.StructType) -> tuple[DataFrame,
     return good, bad
 
 
-def row_transform(df: DataFrame, fn: Callable[[dict], dict], schema: T.StructType, on_error: str = "dlq") -> tuple[DataFrame, DataFrame]:
+def row_transform(df: DataFrame, fn: Callable[[dict], dict], schema: T.StructType, on_error: str = "dlq", limit_s: float | None = None) -> tuple[DataFrame, DataFrame]:
     """A Python function of a row given by column name, in Arrow batches. Missing keys become NULL, others are ignored.
 
     Rows it fails on come back as they were, with the message as _error; on_error="abort" raises instead. Both results run
     the function; save tagged_transform and split that where both are used.
     """
-    return split_transformed(tagged_transform(df, fn, schema, on_error), schema)
+    return split_transformed(tagged_transform(df, fn, schema, on_error, limit_s), schema)

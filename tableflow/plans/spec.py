@@ -19,7 +19,7 @@ class TaskSpec:
     """One movement of a table.
 
     source is a DataFrame, SQL over views, or a database: a dict of url, query and properties. With shards a source with a
-    resume_key is read in so many ranges of it. target is a folder of Parquet files, ``versioned:`` and a folder
+    resume_key is read in so many ranges of it. transform_limit is the time in seconds that transform_row may take for a row. target is a folder of Parquet files, ``versioned:`` and a folder
     with a log of versions (state "target" keeps the cursor in it), ``catalog:`` and the name of a table, or ``jdbc:`` and the rest of a database's url, with options dbtable and what else the driver needs. interval (seconds)
     marks a task that cdc_sync runs again. Rows are staged beside a folder; for other targets below staging, else in the session's
     folder for checkpoints. Rows whose resume_key is NULL are loaded by the first run, which has no cursor, and by no later one.
@@ -37,6 +37,7 @@ class TaskSpec:
     seed: int = 0
     transform_row: Callable[[dict], dict] | None = None
     transform_schema: T.StructType | None = None
+    transform_limit: float | None = None
     rules: list[Rule] = field(default_factory=list)
     merge_keys: list[str] = field(default_factory=list)
     order_by: list[str] = field(default_factory=list)

@@ -72,7 +72,7 @@ def prepared(spark: SparkSession, spec: TaskSpec, source: DataFrame | None = Non
     df = _masked(spec, _source(spark, spec, _cursor(spark, spec)) if source is None else source)
     bad = None
     if spec.transform_row:
-        df, bad = deadletter.row_transform(df, spec.transform_row, spec.transform_schema, "dlq" if spec.dead_letters else "abort")
+        df, bad = deadletter.row_transform(df, spec.transform_row, spec.transform_schema, "dlq" if spec.dead_letters else "abort", spec.transform_limit)
     return _shaped(spec, df), bad
 
 
@@ -122,7 +122,7 @@ def run_task(spark: SparkSession, spec: TaskSpec) -> TaskResult:
                 source = source.limit(0)
         df = _masked(spec, source)
         if spec.transform_row:
-            both = staging.saved(deadletter.tagged_transform(df, spec.transform_row, spec.transform_schema, "dlq" if spec.dead_letters else "abort"), "transformed")
+            both = staging.saved(deadletter.tagged_transform(df, spec.transform_row, spec.transform_schema, "dlq" if spec.dead_letters else "abort", spec.transform_limit), "transformed")
             df, bad = deadletter.split_transformed(both, spec.transform_schema)
             if spec.dead_letters:
                 failed += _write_letters(spec, bad)

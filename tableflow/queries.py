@@ -5,6 +5,7 @@ The given tables hold no NULL and no second version of themselves, so both sides
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable
 
@@ -669,6 +670,24 @@ def dead_letter_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deadletter.dead_letters_csv(deadletter.split_loadable(_dirty_events(spark, sf_dir), _EVENT, ["event_id"])[1], "events_clean").drop("_dlq_timestamp")
 
 
+@query("SELECT c_custkey AS id, CASE WHEN c_custkey = 70 THEN 'TimeoutError: no result within 0.5 s' WHEN c_custkey = 71 THEN 'RuntimeError: the function ended its process' WHEN c_custkey = 72 THEN 'ValueError: no' END AS error FROM customer")
+def limited_plugin_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row function with a limit for each row: one row hangs, one ends its process, one fails, the others pass."""
+
+    def change(row: dict) -> dict:
+        if row["c_custkey"] == 70:
+            while True:
+                pass
+        if row["c_custkey"] == 71:
+            os._exit(1)
+        if row["c_custkey"] == 72:
+            raise ValueError("no")
+        return {"id": row["c_custkey"]}
+
+    rows = deadletter.tagged_transform(table(spark, sf_dir, "customer").select("c_custkey"), change, T.StructType.fromDDL("id long"), limit_s=0.5)
+    return rows.select(F.coalesce("_out_id", "_in_c_custkey").alias("id"), F.col("_error").alias("error"))
+
+
 @query("SELECT c_custkey AS id, c_custkey * 2 AS twice, c_name || '!' AS name FROM customer WHERE c_custkey % 10 <> 3")
 def plugin_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plugin(spark, sf_dir)[0]

@@ -273,3 +273,27 @@ def test_late_repeats_of_a_stream(spark, tmp_path):
         stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
         cdc.cdc_stream(cdc.without_late_repeats(stream, ["id"], "at", "3 hours"), str(tmp_path / "out"), str(tmp_path / "c")).awaitTermination()
     assert rows(spark.read.parquet(str(tmp_path / "out")).select("id")) == [(1,), (2,), (3,), (4,)]
+
+
+def test_slow_rows_are_dead_letters(spark, tmp_path):
+    """One row sleeps, one never ends, one ends the process: three letters, all others load; and quickly."""
+    import os
+    import time
+
+    def change(r):
+        if r["id"] == 500:
+            time.sleep(600)
+        if r["id"] == 501:
+            os._exit(3)
+        while r["id"] == 502:
+            pass
+        return {"id": r["id"], "twice": 2 * r["id"]}
+
+    spec = TaskSpec("slow", str(tmp_path / "t"), spark.range(1000), transform_row=change, transform_schema=T.StructType.fromDDL("id long, twice long"), transform_limit=0.5, dead_letters=str(tmp_path / "d"))
+    began = time.time()
+    result = run_task(spark, spec)
+    assert (result.rows, result.failed) == (997, 3) and time.time() - began < 120
+    letters = spark.read.schema("row array<string>, error string").json(str(tmp_path / "d"))
+    assert {r["row"][0]: r["error"].split(":")[0] for r in letters.collect()} == {"500": "TimeoutError", "501": "RuntimeError", "502": "TimeoutError"}
+    with pytest.raises(Exception, match="TimeoutError"):
+        run_task(spark, TaskSpec("slow", str(tmp_path / "u"), spark.range(498, 501), transform_row=change, transform_schema=T.StructType.fromDDL("id long"), transform_limit=0.2))
