@@ -259,8 +259,11 @@ class VersionedTable:
 
         return self._again(step)
 
-    def merge(self, source: DataFrame, keys: list[str], order_by: list[str] | None = None, evolve: bool = False, cursor: tuple[str, Any, Any] | None = None) -> Snapshot:
-        """Upsert by key (see write.merge): only files that hold a key of the source are written anew, new keys go with them."""
+    def merge(self, source: DataFrame, keys: list[str], order_by: list[str] | None = None, evolve: bool = False, cursor: tuple[str, Any, Any] | None = None, newest: bool = False) -> Snapshot:
+        """Upsert by key (see write.merge): only files that hold a key of the source are written anew, new keys go with them.
+
+        newest compares with the table's rows by order_by, too: an older row changes nothing (see write.merge_newest).
+        """
 
         def step(s: Snapshot) -> Snapshot:
             done = self._finishes(s, cursor)
@@ -274,7 +277,7 @@ class VersionedTable:
             touched = self.touched(s, typed)
             keyed = new.where(~write._some_null([column_named(new, k) for k in keys]))
             part = write._evolved(self._rows(s, touched), source, evolve)[0]
-            merged = write.merge(part, keyed, own, order_by)
+            merged = write.merge_newest(part, keyed, own, order_by or []) if newest else write.merge(part, keyed, own, order_by)
             if any(new.schema[column_named(new, k)].nullable for k in keys):
                 holding = self._rows(s, self._with_null_keys(s))
                 without = write._checked(old, new.where(write._some_null([column_named(new, k) for k in keys])), own)
@@ -285,6 +288,31 @@ class VersionedTable:
 
         return self._again(step)
 
+    def delete_where(self, condition: Column, operation: str = "delete") -> Snapshot:
+        """Rows for which the condition holds go: files that have one are written anew without it, the others stay."""
+
+        def step(s: Snapshot) -> Snapshot:
+            found = self._rows(s).where(condition).select(F.col("_metadata.file_path").alias("_file")).distinct().collect()  # a row for each file at most
+            return self._without(s, [r[0] for r in found], lambda rows: rows.where(~F.coalesce(condition, F.lit(False))), operation)
+
+        return self._again(step)
+
+    def delete_keys(self, gone: DataFrame, keys: list[str]) -> Snapshot:
+        """Rows with one of the keys go; only files that hold one are written anew."""
+
+        def step(s: Snapshot) -> Snapshot:
+            own = [column_named(self._rows(s), k) for k in keys]
+            typed = write._checked(self._rows(s).select(*own), gone, own).dropna().distinct()
+            return self._without(s, self.touched(s, typed), lambda rows: rows.join(typed, own, "left_anti").select(*rows.columns), "delete")
+
+        return self._again(step)
+
+    def _without(self, s: Snapshot, paths: list[str], left: Callable[[DataFrame], DataFrame], operation: str) -> Snapshot:
+        by_name = {f.rsplit("/", 1)[1]: f for f in s.files}
+        touched = sorted(by_name[p.rsplit("/", 1)[1]] for p in paths)
+        files, index = self._files(left(self._rows(s, touched)), s.keys, max(1, len(touched))) if touched else ([], [])
+        return self._commit(s, operation, s.schema, files, touched, index, s.keys, {})
+
     def _first(self, rows: DataFrame, keys: list[str], s: Snapshot, done: dict[str, str]) -> Snapshot:
         own = tuple(column_named(rows, k) for k in keys)
         files, index = self._files(rows, own)

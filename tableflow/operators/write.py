@@ -233,6 +233,16 @@ def merge(target: DataFrame, source: DataFrame, keys: list[str], order_by: list[
     return kept.select(*target.columns).unionByName(new)
 
 
+def merge_newest(target: DataFrame, source: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
+    """A merge in which a row of the source that is older than the target's, by order_by, changes nothing; NULL is oldest, of equals the source's wins."""
+    own, order = [column_named(target, k) for k in keys], [column_named(target, c) for c in order_by]
+    new = one_row_per_key(_checked(target, source, keys), own, order)
+    age = F.struct(*[F.col(f"`{c}`") for c in order])
+    held = target.select(*own, age.alias("_held"))
+    newer = new.join(held, own, "left").where(F.col("_held").isNull() | (age >= F.col("_held"))).select(*new.columns)
+    return merge(target, newer, own, order)
+
+
 def merge_changes(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     """The keys with what a merge would do: insert, update, unchanged or keep. Rows without a key that the target holds already are kept ones."""
     keys = [column_named(target, k) for k in keys]

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from .functions import masks, values
 from .functions.masks import MaskRule
-from .operators import dbmerge, deadletter, hashtree, join, profile, project, quality, reconcile, runlog, versioned, write
+from .operators import dbmerge, deadletter, deletes, hashtree, join, profile, project, quality, reconcile, runlog, versioned, write
 from .operators.quality import Rule
 from .plans.spec import TaskSpec
 from .plans.task import cdc_sync, prepared, run_task
@@ -868,6 +868,20 @@ def key_index_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.read().agg(F.count("*").alias("n_rows"), F.count_if(F.col("o_orderstatus") == "*").alias("n_changed")).select("*", F.lit(kept >= len(before.files) - 11).alias("few_files"), F.lit(same).alias("old_version_stays"))
 
 
+@query("SELECT o_orderkey, 'third' AS v FROM orders WHERE o_orderkey % 3 <> 1 AND o_orderkey % 7 <> 0")
+def deletes_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deletes among changes that come in the wrong order, then rows that a source no longer has: a delete beats what is older, also what comes later."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey")
+    t = versioned.VersionedTable(spark, f"{scratch(spark)}/orders")
+    change = lambda rows, at, what, v: rows.select("o_orderkey", F.lit(v).alias("v"), F.lit(at).alias("at"), F.lit(what).alias("what"))
+    steps = [change(o, 1, "put", "first"), change(o.where("o_orderkey % 3 = 1"), 5, "delete", None), change(o, 3, "put", "third"), change(o.where("o_orderkey % 3 = 0"), 2, "delete", None)]
+    for rows in steps:
+        deletes.apply_changes(t, rows, ["o_orderkey"], ["at"], "what = 'delete'")
+    deletes.compact(t, "at <= 5")
+    deletes.delete_missing(t, o.where("o_orderkey % 7 <> 0"), ["o_orderkey"])
+    return deletes.live(t).select("o_orderkey", "v")
+
+
 @query("SELECT o_orderkey, CASE WHEN o_orderkey % 5 > 0 THEN o_custkey END AS k FROM orders")
 def null_keys_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A fifth of the rows has no key: a first run with a cursor and shards loads all, a second one none; merged twice, none is there twice."""
