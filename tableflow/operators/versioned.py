@@ -197,7 +197,8 @@ class VersionedTable:
         folder = f"data_{uuid.uuid4().hex}"
         if keys:
             order = [F.col(f"`{k}`") for k in keys]
-            df = (df.repartitionByRange(parts, *order) if parts else df.repartitionByRange(*order)).sortWithinPartitions(*order)
+            # for one file there is no range to be sampled, which would run the plan once more
+            df = (df.repartition(1) if parts == 1 else df.repartitionByRange(parts, *order) if parts else df.repartitionByRange(*order)).sortWithinPartitions(*order)
         df.write.option("maxRecordsPerFile", FILE_ROWS).parquet(f"{self.path}/{folder}")
         place = write._fs(self.spark, f"{self.path}/{folder}")[1]
         files = sorted(f"{folder}/{f.getPath().getName()}" for f in self.fs.listStatus(place) if f.getPath().getName().startswith("part-"))
@@ -262,7 +263,7 @@ class VersionedTable:
     def merge(self, source: DataFrame, keys: list[str], order_by: list[str] | None = None, evolve: bool = False, cursor: tuple[str, Any, Any] | None = None, newest: bool = False) -> Snapshot:
         """Upsert by key (see write.merge): only files that hold a key of the source are written anew, new keys go with them.
 
-        newest compares with the table's rows by order_by, too: an older row changes nothing (see write.merge_newest).
+        The source is read several times; stage what is costly to make. newest compares with the table's rows by order_by, too: an older row changes nothing (see write.merge_newest).
         """
 
         def step(s: Snapshot) -> Snapshot:
@@ -274,11 +275,12 @@ class VersionedTable:
             if s.keys and sorted(own) != sorted(s.keys):
                 raise ValueError(f"{self.path} has the keys {', '.join(s.keys)}")
             typed = write._checked(old.select(*own), source, own)
-            touched = self.touched(s, typed)
+            counts = typed.agg(F.count("*").alias("n"), F.count_if(write._some_null(own)).alias("nulls")).first()
+            touched = self.touched(s, typed, counts["n"])
             keyed = new.where(~write._some_null([column_named(new, k) for k in keys]))
             part = write._evolved(self._rows(s, touched), source, evolve)[0]
             merged = write.merge_newest(part, keyed, own, order_by or []) if newest else write.merge(part, keyed, own, order_by)
-            if any(new.schema[column_named(new, k)].nullable for k in keys):
+            if counts["nulls"]:
                 holding = self._rows(s, self._with_null_keys(s))
                 without = write._checked(old, new.where(write._some_null([column_named(new, k) for k in keys])), own)
                 merged = merged.unionByName(write.not_held(write._evolved(holding, source, evolve)[0], without, own), allowMissingColumns=True)
@@ -354,11 +356,11 @@ class VersionedTable:
 
         return sorted(r["file"] for r in index.select("file", "low", "high", "filter").mapInArrow(run, "file string").collect())
 
-    def touched(self, s: Snapshot, keys: DataFrame) -> list[str]:
-        """Files that hold one of the keys: the index says which may, their key columns say which do."""
+    def touched(self, s: Snapshot, keys: DataFrame, n: int | None = None) -> list[str]:
+        """Files that hold one of the keys (n at most, if that is known): the index says which may, their key columns say which do."""
         named = list(keys.columns)
         wanted = keys.dropna().distinct()
-        few = wanted.limit(ASKED + 1).count() <= ASKED
+        few = n is not None and n <= ASKED or wanted.limit(ASKED + 1).count() <= ASKED
         files = self.candidates(s, wanted.select(*[F.col(f"`{k}`") for k in (s.keys or named)])) if few else list(s.files)
         if not files:
             return []
