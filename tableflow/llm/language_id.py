@@ -37,6 +37,9 @@ _ASCII_LETTER = re.compile("[A-Za-z]")
 class ContextTree:
     """Byte counts in contexts of 0 to ORDER bytes."""
 
+    #: Bytes that no tree of the model has seen: they cost eight bits in each.
+    strange = np.zeros(256, bool)
+
     def __init__(self, texts: list[bytes]):
         data = np.frombuffer(b"".join(START + t for t in texts), np.uint8).astype(np.uint32)
         real = np.ones(len(data), bool)
@@ -70,16 +73,18 @@ class ContextTree:
             total = (self.totals[k] + self.distinct[k])[c]
             seen = np.where(self.grams[k][g] == gram, self.counts[k][g] / total, self.distinct[k][c] / total * p)
             p = np.where(self.contexts[k][c] == context, seen, p)
-        return -np.log2(p)
+        return -np.log2(np.where(self.strange[keys & np.uint32(255)], 1 / 256, p))
 
 
 class Model:
     def __init__(self, texts: dict[str, list[bytes]]):
         self.languages = sorted(texts)
         self.trees = [ContextTree(texts[x]) for x in self.languages]
-        self.strange = np.ones(256, bool)
+        strange = np.ones(256, bool)
+        for tree in self.trees:
+            strange[tree.grams[0]] = False
         for tree in self.trees:
-            self.strange[tree.grams[0]] = False
+            tree.strange = strange
         pairs = np.zeros(65536, np.int64)
         for tree in self.trees:
             np.add.at(pairs, tree.grams[1], tree.counts[1])
@@ -116,9 +121,7 @@ class Model:
                 rare = np.flatnonzero((left == n - 1) | (right == n - 1))
                 if len(rare):
                     keys = (pair[at - 3 : to - 3][rare].astype(np.uint32) << np.uint32(16)) | pair[at - 1 : to - 1][rare]
-                    strange = self.strange[keys & np.uint32(255)]
-                    keys = keys[~strange]
-                    out[i] += [tree.bits(keys).sum() + 8 * np.count_nonzero(strange) for tree in self.trees]
+                    out[i] += [tree.bits(keys).sum() for tree in self.trees]
         return out
 
     def predict(self, texts: list[str]) -> tuple[list[str], list[float]]:
