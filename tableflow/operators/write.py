@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.values import all_equal, row_md5
+from .curve import curve_ordered
 from .project import column_named
 
 
@@ -56,7 +57,7 @@ def write_table(df: DataFrame, path: str, mode: str = "replace", must_exist: boo
         raise ValueError(f"unknown write mode: {mode}")
 
 
-def _tie(df: DataFrame) -> Column:
+def row_hash(df: DataFrame) -> Column:
     """A hash of the whole row, to settle ties alike in every run."""
     return F.xxhash64(*[F.to_json(F.col(f"`{f.name}`")) if isinstance(f.dataType, T.MapType) else F.col(f"`{f.name}`") for f in df.schema.fields])
 
@@ -168,7 +169,7 @@ def latest_per_key(df: DataFrame, keys: list[str], order_by: list[str]) -> DataF
     A maximum with partial results, so a key of very many rows is no single sort. Rows with a NULL key are a key of their own.
     """
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row")
-    order = F.struct(*[F.col(f"`{column_named(df, c)}`") for c in order_by], _tie(df))
+    order = F.struct(*[F.col(f"`{column_named(df, c)}`") for c in order_by], row_hash(df))
     return df.groupBy(*[F.col(f"`{column_named(df, k)}`").alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.max_by(row, order).alias("_row")).select("_row.*")
 
 
@@ -445,8 +446,20 @@ def parse_order(specs: list[str]) -> list[tuple[str, bool]]:
     return out
 
 
+def curve_columns(specs: list[str]) -> list[str]:
+    """The columns of an order written as hilbert(a, b); none for another order."""
+    if len(specs) == 1 and specs[0].strip().lower().startswith("hilbert(") and specs[0].strip().endswith(")"):
+        return [c.strip() for c in specs[0].strip()[len("hilbert(") : -1].split(",")]
+    return []
+
+
 def clustered(df: DataFrame, specs: list[str], partitions: int | None = None) -> DataFrame:
-    """Rows in ranges of the columns and sorted within them, so files of the written table can be skipped."""
+    """Rows in ranges of the columns and sorted within them, so files of the written table can be skipped.
+
+    A single ``hilbert(a, b)`` instead of names orders by all its columns alike, along a space-filling curve.
+    """
+    if curve := curve_columns(specs):
+        return curve_ordered(df, curve, partitions)
     order = [F.col(n).asc() if up else F.col(n).desc() for n, up in parse_order(specs)]
     ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
     return ranged.sortWithinPartitions(*order)

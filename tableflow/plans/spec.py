@@ -72,6 +72,8 @@ class TaskSpec:
             raise ValueError("a merge into a database adds no columns")
         if self.target.startswith("jdbc:") and "dbtable" not in self.options:
             raise ValueError("a database target needs the option dbtable")
+        if self.target.startswith("versioned:") and any("(" in c for c in self.cluster):
+            raise ValueError("a versioned table is kept in the order of its keys")
         if self.shards > 1 and not self.resume_key:
             raise ValueError("shards need a resume_key")
         if self.state == "target" and not self.target.startswith("versioned:"):

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from .functions import masks, values
 from .functions.masks import MaskRule
-from .operators import dbmerge, deadletter, deletes, hashtree, join, profile, project, quality, reconcile, runlog, versioned, write
+from .operators import curve, dbmerge, deadletter, deletes, hashtree, join, profile, project, quality, reconcile, runlog, versioned, write
 from .operators.quality import Rule
 from .plans.spec import TaskSpec
 from .plans.task import cdc_sync, prepared, run_task
@@ -795,6 +795,21 @@ def write_modes_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+_SPANS = {"o_custkey": "(SELECT quantile_disc(o_custkey, 0.6) AS low, quantile_disc(o_custkey, 0.62) AS high FROM orders)", "o_totalprice": "(SELECT quantile_disc(o_totalprice, 0.3) AS low, quantile_disc(o_totalprice, 0.32) AS high FROM orders)"}
+
+
+@query(" UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(*) AS n_rows, true AS few_read FROM orders, {span} WHERE {c} BETWEEN low AND high" for c, span in _SPANS.items()))
+def curve_order_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders along a curve of customer and price in 256 files: a filter on either reads under a quarter of them."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    path = f"{scratch(spark)}/orders"
+    curve.curve_ordered(o, ["o_custkey", "o_totalprice"], 256).write.parquet(path)
+    found = o.agg(F.expr("percentile_disc(0.6) within group (order by o_custkey)").alias("a"), F.expr("percentile_disc(0.62) within group (order by o_custkey)").alias("b"),
+                  F.expr("percentile_disc(0.3) within group (order by o_totalprice)").alias("c"), F.expr("percentile_disc(0.32) within group (order by o_totalprice)").alias("d")).first()
+    report = curve.file_skipping(spark.read.parquet(path), {"o_custkey": (found["a"], found["b"]), "o_totalprice": (found["c"], found["d"])})
+    return report.select("column", "n_rows", (4 * F.col("n_read") < F.col("n_files")).alias("few_read"))
+
+
 @query(_MERGE + " SELECT * FROM t WHERE o_orderkey NOT IN (SELECT o_orderkey FROM s) UNION ALL SELECT * FROM s")
 def merge_into_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     target, source = _merge_pair(spark, sf_dir)
