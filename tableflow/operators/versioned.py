@@ -193,13 +193,15 @@ class VersionedTable:
     # --- writing
 
     def _files(self, df: DataFrame, keys: tuple[str, ...] | list[str], parts: int | None = None) -> tuple[list[str], list[str]]:
-        """Write rows as new files, in ranges of the keys; the files, and the folder of their index."""
+        """Write rows as new files, in ranges of the keys; the files, and the folder of their index. rows_written says how many there were."""
         folder = f"data_{uuid.uuid4().hex}"
         if keys:
             order = [F.col(f"`{k}`") for k in keys]
             # for one file there is no range to be sampled, which would run the plan once more
             df = (df.repartition(1) if parts == 1 else df.repartitionByRange(parts, *order) if parts else df.repartitionByRange(*order)).sortWithinPartitions(*order)
+        df, written = write.counted(df)
         df.write.option("maxRecordsPerFile", FILE_ROWS).parquet(f"{self.path}/{folder}")
+        self.rows_written = written()
         place = write._fs(self.spark, f"{self.path}/{folder}")[1]
         files = sorted(f"{folder}/{f.getPath().getName()}" for f in self.fs.listStatus(place) if f.getPath().getName().startswith("part-"))
         if not keys or not files:

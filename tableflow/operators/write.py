@@ -5,8 +5,9 @@ from __future__ import annotations
 import json
 import tempfile
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -75,6 +76,12 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def counted(df: DataFrame) -> tuple[DataFrame, Callable[[], int]]:
+    """The rows, and a function for their number that is to be asked after they were written, once and with no shuffle between: no scan of its own counts them."""
+    seen = Observation()
+    return df.observe(seen, F.count("*").alias("n")), lambda: seen.get.get("n") or 0
+
+
 def is_path(target: str) -> bool:
     return not target.startswith(("catalog:", "jdbc:", "versioned:"))
 
@@ -128,7 +135,7 @@ class Target:
                 table.append(df, spec.schema_evolution, cursor)
             else:
                 table.replace(df, [n for n, _ in parse_order(spec.cluster)], cursor=cursor)
-            return
+            return None if spec.mode == "merge" else table.rows_written
         if self.kind != "path" and spec.mode == "merge" and exists:
             from . import dbmerge
 
@@ -136,9 +143,13 @@ class Target:
                 dbmerge.merge_into_database(self.spark, self.name, self.options, df, spec.merge_keys, spec.order_by or None)
             else:
                 dbmerge.merge_into_catalog(self.spark, self.table, df, spec.merge_keys, spec.order_by or None, spec.schema_evolution)
-            return
+            return None
         if self.kind != "path" and spec.mode == "merge":
             out = one_row_per_key(out, [column_named(out, k) for k in spec.merge_keys], spec.order_by or None)
+        if self.kind == "path" and spec.mode == "merge":
+            merge_into(self.spark, self.table, df, spec.merge_keys, spec.order_by or None, evolve=spec.schema_evolution)
+            return None
+        out, written = counted(out)
         if self.kind == "jdbc":
             out.write.format("jdbc").options(url=self.name, **{k: v for k, v in self.options.items() if k != "staging_table"}).mode("append" if spec.mode == "append" else "overwrite").save()
         elif self.kind == "catalog":
@@ -155,12 +166,11 @@ class Target:
                 if more:
                     self.spark.sql(f"ALTER TABLE {self.table} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in more)})")
                 evolve_append(self.spark.table(self.table).limit(0), out).select(*self.spark.table(self.table).columns).write.insertInto(self.table)
-        elif spec.mode == "merge":
-            merge_into(self.spark, self.table, df, spec.merge_keys, spec.order_by or None, evolve=spec.schema_evolution)
         else:
             if spec.mode == "append" and exists and spec.schema_evolution:
                 out = evolve_append(self.read().limit(0), out)
             write_table(out, self.table, spec.mode)
+        return written() if spec.mode != "merge" else None
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:

@@ -83,12 +83,14 @@ class _Staging:
         at = spec.staging or (f"{spec.target.rstrip('/')}_task" if write.is_path(spec.target) else None)
         self.spark, self.folder, self.made = spark, f"{at}_{uuid.uuid4().hex}" if at else None, False
 
-    def saved(self, df: DataFrame, name: str) -> DataFrame:
+    def saved(self, df: DataFrame, name: str) -> tuple[DataFrame, int]:
+        """The rows as they were staged, and their number."""
         if self.folder is None:
             self.folder = write.work_folder(self.spark)
-        df.write.parquet(f"{self.folder}/{name}")
+        rows, written = write.counted(df)
+        rows.write.parquet(f"{self.folder}/{name}")
         self.made = True
-        return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}"), written()
 
     def drop(self) -> None:
         if self.made:
@@ -107,10 +109,10 @@ def run_task(spark: SparkSession, spec: TaskSpec) -> TaskResult:
     """The whole task. The cursor is saved last, so a failed run is simply run again.
 
     Where rows are used more than once (rules, checks, a row function, a merge), they are staged first: the source is read and the row
-    function called once for each row.
+    function called once for each row. The writes count their rows; the target is read again only by what was asked for (validate, rules).
     """
     started, result, error, failed, rows = datetime.now(timezone.utc), "", "", 0, 0
-    cursor, staging = None, _Staging(spark, spec)
+    cursor, staging, staged = None, _Staging(spark, spec), None
     try:
         since = _cursor(spark, spec)
         source = _source(spark, spec, since)
@@ -122,13 +124,13 @@ def run_task(spark: SparkSession, spec: TaskSpec) -> TaskResult:
                 source = source.limit(0)
         df = _masked(spec, source)
         if spec.transform_row:
-            both = staging.saved(deadletter.tagged_transform(df, spec.transform_row, spec.transform_schema, "dlq" if spec.dead_letters else "abort", spec.transform_limit), "transformed")
+            both, _ = staging.saved(deadletter.tagged_transform(df, spec.transform_row, spec.transform_schema, "dlq" if spec.dead_letters else "abort", spec.transform_limit), "transformed")
             df, bad = deadletter.split_transformed(both, spec.transform_schema)
             if spec.dead_letters:
                 failed += _write_letters(spec, bad)
         df = _shaped(spec, df)
         if spec.transforms and spec.transform_row or not spec.transform_row and (spec.rules or spec.validate or spec.mode == "merge"):
-            df = staging.saved(df, "rows")
+            df, staged = staging.saved(df, "rows")
         if spec.rules:
             own = [r.renamed(spec.columns) for r in spec.rules]
             to_letters = quality.enforce(quality.assert_report(df, own))
@@ -137,23 +139,25 @@ def run_task(spark: SparkSession, spec: TaskSpec) -> TaskResult:
                 failed += _write_letters(spec, quality.violating_rows(df, kept))
         target = write.Target(spark, spec.target, spec.options, spec.schema_evolution)
         exists = target.exists()
-        old = target.read() if exists and spec.mode != "replace" else None
-        before = old.count() if old is not None else 0
-        grown = df.count() if spec.validate == "row_count" or spec.mode == "merge" else 0
-        rows = grown
+        old = target.read() if exists and spec.mode != "replace" and spec.validate in ("row_count", "checksum") else None
+        before = old.count() if old is not None and spec.validate == "row_count" else 0
+        filled = old is not None and spec.validate == "checksum" and not old.isEmpty()
+        if staged is None and (spec.validate == "row_count" or spec.mode == "merge"):
+            staged = df.count()  # of what the row function gave, which is staged
+        grown = rows = staged or 0
         if spec.mode == "merge" and spec.validate == "row_count":
             grown = write.inserted_keys(old, df, spec.merge_keys) if old is not None else write.one_row_per_key(df, spec.merge_keys, None).count()
-        had = reconcile.fingerprint(old, df.columns).first() if spec.validate == "checksum" and spec.mode == "append" and before and not spec.schema_evolution else None
+        had = reconcile.fingerprint(old, df.columns).first() if spec.validate == "checksum" and spec.mode == "append" and filled and not spec.schema_evolution else None
         run_sql(spark, spec.pre_sql)
-        target.write(df, spec, exists, (spec.name, target.versions().cursor(spec.name), cursor) if spec.in_target and cursor is not None else None)
+        written = target.write(df, spec, exists, (spec.name, target.versions().cursor(spec.name), cursor) if spec.in_target and cursor is not None else None)
+        rows = rows if written is None else written
         now = target.read()
-        after = now.count()
-        rows = after - before if spec.mode != "merge" else rows
+        after = now.count() if spec.validate == "row_count" else 0
         run_sql(spark, spec.post_sql)
         after_load = [r.renamed(spec.columns) for r in spec.rules if r.on_fail != "dlq"]
         if after_load:
             quality.enforce(quality.assert_report(now, after_load))
-        result = _validated(spec, df, now, before, after, grown, had)
+        result = _validated(spec, df, now, before, after, grown, had, filled)
         if cursor is not None and not spec.in_target:
             save_cursor(spark, spec.state, spec.name, cursor)
     except Exception as e:
@@ -169,7 +173,7 @@ def run_task(spark: SparkSession, spec: TaskSpec) -> TaskResult:
     return TaskResult(spec.name, rows, failed, result, cursor)
 
 
-def _validated(spec: TaskSpec, df: DataFrame, target: DataFrame, before: int, after: int, grown: int, had) -> str:
+def _validated(spec: TaskSpec, df: DataFrame, target: DataFrame, before: int, after: int, grown: int, had, filled: bool) -> str:
     """passed, or what is wrong; empty when nothing was asked."""
     if spec.validate == "row_count":
         return "passed" if (r := reconcile.validate_row_count(before, after, grown))[0] else r[1]
@@ -181,7 +185,7 @@ def _validated(spec: TaskSpec, df: DataFrame, target: DataFrame, before: int, af
         elif had is not None:  # old and new rows together, as often
             a, b = reconcile.fingerprint(write.in_types(df, target), df.columns).first(), reconcile.fingerprint(target, df.columns).first()
             same = (b["n_rows"], b["hash_sum"], b["hash_xor"]) == (a["n_rows"] + had["n_rows"], (a["hash_sum"] or 0) + (had["hash_sum"] or 0), (a["hash_xor"] or 0) ^ (had["hash_xor"] or 0))
-        elif before:
+        elif filled:
             same = reconcile.missing_rows(df, target).isEmpty()  # the table has other columns now, so older rows hash differently
         else:
             same = reconcile.validate_checksum(df, target).first()["passed"]

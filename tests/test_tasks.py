@@ -299,3 +299,26 @@ def test_slow_rows_are_dead_letters(spark, tmp_path):
     assert {r["row"][0]: r["error"].split(":")[0] for r in letters.collect()} == {"500": "TimeoutError", "501": "RuntimeError", "502": "TimeoutError"}
     with pytest.raises(Exception, match="TimeoutError"):
         run_task(spark, TaskSpec("slow", str(tmp_path / "u"), spark.range(498, 501), transform_row=change, transform_schema=T.StructType.fromDDL("id long"), transform_limit=0.2))
+
+
+@pytest.mark.parametrize(("mode", "target"), [("append", "{}/a"), ("replace", "{}/r"), ("append", "versioned:{}/v"), ("replace", "versioned:{}/w"), ("append", "catalog:counted_by_the_write"), ("replace", "catalog:replaced_and_counted")])
+def test_writes_count_their_rows_without_a_scan(spark, tmp_path, monkeypatch, mode, target):
+    seen = spark.sparkContext.accumulator(0)
+
+    def looked(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    scans, frame = [], type(spark.range(1))
+    for kind in (frame.count, frame.isEmpty):
+        monkeypatch.setattr(frame, kind.__name__, lambda df, kind=kind: scans.append(1) or kind(df))
+    spec = TaskSpec("n", target.format(tmp_path), spark.range(120).mapInArrow(looked, "id long"), mode=mode)
+    assert [run_task(spark, spec).rows for _ in range(2)] == [120, 120] and seen.value == 240 and not scans
+    assert run_task(spark, TaskSpec("none", spec.target, spark.range(120).where("id < 0"), mode=mode)).rows == 0
+    monkeypatch.undo()
+    checked = TaskSpec("n", spec.target, spark.range(120, 200).mapInArrow(looked, "id long"), mode=mode, validate="row_count")
+    result = run_task(spark, checked)
+    assert (result.rows, result.validation, seen.value) == (80, "passed", 320)
+    spark.sql("DROP TABLE IF EXISTS counted_by_the_write")
+    spark.sql("DROP TABLE IF EXISTS replaced_and_counted")
