@@ -1,9 +1,10 @@
 """Near-duplicate vectors by product quantisation.
 
 Vectors are normalised; equal ones count as one with a multiplicity. A coarse quantiser (k-means on a bounded sample)
-gives every vector a home list within its label, and the residual to the list's centre is coded in subspaces. To find
-the neighbours of a vector, its distances to the coded members of a list are taken (asymmetric: only the member is
-quantised); the sums of table entries that they are come from one matrix product. Exact cosines rerank what the table lets pass.
+gives every vector a home list within its label, and the residual to the list's centre is coded in subspaces, a byte each; the
+codes are stored with the lists. To find the neighbours of a vector, its distances to the coded members of a list are looked up
+(asymmetric: only the member is quantised): a vector has one table of products with all codes of all subspaces, whatever the list, and a
+member's entries are added up. Exact cosines rerank what the table lets pass.
 
 With d the greatest distance that unit vectors at the threshold may have, a list is probed when a neighbour could live
 there: moving by d can change the difference of the squared distances to two centres by 2 d times the centres'
@@ -23,6 +24,8 @@ component_id the least of theirs. Other columns cannot clash. An empty table giv
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -38,9 +41,11 @@ SAMPLE, SAMPLE_A_LIST, SAMPLES = 8192, 8, 65536
 #: Vectors of one length from which it gets lists of its own.
 FEW = 64
 #: Subspaces and codes in each.
-SUBSPACES, CODES = 16, 16
-#: Members and queries that one task compares.
-BLOCK, QUERIES = 16384, 16384
+SUBSPACES, CODES = 16, 256
+#: Members and queries that one task compares, and how many queries have their tables at a time.
+BLOCK, QUERIES, TABLED = 16384, 16384, 512
+#: Lists of all labels together that are broadcast; more come with the rows.
+SHARED_LISTS = 1_000_000
 #: None is exact. A number allows a neighbour that many deviates of a move in a random direction, and loses others.
 SIGMAS = None
 
@@ -92,14 +97,32 @@ class Index:
     def encode(self, residuals: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Codes (rows, subspaces) and how far each residual is from what its codes stand for."""
         codes = np.stack([squared(residuals[:, a:b], book).argmin(1) for a, b, book in zip(self.edges[:-1], self.edges[1:], self.books, strict=True)], 1)
-        return codes, np.sqrt(((residuals - self.decode(codes)) ** 2).sum(1))
+        return codes.astype(np.uint8), np.sqrt(((residuals - self.decode(codes)) ** 2).sum(1))
 
     def decode(self, codes: np.ndarray) -> np.ndarray:
         return np.hstack([book[c] for book, c in zip(self.books, codes.T, strict=True)])
 
+    def tables(self, queries: np.ndarray, kind: type = float) -> list[np.ndarray]:
+        """For each subspace (codes, queries): minus twice the product of a query and what the code stands for."""
+        return [(-2 * book @ queries[:, a:b].T).astype(kind) for a, b, book in zip(self.edges[:-1], self.edges[1:], self.books, strict=True)]
+
+    @staticmethod
+    def looked_up(tables: list[np.ndarray], codes: np.ndarray) -> np.ndarray:
+        """(members, queries): each member's entries of the tables, added up."""
+        out = tables[0][codes[:, 0]]
+        for table, column in zip(tables[1:], codes.T[1:], strict=True):
+            out += table[column]
+        return out
+
     def tabled(self, queries: np.ndarray, codes: np.ndarray) -> np.ndarray:
-        """Squared asymmetric distances of query residuals to coded members: the sums of table entries, as one matrix product."""
-        return squared(queries, self.decode(codes))
+        """Squared asymmetric distances of query residuals to coded members."""
+        own = (self.decode(codes) ** 2).sum(1)
+        return np.maximum((queries * queries).sum(1)[:, None] + own[None, :] + self.looked_up(self.tables(queries), codes).T, 0)
+
+    def bias(self, codes: np.ndarray, centre: np.ndarray) -> np.ndarray:
+        """What a coded member adds to the squared distance of any query to its centre, beside the entries of the table."""
+        stand = self.decode(codes)
+        return (stand * (stand + 2 * centre)).sum(1)
 
     def probes(self, x: np.ndarray, reach: float, sigmas: float | None) -> tuple[np.ndarray, np.ndarray]:
         """Home list of each vector, and which lists could hold one within reach.
@@ -114,21 +137,30 @@ class Index:
         return home, d - d[np.arange(len(x)), home][:, None] <= 2 * share * reach * apart + 1e-9
 
 
-def _within(index: Index, centre: int, members: np.ndarray, queries: np.ndarray, cosine: float, reach: float):
-    """Pairs (query place, member place) that reach the cosine."""
-    centre = index.centres[centre]
-    codes, error = index.encode(members - centre)
-    far = np.sqrt(((members - centre) ** 2).sum(1))
-    stand = np.vstack([index.decode(codes) + centre, centre])  # distances do not change when all is moved by the centre
-    for at in range(0, len(queries), 2048):
-        d = squared(queries[at : at + 2048], stand)
-        near = d[:, :-1] <= (reach + error + 1e-9)[None, :] ** 2
-        near &= np.abs(np.sqrt(d[:, -1])[:, None] - far[None, :]) <= reach + 1e-6
-        i, j = np.nonzero(near)
-        for s in range(0, len(i), 1 << 16):
-            a, b = i[s : s + (1 << 16)], j[s : s + (1 << 16)]
-            ok = (queries[at + a] * members[b]).sum(1) >= cosine
-            yield at + a[ok], b[ok]
+class _Members(NamedTuple):
+    """Members of one list: places, vectors, codes, what these leave out, the bias of each, and distances to the centre."""
+
+    at: np.ndarray
+    v: np.ndarray
+    codes: np.ndarray
+    error: np.ndarray
+    bias: np.ndarray
+    far: np.ndarray
+
+
+def _within(tables: list[np.ndarray], centre: np.ndarray, queries: np.ndarray, m: _Members, cosine: float, reach: float):
+    """Pairs (query place, member place) that reach the cosine; the tables are those of the queries."""
+    away = np.sqrt(squared(queries, centre[None, :])[:, 0])
+    d = Index.looked_up(tables, m.codes)
+    d += (away**2).astype(np.float32)[None, :]
+    # entries are in single precision; what that may lose is far below the slack
+    near = d <= ((reach + m.error) ** 2 - m.bias + 1e-4).astype(np.float32)[:, None]
+    near &= np.abs(away[None, :] - m.far[:, None]) <= reach + 1e-6
+    j, i = np.nonzero(near)
+    for s in range(0, len(i), 1 << 16):
+        a, b = i[s : s + (1 << 16)], j[s : s + (1 << 16)]
+        ok = (queries[a] * m.v[b]).sum(1) >= cosine
+        yield a[ok], b[ok]
 
 
 def _forest(n: int, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
@@ -175,18 +207,20 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, id_col: str = "v
         for r in some.orderBy("w", "place").select("w", "v").collect():
             samples.setdefault(r["w"], []).append(r["v"])
     indexes = {w: Index(normalised(np.array(samples[w], float)), lists[w]) if w in samples else Index(np.ones((1, w)) / w**0.5, 1) for w in widths}
-    shared = vectors.sparkSession.sparkContext.broadcast(indexes)  # MOST_LISTS + CODES vectors at most for each length that many vectors have
+    spark = vectors.sparkSession
+    shared = spark.sparkContext.broadcast(indexes)  # MOST_LISTS + CODES vectors at most for each length that many vectors have
 
     def by_width(b: pa.RecordBatch):
         values = b.column("v").to_pylist()
         width = np.array([len(v) for v in values])
         for w in np.unique(width):
             at = np.flatnonzero(width == w)
-            yield w, at, shared.value[w].probes(normalised(np.array([values[i] for i in at], float)), reach, sigmas)
+            x = normalised(np.array([values[i] for i in at], float))
+            yield w, at, x, shared.value[w].probes(x, reach, sigmas)
 
     def housed(b: pa.RecordBatch) -> dict:
         width, home = np.zeros(b.num_rows, int), np.zeros(b.num_rows, int)
-        for w, at, (own, _) in by_width(b):
+        for w, at, _, (own, _) in by_width(b):
             width[at], home[at] = w, own
         return {"label": b.column("label"), "width": width, "home": home}
 
@@ -196,25 +230,34 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, id_col: str = "v
     lists = lists.withColumn("run", F.floor(F.coalesce(F.sum("n").over(before), F.lit(0)) / BLOCK))
     # one row for each label and length: its lists (MOST_LISTS at most) and their runs
     runs = common.saved(lists.groupBy(*of_label).agg(F.sort_array(F.collect_list(F.struct("home", "run"))).alias("r")).select(*of_label, F.col("r.home").alias("lists"), F.col("r.run").alias("runs")))
+    few = (runs.agg(F.sum(F.size("lists"))).first()[0] or 0) <= SHARED_LISTS
+    known_runs = spark.sparkContext.broadcast({(r["label"], r["width"]): (np.array(r["lists"]), np.array(r["runs"])) for r in runs.collect()}) if few else None
 
     def place(b: pa.RecordBatch) -> dict:
         home, run, asks = np.zeros(b.num_rows, int), np.zeros(b.num_rows, int), [[]] * b.num_rows
-        for _, at, (own, near) in by_width(b):
+        codes, error, bias = [b""] * b.num_rows, np.zeros(b.num_rows), np.zeros(b.num_rows)
+        for w, at, x, (own, near) in by_width(b):
+            index = shared.value[w]
+            coded, error[at] = index.encode(x - index.centres[own])
+            bias[at] = index.bias(coded, index.centres[own])
+            for i, c in zip(at, coded, strict=True):
+                codes[i] = c.tobytes()
             labels = b.column("label").take(pa.array(at)).to_pylist()
             first = {label: i for i, label in reversed(list(enumerate(labels)))}
             kinds = np.array([first[label] for label in labels])
             for f in np.unique(kinds):
                 here = np.flatnonzero(kinds == f)
-                cells, of = np.array(b.column("lists")[at[f]].as_py()), np.array(b.column("runs")[at[f]].as_py())
+                cells, of = known_runs.value[labels[f], w] if few else (np.array(b.column(c)[at[f]].as_py()) for c in ("lists", "runs"))
                 starts = np.flatnonzero(np.diff(of, prepend=-1))
                 later = near[np.ix_(here, cells)] & (cells[None, :] >= own[here][:, None])
                 met = np.logical_or.reduceat(later, starts, axis=1)
                 for i, row in zip(here, met, strict=True):
                     home[at[i]], run[at[i]], asks[at[i]] = own[i], of[np.searchsorted(cells, own[i])], of[starts[row]]
-        return {"label": b.column("label"), "width": b.column("width"), "home": home, "run": run, "asks": asks, "u": b.column("u"), "copies": b.column("copies"), "v": b.column("v")}
+        return {"label": b.column("label"), "width": b.column("width"), "home": home, "run": run, "asks": asks, "codes": codes, "error": error, "bias": bias, "u": b.column("u"), "copies": b.column("copies"), "v": b.column("v")}
 
-    sized = distinct.withColumn("width", F.size("v")).join(runs, of_label)
-    known = common.saved(common.map_arrow(sized, place, f"label string, width int, home int, run long, asks array<long>, u long, copies long, v {kind}"))
+    sized = distinct.withColumn("width", F.size("v"))
+    sized = sized if few else sized.join(runs, of_label)
+    known = common.saved(common.map_arrow(sized, place, f"label string, width int, home int, run long, asks array<long>, codes binary, error double, bias double, u long, copies long, v {kind}"))
     asked = known.select(*of_label, F.explode("asks").alias("run"), "u", "copies", "v", "home")
     sizes = known.groupBy(*of_label, "run").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
     sizes = sizes.join(asked.groupBy(*of_label, "run").agg(F.ceil(F.count("*") / QUERIES).alias("slices")), [*of_label, "run"])
@@ -223,8 +266,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, id_col: str = "v
     def every(n: str) -> F.Column:
         return F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
 
-    member = known.join(sizes, cell).withColumn("slice", every("slices")).select(*cell, F.pmod(F.xxhash64("u"), F.col("blocks")).alias("block"), "slice", "u", "copies", "v", "home", F.lit(False).alias("asking"))
-    query = asked.join(sizes, cell).withColumn("block", every("blocks")).select(*cell, "block", F.pmod(F.xxhash64("u", F.lit(1)), F.col("slices")).alias("slice"), "u", "copies", "v", "home", F.lit(True).alias("asking"))
+    member = known.join(sizes, cell).withColumn("slice", every("slices")).select(*cell, F.pmod(F.xxhash64("u"), F.col("blocks")).alias("block"), "slice", "u", "copies", "v", "home", "codes", "error", "bias", F.lit(False).alias("asking"))
+    query = asked.join(sizes, cell).withColumn("block", every("blocks")).select(*cell, "block", F.pmod(F.xxhash64("u", F.lit(1)), F.col("slices")).alias("slice"), "u", "copies", "v", "home", F.lit(None).cast("binary").alias("codes"), F.lit(None).cast("double").alias("error"), F.lit(None).cast("double").alias("bias"), F.lit(True).alias("asking"))
 
     def compare(table: pa.Table) -> pa.Table:
         width = table.column("width")[0].as_py()
@@ -236,23 +279,36 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, id_col: str = "v
         names, where = np.unique(u, return_inverse=True)
         n = np.zeros(len(names), np.int64)
         pairs: list[tuple[int, int]] = []
-        lists_here = np.unique(home[~asking])
-        asks = np.zeros((len(queries), len(lists_here)), bool)
-        for at in range(0, len(queries), 1024):
-            some = queries[at : at + 1024]
-            asks[at : at + 1024] = index.probes(v[some], reach, sigmas)[1][:, lists_here] & (lists_here[None, :] >= home[some][:, None])
-        for c, asked_here in zip(lists_here, asks.T, strict=True):
-            member, query = np.flatnonzero(~asking & (home == c)), queries[asked_here]
-            for part in range(0, len(member), 2048):
-                some = member[part : part + 2048]
-                for a, b in _within(index, c, v[some], v[query], cosine, reach):
-                    a, b = query[a], some[b]
-                    other = where[a] != where[b]
-                    a, b = a[other], b[other]
-                    np.add.at(n, where[a], copies[b])
-                    one_way = home[a] < c  # in its own list the other one asks too
-                    np.add.at(n, where[b[one_way]], copies[a[one_way]])
-                    pairs += _forest(len(names), where[a], where[b])
+        error, bias = (table.column(c).to_numpy(zero_copy_only=False) for c in ("error", "bias"))
+        stored = table.column("codes").combine_chunks()
+        lists_here, held = np.unique(home[~asking]), []
+        for c in lists_here:
+            at = np.flatnonzero(~asking & (home == c))
+            codes = np.frombuffer(b"".join(stored.take(pa.array(at)).to_pylist()), np.uint8).reshape(len(at), -1)
+            held.append(_Members(at, v[at], codes, error[at], bias[at], np.sqrt(((v[at] - index.centres[c]) ** 2).sum(1))))
+        for start in range(0, len(queries), TABLED):
+            some = queries[start : start + TABLED]
+            asks = index.probes(v[some], reach, sigmas)[1][:, lists_here] & (lists_here[None, :] >= home[some][:, None])
+            tables = index.tables(v[some], np.float32)
+            for c, all_of, wanted in zip(lists_here, held, asks.T, strict=True):
+                sel = np.flatnonzero(wanted)
+                if not len(sel):
+                    continue
+                own = tables if len(sel) == len(some) else [t[:, sel] for t in tables] if len(all_of.at) > CODES else None
+                for part in range(0, len(all_of.at), 2048):
+                    m = _Members(*[x[part : part + 2048] for x in all_of])
+                    # of few members whole rows of the tables are cheaper than tables for the queries that ask
+                    places = np.arange(len(some)) if own is None else sel
+                    for a, b in _within(tables if own is None else own, index.centres[c], v[some[places]], m, cosine, reach):
+                        a = places[a]
+                        asked_it = wanted[a]
+                        a, b = some[a[asked_it]], m.at[b[asked_it]]
+                        other = where[a] != where[b]
+                        a, b = a[other], b[other]
+                        np.add.at(n, where[a], copies[b])
+                        one_way = home[a] < c  # in its own list the other one asks too
+                        np.add.at(n, where[b[one_way]], copies[a[one_way]])
+                        pairs += _forest(len(names), where[a], where[b])
         ends = np.array(pairs, np.int64).reshape(-1, 2)
         pairs = _forest(len(names), ends[:, 0], ends[:, 1])
         hit = np.flatnonzero(n)

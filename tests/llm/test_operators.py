@@ -389,6 +389,9 @@ def test_embeddings_along_few_directions(spark, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "BLOCK", 4)
     monkeypatch.setattr(embedding_dedup, "QUERIES", 16)
     assert rows(embedding_dedup.near_duplicates(df), "vec_id", "n_links", "component_id", "kept") == want
+    monkeypatch.setattr(embedding_dedup, "TABLED", 3)  # queries by their tables, lists with the rows instead of broadcast
+    monkeypatch.setattr(embedding_dedup, "SHARED_LISTS", 0)
+    assert rows(embedding_dedup.near_duplicates(df), "vec_id", "n_links", "component_id", "kept") == want
 
 
 def test_components(spark):
