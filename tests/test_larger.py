@@ -23,3 +23,10 @@ def test_new_keys_of_a_larger_table_are_new(spark, tmp_path):
     target = queries._perturbed(spark, str(tmp_path))[1]
     assert target.select("o_orderkey").distinct().count() == target.count()
     same_as_sql(spark, tmp_path, "diff_rows", "diff_summary", "diff_mismatch", "diff_by_column", "diff_source_only", "diff_target_only", "detect_deletes_orders", "tree_diff_orders", "diff_report_orders")
+
+
+def test_digest_of_two_levels(spark, tmp_path):
+    """More rows than one group holds, three of them twice."""
+    o = spark.range(100_100).select(F.col("id").alias("o_orderkey"), (F.col("id") % 7).alias("o_custkey"), F.lit("O").alias("o_orderstatus"), (F.col("id") / 4).alias("o_totalprice"), F.lit("2024-01-02").cast("timestamp_ntz").alias("o_orderdate"))
+    o.unionByName(o.where("o_orderkey < 3")).write.parquet(str(tmp_path / "orders.parquet"))
+    same_as_sql(spark, tmp_path, "digest_orders")
