@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import multiprocessing
-from collections.abc import Callable
+import os
+import pickle
+import time
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import pandas as pd
@@ -90,51 +93,87 @@ class RowFailure(Exception):
     """What became of a row in a process of its own; its text is the message."""
 
 
+#: Rows that are sent to a child process at a time.
+SENT = 1000
+
+
 class LimitedCalls:
-    """A function called in a child process that is killed when a row takes too long, whatever it does, and started again for the next row."""
+    """A function called in a child process that is killed when a row takes too long, whatever it does, and started again for the next row.
+
+    Rows go to the child many at a time and it writes each result as it has it, so nobody waits for a message between two rows,
+    and what was made before a row that hangs is there. Each row is begun once.
+    """
 
     def __init__(self, fn: Callable[[dict], dict], limit_s: float):
         self.fn, self.limit_s, self.child = fn, limit_s, None
 
     @staticmethod
-    def _answer(fn: Callable[[dict], dict], pipe) -> None:
+    def _answer(fn: Callable[[dict], dict], rows, results, parents: list) -> None:
+        for end in parents:  # else this process would hold the pipe open that tells it of its parent's end
+            end.close()
+        out = results.fileno()
         while True:
             try:
-                row = pipe.recv()
+                part = rows.recv()
             except EOFError:
                 return
-            try:
-                pipe.send((True, fn(row)))
-            except Exception as e:  # the function's, or a result that cannot be sent
-                pipe.send((False, f"{type(e).__name__}: {e}"))
-
-    def __call__(self, row: dict) -> dict:
-        if self.child is None:
-            fork = multiprocessing.get_context("fork")
-            self.pipe, theirs = fork.Pipe()
-            self.child = fork.Process(target=self._answer, args=(self.fn, theirs), daemon=True)
-            self.child.start()
-            theirs.close()
-        try:
-            self.pipe.send(row)
-            if not self.pipe.poll(self.limit_s):
+            for row in part:
+                began = time.perf_counter()
+                try:
+                    made = pickle.dumps((True, fn(row), time.perf_counter() - began))
+                except Exception as e:  # the function's, or a result that cannot be sent
+                    made = pickle.dumps((False, f"{type(e).__name__}: {e}", time.perf_counter() - began))
+                left = memoryview(len(made).to_bytes(8, "little") + made)
+                while left:
+                    left = left[os.write(out, left) :]
+
+    def _start(self) -> None:
+        fork = multiprocessing.get_context("fork")
+        (rows, self.rows), (self.results, results) = fork.Pipe(duplex=False), fork.Pipe(duplex=False)
+        self.child = fork.Process(target=self._answer, args=(self.fn, rows, results, [self.rows, self.results]), daemon=True)
+        self.child.start()
+        rows.close(), results.close()
+        self.read, self.at = b"", 0
+
+    def _bytes(self, n: int) -> bytes:
+        """The next bytes of the results; what is there is read at once."""
+        while len(self.read) - self.at < n:
+            if not self.results.poll(self.limit_s):
                 raise RowFailure(f"TimeoutError: no result within {self.limit_s} s")
-            ok, value = self.pipe.recv()
-        except (EOFError, OSError):
-            self.close()
-            raise RowFailure("RuntimeError: the function ended its process") from None
-        except RowFailure:
-            self.close()
-            raise
-        if not ok:
-            raise RowFailure(value)
-        return value
+            more = os.read(self.results.fileno(), 1 << 16)
+            if not more:
+                raise EOFError
+            self.read, self.at = self.read[self.at :] + more, 0
+        self.at += n
+        return self.read[self.at - n : self.at]
+
+    def __call__(self, rows: list[dict]) -> Iterator[dict | RowFailure]:
+        """What the function makes of each row, or why there is nothing."""
+        done = 0
+        while done < len(rows):
+            if self.child is None:
+                self._start()
+            part = rows[done : done + SENT]
+            try:
+                self.rows.send(part)
+                for _ in part:
+                    ok, value, seconds = pickle.loads(self._bytes(int.from_bytes(self._bytes(8), "little")))
+                    done += 1
+                    yield RowFailure(f"TimeoutError: no result within {self.limit_s} s") if seconds > self.limit_s else value if ok else RowFailure(value)
+            except (EOFError, OSError):
+                self.close()
+                done += 1
+                yield RowFailure("RuntimeError: the function ended its process")
+            except RowFailure as e:
+                self.close()
+                done += 1
+                yield e
 
     def close(self) -> None:
         if self.child is not None:
             self.child.kill()
             self.child.join()
-            self.pipe.close()
+            self.rows.close(), self.results.close()
             self.child = None
 
 
@@ -148,7 +187,7 @@ def tagged_transform(df: DataFrame, fn: Callable[[dict], dict], schema: T.Struct
 
     def run(batches):
         if limit_s is None:
-            yield from rows(batches, fn)
+            yield from rows(batches, here)
             return
         limited = LimitedCalls(fn, limit_s)
         try:
@@ -156,13 +195,22 @@ def tagged_transform(df: DataFrame, fn: Callable[[dict], dict], schema: T.Struct
         finally:
             limited.close()
 
-    def rows(batches, fn):
+    def here(records):
+        for row in records:
+            try:
+                yield fn(dict(row))
+            except Exception as e:
+                yield e
+
+    def rows(batches, calls):
         for batch in batches:
             out: dict[str, list] = {f.name: [] for f in both.fields}
-            for row in batch.astype(object).where(batch.notna(), None).to_dict("records"):
-                made, error = {}, None
+            records = batch.astype(object).where(batch.notna(), None).to_dict("records")
+            for row, made in zip(records, calls(records), strict=True):
+                error = None
                 try:
-                    made = fn(dict(row))
+                    if isinstance(made, Exception):
+                        raise made
                     if not isinstance(made, dict):
                         raise TypeError(f"expected a dict, got {type(made).__name__}")
                 except Exception as e:  # the row's own failure is data

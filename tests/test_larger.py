@@ -1,9 +1,13 @@
 """Registered queries on tables that are larger than the given ones in what their SQL depends on."""
 
+import os
+import time
+
 import duckdb
 from pyspark.sql import functions as F
 
 from tableflow import queries
+from tableflow.operators import deadletter
 
 
 def same_as_sql(spark, folder, *names):
@@ -30,3 +34,36 @@ def test_digest_of_two_levels(spark, tmp_path):
     o = spark.range(100_100).select(F.col("id").alias("o_orderkey"), (F.col("id") % 7).alias("o_custkey"), F.lit("O").alias("o_orderstatus"), (F.col("id") / 4).alias("o_totalprice"), F.lit("2024-01-02").cast("timestamp_ntz").alias("o_orderdate"))
     o.unionByName(o.where("o_orderkey < 3")).write.parquet(str(tmp_path / "orders.parquet"))
     same_as_sql(spark, tmp_path, "digest_orders")
+
+
+
+def test_limited_rows_need_no_message_each(tmp_path):
+    """Rows before and after ones that hang, are slow, end their process or fail: each is begun once, and the others cost microseconds."""
+    began = tmp_path / "began"
+
+    def change(row):
+        with open(began, "a") as f:
+            f.write(f"{row['i']}\n")
+        if row["i"] == 1500:
+            time.sleep(60)
+        if row["i"] == 2600:
+            os._exit(1)
+        if row["i"] == 2601:
+            raise ValueError("no")
+        if row["i"] == 2602:
+            return {"text": "x" * 300_000}
+        return {"i": row["i"]}
+
+    calls = deadletter.LimitedCalls(change, 0.5)
+    got = list(calls([{"i": i} for i in range(3000)]))
+    sent = len(got)
+    assert sent == 3000 and [int(x) for x in began.read_text().split()] == list(range(3000))
+    assert {i: str(x) for i, x in enumerate(got) if isinstance(x, Exception)} == {1500: "TimeoutError: no result within 0.5 s", 2600: "RuntimeError: the function ended its process", 2601: "ValueError: no"}
+    assert len(got[2602]["text"]) == 300_000 and all(got[i] == {"i": i} for i in range(3000) if i not in (1500, 2600, 2601, 2602))
+    calls.close()
+    quick = deadletter.LimitedCalls(lambda row: row, 5)
+    list(quick([{"i": 0}]))
+    start = time.perf_counter()
+    assert len(list(quick([{"i": i} for i in range(100_000)]))) == 100_000
+    assert time.perf_counter() - start < 3  # 100,000 answers that are waited for one by one take longer
+    quick.close()
