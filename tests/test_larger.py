@@ -7,7 +7,7 @@ import duckdb
 from pyspark.sql import functions as F
 
 from tableflow import queries
-from tableflow.operators import deadletter
+from tableflow.operators import deadletter, profile
 
 
 def same_as_sql(spark, folder, *names):
@@ -67,3 +67,14 @@ def test_limited_rows_need_no_message_each(tmp_path):
     assert len(list(quick([{"i": i} for i in range(100_000)]))) == 100_000
     assert time.perf_counter() - start < 3  # 100,000 answers that are waited for one by one take longer
     quick.close()
+
+
+def test_quantiles_are_exact(spark):
+    """Values of many rows and of one, NULL, and a column without values, against those of sorted lists."""
+    df = spark.range(30_000).select(F.col("id").alias("a"), F.when(F.col("id") % 3 > 0, F.col("id") % 5).alias("b"), (F.pow("id", F.lit(2)) / 7).alias("c"), F.lit(None).cast("long").alias("d"))
+    shares = [0.0001, 0.3, 0.5, 0.62, 1.0]
+    found = profile.exact_quantiles(df, {c: shares for c in df.columns})
+    for c in "abc":
+        own = sorted(r[0] for r in df.select(c).collect() if r[0] is not None)
+        assert found[c] == [next(v for i, v in enumerate(own, 1) if i >= len(own) * s) for s in shares]
+    assert found["d"] == [None] * 5
