@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import threading
 from dataclasses import dataclass
 from typing import Any
@@ -126,6 +127,30 @@ def without_late_repeats(stream: DataFrame, keys: list[str], event_time: str, la
 PROGRESS = "task string, query_id string, batch_id long, rows long, duration_ms long, status string"
 
 
+class _Events:
+    """Events as they come from the JVM, of which only what a log keeps is fetched: the listener of Spark's own fetches some hundred values for each batch,
+    and where many streams run its queue then overflows and loses events."""
+
+    def __init__(self, log: ProgressLog):
+        self.log = log
+
+    def onQueryStarted(self, event) -> None:
+        self.log.started(event.id().toString())
+
+    def onQueryProgress(self, event) -> None:
+        p = json.loads(event.progress().json())
+        self.log.progressed(p["id"], p["batchId"], p["numInputRows"], p["batchDuration"])
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.log.ended(event.id().toString(), event.exception().isDefined())
+
+    class Java:
+        implements = ["org.apache.spark.sql.streaming.PythonStreamingQueryListener"]
+
+
 class ProgressLog(StreamingQueryListener):
     """Every batch of every stream that starts while it is open, as rows of a run log; Spark itself keeps the last hundred only.
 
@@ -141,25 +166,44 @@ class ProgressLog(StreamingQueryListener):
         self.open: set[str] = set()
         self.changed = threading.Condition()
 
-    def onQueryStarted(self, event) -> None:
+    @property
+    def _jlistener(self):
+        if not hasattr(self, "_made"):
+            self._made = self.spark._jvm.PythonStreamingQueryListenerWrapper(_Events(self))
+        return self._made
+
+    def started(self, query: str) -> None:
+        with self.changed:
+            self.open.add(query)
+
+    def progressed(self, query: str, batch: int, rows: int, duration: int) -> None:
+        self._add((self.task, query, batch, rows, duration, "ok"), self.FLUSH)
+
+    def ended(self, query: str, failed: bool) -> None:
+        if failed:
+            self._add((self.task, query, None, 0, None, "failed"), self.FLUSH)
         with self.changed:
-            self.open.add(str(event.id))
+            self.open.discard(query)
+            self.changed.notify_all()
+
+    def onQueryStarted(self, event) -> None:
+        self.started(str(event.id))
 
     def onQueryProgress(self, event) -> None:
         p = event.progress
-        self._add((self.task, str(p.id), p.batchId, p.numInputRows, p.batchDuration, "ok"), self.FLUSH)
+        self.progressed(str(p.id), p.batchId, p.numInputRows, p.batchDuration)
+
+    def onQueryIdle(self, event) -> None:
+        pass
 
     def onQueryTerminated(self, event) -> None:
-        if event.exception:
-            self._add((self.task, str(event.id), None, 0, None, "failed"), self.FLUSH)
-        with self.changed:
-            self.open.discard(str(event.id))
-            self.changed.notify_all()
+        self.ended(str(event.id), bool(event.exception))
 
     def _add(self, row: tuple | None, most: int) -> None:
         with self.changed:
             if row:
                 self.rows.append(row)
+                self.changed.notify_all()
             full, self.rows = (self.rows, []) if len(self.rows) >= most else ([], self.rows)
         if full:
             self.spark.createDataFrame(full, PROGRESS).coalesce(1).write.mode("append").parquet(self.path)
@@ -169,9 +213,10 @@ class ProgressLog(StreamingQueryListener):
         return self
 
     def __exit__(self, *_: object) -> None:
-        # events come later than the batches that they tell of
+        # events come later than the batches that they tell of; many streams' events take a while, but then some come each minute
         with self.changed:
-            self.changed.wait_for(lambda: not self.open, timeout=60)
+            while self.open and self.changed.wait(timeout=60):
+                pass
         self.spark.streams.removeListener(self)
         self._add(None, 1)
         if not path_exists(self.spark, self.path):

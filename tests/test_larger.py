@@ -7,7 +7,8 @@ import duckdb
 from pyspark.sql import functions as F
 
 from tableflow import queries
-from tableflow.operators import deadletter, profile
+from tableflow.operators import deadletter, profile, write
+from tableflow.streaming import cdc
 
 
 def same_as_sql(spark, folder, *names):
@@ -36,6 +37,15 @@ def test_digest_of_two_levels(spark, tmp_path):
     same_as_sql(spark, tmp_path, "digest_orders")
 
 
+def test_files_of_a_number_of_rows(spark, tmp_path):
+    """Rows in uneven partitions; every file but the last is full, whatever the task that writes it."""
+    df = spark.range(100, numPartitions=3).unionByName(spark.range(100, 113, numPartitions=2)).withColumn("number0", F.lit("x"))
+    assert write.write_files_of(df, str(tmp_path / "t"), 10, 4) == 4
+    sizes = [(r["part"], r["n"]) for r in spark.read.parquet(str(tmp_path / "t")).groupBy("part", F.input_file_name()).agg(F.count("*").alias("n")).collect()]
+    assert sorted(n for _, n in sizes) == [3] + [10] * 11 and {p for p, _ in sizes} == {0, 1, 2, 3}
+    assert sorted(r[0] for r in spark.read.parquet(str(tmp_path / "t")).select("id").collect()) == list(range(113))
+    assert write.write_files_of(df.limit(0), str(tmp_path / "none"), 10, 4) == 1
+
 
 def test_limited_rows_need_no_message_each(tmp_path):
     """Rows before and after ones that hang, are slow, end their process or fail: each is begun once, and the others cost microseconds."""
@@ -78,3 +88,16 @@ def test_quantiles_are_exact(spark):
         own = sorted(r[0] for r in df.select(c).collect() if r[0] is not None)
         assert found[c] == [next(v for i, v in enumerate(own, 1) if i >= len(own) * s) for s in shares]
     assert found["d"] == [None] * 5
+
+
+def test_streams_side_by_side(spark, tmp_path):
+    """Each of several streams has its part of the files, and all their batches are in the log."""
+    spark.range(7_600).select(F.col("id").alias("event_id")).write.parquet(str(tmp_path / "events.parquet"))
+    started = []
+    own = cdc.cdc_stream
+    try:
+        cdc.cdc_stream = lambda *a: started.append(own(*a)) or started[-1]
+        same_as_sql(spark, tmp_path, "stream_progress_events")
+    finally:
+        cdc.cdc_stream = own
+    assert len(started) == 4
