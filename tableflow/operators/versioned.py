@@ -206,14 +206,15 @@ class VersionedTable:
         files = sorted(f"{folder}/{f.getPath().getName()}" for f in self.fs.listStatus(place) if f.getPath().getName().startswith("part-"))
         if not keys or not files:
             return files, []
-        self._index(df.schema, folder, keys).write.parquet(f"{self.path}/_index/{folder}")
+        self._index(df.schema, folder, keys, len(files)).write.parquet(f"{self.path}/_index/{folder}")
         return files, [f"_index/{folder}"]
 
-    def _index(self, schema: T.StructType, folder: str, keys: tuple[str, ...] | list[str]) -> DataFrame:
+    def _index(self, schema: T.StructType, folder: str, keys: tuple[str, ...] | list[str], files: int) -> DataFrame:
         """file, low, high, null_keys, filter: a row for each file of a folder, from its key columns alone."""
         rows = self.spark.read.schema(schema).parquet(f"{self.path}/{folder}").select(_file().alias("file"), F.col(f"`{keys[0]}`").alias("first"), _key_hash(schema, keys).alias("hash"))
         bounds = rows.groupBy("file").agg(F.min("first").alias("low"), F.max("first").alias("high"), F.count_if(F.col("hash").isNull()).alias("null_keys"))
-        made = rows.where("hash is not null").groupBy("file").applyInPandas(lambda p: pd.DataFrame({"file": p["file"].iloc[:1], "filter": [bloom(p["hash"].to_numpy(np.int64))]}), "file string, filter binary")  # a file's rows are bounded
+        # so few bytes a row that whole files would otherwise be put together in a task
+        made = rows.where("hash is not null").repartition(4 * files, "file").groupBy("file").applyInPandas(lambda p: pd.DataFrame({"file": p["file"].iloc[:1], "filter": [bloom(p["hash"].to_numpy(np.int64))]}), "file string, filter binary")  # a file's rows are bounded
         return bounds.join(made, "file", "left").withColumn("file", F.concat(F.lit(f"{folder}/"), "file"))
 
     def _again(self, step: Callable[[Snapshot], Snapshot]) -> Snapshot:
@@ -281,7 +282,7 @@ class VersionedTable:
             touched = self.touched(s, typed, counts["n"])
             keyed = new.where(~write._some_null([column_named(new, k) for k in keys]))
             part = write._evolved(self._rows(s, touched), source, evolve)[0]
-            merged = write.merge_newest(part, keyed, own, order_by or []) if newest else write.merge(part, keyed, own, order_by)
+            merged = write.upsert_newest(part, keyed, own, order_by or []) if newest else write.merge(part, keyed, own, order_by)
             if counts["nulls"]:
                 holding = self._rows(s, self._with_null_keys(s))
                 without = write._checked(old, new.where(write._some_null([column_named(new, k) for k in keys])), own)

@@ -45,3 +45,15 @@ def test_merge_newest(spark):
     target = spark.createDataFrame([(1, 5, "held"), (2, None, "no age"), (3, 5, "same")], "k long, at int, v string")
     source = spark.createDataFrame([(1, 4, "older"), (1, None, "oldest"), (2, 1, "newer"), (3, 5, "again"), (4, 1, "new"), (4, 2, "newest")], "k long, at int, v string")
     assert rows(write.merge_newest(target, source, ["k"], ["at"])) == [(1, 5, "held"), (2, 1, "newer"), (3, 5, "again"), (4, 2, "newest")]
+
+
+def test_merge_newest_reads_each_side_once(spark, tmp_path):
+    """Repeated and missing keys, columns that the source lacks, and no join: the source is scanned once, the target once."""
+    spark.createDataFrame([(1, 5, "a", "x"), (1, 9, "b", "y"), (2, 5, "c", "z"), (None, 1, "n", "n")], "k long, at int, v string, w string").write.parquet(str(tmp_path / "target"))
+    spark.createDataFrame([(1, 6, "new"), (2, 4, "old"), (3, 1, "first"), (3, 2, "second")], "k long, at int, v string").write.parquet(str(tmp_path / "source"))
+    target, source = spark.read.parquet(str(tmp_path / "target")), spark.read.parquet(str(tmp_path / "source"))
+    merged = write.upsert_newest(target, source, ["k"], ["at"])
+    assert rows(merged) == sorted([(1, 6, "new", "x"), (1, 6, "new", "y"), (2, 5, "c", "z"), (3, 2, "second", None), (None, 1, "n", "n")], key=repr)
+    assert rows(write.merge_newest(target.drop("w"), source, ["k"], ["at"])) == sorted([(1, 6, "new"), (2, 5, "c"), (3, 2, "second"), (None, 1, "n")], key=repr)
+    plan = merged._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 2 and "Join" not in plan
