@@ -35,8 +35,9 @@ from . import common
 #: Letters of the beginnings that are features.
 SHORTEST, LONGEST = 3, 10
 FOLDS = 3
-#: Features that a task counts before it hands them on, and words of which a worker remembers the features.
-HELD, MEMO = 150_000, 100_000
+#: Features that a task counts before it hands them on, and words of which a worker remembers the features. A worker keeps the
+#: memory it once took, also for the jobs that follow; neither changes a result.
+HELD, MEMO = 40_000, 30_000
 _WORD = re.compile(r"[^\W_]+")
 
 

@@ -3,6 +3,7 @@
 import base64
 import math
 import re
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -333,3 +334,15 @@ def test_index_probes_and_codes():
     tabled = np.sqrt(index.tabled(x[:20] - index.centres[0], codes))
     exact = np.sqrt(embedding_dedup.squared(x[:20], x))
     assert (np.abs(tabled - exact) <= error[None, :] + 1e-6).all()
+
+
+def test_toxicity_words_remembered_are_few():
+    """A worker that meets a hundred thousand words holds some megabytes for them, and knows their features all the same."""
+    model = toxicity.OrdinalModel(["bad", "bad*", "wor*"], [0, 1], np.ones(3), np.zeros(1))
+    tracemalloc.start()
+    try:
+        assert all(model.of_word(f"word{i}") == (2,) for i in range(100_000))
+        assert tracemalloc.get_traced_memory()[1] < 8 << 20
+    finally:
+        tracemalloc.stop()
+    assert model.of_word("badly") == (1,) and model.of_word("word7") == (2,)
