@@ -57,3 +57,5 @@ def test_merge_newest_reads_each_side_once(spark, tmp_path):
     assert rows(write.merge_newest(target.drop("w"), source, ["k"], ["at"])) == sorted([(1, 6, "new"), (2, 5, "c"), (3, 2, "second"), (None, 1, "n")], key=repr)
     plan = merged._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Relation [") == 2 and "Join" not in plan
+    plan = write.merge_newest(target, source, ["k"], ["at"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") <= 4  # 28 when it was a merge after a join; two are for rows without a key
