@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
 import tempfile
 from collections.abc import Callable, Iterator
@@ -65,6 +66,24 @@ def raw(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
+def give_back() -> None:
+    """Return freed memory to the machine. Arrow's pool and the C library keep it otherwise, and a Python worker lives on through later stages."""
+    pa.default_memory_pool().release_unused()
+    if (trim := getattr(ctypes.CDLL(None), "malloc_trim", None)) is not None:  # glibc has it
+        trim(0)
+
+
+def releasing(fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function for mapInArrow whose task gives back, after its last batch, what it no longer needs."""
+
+    @functools.wraps(fn)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from fn(batches)
+        give_back()
+
+    return run
+
+
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schema: str) -> DataFrame:
     """Apply fn to each slice of each Arrow batch; it returns the columns of the result, or None for no rows."""
     names = [f.split()[0] for f in schema.split(", ")]
@@ -76,7 +95,7 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schema
                 if (out := fn(part)) is not None:
                     yield pa.RecordBatch.from_arrays([pa.array(out[n], types[n]) for n in names], names)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(releasing(run), schema)
 
 
 def arrow_types(schema: str) -> dict[str, pa.DataType]:

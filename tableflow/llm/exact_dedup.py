@@ -162,7 +162,7 @@ def duplicate_fingerprints(hashed: DataFrame, rows: int, range_rows: int | None
             yield close(current, now)
 
     parts = max(common.partitions(hashed.sparkSession), -(-rows // RANGE))
-    return hashed.select("fp").mapInArrow(build, part_schema).repartition(parts, "slot_range").sortWithinPartitions("slot_range").mapInArrow(merge, out_schema)
+    return hashed.select("fp").mapInArrow(common.releasing(build), part_schema).repartition(parts, "slot_range").sortWithinPartitions("slot_range").mapInArrow(common.releasing(merge), out_schema)
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

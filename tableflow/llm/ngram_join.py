@@ -58,8 +58,8 @@ _FOLD = bytes.maketrans(string.ascii_uppercase.encode(), string.ascii_lowercase.
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
 
 
-#: Bytes of texts that are hashed at a time, and the longest word that takes the shared sums; longer ones are hashed by themselves.
-STEP, LONG_WORD = 1 << 20, 64
+#: Bytes of texts that are hashed at a time (each worker holds two tables of eight times as many), and the longest word that takes the shared sums; longer ones are hashed by themselves.
+STEP, LONG_WORD = 1 << 18, 64
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _BYTE = np.random.default_rng(20).integers(0, 2**63, 256, np.uint64) * np.uint64(2) + np.uint64(1)  # a number for each byte
@@ -386,8 +386,8 @@ def _counted(sets: DataFrame, parse: Callable[[pa.RecordBatch], Iterator[_Row]],
         for chunk, c in shared.items():
             yield common.record({"chunk": [chunk], "sids": [None], "sizes": [None], "own": [None], "rows": [None], "counts": [c.astype(np.uint32).tobytes()]}, _COUNTED)
 
-    packed = sets.mapInArrow(blocks, schema).repartition(parts, "bucket").sortWithinPartitions("bucket")
-    return packed.mapInArrow(count_shared, _COUNTED)
+    packed = sets.mapInArrow(common.releasing(blocks), schema).repartition(parts, "bucket").sortWithinPartitions("bucket")
+    return packed.mapInArrow(common.releasing(count_shared), _COUNTED)
 
 
 def _runs(values: np.ndarray) -> tuple[list[int], list[int], list[int]]:

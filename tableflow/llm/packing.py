@@ -70,7 +70,7 @@ def tokenise(docs: DataFrame, vocabulary: str, ranks: str | None = None) -> Data
             yield common.record({"doc_id": b.column("doc_id"), "part": [part] * len(n), "part_start": total + np.cumsum(n) - n, "n_tokens": n, "ids": [x.astype("<u2" if x.max() < 65536 else "<u4").tobytes() for x in ids]}, schema)
             total += int(n.sum())
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(common.releasing(run), schema)
 
 
 def pack(docs: DataFrame, vocabulary: str, ranks: str | None = None, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

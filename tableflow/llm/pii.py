@@ -399,4 +399,4 @@ def redact(docs: DataFrame, detector: Detector, id_col: str = "doc_id", text_col
             null = b.column(at).is_null().to_pylist()
             yield b.set_column(at, b.schema.field(at), pa.array([None if n else t for n, t in zip(null, new, strict=True)], b.schema.field(at).type))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(common.releasing(run), docs.schema)

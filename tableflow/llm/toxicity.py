@@ -238,7 +238,7 @@ def train(docs: DataFrame, labels: DataFrame, grade_col: str = "grade", max_rows
         if seen:
             yield rows()
 
-    seen = common.saved(sample.mapInArrow(counted, schema).groupBy("feature", "split").agg(F.sum("n").alias("n"), F.sum("h").alias("h")).where(f"n >= {min_docs}"))
+    seen = common.saved(sample.mapInArrow(common.releasing(counted), schema).groupBy("feature", "split").agg(F.sum("n").alias("n"), F.sum("h").alias("h")).where(f"n >= {min_docs}"))
     tested = seen.count()
     above = [sum(totals[g] for g in grades[j + 1 :]) / sum(totals.values()) for j in range(len(grades) - 1)]
     share = F.element_at(F.array(*map(F.lit, above)), F.col("split") + 1)
@@ -298,4 +298,4 @@ def accepted(docs: DataFrame, model: OrdinalModel, text_col: str = "text") -> Da
                 p = m.at_least(np.array([m.score(t) for t in common.strings(b.column(at))]))
                 yield b.filter(pa.array(p[:, 0] < m.cut if p.shape[1] else np.ones(b.num_rows, bool)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(common.releasing(run), docs.schema)

@@ -1,9 +1,11 @@
 """The stages in order, against plain versions of each."""
 
+import os
+
 import public_tokenizers
 
 import corpus_pipeline
-from tableflow.llm import packing, pii, toxicity
+from tableflow.llm import common, packing, pii, toxicity
 
 from . import brute
 from .test_operators import SCHEMA, words
@@ -62,3 +64,17 @@ def test_rows_without_an_id_and_repeated_rows(spark, tmp_path):
     path = public_tokenizers.path
     want = [(i, len(packing.token_ids(t or "", path("byte_bpe_50k.json"), None))) for i, t in [(1, text), (None, words(2, 40)), (3, words(3, 40)), (3, words(4, 40)), (4, None)]]
     assert sorted(got, key=repr) == sorted(want, key=repr) and all(sum(v) == n for (_, n), v in got.items())
+
+
+def test_workers_give_back_memory(spark):
+    """A Python worker lives on, but what a task has freed does not stay with it, though something above it in memory does."""
+
+    def work(b):
+        held = [b"%06d" % i * 10_000 for i in range(3000)]
+        common.kept_by_a_test = bytes(len(held[0]))
+        return {"pid": [os.getpid()] * b.num_rows}
+
+    pid = common.map_arrow(spark.range(0, 1, 1, 1), work, "pid long").collect()[0][0]
+    with open(f"/proc/{pid}/smaps_rollup") as f:
+        anonymous = next(int(line.split()[1]) for line in f if line.startswith("Anonymous:"))
+    assert anonymous < 150_000  # KB; the task held 180 MB beside what any worker has
